@@ -56,7 +56,7 @@ def with_measures(base: DataFrame, absence: DataFrame, params: Params) -> DataFr
             ),
         )
     )
-    return schemas.conform(rows, schemas.EMPLOYEE_ANALYSIS)
+    return rows.to(schemas.EMPLOYEE_ANALYSIS)
 
 
 def employee_analysis(bronze: Bronze, params: Params) -> DataFrame:
@@ -67,23 +67,16 @@ def employee_analysis(bronze: Bronze, params: Params) -> DataFrame:
     once. Columns a mart does not use are never computed, and a mart without absence columns
     does not read absences at all.
     """
-    named = bronze.employees.where("Department IS NOT NULL AND JobRole IS NOT NULL")
-    rows = silver.hired_employees(named, bronze.recruitment, bronze.terminations, params)
-    columns = {
-        **silver.with_attributes(bronze.employees),
-        **silver.employment_columns(params),
-        "department_name": F.trim("Department"),
-        "job_role_name": F.trim("JobRole"),
-        "source_channel": F.col("SourceChannel"),
-        "time_to_fill_days": F.col("TimeToFillDays"),
-        "ramp_up_days": F.col("RampUpDays"),
-        "hiring_manager_satisfaction": F.col("HiringManagerSatisfaction"),
-        "recruiting_cost": F.col("RecruitingCost"),
-    }
-    base = rows.select(*(c.alias(n) for n, c in columns.items()))
+    base = _employment(bronze, params)
     return with_measures(base, absence_per_employee(silver.spells(bronze.spells)), params)
 
 
+def _employment(bronze: Bronze, params: Params) -> DataFrame:
+    staged = silver.stage_employees(bronze.employees)
+    named = staged.where("department_name IS NOT NULL AND job_role_name IS NOT NULL")
+    return silver.employment(named, bronze.recruitment, bronze.terminations, params)
+
+
 def employee_analysis_from_star(star: silver.Star, params: Params) -> DataFrame:
     """The analysis frame from stored silver tables: fact_employment joined to its four partners.
 
@@ -270,12 +263,7 @@ def headcount_monthly(spans: DataFrame, calendar: DataFrame, params: Params) ->
 
 def employment_spans(bronze: Bronze, params: Params) -> DataFrame:
     """Hire and leaving months of everyone in fact_employment, straight from bronze."""
-    named = bronze.employees.where("Department IS NOT NULL AND JobRole IS NOT NULL")
-    rows = silver.hired_employees(named, bronze.recruitment, bronze.terminations, params)
-    columns = silver.employment_columns(params)
-    return rows.select(
-        *(columns[c].alias(c) for c in ("employee_key", "hire_month_key", "term_month_key"))
-    )
+    return _employment(bronze, params).select("employee_key", "hire_month_key", "term_month_key")
 
 
 def attrition_by_department(employment: DataFrame, departments: DataFrame, people: DataFrame) -> DataFrame:

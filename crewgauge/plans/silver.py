@@ -14,30 +14,78 @@ from crewgauge.operators.numbering import number_rows
 from crewgauge.params import Params
 from crewgauge.sources.bronze import Bronze
 
-# Target column -> raw column, where the raw value is taken as it is.
-EMPLOYEE_ATTRIBUTES = {
-    "age": "Age",
-    "gender": "Gender",
-    "marital_status": "MaritalStatus",
-    "education": "Education",
-    "education_field": "EducationField",
-    "job_level": "JobLevel",
-    "business_travel": "BusinessTravel",
-    "distance_from_home": "DistanceFromHome",
-    "num_companies_worked": "NumCompaniesWorked",
-    "stock_option_level": "StockOptionLevel",
-    "training_times_last_year": "TrainingTimesLastYear",
-    "job_satisfaction": "JobSatisfaction",
-    "environment_satisfaction": "EnvironmentSatisfaction",
-    "relationship_satisfaction": "RelationshipSatisfaction",
-    "work_life_balance": "WorkLifeBalance",
-    "job_involvement": "JobInvolvement",
-    "performance_rating": "PerformanceRating",
-    "percent_salary_hike": "PercentSalaryHike",
-    "years_in_current_role": "YearsInCurrentRole",
-    "years_since_last_promotion": "YearsSinceLastPromotion",
-    "years_with_curr_manager": "YearsWithCurrManager",
+# Raw column -> target column, where the value is taken as it is.
+EMPLOYEE_NAMES = {
+    "EmployeeNumber": "employee_key",
+    "Age": "age",
+    "Gender": "gender",
+    "MaritalStatus": "marital_status",
+    "Education": "education",
+    "EducationField": "education_field",
+    "JobLevel": "job_level",
+    "BusinessTravel": "business_travel",
+    "DistanceFromHome": "distance_from_home",
+    "NumCompaniesWorked": "num_companies_worked",
+    "StockOptionLevel": "stock_option_level",
+    "TrainingTimesLastYear": "training_times_last_year",
+    "JobSatisfaction": "job_satisfaction",
+    "EnvironmentSatisfaction": "environment_satisfaction",
+    "RelationshipSatisfaction": "relationship_satisfaction",
+    "WorkLifeBalance": "work_life_balance",
+    "JobInvolvement": "job_involvement",
+    "MonthlyIncome": "monthly_income",
+    "PerformanceRating": "performance_rating",
+    "PercentSalaryHike": "percent_salary_hike",
+    "YearsInCurrentRole": "years_in_current_role",
+    "YearsSinceLastPromotion": "years_since_last_promotion",
+    "YearsWithCurrManager": "years_with_curr_manager",
 }
+RECRUITMENT_NAMES = {
+    "EmployeeNumber": "employee_key",
+    "SourceChannel": "source_channel",
+    "ReqOpenDate": "req_open_date",
+    "HireDate": "hire_date",
+    "TimeToFillDays": "time_to_fill_days",
+    "RampUpDays": "ramp_up_days",
+    "HiringManagerSatisfaction": "hiring_manager_satisfaction",
+    "RecruitingCost": "recruiting_cost",
+}
+ABSENCE_NAMES = {
+    "AbsenceID": "absence_key",
+    "EmployeeNumber": "employee_key",
+    "AbsenceDate": "absence_date",
+    "AbsenceHours": "absence_hours",
+    "AbsenceDays": "absence_days",
+    "ReasonCode": "reason_code",
+}
+
+
+def stage_employees(employees: DataFrame) -> DataFrame:
+    """Target names, trimmed department and role, bands and flags."""
+    left = bands.flag(F.col("Attrition") == "Yes")
+    return employees.withColumns({
+        "department_name": F.trim("Department"),
+        "job_role_name": F.trim("JobRole"),
+        "age_band": bands.band(F.col("Age"), bands.AGE_BANDS),
+        "distance_band": bands.band(F.col("DistanceFromHome"), bands.DISTANCE_BANDS, inclusive=True),
+        "income_band": bands.band(F.col("MonthlyIncome"), bands.INCOME_BANDS),
+        "overtime_flag": bands.flag(F.col("OverTime") == "Yes"),
+        "attrition_flag": left,
+        "is_active": 1 - left,
+    }).drop("OverTime").withColumnsRenamed({**EMPLOYEE_NAMES, "overtime_flag": "overtime"})
+
+
+def stage_recruitment(recruitment: DataFrame) -> DataFrame:
+    return recruitment.withColumn("hire_month_key", dates.month_key(F.col("HireDate"))).withColumnsRenamed(
+        RECRUITMENT_NAMES
+    )
+
+
+def spells(absence: DataFrame) -> DataFrame:
+    """Absence rows under their target names, with or without a key."""
+    return absence.withColumn("absence_month_key", dates.month_key(F.col("AbsenceDate"))).withColumnsRenamed(
+        ABSENCE_NAMES
+    )
 
 
 def name_dimension(names: DataFrame, raw: str, key: str, name: str) -> DataFrame:
@@ -72,46 +120,38 @@ def dim_date(recruitment: DataFrame, as_of: date) -> DataFrame:
     )
 
 
-def with_attributes(employees: DataFrame) -> dict[str, Column]:
-    """Descriptive columns of an employee, bands and flags included."""
-    columns = {name: F.col(raw) for name, raw in EMPLOYEE_ATTRIBUTES.items()}
-    columns["age_band"] = bands.band(F.col("Age"), bands.AGE_BANDS)
-    columns["distance_band"] = bands.band(
-        F.col("DistanceFromHome"), bands.DISTANCE_BANDS, inclusive=True
-    )
-    columns["overtime"] = bands.flag(F.col("OverTime") == "Yes")
-    return columns
-
-
-def with_keys(employees: DataFrame, departments: DataFrame, roles: DataFrame) -> DataFrame:
+def with_keys(staged: DataFrame, departments: DataFrame, roles: DataFrame) -> DataFrame:
     """Resolve both names to keys. A NULL name matches nothing, so such employees drop out."""
-    return employees.join(
-        broadcast_if_small(departments), F.trim("Department") == F.col("department_name")
-    ).join(broadcast_if_small(roles), F.trim("JobRole") == F.col("job_role_name"))
+    return staged.join(broadcast_if_small(departments), "department_name").join(
+        broadcast_if_small(roles), "job_role_name"
+    )
 
 
 def dim_employee(employees: DataFrame, departments: DataFrame, roles: DataFrame) -> DataFrame:
-    keyed = with_keys(employees, departments, roles)
-    columns = {"employee_key": F.col("EmployeeNumber"), **with_attributes(employees)}
-    wide = keyed.select(
-        "department_key", "job_role_key", *(c.alias(n) for n, c in columns.items())
-    )
-    return schemas.conform(wide, schemas.DIM_EMPLOYEE)
+    return with_keys(stage_employees(employees), departments, roles).to(schemas.DIM_EMPLOYEE)
 
 
-def hired_employees(employees: DataFrame, recruitment: DataFrame, terminations: DataFrame | None, params: Params) -> DataFrame:
-    """Employees with their recruitment row and, for leavers, a leaving date.
+def employment(
+    staged: DataFrame, recruitment: DataFrame, terminations: DataFrame | None, params: Params
+) -> DataFrame:
+    """Staged employees with their recruitment row, leaving date and tenure.
 
     Both sides hold one row per employee, so this is the one large join of the employment grain;
     everything after it is keyed the same way and needs no further shuffle of this side.
     """
-    rows = employees.join(recruitment, "EmployeeNumber")
-    if terminations is not None:
-        return rows.join(terminations, "EmployeeNumber", "left")
-    return rows.withColumn(
-        "termination_date",
-        F.when(F.col("Attrition") == "Yes", _derived_departure(F.col("HireDate"), params)),
-    )
+    rows = staged.join(stage_recruitment(recruitment), "employee_key")
+    if terminations is None:
+        departure = F.when(F.col("attrition_flag") == 1, _derived_departure("employee_key", "hire_date", params))
+        rows = rows.withColumn("termination_date", departure)
+    else:
+        rows = rows.join(terminations.withColumnRenamed("EmployeeNumber", "employee_key"), "employee_key", "left")
+    left = F.col("termination_date")
+    days = dates.tenure_days(F.col("hire_date"), left, params.as_of)
+    years = F.col("tenure_days") / F.lit(365.25)
+    return rows.withColumns({"term_month_key": dates.month_key(left), "tenure_days": days}).withColumns({
+        "tenure_years": F.round(years, 2),
+        "tenure_band": bands.band(years, bands.TENURE_BANDS),
+    })
 
 
 def derived_terminations(employees: DataFrame, recruitment: DataFrame, params: Params) -> DataFrame:
@@ -119,43 +159,16 @@ def derived_terminations(employees: DataFrame, recruitment: DataFrame, params: P
     leavers = employees.where(F.col("Attrition") == "Yes").select("EmployeeNumber")
     hires = recruitment.select("EmployeeNumber", "HireDate")
     return leavers.join(hires, "EmployeeNumber", "left").select(
-        "EmployeeNumber", _derived_departure(F.col("HireDate"), params).alias("termination_date")
+        "EmployeeNumber", _derived_departure("EmployeeNumber", "HireDate", params).alias("termination_date")
     )
 
 
-def _derived_departure(hired: Column, params: Params) -> Column:
+def _derived_departure(key: str, hired: str, params: Params) -> Column:
     return dates.hashed_departure(
-        F.col("EmployeeNumber"),
-        hired,
-        params.as_of,
-        params.termination_spread_days,
-        params.minimum_service_days,
+        F.col(key), F.col(hired), params.as_of, params.termination_spread_days, params.minimum_service_days
     )
 
 
-def employment_columns(params: Params) -> dict[str, Column]:
-    """Measures of the employment grain over ``hired_employees`` rows."""
-    hired, left, income = F.col("HireDate"), F.col("termination_date"), F.col("MonthlyIncome")
-    days = dates.tenure_days(hired, left, params.as_of)
-    years = days / F.lit(365.25)
-    gone = bands.flag(F.col("Attrition") == "Yes")
-    return {
-        "employee_key": F.col("EmployeeNumber"),
-        "hire_date": hired,
-        "hire_month_key": dates.month_key(hired),
-        "termination_date": left,
-        "term_month_key": dates.month_key(left),
-        "is_active": 1 - gone,
-        "attrition_flag": gone,
-        "tenure_days": days,
-        "tenure_years": F.round(years, 2),
-        "tenure_band": bands.band(years, bands.TENURE_BANDS),
-        "monthly_income": income,
-        "income_band": bands.band(income, bands.INCOME_BANDS),
-        "performance_rating": F.col("PerformanceRating"),
-    }
-
-
 def fact_employment(
     employees: DataFrame,
     recruitment: DataFrame,
@@ -164,56 +177,17 @@ def fact_employment(
     roles: DataFrame,
     params: Params,
 ) -> DataFrame:
-    keyed = with_keys(employees, departments, roles)
-    rows = hired_employees(keyed, recruitment, terminations, params)
-    wide = rows.select(
-        "department_key",
-        "job_role_key",
-        *(c.alias(n) for n, c in employment_columns(params).items()),
-    )
-    return schemas.conform(wide, schemas.FACT_EMPLOYMENT)
-
-
-def spell_columns() -> dict[str, Column]:
-    day = F.col("AbsenceDate")
-    return {
-        "employee_key": F.col("EmployeeNumber"),
-        "absence_date": day,
-        "absence_month_key": dates.month_key(day),
-        "absence_hours": F.col("AbsenceHours"),
-        "absence_days": F.col("AbsenceDays"),
-        "reason_code": F.col("ReasonCode"),
-    }
-
-
-def spells(raw_spells: DataFrame) -> DataFrame:
-    """fact_absence without its key: all that the marts need."""
-    return raw_spells.select(*(c.alias(n) for n, c in spell_columns().items()))
+    keyed = with_keys(stage_employees(employees), departments, roles)
+    return employment(keyed, recruitment, terminations, params).to(schemas.FACT_EMPLOYMENT)
 
 
 def fact_absence(absence: DataFrame) -> DataFrame:
-    wide = absence.select(
-        F.col("AbsenceID").alias("absence_key"), *(c.alias(n) for n, c in spell_columns().items())
-    )
-    return schemas.conform(wide, schemas.FACT_ABSENCE)
+    return spells(absence).to(schemas.FACT_ABSENCE)
 
 
 def fact_recruitment(recruitment: DataFrame) -> DataFrame:
-    hired = F.col("HireDate")
-    columns = {
-        "employee_key": F.col("EmployeeNumber"),
-        "source_channel": F.col("SourceChannel"),
-        "req_open_date": F.col("ReqOpenDate"),
-        "hire_date": hired,
-        "hire_month_key": dates.month_key(hired),
-        "time_to_fill_days": F.col("TimeToFillDays"),
-        "ramp_up_days": F.col("RampUpDays"),
-        "hiring_manager_satisfaction": F.col("HiringManagerSatisfaction"),
-        "recruiting_cost": F.col("RecruitingCost"),
-    }
-    wide = recruitment.select(*(c.alias(n) for n, c in columns.items()))
-    return schemas.conform(
-        number_rows(wide, ["employee_key"], "recruitment_key"), schemas.FACT_RECRUITMENT
+    return number_rows(stage_recruitment(recruitment), ["employee_key"], "recruitment_key").to(
+        schemas.FACT_RECRUITMENT
     )
 
 

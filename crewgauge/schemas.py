@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DateType, DoubleType, IntegerType, LongType, StringType, StructType
 
 _TYPES = {
@@ -97,8 +96,3 @@ EMPLOYEE_ANALYSIS = _columns("""
     retention_score DOUBLE, ramp_score DOUBLE, hm_satisfaction_score DOUBLE,
     quality_of_hire DOUBLE
 """)
-
-
-def conform(df: DataFrame, schema: StructType) -> DataFrame:
-    """Project ``df`` onto the columns, order and types of ``schema``."""
-    return df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in schema))

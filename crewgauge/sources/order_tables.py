@@ -9,7 +9,9 @@ from __future__ import annotations
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
+from crewgauge import schemas
 from crewgauge.operators.numbering import number_rows
 from crewgauge.params import Params
 from crewgauge.sources.bronze import Bronze
@@ -49,20 +51,18 @@ _EMPLOYEE_COLUMNS = {
     "YearsSinceLastPromotion": "k * 7873 % 127 % 16",
     "YearsWithCurrManager": "k * 7817 % 157 % 10",
 }
-_EMPLOYEE_TEXT = {
-    "Attrition", "BusinessTravel", "Department", "EducationField", "Gender", "JobRole",
-    "MaritalStatus", "OverTime",
-}
+# The raw employee columns the tables can fill.
+_EMPLOYEE_SCHEMA = StructType([f for f in schemas.EMPLOYEES if f.name in _EMPLOYEE_COLUMNS])
 
 _RECRUITMENT_COLUMNS = {
     "EmployeeNumber": "o_custkey",
     "SourceChannel": "first.o_orderpriority",
     "ReqOpenDate": "date_sub(hire_date, cast(7 + first.o_orderkey * 13 % 174 AS int))",
     "HireDate": "hire_date",
-    "TimeToFillDays": "cast(7 + first.o_orderkey * 13 % 174 AS int)",
-    "RampUpDays": "cast(20 + first.o_orderkey * 17 % 201 AS int)",
-    "HiringManagerSatisfaction": "cast(1 + first.o_orderkey * 19 % 5 AS int)",
-    "RecruitingCost": "cast(floor(first.o_totalprice / 100) AS int)",
+    "TimeToFillDays": "7 + first.o_orderkey * 13 % 174",
+    "RampUpDays": "20 + first.o_orderkey * 17 % 201",
+    "HiringManagerSatisfaction": "1 + first.o_orderkey * 19 % 5",
+    "RecruitingCost": "floor(first.o_totalprice / 100)",
 }
 
 
@@ -78,7 +78,9 @@ def read_bronze(spark: SparkSession, folder: str, params: Params = PARAMS) -> Br
         .agg(F.min(F.struct("o_orderdate", "o_orderkey", "o_orderpriority", "o_totalprice")).alias("first"))
         .withColumn("hire_date", F.to_date("first.o_orderdate"))
     )
-    recruitment = first.selectExpr(*(f"{e} AS {c}" for c, e in _RECRUITMENT_COLUMNS.items()))
+    recruitment = first.selectExpr(*(f"{e} AS {c}" for c, e in _RECRUITMENT_COLUMNS.items())).to(
+        schemas.RECRUITMENT
+    )
     return Bronze(
         employees=_employees(table, last, quiet_since),
         recruitment=recruitment,
@@ -96,12 +98,7 @@ def _employees(table, last: DataFrame, quiet_since) -> DataFrame:
         .join(last, F.col("c_custkey") == F.col("o_custkey"), "left")
         .withColumns({"k": F.col("c_custkey"), "quiet_since": quiet_since})
     )
-    return people.select(
-        *(
-            F.expr(e if c in _EMPLOYEE_TEXT or c == "EmployeeNumber" else f"cast({e} AS int)").alias(c)
-            for c, e in _EMPLOYEE_COLUMNS.items()
-        )
-    )
+    return people.selectExpr(*(f"{e} AS {c}" for c, e in _EMPLOYEE_COLUMNS.items())).to(_EMPLOYEE_SCHEMA)
 
 
 def _terminations(orders: DataFrame, quiet_since, params: Params) -> DataFrame:
