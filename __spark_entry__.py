@@ -18,7 +18,7 @@ from crewgauge.plans import gold, headlines, measures, quality, silver, study  #
 from crewgauge.plans import warehouse as warehouse_plan  # noqa: E402
 from crewgauge.session import scratch_path  # noqa: E402
 from crewgauge.sinks import document, extracts  # noqa: E402
-from crewgauge.sinks.tables import Warehouse  # noqa: E402
+from crewgauge.sinks.tables import Warehouse, stored  # noqa: E402
 from crewgauge.sources.bronze import Bronze  # noqa: E402
 from crewgauge.sources.order_tables import PARAMS, read_bronze  # noqa: E402
 
@@ -55,10 +55,8 @@ class Frames:
 
     @cached_property
     def employment(self) -> DataFrame:
-        b = self.bronze
-        return silver.fact_employment(
-            b.employees, b.recruitment, b.terminations, self.departments, self.roles, PARAMS
-        )
+        hired = silver.hired_rows(self.bronze, PARAMS)
+        return silver.fact_employment(hired, self.departments, self.roles, PARAMS)
 
     @cached_property
     def star(self) -> silver.Star:
@@ -76,6 +74,14 @@ class Frames:
     def analysis(self) -> DataFrame:
         return gold.employee_analysis(self.bronze, PARAMS)
 
+    @cached_property
+    def stored(self) -> Frames:
+        """The same frames over a stored analysis table, for queries made of several marts."""
+        again = Frames(self.spark, self.folder)
+        again.__dict__["analysis"] = stored(self.analysis, "analysis")
+        again.__dict__["quality_of_hire"] = stored(again.quality_of_hire, "quality_of_hire")
+        return again
+
     @cached_property
     def turnover(self) -> DataFrame:
         return gold.kpi_turnover(self.analysis, PARAMS)
@@ -130,7 +136,7 @@ def rounded(df: DataFrame, places: int = 6) -> DataFrame:
 
 
 def _headline(f: Frames) -> DataFrame:
-    flat = f.kpis
+    flat = f.stored.kpis
     for end in ("best_source", "worst_source"):
         flat = flat.withColumn(f"{end}_qoh", F.col(f"{end}.qoh")).withColumn(end, F.col(f"{end}.channel"))
     return flat
@@ -149,6 +155,7 @@ def _welch(f: Frames) -> DataFrame:
 
 
 def _study_document(f: Frames) -> DataFrame:
+    f = f.stored
     odds, fit = f.regression
     result = study.study_document(
         f.kpis, study.continuous_tests(f.analysis), study.categorical_tests(f.analysis), odds, fit
@@ -197,7 +204,7 @@ _QUERIES: dict[str, Callable[[Frames], DataFrame]] = {
     .agg(measures.active_at(200012).alias("active_headcount")),
     "attrition_by_department": lambda f: gold.attrition_by_department(f.employment, f.departments, f.people),
     # Headlines and listings
-    "best_worst_source": lambda f: headlines.best_worst_source(f.quality_of_hire),
+    "best_worst_source": lambda f: headlines.best_worst_source(stored(f.quality_of_hire, "quality_of_hire")),
     "headline": _headline,
     "turnover_by_department": lambda f: headlines.turnover_by_department(f.turnover),
     "quality_by_channel": lambda f: headlines.quality_by_channel(f.quality_of_hire),

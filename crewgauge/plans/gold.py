@@ -72,9 +72,8 @@ def employee_analysis(bronze: Bronze, params: Params) -> DataFrame:
 
 
 def _employment(bronze: Bronze, params: Params) -> DataFrame:
-    staged = silver.stage_employees(bronze.employees)
-    named = staged.where("department_name IS NOT NULL AND job_role_name IS NOT NULL")
-    return silver.employment(named, bronze.recruitment, bronze.terminations, params)
+    rows = silver.employment(silver.hired_rows(bronze, params), params)
+    return rows.where("department_name IS NOT NULL AND job_role_name IS NOT NULL")
 
 
 def employee_analysis_from_star(star: silver.Star, params: Params) -> DataFrame:
@@ -213,18 +212,20 @@ def attrition_drivers(analysis: DataFrame) -> DataFrame:
 def absence_by_reason(spells: DataFrame) -> DataFrame:
     """Spells and hours per reason with the share of all hours.
 
-    The grand total is a scalar subquery over the same per-reason sums, not a window, so the
-    number of distinct reasons may grow without meeting in one task.
+    The grand total is a scalar subquery over the per-reason sums, not a window, so the number
+    of distinct reasons may grow without meeting in one task. It asks for both sums although it
+    needs one: its shuffle is then the same as the mart's own and is reused, so the absences
+    are read and aggregated once.
     """
     reasons = spells.groupBy("reason_code").agg(
         F.count("*").alias("spells"), F.sum("absence_hours").alias("hours")
     )
-    total = reasons.agg(F.sum("hours")).scalar()
+    total = reasons.agg(F.struct(F.sum("hours").alias("hours"), F.sum("spells").alias("spells"))).scalar()
     return reasons.select(
         "reason_code",
         "spells",
         F.round("hours", 0).alias("absence_hours"),
-        percent(F.col("hours"), total, 1).alias("pct_of_hours"),
+        percent(F.col("hours"), total["hours"], 1).alias("pct_of_hours"),
     )
 
 

@@ -76,6 +76,7 @@ def stage_employees(employees: DataFrame) -> DataFrame:
 
 
 def stage_recruitment(recruitment: DataFrame) -> DataFrame:
+    """Target names and the hire month. Columns already renamed stay as they are."""
     return recruitment.withColumn("hire_month_key", dates.month_key(F.col("HireDate"))).withColumnsRenamed(
         RECRUITMENT_NAMES
     )
@@ -131,27 +132,34 @@ def dim_employee(employees: DataFrame, departments: DataFrame, roles: DataFrame)
     return with_keys(stage_employees(employees), departments, roles).to(schemas.DIM_EMPLOYEE)
 
 
-def employment(
-    staged: DataFrame, recruitment: DataFrame, terminations: DataFrame | None, params: Params
+def join_hires(
+    employees: DataFrame, recruitment: DataFrame, terminations: DataFrame | None, params: Params
 ) -> DataFrame:
-    """Staged employees with their recruitment row, leaving date and tenure.
+    """Raw employees with their recruitment row and, for leavers, a leaving date.
 
-    Both sides hold one row per employee, so this is the one large join of the employment grain;
+    All sides hold one row per employee, so this is the one large join of the employment grain;
     everything after it is keyed the same way and needs no further shuffle of this side.
     """
-    rows = staged.join(stage_recruitment(recruitment), "employee_key")
-    if terminations is None:
-        departure = F.when(F.col("attrition_flag") == 1, _derived_departure("employee_key", "hire_date", params))
-        rows = rows.withColumn("termination_date", departure)
-    else:
-        rows = rows.join(terminations.withColumnRenamed("EmployeeNumber", "employee_key"), "employee_key", "left")
+    rows = employees.join(recruitment, "EmployeeNumber")
+    if terminations is not None:
+        return rows.join(terminations, "EmployeeNumber", "left")
+    departure = _derived_departure(F.col("EmployeeNumber"), F.col("HireDate"), params)
+    return rows.withColumn("termination_date", F.when(F.col("Attrition") == "Yes", departure))
+
+
+def employment(hired: DataFrame, params: Params) -> DataFrame:
+    """``join_hires`` rows under their target names, with tenure."""
     left = F.col("termination_date")
     days = dates.tenure_days(F.col("hire_date"), left, params.as_of)
     years = F.col("tenure_days") / F.lit(365.25)
-    return rows.withColumns({"term_month_key": dates.month_key(left), "tenure_days": days}).withColumns({
-        "tenure_years": F.round(years, 2),
-        "tenure_band": bands.band(years, bands.TENURE_BANDS),
-    })
+    return (
+        stage_recruitment(stage_employees(hired))
+        .withColumns({"term_month_key": dates.month_key(left), "tenure_days": days})
+        .withColumns({
+            "tenure_years": F.round(years, 2),
+            "tenure_band": bands.band(years, bands.TENURE_BANDS),
+        })
+    )
 
 
 def derived_terminations(employees: DataFrame, recruitment: DataFrame, params: Params) -> DataFrame:
@@ -159,26 +167,18 @@ def derived_terminations(employees: DataFrame, recruitment: DataFrame, params: P
     leavers = employees.where(F.col("Attrition") == "Yes").select("EmployeeNumber")
     hires = recruitment.select("EmployeeNumber", "HireDate")
     return leavers.join(hires, "EmployeeNumber", "left").select(
-        "EmployeeNumber", _derived_departure("EmployeeNumber", "HireDate", params).alias("termination_date")
+        "EmployeeNumber", _derived_departure(F.col("EmployeeNumber"), F.col("HireDate"), params).alias("termination_date")
     )
 
 
-def _derived_departure(key: str, hired: str, params: Params) -> Column:
+def _derived_departure(key: Column, hired: Column, params: Params) -> Column:
     return dates.hashed_departure(
-        F.col(key), F.col(hired), params.as_of, params.termination_spread_days, params.minimum_service_days
+        key, hired, params.as_of, params.termination_spread_days, params.minimum_service_days
     )
 
 
-def fact_employment(
-    employees: DataFrame,
-    recruitment: DataFrame,
-    terminations: DataFrame | None,
-    departments: DataFrame,
-    roles: DataFrame,
-    params: Params,
-) -> DataFrame:
-    keyed = with_keys(stage_employees(employees), departments, roles)
-    return employment(keyed, recruitment, terminations, params).to(schemas.FACT_EMPLOYMENT)
+def fact_employment(hired: DataFrame, departments: DataFrame, roles: DataFrame, params: Params) -> DataFrame:
+    return with_keys(employment(hired, params), departments, roles).to(schemas.FACT_EMPLOYMENT)
 
 
 def fact_absence(absence: DataFrame) -> DataFrame:
@@ -207,17 +207,22 @@ class Star:
         return dict(self.__dict__)
 
 
+def hired_rows(bronze: Bronze, params: Params) -> DataFrame:
+    if bronze.hired is not None:
+        return bronze.hired
+    return join_hires(bronze.employees, bronze.recruitment, bronze.terminations, params)
+
+
 def build_star(bronze: Bronze, params: Params) -> Star:
     departments = dim_department(bronze.employees)
     roles = dim_job_role(bronze.employees)
+    hired = join_hires(bronze.employees, bronze.recruitment, bronze.terminations, params)
     return Star(
         dim_department=departments,
         dim_job_role=roles,
         dim_date=dim_date(bronze.recruitment, params.as_of),
         dim_employee=dim_employee(bronze.employees, departments, roles),
-        fact_employment=fact_employment(
-            bronze.employees, bronze.recruitment, bronze.terminations, departments, roles, params
-        ),
+        fact_employment=fact_employment(hired, departments, roles, params),
         fact_absence=fact_absence(bronze.absence),
         fact_recruitment=fact_recruitment(bronze.recruitment),
     )

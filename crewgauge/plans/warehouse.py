@@ -9,13 +9,18 @@ from crewgauge.sinks.tables import Warehouse
 from crewgauge.sources.bronze import Bronze
 
 
+KEY = "EmployeeNumber"
+
+
 def load_bronze(warehouse: Warehouse, bronze: Bronze) -> Bronze:
     terminations = bronze.terminations
     return Bronze(
-        employees=warehouse.replace("bronze", "employees", bronze.employees),
-        recruitment=warehouse.replace("bronze", "recruitment", bronze.recruitment),
+        employees=warehouse.replace("bronze", "employees", bronze.employees, unique_key=KEY),
+        recruitment=warehouse.replace("bronze", "recruitment", bronze.recruitment, unique_key=KEY),
         spells=warehouse.replace("bronze", "absence", bronze.absence),
-        terminations=None if terminations is None else warehouse.replace("bronze", "terminations", terminations),
+        terminations=None
+        if terminations is None
+        else warehouse.replace("bronze", "terminations", terminations, unique_key=KEY),
     )
 
 
@@ -23,9 +28,8 @@ def build_silver(warehouse: Warehouse, bronze: Bronze, params: Params) -> Star:
     """Dimensions are stored first: the facts then join tables whose size is on record."""
     departments = warehouse.replace("silver", "dim_department", silver.dim_department(bronze.employees))
     roles = warehouse.replace("silver", "dim_job_role", silver.dim_job_role(bronze.employees))
-    employment = silver.fact_employment(
-        bronze.employees, bronze.recruitment, bronze.terminations, departments, roles, params
-    )
+    hired = silver.join_hires(bronze.employees, bronze.recruitment, bronze.terminations, params)
+    employment = silver.fact_employment(hired, departments, roles, params)
     return Star(
         dim_department=departments,
         dim_job_role=roles,

@@ -6,9 +6,22 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from crewgauge.session import scratch_path
+
 LAYERS = ("bronze", "silver", "gold")
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back.
+
+    For a frame that several plans of one call read: it is computed once, readers still get only
+    their columns, and a lost executor costs a re-read.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @dataclass(frozen=True)
 class Warehouse:
     """One database per layer, named ``<prefix><layer>``, below ``root`` if given."""

@@ -14,7 +14,8 @@ class Bronze:
 
     ``spells`` are the absence rows; their AbsenceID may be missing from sources that do not
     carry one, in which case ``with_absence_id`` adds it. ``terminations`` holds recorded leaving
-    dates (EmployeeNumber, termination_date); without it they are derived.
+    dates (EmployeeNumber, termination_date); without it they are derived. A source that can
+    deliver employees already joined with both sets it as ``hired``, which saves that join.
     """
 
     employees: DataFrame
@@ -22,6 +23,7 @@ class Bronze:
     spells: DataFrame
     terminations: DataFrame | None = None
     with_absence_id: Callable[[DataFrame], DataFrame] | None = None
+    hired: DataFrame | None = None
 
     @property
     def absence(self) -> DataFrame:

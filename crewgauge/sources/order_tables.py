@@ -9,7 +9,6 @@ from __future__ import annotations
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
 
 from crewgauge import schemas
 from crewgauge.operators.numbering import number_rows
@@ -51,9 +50,6 @@ _EMPLOYEE_COLUMNS = {
     "YearsSinceLastPromotion": "k * 7873 % 127 % 16",
     "YearsWithCurrManager": "k * 7817 % 157 % 10",
 }
-# The raw employee columns the tables can fill.
-_EMPLOYEE_SCHEMA = StructType([f for f in schemas.EMPLOYEES if f.name in _EMPLOYEE_COLUMNS])
-
 _RECRUITMENT_COLUMNS = {
     "EmployeeNumber": "o_custkey",
     "SourceChannel": "first.o_orderpriority",
@@ -72,43 +68,49 @@ def read_bronze(spark: SparkSession, folder: str, params: Params = PARAMS) -> Br
 
     orders = table("orders")
     quiet_since = F.lit(params.as_of - timedelta(days=QUIET_DAYS)).cast("date")
-    last = orders.groupBy("o_custkey").agg(F.to_date(F.max("o_orderdate")).alias("last_order"))
-    first = (
+    customers = (
+        table("customer")
+        .join(table("nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+        .join(table("region"), F.col("n_regionkey") == F.col("r_regionkey"), "left")
+        .withColumns({"k": F.col("c_custkey"), "quiet_since": quiet_since})
+    )
+    # Reduced per customer before the shuffle, so a customer with very many orders is no hot spot.
+    history = (
         orders.groupBy("o_custkey")
-        .agg(F.min(F.struct("o_orderdate", "o_orderkey", "o_orderpriority", "o_totalprice")).alias("first"))
+        .agg(
+            F.min(F.struct("o_orderdate", "o_orderkey", "o_orderpriority", "o_totalprice")).alias("first"),
+            F.to_date(F.max("o_orderdate")).alias("last_order"),
+        )
         .withColumn("hire_date", F.to_date("first.o_orderdate"))
     )
-    recruitment = first.selectExpr(*(f"{e} AS {c}" for c, e in _RECRUITMENT_COLUMNS.items())).to(
-        schemas.RECRUITMENT
-    )
+    same = F.col("k") == F.col("o_custkey")
+    # Leaving date: the last order, but some days after the first at the soonest.
+    departure = F.when(
+        F.col("last_order") < quiet_since,
+        F.greatest("last_order", F.date_add("hire_date", params.minimum_service_days)),
+    ).alias("termination_date")
+    hire_columns = {c: e for c, e in _RECRUITMENT_COLUMNS.items() if c not in _EMPLOYEE_COLUMNS}
     return Bronze(
-        employees=_employees(table, last, quiet_since),
-        recruitment=recruitment,
+        employees=_columns(customers.join(history, same, "left"), _EMPLOYEE_COLUMNS),
+        recruitment=_columns(history, _RECRUITMENT_COLUMNS),
         spells=_spells(table, orders, params),
-        terminations=_terminations(orders, quiet_since, params),
+        terminations=history.select(F.col("o_custkey").alias("EmployeeNumber"), departure).where(
+            "termination_date IS NOT NULL"
+        ),
         with_absence_id=_number_spells,
+        # One aggregate of the orders serves all three, so it is read once.
+        hired=_columns(
+            customers.join(history, same).withColumn("termination_date", departure),
+            {**_EMPLOYEE_COLUMNS, **hire_columns, "termination_date": "termination_date"},
+        ),
     )
 
 
-def _employees(table, last: DataFrame, quiet_since) -> DataFrame:
-    people = (
-        table("customer")
-        .join(table("nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
-        .join(table("region"), F.col("n_regionkey") == F.col("r_regionkey"), "left")
-        .join(last, F.col("c_custkey") == F.col("o_custkey"), "left")
-        .withColumns({"k": F.col("c_custkey"), "quiet_since": quiet_since})
-    )
-    return people.selectExpr(*(f"{e} AS {c}" for c, e in _EMPLOYEE_COLUMNS.items())).to(_EMPLOYEE_SCHEMA)
-
-
-def _terminations(orders: DataFrame, quiet_since, params: Params) -> DataFrame:
-    """Leaving date: the last order, but some days after the first at the soonest."""
-    span = orders.groupBy(F.col("o_custkey").alias("EmployeeNumber")).agg(
-        F.to_date(F.min("o_orderdate")).alias("hired"), F.to_date(F.max("o_orderdate")).alias("left")
-    )
-    return span.where(F.col("left") < quiet_since).select(
-        "EmployeeNumber",
-        F.greatest("left", F.date_add("hired", params.minimum_service_days)).alias("termination_date"),
+def _columns(rows: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Raw columns from SQL expressions, in their declared types."""
+    types = {f.name: f.dataType.simpleString() for schema in (schemas.EMPLOYEES, schemas.RECRUITMENT) for f in schema}
+    return rows.selectExpr(
+        *(f"cast({e} AS {types[c]}) AS {c}" if c in types else f"{e} AS {c}" for c, e in columns.items())
     )
 
 
