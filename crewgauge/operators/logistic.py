@@ -12,7 +12,7 @@ from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import Column, DataFrame, functions as F
 
 from crewgauge.functions.tails import chi_square_tail
-from crewgauge.session import ready_for_checkpoint
+from crewgauge.sinks.tables import stored
 
 # Fixed value: the 97.5 % point of the normal distribution.
 WALD_Z = 1.959964
@@ -33,22 +33,23 @@ def fit_logistic(
 ) -> tuple[DataFrame, DataFrame]:
     """Fit ``outcome`` (0/1) on ``terms``; return the odds-ratio frame and the one-row fit frame.
 
-    Only the needed columns of complete rows are checkpointed: every iteration of the fit reads
-    them, and losing an executor then costs a re-read, not the joins before it. Each iteration
-    sends a matrix of (terms + 1) squared to the driver, whatever the number of rows. Names of
-    dummies are ``column=level``.
+    Only the needed columns are written to the shared folder: every iteration of the fit reads
+    them, and losing an executor then costs a re-read, not the joins before it. Incomplete rows
+    are dropped on the stored columns; dropped earlier, the one predicate over all terms would
+    be rewritten for every combination of their aliases while the plan is optimised. Each
+    iteration sends a matrix of (terms + 1) squared to the driver, whatever the number of rows.
+    Names of dummies are ``column=level``.
     """
     spark = df.sparkSession
-    ready_for_checkpoint(spark)
     inputs = [F.col(outcome).cast("double").alias("_y")]
     for name, term in terms.items():
         source = F.col(term.column).cast("string") if isinstance(term, Category) else term.cast("double")
         inputs.append(source.alias(name))
-    rows = df.select(*inputs).dropna().checkpoint().persist(StorageLevel.MEMORY_AND_DISK)
+    rows = stored(df.select(*inputs), "design").dropna().persist(StorageLevel.MEMORY_AND_DISK)
     try:
         design, names = _design(rows, terms)
         model = GeneralizedLinearRegression(
-            family="binomial", link="logit", labelCol="_y", featuresCol="_x", tol=1e-12, maxIter=200
+            family="binomial", link="logit", labelCol="_y", featuresCol="_x", tol=1e-8, maxIter=200
         ).fit(design)
         summary = model.summary
         errors, p_values = summary.coefficientStandardErrors, summary.pValues
