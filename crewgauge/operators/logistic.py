@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping
 from dataclasses import dataclass
 
@@ -57,21 +56,19 @@ def fit_logistic(
     finally:
         rows.unpersist()
 
-    odds = [
-        (
-            name,
-            math.exp(beta),
-            math.exp(beta - WALD_Z * error),
-            math.exp(beta + WALD_Z * error),
-            float(p),
-        )
-        for name, beta, error, p in zip(names, model.coefficients, errors, p_values)
-    ]
+    found = [(n, float(b), float(e), float(p)) for n, b, e, p in zip(names, model.coefficients, errors, p_values)]
+    beta, reach = F.col("beta"), F.lit(WALD_Z) * F.col("error")
+    odds = spark.createDataFrame(found, "term string, beta double, error double, p double").select(
+        "term",
+        F.exp(beta).alias("odds_ratio"),
+        F.exp(beta - reach).alias("or_low"),
+        F.exp(beta + reach).alias("or_high"),
+        "p",
+    )
     llr_p = chi_square_tail(null_deviance - deviance, float(len(names)))
     fit = [(int(n), 1.0 - deviance / null_deviance, llr_p)]
-    return (
-        spark.createDataFrame(odds, "term string, odds_ratio double, or_low double, or_high double, p double"),
-        spark.createDataFrame(fit, "observations bigint, pseudo_r2_mcfadden double, llr_p_value double"),
+    return odds, spark.createDataFrame(
+        fit, "observations bigint, pseudo_r2_mcfadden double, llr_p_value double"
     )
 
 
