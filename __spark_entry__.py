@@ -60,7 +60,13 @@ class Frames:
 
     @cached_property
     def star(self) -> silver.Star:
-        return silver.build_star(self.bronze, PARAMS)
+        """All silver tables, each computed once: the checks read every one of them several times."""
+        star = silver.build_star(self.bronze, PARAMS)
+        return replace(
+            star,
+            dim_employee=stored(star.dim_employee, "dim_employee"),
+            fact_employment=stored(star.fact_employment, "fact_employment"),
+        )
 
     @cached_property
     def spells(self) -> DataFrame:

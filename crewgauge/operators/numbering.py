@@ -20,15 +20,15 @@ def number_rows(df: DataFrame, order: list[str], name: str, partitions: int | No
     to fit into one slice. Sampled bounds and random keys change when they are computed again;
     a reliable checkpoint fixes the slices before their sizes are taken.
 
-    The only broadcast is one row per slice, a number set by configuration, not by the data.
+    Without ``partitions`` adaptive execution merges neighbouring slices of a small input. The
+    only broadcast is one row per slice, a number set by configuration, not by the data.
     """
     spark = df.sparkSession
     ready_for_checkpoint(spark)
-    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [*order, *(c for c in df.columns if c not in order), "_tie"]
     sliced = (
         df.withColumn("_tie", F.rand())
-        .repartitionByRange(partitions, *keys)
+        .repartitionByRange(*([partitions] if partitions else []), *keys)
         .sortWithinPartitions(*keys)
         .select(*df.columns, F.monotonically_increasing_id().alias("_slot"))
         .checkpoint()

@@ -24,7 +24,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class Warehouse:
-    """One database per layer, named ``<prefix><layer>``, below ``root`` if given."""
+    """One database per layer, named ``<prefix><layer>``, below ``root`` if given.
+
+    ``buckets`` is the bucket count of the tables with one row per employee, to be chosen for
+    the size of the workforce; without it they are plain tables.
+    """
 
     spark: SparkSession
     prefix: str = ""
@@ -55,23 +59,20 @@ class Warehouse:
     ) -> DataFrame:
         """Write ``df`` as the table's new content and return the stored table.
 
-        ``unique_key`` buckets a table that has one row per key, so tables bucketed on the same
-        key join without a shuffle. A table in which one key may own a large share of the rows
+        ``unique_key`` names the key of a table that has one row per key. Where buckets are in
+        use the table is bucketed on it, so such tables join without a shuffle. A table in which one key may own a large share of the rows
         must not be bucketed on it, as a bucket is read by one task; it gets ``order`` instead,
         spread by ranges of all the named columns. Other tables are rebalanced: adaptive
         execution merges small pieces and splits large ones, so small marts end up in one file.
         """
         if order:
             laid_out = df.repartitionByRange(*order).sortWithinPartitions(*order)
-        elif unique_key:
-            laid_out = df.hint("rebalance", self._bucket_count(), unique_key)
+        elif unique_key and self.buckets:
+            laid_out = df.hint("rebalance", self.buckets, unique_key)
         else:
             laid_out = df.hint("rebalance")
         writer = laid_out.write.mode("overwrite").format("parquet")
-        if unique_key:
-            writer = writer.bucketBy(self._bucket_count(), unique_key).sortBy(unique_key)
+        if unique_key and self.buckets:
+            writer = writer.bucketBy(self.buckets, unique_key).sortBy(unique_key)
         writer.saveAsTable(f"{self.database(layer)}.{name}")
         return self.table(layer, name)
-
-    def _bucket_count(self) -> int:
-        return self.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
