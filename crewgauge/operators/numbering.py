@@ -4,36 +4,41 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from crewgauge.session import ready_for_checkpoint
+from crewgauge.sinks.tables import stored
 
 # monotonically_increasing_id keeps the partition in the upper bits, the position in the lower 33.
 _POSITION_BITS = 33
 _POSITION_MASK = (1 << _POSITION_BITS) - 1
 
 
-def number_rows(df: DataFrame, order: list[str], name: str, partitions: int | None = None) -> DataFrame:
+def number_rows(
+    df: DataFrame, order: list[str], name: str, partitions: int | None = None, distinct: bool = False
+) -> DataFrame:
     """Add ``name`` = ROW_NUMBER() OVER (ORDER BY ``order``), NULLs first.
 
     Rows are range-partitioned and sorted, so every task numbers one slice of the order; adding
     the sizes of the slices before it makes the number global. Columns outside ``order`` and a
     random last key break ties, so that no set of equal keys, or even of copies of one row, has
-    to fit into one slice. Sampled bounds and random keys change when they are computed again;
-    a reliable checkpoint fixes the slices before their sizes are taken.
+    to fit into one slice. ``distinct`` says that no two rows are equal, so none is needed.
+
+    Two things must not change when a lost executor's work is repeated: the random keys are
+    stored before rows are moved by them, and the slices before their sizes are taken.
 
     Without ``partitions`` adaptive execution merges neighbouring slices of a small input. The
     only broadcast is one row per slice, a number set by configuration, not by the data.
     """
-    spark = df.sparkSession
-    ready_for_checkpoint(spark)
-    keys = [*order, *(c for c in df.columns if c not in order), "_tie"]
-    sliced = (
-        df.withColumn("_tie", F.rand())
-        .repartitionByRange(*([partitions] if partitions else []), *keys)
+    keys = [*order, *(c for c in df.columns if c not in order)]
+    if distinct:
+        keyed = df
+    else:
+        keyed = stored(df.withColumn("_tie", F.rand()), "unordered")
+        keys.append("_tie")
+    sliced = stored(
+        keyed.repartitionByRange(*([partitions] if partitions else []), *keys)
         .sortWithinPartitions(*keys)
-        .select(*df.columns, F.monotonically_increasing_id().alias("_slot"))
-        .checkpoint()
-        .withColumn("_slice", F.shiftright("_slot", _POSITION_BITS))
-    )
+        .select(*df.columns, F.monotonically_increasing_id().alias("_slot")),
+        "slices",
+    ).withColumn("_slice", F.shiftright("_slot", _POSITION_BITS))
     earlier = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     before = (
         sliced.groupBy("_slice")

@@ -91,7 +91,7 @@ def spells(absence: DataFrame) -> DataFrame:
 
 def name_dimension(names: DataFrame, raw: str, key: str, name: str) -> DataFrame:
     """Distinct trimmed names with consecutive keys in name order; a missing name comes first."""
-    return number_rows(names.select(F.trim(raw).alias(name)).distinct(), [name], key)
+    return number_rows(names.select(F.trim(raw).alias(name)).distinct(), [name], key, distinct=True)
 
 
 def dim_department(employees: DataFrame) -> DataFrame:

@@ -38,11 +38,6 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
-def ready_for_checkpoint(spark: SparkSession) -> None:
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that no other call uses."""
     return f"{shared_dir(spark)}/crewgauge/{name}-{uuid.uuid4().hex}"

@@ -110,3 +110,13 @@ def test_busy_keys_do_not_change_totals(spark):
     )
     got = {r[0]: tuple(r)[1:] for r in gold.absence_per_employee(spells).collect()}
     assert got[1] == (22500.0, 3000, 3000) and got[2] == (15.0, 2, 1) and len(got) == 3001
+
+
+def test_numbering_nothing(spark):
+    assert number_rows(spark.range(0), ["id"], "n").count() == 0
+
+
+def test_numbers_without_a_given_partition_count(spark):
+    frame = spark.range(1000).select((F.col("id") * 37 % 1000).alias("k"))
+    numbered = number_rows(frame, ["k"], "n", distinct=True)
+    assert numbered.where("n != k + 1").count() == 0 and numbered.count() == 1000
