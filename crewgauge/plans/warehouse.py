@@ -9,45 +9,47 @@ from crewgauge.sinks.tables import Warehouse
 from crewgauge.sources.bronze import Bronze
 
 
-KEY = "EmployeeNumber"
-
-
 def load_bronze(warehouse: Warehouse, bronze: Bronze) -> Bronze:
-    terminations = bronze.terminations
+    tables = {"employees": bronze.employees, "recruitment": bronze.recruitment, "absence": bronze.absence}
+    if bronze.terminations is not None:
+        tables["terminations"] = bronze.terminations
+    keyed = {"unique_key": "EmployeeNumber"}
+    stored = warehouse.replace_all("bronze", tables, employees=keyed, recruitment=keyed, terminations=keyed)
     return Bronze(
-        employees=warehouse.replace("bronze", "employees", bronze.employees, unique_key=KEY),
-        recruitment=warehouse.replace("bronze", "recruitment", bronze.recruitment, unique_key=KEY),
-        spells=warehouse.replace("bronze", "absence", bronze.absence),
-        terminations=None
-        if terminations is None
-        else warehouse.replace("bronze", "terminations", terminations, unique_key=KEY),
+        employees=stored["employees"],
+        recruitment=stored["recruitment"],
+        spells=stored["absence"],
+        terminations=stored.get("terminations"),
     )
 
 
 def build_silver(warehouse: Warehouse, bronze: Bronze, params: Params) -> Star:
     """Dimensions are stored first: the facts then join tables whose size is on record."""
-    departments = warehouse.replace("silver", "dim_department", silver.dim_department(bronze.employees))
-    roles = warehouse.replace("silver", "dim_job_role", silver.dim_job_role(bronze.employees))
+    names = warehouse.replace_all(
+        "silver",
+        {
+            "dim_department": silver.dim_department(bronze.employees),
+            "dim_job_role": silver.dim_job_role(bronze.employees),
+            "dim_date": silver.dim_date(bronze.recruitment, params.as_of),
+        },
+    )
+    departments, roles = names["dim_department"], names["dim_job_role"]
     hired = silver.join_hires(bronze.employees, bronze.recruitment, bronze.terminations, params)
-    employment = silver.fact_employment(hired, departments, roles, params)
-    return Star(
-        dim_department=departments,
-        dim_job_role=roles,
-        dim_date=warehouse.replace("silver", "dim_date", silver.dim_date(bronze.recruitment, params.as_of)),
-        dim_employee=warehouse.replace(
-            "silver", "dim_employee", silver.dim_employee(bronze.employees, departments, roles), unique_key="employee_key"
-        ),
-        fact_employment=warehouse.replace("silver", "fact_employment", employment, unique_key="employee_key"),
-        fact_absence=warehouse.replace(
-            "silver",
-            "fact_absence",
-            silver.fact_absence(bronze.absence),
-            order=("employee_key", "absence_date", "absence_key"),
-        ),
-        fact_recruitment=warehouse.replace(
-            "silver", "fact_recruitment", silver.fact_recruitment(bronze.recruitment), unique_key="employee_key"
-        ),
+    keyed = {"unique_key": "employee_key"}
+    facts = warehouse.replace_all(
+        "silver",
+        {
+            "dim_employee": silver.dim_employee(bronze.employees, departments, roles),
+            "fact_employment": silver.fact_employment(hired, departments, roles, params),
+            "fact_absence": silver.fact_absence(bronze.absence),
+            "fact_recruitment": silver.fact_recruitment(bronze.recruitment),
+        },
+        dim_employee=keyed,
+        fact_employment=keyed,
+        fact_recruitment=keyed,
+        fact_absence={"order": ("employee_key", "absence_date", "absence_key")},
     )
+    return Star(**names, **facts)
 
 
 def build_gold(warehouse: Warehouse, star: Star, params: Params) -> list[str]:
@@ -63,8 +65,7 @@ def build_gold(warehouse: Warehouse, star: Star, params: Params) -> list[str]:
         "headcount_monthly": gold.headcount_monthly(star.fact_employment, star.dim_date, params),
         "attrition_drivers": gold.attrition_drivers(analysis),
     }
-    for name, mart in marts.items():
-        warehouse.replace("gold", name, mart)
+    warehouse.replace_all("gold", marts)
     return ["employee_analysis", *marts]
 
 
