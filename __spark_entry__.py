@@ -13,6 +13,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: E402
 
 import oracle  # noqa: E402
+from crewgauge import schemas  # noqa: E402
 from crewgauge.functions.dates import month_key  # noqa: E402
 from crewgauge.plans import gold, headlines, measures, quality, silver, study  # noqa: E402
 from crewgauge.plans import warehouse as warehouse_plan  # noqa: E402
@@ -20,9 +21,11 @@ from crewgauge.session import scratch_path  # noqa: E402
 from crewgauge.sinks import document, extracts  # noqa: E402
 from crewgauge.sinks.tables import Warehouse, stored  # noqa: E402
 from crewgauge.sources.bronze import Bronze  # noqa: E402
+from crewgauge.sources.csv_files import bronze_from_csv  # noqa: E402
 from crewgauge.sources.order_tables import PARAMS, read_bronze  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
+RAW_SCHEMAS = {"employees": schemas.EMPLOYEES, "absence": schemas.ABSENCE, "recruitment": schemas.RECRUITMENT}
 TRAILING_YEAR = replace(PARAMS, turnover_window_days=365)
 
 
@@ -120,6 +123,35 @@ class Frames:
     def regression(self) -> tuple[DataFrame, DataFrame]:
         return study.logistic_model(self.analysis)
 
+    @cached_property
+    def document(self) -> DataFrame:
+        """The study document, written as JSON and read back."""
+        f = self.stored
+        odds, fit = f.regression
+        made = study.study_document(
+            f.kpis, study.continuous_tests(f.analysis), study.categorical_tests(f.analysis), odds, fit
+        )
+        path = scratch_path(self.spark, "study")
+        document.write_document(made, path)
+        return document.read_document(self.spark, path, made.schema)
+
+    @cached_property
+    def from_csv(self) -> Frames:
+        """The same frames over raw CSV files; the preferred employee file does not exist."""
+        folder = scratch_path(self.spark, "raw")
+        raw = {
+            "employees": self.bronze.employees.to(schemas.EMPLOYEES),
+            "absence": self.bronze.absence,
+            "recruitment": self.bronze.recruitment,
+        }
+        extracts.export_tables({n: df.select(*RAW_SCHEMAS[n].names) for n, df in raw.items()}, folder)
+        read = bronze_from_csv(
+            self.spark, [f"{folder}/preferred", f"{folder}/employees"], f"{folder}/absence", f"{folder}/recruitment"
+        )
+        again = Frames(self.spark, self.folder)
+        again.__dict__["bronze"] = replace(read, terminations=self.bronze.terminations)
+        return again
+
     @cached_property
     def warehouse(self) -> Warehouse:
         """A complete stored build in a scratch place of the shared folder."""
@@ -141,11 +173,10 @@ def rounded(df: DataFrame, places: int = 6) -> DataFrame:
     )
 
 
-def _headline(f: Frames) -> DataFrame:
-    flat = f.stored.kpis
+def _flat_kpis(kpis: DataFrame) -> DataFrame:
     for end in ("best_source", "worst_source"):
-        flat = flat.withColumn(f"{end}_qoh", F.col(f"{end}.qoh")).withColumn(end, F.col(f"{end}.channel"))
-    return flat
+        kpis = kpis.withColumn(f"{end}_qoh", F.col(f"{end}.qoh")).withColumn(end, F.col(f"{end}.channel"))
+    return kpis
 
 
 def _chi_square(f: Frames) -> DataFrame:
@@ -160,17 +191,6 @@ def _welch(f: Frames) -> DataFrame:
     )
 
 
-def _study_document(f: Frames) -> DataFrame:
-    f = f.stored
-    odds, fit = f.regression
-    result = study.study_document(
-        f.kpis, study.continuous_tests(f.analysis), study.categorical_tests(f.analysis), odds, fit
-    )
-    path = scratch_path(f.spark, "study")
-    document.write_document(result, path)
-    return document.read_document(f.spark, path, result.schema)
-
-
 def _warehouse_counts(f: Frames) -> DataFrame:
     names = f.warehouse.table_names("gold")
     return quality.row_counts({n: f.warehouse.table("gold", n) for n in names})
@@ -211,7 +231,7 @@ _QUERIES: dict[str, Callable[[Frames], DataFrame]] = {
     "attrition_by_department": lambda f: gold.attrition_by_department(f.employment, f.departments, f.people),
     # Headlines and listings
     "best_worst_source": lambda f: headlines.best_worst_source(stored(f.quality_of_hire, "quality_of_hire")),
-    "headline": _headline,
+    "headline": lambda f: _flat_kpis(f.stored.kpis),
     "turnover_by_department": lambda f: headlines.turnover_by_department(f.turnover),
     "quality_by_channel": lambda f: headlines.quality_by_channel(f.quality_of_hire),
     # Reporting measures
@@ -239,7 +259,10 @@ _QUERIES: dict[str, Callable[[Frames], DataFrame]] = {
     "logistic_fit": lambda f: f.regression[1],
     "top_risk": lambda f: study.top_risks(f.regression[0]),
     "top_protective": lambda f: study.top_protections(f.regression[0]),
-    "study_document": _study_document,
+    "study_document": lambda f: f.document,
+    "document_kpis": lambda f: _flat_kpis(f.document.select("kpis.*")),
+    "document_continuous_tests": lambda f: f.document.select(F.inline("continuous_tests")),
+    "document_categorical_tests": lambda f: f.document.select(F.inline("categorical_tests")),
     # Chart feeds
     "feed_odds_ratios": lambda f: headlines.odds_ratio_feed(f.regression[0]),
     "feed_driver_levels": lambda f: headlines.charted_drivers(f.drivers),
@@ -252,7 +275,9 @@ _QUERIES: dict[str, Callable[[Frames], DataFrame]] = {
     "quality_unique": lambda f: quality.repeated_keys(f.star),
     "quality_orphans": lambda f: quality.orphans(f.star),
     "quality_counts": lambda f: quality.row_counts(f.star.tables()),
-    # Stored tables and extracts, written to the shared folder and read back
+    # Files, stored tables and extracts, written to the shared folder and read back
+    "csv_turnover": lambda f: f.from_csv.turnover,
+    "csv_absence_by_reason": lambda f: f.from_csv.reasons,
     "warehouse_turnover": lambda f: f.warehouse.table("gold", "kpi_turnover"),
     "warehouse_counts": _warehouse_counts,
     "export_gold_csv": lambda f: f.csv_round_trip("kpi_quality_of_hire", f.quality_of_hire),

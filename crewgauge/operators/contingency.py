@@ -17,7 +17,7 @@ def contingency(df: DataFrame, flag: str, drivers: Mapping[str, Column]) -> Data
         "leavers": F.sum(F.when(F.col(flag) == 1, 1).otherwise(0)),
         "stayers": F.sum(F.when(F.col(flag) == 0, 1).otherwise(0)),
     }
-    table = by_segments(df.where(F.col(flag).isNotNull()), drivers, observed, "driver", "level")
+    table = by_segments(df.where(F.col(flag).isNotNull()), drivers, observed, type_name="driver", label_name="level")
     return table.where("level IS NOT NULL")
 
 

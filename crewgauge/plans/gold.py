@@ -108,7 +108,6 @@ def kpi_turnover(analysis: DataFrame, params: Params = Params()) -> DataFrame:
     heads, seps = F.col("headcount_current"), F.col("separations")
     average = heads + seps / real(2)
     segments = {
-        "Overall": F.lit("All employees"),
         "Department": F.col("department_name"),
         "Job role": F.col("job_role_name"),
         "Tenure band": F.col("tenure_band"),
@@ -119,7 +118,7 @@ def kpi_turnover(analysis: DataFrame, params: Params = Params()) -> DataFrame:
         "headcount_current": F.sum("is_active"),
         "separations": F.sum(separations_in_window(params)),
     }
-    return by_segments(analysis, segments, totals).select(
+    return by_segments(analysis, segments, totals, ("Overall", "All employees")).select(
         "segment_type",
         "segment",
         heads,
@@ -131,7 +130,6 @@ def kpi_turnover(analysis: DataFrame, params: Params = Params()) -> DataFrame:
 
 def kpi_absenteeism(analysis: DataFrame) -> DataFrame:
     segments = {
-        "Overall": F.lit("All employees"),
         "Department": F.col("department_name"),
         "Overtime": bands.overtime_label(F.col("overtime")),
         "Work-life balance": bands.prefixed("WLB rating ", F.col("work_life_balance")),
@@ -144,7 +142,7 @@ def kpi_absenteeism(analysis: DataFrame) -> DataFrame:
         "days": F.sum("absence_days"),
     }
     scheduled = F.col("scheduled_tenths") / real(10)
-    return by_segments(analysis, segments, totals).select(
+    return by_segments(analysis, segments, totals, ("Overall", "All employees")).select(
         "segment_type",
         "segment",
         "employees",
@@ -157,7 +155,7 @@ def kpi_absenteeism(analysis: DataFrame) -> DataFrame:
 
 def kpi_quality_of_hire(analysis: DataFrame) -> DataFrame:
     """Averages by source channel. A score that is NULL for a person is left out of its average."""
-    segments = {"Overall": F.lit("All hires"), "Source channel": F.col("source_channel")}
+    segments = {"Source channel": F.col("source_channel")}
     # Measure -> (source column, decimals stored in it, decimals reported).
     averages = {
         "quality_of_hire": ("quality_of_hire", 1, 1),
@@ -172,7 +170,7 @@ def kpi_quality_of_hire(analysis: DataFrame) -> DataFrame:
     for name, (column, stored, _) in averages.items():
         totals[f"{name}_sum"] = F.sum(F.round(F.col(column) * real(10**stored)).cast("bigint"))
         totals[f"{name}_n"] = F.count(column)
-    return by_segments(analysis, segments, totals).select(
+    return by_segments(analysis, segments, totals, ("Overall", "All hires")).select(
         "segment_type",
         "segment",
         "hires",
@@ -201,7 +199,7 @@ def drivers() -> dict[str, Column]:
 
 def attrition_drivers(analysis: DataFrame) -> DataFrame:
     totals = {"headcount": F.count("*"), "leavers": F.sum("attrition_flag")}
-    return by_segments(analysis, drivers(), totals, "driver", "level").withColumn(
+    return by_segments(analysis, drivers(), totals, type_name="driver", label_name="level").withColumn(
         "attrition_pct", percent(F.col("leavers"), F.col("headcount"), 1)
     )
 

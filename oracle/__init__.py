@@ -477,6 +477,11 @@ _SELECTS = {
     "quality_unique": _UNIQUE,
     "quality_orphans": _ORPHANS,
     "quality_counts": _COUNTS,
+    "document_kpis": _HEADLINE,
+    "document_continuous_tests": _CONTINUOUS,
+    "document_categorical_tests": _CATEGORICAL,
+    "csv_turnover": _turnover(),
+    "csv_absence_by_reason": _REASONS,
     "warehouse_turnover": _turnover(),
     "warehouse_counts": " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS row_count FROM ({sql})" for t, sql in _GOLD_COUNTS.items()

@@ -43,16 +43,23 @@ def test_segments_equal_a_union(spark):
     data = [(random.Random(i).choice(["a", "b", None]), i % 3, i % 2) for i in range(500)]
     frame = spark.createDataFrame(data, "dept string, level int, flag int")
     totals = {"n": F.count("*"), "flags": F.sum("flag")}
-    segments = {"All": F.lit("everyone"), "Dept": F.col("dept"), "Level": F.col("level")}
-    result = by_segments(frame, segments, totals)
+    segments = {"Dept": F.col("dept"), "Level": F.col("level")}
+    result = by_segments(frame, segments, totals, whole=("All", "everyone"))
     union = None
-    for name, column in segments.items():
+    for name, column in {"All": F.lit("everyone"), **segments}.items():
         part = frame.groupBy(column.cast("string").alias("segment")).agg(*(e.alias(n) for n, e in totals.items()))
         part = part.select(F.lit(name).alias("segment_type"), "segment", "n", "flags")
         union = part if union is None else union.unionByName(part)
     assert result.exceptAll(union).count() == 0 and union.exceptAll(result).count() == 0
 
 
+def test_segments_of_nothing(spark):
+    frame = spark.createDataFrame([], "dept string, flag int")
+    totals = {"n": F.count("*"), "flags": F.sum("flag")}
+    (row,) = by_segments(frame, {"Dept": F.col("dept")}, totals, whole=("All", "everyone")).collect()
+    assert tuple(row) == ("All", "everyone", 0, None)
+
+
 def test_movement_equals_the_interval_join(spark):
     rng = random.Random(5)
     months = [y * 100 + m for y in (2023, 2024, 2025) for m in range(1, 13)]
