@@ -1,4 +1,4 @@
-"""Joins to lookup frames whose size is measured, not assumed."""
+"""The size check behind every explicit broadcast of data-dependent frames."""
 
 from __future__ import annotations
 
@@ -10,17 +10,8 @@ BROADCAST_BYTES = 32 * 1024 * 1024
 
 def measured_bytes(df: DataFrame) -> int:
     """Approximate row data size: 8 bytes per field plus the text itself."""
-    text = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema if isinstance(f.dataType, StringType)]
     row = F.lit(8 * len(df.columns)).cast("bigint")
-    for length in text:
-        row = row + length
+    for field in df.schema:
+        if isinstance(field.dataType, StringType):
+            row = row + F.coalesce(F.octet_length(field.name), F.lit(0))
     return df.agg(F.sum(row)).first()[0] or 0
-
-
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Mark ``df`` for broadcast only after measuring it.
-
-    Beyond the limit it is returned as it is, and joins to it are shuffled, with adaptive
-    execution splitting the partitions of hot keys.
-    """
-    return F.broadcast(df) if measured_bytes(df) <= limit else df

@@ -8,7 +8,6 @@ from crewgauge import schemas
 from crewgauge.functions import bands, dates, scores
 from crewgauge.functions.numeric import percent, ratio, real
 from crewgauge.operators.headcount import monthly_movement
-from crewgauge.operators.lookup import broadcast_if_small
 from crewgauge.operators.segments import by_segments
 from crewgauge.params import Params
 from crewgauge.plans import silver
@@ -79,15 +78,16 @@ def _employment(bronze: Bronze, params: Params) -> DataFrame:
 def employee_analysis_from_star(star: silver.Star, params: Params) -> DataFrame:
     """The analysis frame from stored silver tables: fact_employment joined to its four partners.
 
-    Tables bucketed on employee_key (see ``sinks.tables``) join here without a shuffle.
+    Tables bucketed on employee_key (see ``sinks.tables``) join here without a shuffle, and the
+    stored size of the two name dimensions decides whether they are broadcast.
     """
     attributes = star.dim_employee.drop("department_key", "job_role_key", "performance_rating")
     hires = star.fact_recruitment.drop("recruitment_key", "hire_date", "hire_month_key", "req_open_date")
     base = (
         star.fact_employment.join(attributes, "employee_key")
         .join(hires, "employee_key")
-        .join(broadcast_if_small(star.dim_department), "department_key")
-        .join(broadcast_if_small(star.dim_job_role), "job_role_key")
+        .join(star.dim_department, "department_key")
+        .join(star.dim_job_role, "job_role_key")
     )
     return with_measures(base, absence_per_employee(star.fact_absence), params)
 
@@ -269,7 +269,7 @@ def attrition_by_department(employment: DataFrame, departments: DataFrame, peopl
     """Check of a finished star: attrition per department through both of its joins."""
     return (
         employment.join(people.select("employee_key"), "employee_key")
-        .join(broadcast_if_small(departments), "department_key")
+        .join(departments, "department_key")
         .groupBy("department_name")
         .agg(
             F.count("*").alias("headcount"),

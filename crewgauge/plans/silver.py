@@ -5,13 +5,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from crewgauge import schemas
 from crewgauge.functions import bands, dates
-from crewgauge.operators.lookup import broadcast_if_small
+from crewgauge.operators import lookup
 from crewgauge.operators.numbering import number_rows
 from crewgauge.params import Params
+from crewgauge.sinks.tables import stored
 from crewgauge.sources.bronze import Bronze
 
 # Raw column -> target column, where the value is taken as it is.
@@ -89,9 +90,20 @@ def spells(absence: DataFrame) -> DataFrame:
     )
 
 
-def name_dimension(names: DataFrame, raw: str, key: str, name: str) -> DataFrame:
-    """Distinct trimmed names with consecutive keys in name order; a missing name comes first."""
-    return number_rows(names.select(F.trim(raw).alias(name)).distinct(), [name], key, distinct=True)
+def name_dimension(
+    employees: DataFrame, raw: str, key: str, name: str, limit: int = lookup.BROADCAST_BYTES
+) -> DataFrame:
+    """Distinct trimmed names with consecutive keys in name order; a missing name comes first.
+
+    The names are stored and measured. Up to the limit they are numbered in one task and marked
+    for broadcast. Beyond it they are numbered in slices, and joins to them are shuffled, with
+    adaptive execution splitting the partitions of hot names.
+    """
+    names = stored(employees.select(F.trim(raw).alias(name)).distinct(), "names")
+    if lookup.measured_bytes(names) > limit:
+        return number_rows(names, [name], key, distinct=True)
+    number = F.row_number().over(Window.orderBy(name)).cast("bigint")
+    return F.broadcast(names.select(number.alias(key), name))
 
 
 def dim_department(employees: DataFrame) -> DataFrame:
@@ -123,9 +135,7 @@ def dim_date(recruitment: DataFrame, as_of: date) -> DataFrame:
 
 def with_keys(staged: DataFrame, departments: DataFrame, roles: DataFrame) -> DataFrame:
     """Resolve both names to keys. A NULL name matches nothing, so such employees drop out."""
-    return staged.join(broadcast_if_small(departments), "department_name").join(
-        broadcast_if_small(roles), "job_role_name"
-    )
+    return staged.join(departments, "department_name").join(roles, "job_role_name")
 
 
 def dim_employee(employees: DataFrame, departments: DataFrame, roles: DataFrame) -> DataFrame:

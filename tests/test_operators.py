@@ -9,10 +9,11 @@ from pyspark.sql import Window, functions as F
 
 from crewgauge.operators.contingency import chi_square
 from crewgauge.operators.headcount import monthly_movement
-from crewgauge.operators.lookup import broadcast_if_small, measured_bytes
+from crewgauge.operators.lookup import measured_bytes
 from crewgauge.operators.moments import grouped_moments, welch
 from crewgauge.operators.numbering import number_rows
 from crewgauge.operators.segments import by_segments
+from crewgauge.plans.silver import name_dimension
 
 
 def test_numbers_follow_the_order(spark):
@@ -102,9 +103,14 @@ def test_welch(spark):
 def test_broadcast_only_below_the_measured_limit(spark):
     names = spark.createDataFrame([(1, "abcd"), (2, None)], "k bigint, name string")
     assert measured_bytes(names) == 2 * 16 + 4
+    people = spark.createDataFrame([(f" r{i % 30}",) for i in range(200)] + [(None,)], "JobRole string")
+    small = name_dimension(people, "JobRole", "key", "name")
+    large = name_dimension(people, "JobRole", "key", "name", limit=10)
     plan = lambda df: df._jdf.queryExecution().logical().toString()
-    assert "broadcast" in plan(broadcast_if_small(names))
-    assert "broadcast" not in plan(broadcast_if_small(names, limit=10))
+    assert "Hint broadcast" in plan(small).splitlines()[0] and "Hint" not in plan(large).splitlines()[0]
+    assert small.exceptAll(large).count() == 0 and small.count() == large.count() == 31
+    staged = people.select(F.trim("JobRole").alias("name"))
+    assert staged.join(large, "name").count() == staged.join(small, "name").count() == 200
 
 
 def test_busy_keys_do_not_change_totals(spark):
