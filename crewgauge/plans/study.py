@@ -156,10 +156,13 @@ def _listing(frame: DataFrame, *order: Column) -> Column:
 
 
 def study_document(kpis: DataFrame, continuous: DataFrame, categorical: DataFrame, odds: DataFrame, fit: DataFrame) -> DataFrame:
-    """The whole study as one nested row, ready for the JSON sink."""
+    """The whole study as one nested row, ready for the JSON sink.
+
+    Listings are in the order of their frames; an undefined effect (sort key above zero) comes last.
+    """
     return kpis.sparkSession.range(1).select(
         kpis.select(F.struct(*kpis.columns)).scalar().alias("kpis"),
-        _listing(continuous, (-F.abs("cohens_d")).alias("_k"), F.col("feature").alias("_n")).alias("continuous_tests"),
+        _listing(continuous, F.coalesce(-F.abs("cohens_d"), F.lit(0.5)).alias("_k"), F.col("feature").alias("_n")).alias("continuous_tests"),
         _listing(categorical, (-F.col("cramers_v")).alias("_k"), F.col("driver").alias("_n")).alias("categorical_tests"),
         F.struct(
             fit.select(F.struct(*fit.columns)).scalar().alias("fit"),

@@ -6,7 +6,7 @@ line items for absence spells. The remainders below are fixed values of that map
 
 from __future__ import annotations
 
-from datetime import date, datetime, timedelta
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -120,13 +120,16 @@ def _spells(table, orders: DataFrame, params: Params) -> DataFrame:
     The window is tested on the stored timestamp, not on a date made from it, so that the test
     reaches the file scan.
     """
-    end = datetime.combine(params.as_of + timedelta(days=1), datetime.min.time())
+    end = params.as_of + timedelta(days=1)
     start = end - timedelta(days=params.absence_window_days)
+
+    def midnight(day: date):
+        """From text, so that no time zone comes into it."""
+        return F.lit(f"{day.isoformat()} 00:00:00").cast("timestamp_ntz")
+
     shipped = F.col("l_shipdate")
     returned = table("lineitem").where(
-        (F.col("l_returnflag") == "R")
-        & (shipped >= F.lit(start).cast("timestamp_ntz"))
-        & (shipped < F.lit(end).cast("timestamp_ntz"))
+        (F.col("l_returnflag") == "R") & (shipped >= midnight(start)) & (shipped < midnight(end))
     )
     days = 1 + F.col("l_quantity").cast("int") % 5
     return (

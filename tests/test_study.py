@@ -146,3 +146,14 @@ def test_undefined_group_test(population):
     row = {r["feature"]: r for r in study.continuous_tests(gap).collect()}["Age"]
     assert (row["p_value"], row["cohens_d"], row["effect"], row["significant"]) == (None, None, None, False)
     assert row["mean_leavers"] is None
+
+
+def test_undefined_tests_come_last_in_the_document(population):
+    gap = population.withColumn("tenure_years", F.when(F.col("employee_key") > 0, F.col("tenure_years")))
+    kpis = headlines.headline(gold.kpi_turnover(gap), gold.kpi_absenteeism(gap), gold.kpi_quality_of_hire(gap))
+    continuous, categorical = study.continuous_tests(gap), study.categorical_tests(gap)
+    odds, fit = study.logistic_model(gap)
+    assert fit.first()["observations"] == 699
+    listed = study.study_document(kpis, continuous, categorical, odds, fit).first()["continuous_tests"]
+    assert [r["feature"] for r in listed] == [r["feature"] for r in continuous.collect()]
+    assert listed[-1]["feature"] == "Tenure (years)" and listed[-1]["cohens_d"] is None
