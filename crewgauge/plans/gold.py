@@ -11,6 +11,7 @@ from crewgauge.operators.headcount import monthly_movement
 from crewgauge.operators.segments import by_segments
 from crewgauge.params import Params
 from crewgauge.plans import silver
+from crewgauge.sinks.tables import stored
 from crewgauge.sources.bronze import Bronze
 
 
@@ -210,20 +211,19 @@ def attrition_drivers(analysis: DataFrame) -> DataFrame:
 def absence_by_reason(spells: DataFrame) -> DataFrame:
     """Spells and hours per reason with the share of all hours.
 
-    The grand total is a scalar subquery over the per-reason sums, not a window, so the number
-    of distinct reasons may grow without meeting in one task. It asks for both sums although it
-    needs one: its shuffle is then the same as the mart's own and is reused, so the absences
-    are read and aggregated once.
+    The per-reason sums are stored, so the absences are read once for both the sums and their
+    total. The total is a scalar subquery over them, not a window, so the number of distinct
+    reasons may grow without meeting in one task. (A subquery over the unstored sums would share
+    their shuffle too, but adaptive execution then leaves hot partitions of the joins unsplit.)
     """
-    reasons = spells.groupBy("reason_code").agg(
-        F.count("*").alias("spells"), F.sum("absence_hours").alias("hours")
-    )
-    total = reasons.agg(F.struct(F.sum("hours").alias("hours"), F.sum("spells").alias("spells"))).scalar()
+    sums = spells.groupBy("reason_code").agg(F.count("*").alias("spells"), F.sum("absence_hours").alias("hours"))
+    reasons = stored(sums, "reasons")
+    total = reasons.agg(F.sum("hours")).scalar()
     return reasons.select(
         "reason_code",
         "spells",
         F.round("hours", 0).alias("absence_hours"),
-        percent(F.col("hours"), total["hours"], 1).alias("pct_of_hours"),
+        percent(F.col("hours"), total, 1).alias("pct_of_hours"),
     )
 
 
