@@ -24,6 +24,13 @@ from crewgauge.sources.bronze import Bronze  # noqa: E402
 from crewgauge.sources.csv_files import bronze_from_csv  # noqa: E402
 from crewgauge.sources.order_tables import PARAMS, read_bronze  # noqa: E402
 
+try:  # the subpackage may be absent; an error inside it is not hidden
+    from crewgauge.llm import queries as text_queries
+except ModuleNotFoundError as missing:
+    if (missing.name or "").split(".")[:2] not in (["crewgauge", "llm"], ["corpus_pipeline"]):
+        raise
+    text_queries = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 RAW_SCHEMAS = {"employees": schemas.EMPLOYEES, "absence": schemas.ABSENCE, "recruitment": schemas.RECRUITMENT}
 TRAILING_YEAR = replace(PARAMS, turnover_window_days=365)
@@ -294,8 +301,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def runner(plan: Callable[[Frames], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
         return lambda spark, folder: plan(Frames(spark, folder))
 
-    return {name: runner(plan) for name, plan in _QUERIES.items()}
+    own = {name: runner(plan) for name, plan in _QUERIES.items()}
+    return own | (text_queries.queries() if text_queries else {})
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.statements()
+    return oracle.statements() | (text_queries.oracle_sql() if text_queries else {})
