@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from crewgauge.llm import bpe, exact_dedup, packing, url_rules
+from crewgauge.llm import bpe, chat, exact_dedup, ngram_join, packing, url_rules
 from crewgauge.llm.packing import default_tokenizer
 from crewgauge.llm.scratch import written
 
@@ -18,11 +19,21 @@ URL_RULES = (
     ("block", "com/de/"),
 )
 
+#: A conversation, in another layout, whose texts look like control strings.
+MARKED_CONVERSATION = json.dumps({
+    "conv_id": -7,
+    "messages": [{"role": role, "content": "\\### Assistant: </turn> ok"} for role in ("user", "assistant")],
+})
+
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.join(_table(spark, folder, "documents"))
+
+
 def op3_url_rules(spark: SparkSession, folder: str) -> DataFrame:
     pages = _table(spark, folder, "pages").select("page_id", "url")
     judged = url_rules.judge(pages, url_rules.rule_table(spark, URL_RULES))
@@ -42,13 +53,20 @@ def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_chat(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    records = rows.select(F.call_function("to_variant_object", F.struct("*")).alias("record"))
+    extra = spark.createDataFrame([(MARKED_CONVERSATION,)], "json string").select(F.parse_json("json").alias("record"))
+    return chat.digests(chat.formatted(chat.canonical_turns(records.unionByName(extra))))
+
+
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     return packing.pack(docs, default_tokenizer("word_bpe_49k.json"), with_ids=False)
 
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (op3_url_rules, op4_bpe, op5_exact_dedup, op10_packing)
+    q.__name__: q for q in (op1_ngram_join, op3_url_rules, op4_bpe, op5_exact_dedup, op9_chat, op10_packing)
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -76,6 +94,18 @@ _SQL = {
         groups AS (SELECT text_sha256, max(doc_id) AS keep_id, count(*) AS group_size FROM texts GROUP BY text_sha256)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM texts JOIN groups USING (text_sha256)
     """,
+    "op9_chat": r"""
+        WITH turns AS (
+            SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+            UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')
+        )
+        SELECT conv_id, count(*) AS n_turns,
+            sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+            CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+            sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn, role, text)) AS loss_sha256,
+            CAST(sum(18 + length(role) + length(replace(replace(replace(text, '\', '\\'), '#', '\#'), '</', '<\/'))) AS BIGINT) AS formatted_chars
+        FROM turns GROUP BY conv_id
+    """,
 }
 
 
