@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from crewgauge.llm import bpe, chat, exact_dedup, ngram_join, packing, url_rules
+from crewgauge.llm import bpe, chat, exact_dedup, main_text, ngram_join, packing, secret_scan, url_rules
 from crewgauge.llm.packing import default_tokenizer
 from crewgauge.llm.scratch import written
 
@@ -53,6 +53,15 @@ def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.report(secret_scan.scan(_table(spark, folder, "documents").select("doc_id", "text")))
+
+
+def op8_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    pages = main_text.extract(_table(spark, folder, "pages").select("page_id", "url", "html"))
+    return pages.select("row.page_id", "row.url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op9_chat(spark: SparkSession, folder: str) -> DataFrame:
     rows = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     records = rows.select(F.call_function("to_variant_object", F.struct("*")).alias("record"))
@@ -66,8 +75,11 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (op1_ngram_join, op3_url_rules, op4_bpe, op5_exact_dedup, op9_chat, op10_packing)
-}
+    q.__name__: q
+    for q in (
+        op1_ngram_join, op3_url_rules, op4_bpe, op5_exact_dedup, op7_secret_scan, op8_main_text, op9_chat, op10_packing,
+    )
+}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
