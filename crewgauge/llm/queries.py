@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from crewgauge.llm import bpe, chat, exact_dedup, main_text, ngram_join, packing, secret_scan, url_rules
+from crewgauge.llm import bpe, chat, exact_dedup, main_text, ngram_join, packing, quality, secret_scan, url_rules
 from crewgauge.llm.packing import default_tokenizer
 from crewgauge.llm.scratch import written
 
@@ -53,6 +53,11 @@ def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
+    table = written(quality.feature_table(_table(spark, folder, "documents")), "features")
+    return quality.scored(table, quality.learn(table, _table(spark, folder, "labels")))
+
+
 def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.report(secret_scan.scan(_table(spark, folder, "documents").select("doc_id", "text")))
 
@@ -77,7 +82,7 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q
     for q in (
-        op1_ngram_join, op3_url_rules, op4_bpe, op5_exact_dedup, op7_secret_scan, op8_main_text, op9_chat, op10_packing,
+        op1_ngram_join, op3_url_rules, op4_bpe, op5_exact_dedup, op6_quality, op7_secret_scan, op8_main_text, op9_chat, op10_packing,
     )
 }
 
