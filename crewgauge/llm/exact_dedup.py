@@ -49,8 +49,12 @@ def repeated_words(digests: DataFrame, bits: int = BITS) -> DataFrame:
     """Pass 1: (word, mask) of the positions that were hit more than once; ``bits / 64`` rows at most."""
     hits = digests.select(F.explode(F.array(*_positions(bits))).alias("position"))
     often = hits.groupBy("position").agg(F.count("*").alias("hits")).where("hits > 1")
+    return _as_words(often)
+
+
+def _as_words(positions: DataFrame) -> DataFrame:
     word = F.floor(F.col("position") / _WORD).cast("long")
-    return often.groupBy(word.alias("word")).agg(F.bit_or(_bit(F.col("position"))).alias("mask"))
+    return positions.groupBy(word.alias("word")).agg(F.bit_or(_bit(F.col("position"))).alias("mask"))
 
 
 def probed(rows: DataFrame, words: DataFrame, bits: int = BITS) -> DataFrame:
@@ -96,3 +100,19 @@ def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     groups = equal_groups(digests, words, bits)
     order = F.xxhash64(F.to_json("row"))
     return decide(rows, words, groups, order, bits).where("kept").select("row.*")
+
+
+def without(docs: DataFrame, id_col: str, ids: DataFrame, bits: int = BITS) -> DataFrame:
+    """The rows of ``docs`` whose id is not among ``ids`` (a column ``id_col``); rows with a null id stay.
+
+    Rows that miss the filter made of ``ids`` go straight through; the others, nearly all of them to be dropped, are
+    shuffled by id.
+    """
+    key = lambda c: F.unhex(F.sha2(F.col(c).cast("string").cast("binary"), 256))
+    hits = ids.select(key(id_col).alias("digest")).select(F.explode(F.array(*_positions(bits))).alias("position"))
+    words = written(_as_words(hits), "dropped")
+    rows = docs.select(F.col(id_col).alias("id"), key(id_col).alias("digest"), F.struct("*").alias("row"))
+    seen = probed(rows, words, bits)
+    maybe = F.coalesce(F.col("maybe") & F.col("id").isNotNull(), F.lit(False))
+    rest = seen.where(maybe).join(ids.select(F.col(id_col).alias("id")), "id", "left_anti")
+    return seen.where(~maybe).select("row.*").unionByName(rest.select("row.*"))

@@ -5,9 +5,10 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from crewgauge.llm import bpe, chat, exact_dedup, main_text, ngram_join, packing, quality, secret_scan, url_rules
+from crewgauge.llm import bpe, chat, exact_dedup, hamming, main_text, ngram_join, packing, quality, secret_scan, url_rules
 from crewgauge.llm.packing import default_tokenizer
 from crewgauge.llm.scratch import written
 
@@ -34,6 +35,11 @@ def op1_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.join(_table(spark, folder, "documents"))
 
 
+def op2_hamming(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = _table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return hamming.top_k(vectors, vectors.where("vec_id % 100 = 0"), k=10)
+
+
 def op3_url_rules(spark: SparkSession, folder: str) -> DataFrame:
     pages = _table(spark, folder, "pages").select("page_id", "url")
     judged = url_rules.judge(pages, url_rules.rule_table(spark, URL_RULES))
@@ -80,15 +86,30 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q
-    for q in (
-        op1_ngram_join, op3_url_rules, op4_bpe, op5_exact_dedup, op6_quality, op7_secret_scan, op8_main_text, op9_chat, op10_packing,
-    )
-}
+    "op1_ngram_join": op1_ngram_join,
+    "op2_hamming": op2_hamming,
+    "op3_url_rules": op3_url_rules,
+    "op4_bpe": op4_bpe,
+    "op5_exact_dedup": op5_exact_dedup,
+    "op6_quality": op6_quality,
+    "op7_secret_scan": op7_secret_scan,
+    "op8_main_text": op8_main_text,
+    "op9_chat": op9_chat,
+    "op10_packing": op10_packing,
+    "pipeline": corpus_pipeline.run,
+}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 _SQL = {
+    "op2_hamming": """
+        WITH codes AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x > 0 AND NOT isnan(x) AS INTEGER)) AS code FROM embeddings WHERE embedding IS NOT NULL),
+        pairs AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.code, c.code), lambda p: CAST(p[1] <> p[2] AS INTEGER))) AS distance
+            FROM codes q, codes c WHERE q.vec_id % 100 = 0
+        ), ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank FROM pairs)
+        SELECT query_id, rank, vec_id, CAST(distance AS BIGINT) AS distance FROM ranked WHERE rank <= 10
+    """,
     "op3_url_rules": """
         WITH rests AS (
             SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
@@ -131,4 +152,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    return _SQL | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
