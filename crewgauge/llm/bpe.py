@@ -28,7 +28,15 @@ from crewgauge.llm.words import SpacedEncoder, spaced_words
 TABLE_WORDS = 1 << 17
 TABLE_LETTERS = 32
 #: A task hands on its counts when it holds this many distinct words.
-_HELD_WORDS = 400_000
+_HELD_WORDS = 200_000
+#: Entries of a worker's own tables of words and pre-tokens, and rows that it hands on at once.
+_OWN_WORDS, _ROWS = 150_000, 256
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, _ROWS):
+            yield batch.slice(start, _ROWS)
 
 
 def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -44,7 +52,7 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(tokens.keys(), pa.string()), pa.array(tokens.values(), pa.int64())], ["word", "n"])
 
         find, held = SpacedEncoder._pattern.findall, Counter()
-        for batch in batches:
+        for batch in _slices(batches):
             for text in batch.column(0).to_pylist():
                 held.update(spaced_words(text or ""))
                 if len(held) > _HELD_WORDS:
@@ -82,8 +90,8 @@ def encode(docs: DataFrame, table: DataFrame, tokenizer_path: str, id_col: str =
     known = _sent(table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = SpacedEncoder(tokenizer_path, known.value)
-        for batch in batches:
+        encoder = SpacedEncoder(tokenizer_path, known.value, _OWN_WORDS)
+        for batch in _slices(batches):
             ids = [encoder.encode(text or "") for text in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.large_binary()).cast(pa.binary())], ["doc_id", "ids"])
 
@@ -116,7 +124,7 @@ def decode(encoded: DataFrame, tokenizer_path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         piece = pieces.value.__getitem__
-        for batch in batches:
+        for batch in _slices(batches):
             texts = [b"".join(map(piece, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace") for ids in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
 
