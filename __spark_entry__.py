@@ -5,7 +5,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Callable
 from dataclasses import dataclass, replace
-from functools import cached_property
+from functools import cached_property, reduce
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -17,9 +17,9 @@ from crewgauge import schemas  # noqa: E402
 from crewgauge.functions.dates import month_key  # noqa: E402
 from crewgauge.plans import gold, headlines, measures, quality, silver, study  # noqa: E402
 from crewgauge.plans import warehouse as warehouse_plan  # noqa: E402
-from crewgauge.session import scratch_path  # noqa: E402
+from crewgauge.session import scratch_database, scratch_path  # noqa: E402
 from crewgauge.sinks import document, extracts  # noqa: E402
-from crewgauge.sinks.tables import Warehouse, stored  # noqa: E402
+from crewgauge.sinks.tables import LAYERS, Warehouse, stored  # noqa: E402
 from crewgauge.sources.bronze import Bronze  # noqa: E402
 from crewgauge.sources.csv_files import bronze_from_csv  # noqa: E402
 from crewgauge.sources.order_tables import PARAMS, read_bronze  # noqa: E402
@@ -33,6 +33,14 @@ except ModuleNotFoundError as missing:
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 RAW_SCHEMAS = {"employees": schemas.EMPLOYEES, "absence": schemas.ABSENCE, "recruitment": schemas.RECRUITMENT}
+HEADLINE_COLUMNS = (
+    "is_active", "attrition_flag", "termination_date", "department_name", "job_role_name", "tenure_band", "age_band", "overtime",
+    "work_life_balance", "absence_hours", "scheduled_hours", "absence_days", "source_channel", "quality_of_hire",
+    "performance_score", "retention_score", "ramp_score", "hm_satisfaction_score", "time_to_fill_days", "recruiting_cost",
+)
+STUDY_COLUMNS = tuple(dict.fromkeys([
+    *HEADLINE_COLUMNS, *study.MEASURES, *study.TESTED_DRIVERS,
+]))
 TRAILING_YEAR = replace(PARAMS, turnover_window_days=365)
 
 
@@ -57,7 +65,7 @@ class Frames:
 
     @cached_property
     def calendar(self) -> DataFrame:
-        return silver.dim_date(self.bronze.recruitment, PARAMS.as_of)
+        return silver.dim_date(self.bronze.hires, PARAMS.as_of)
 
     @cached_property
     def people(self) -> DataFrame:
@@ -92,9 +100,12 @@ class Frames:
 
     @cached_property
     def stored(self) -> Frames:
-        """The same frames over a stored analysis table, for queries made of several marts."""
+        """The same frames over a stored analysis table, for queries made of several marts.
+
+        It has the columns that the overall marts and the study read, not the whole table.
+        """
         again = Frames(self.spark, self.folder)
-        again.__dict__["analysis"] = stored(self.analysis, "analysis")
+        again.__dict__["analysis"] = stored(self.analysis.select(*STUDY_COLUMNS), "analysis")
         again.__dict__["quality_of_hire"] = stored(again.quality_of_hire, "quality_of_hire")
         return again
 
@@ -126,6 +137,25 @@ class Frames:
     def kpis(self) -> DataFrame:
         return headlines.headline(self.turnover, self.absenteeism, self.quality_of_hire)
 
+    @cached_property
+    def headline(self) -> DataFrame:
+        """The headline figures from one pass over their columns."""
+        again = Frames(self.spark, self.folder)
+        again.__dict__["analysis"] = stored(self.analysis.select(*HEADLINE_COLUMNS), "analysis")
+        again.__dict__["quality_of_hire"] = stored(again.quality_of_hire, "quality_of_hire")
+        return again.kpis
+
+    @cached_property
+    def single(self) -> dict[str, tuple[DataFrame, DataFrame]]:
+        """The one-category models over one stored design."""
+        columns = stored(self.analysis.select("attrition_flag", "overtime", "business_travel", "tenure_years"), "analysis")
+        return {name: study.logistic_model(columns, terms) for name, terms in study.single_terms().items()}
+
+    @cached_property
+    def single_odds(self) -> DataFrame:
+        odds = [o.withColumn("model", F.lit(name)) for name, (o, _) in self.single.items()]
+        return reduce(DataFrame.unionByName, odds)
+
     @cached_property
     def regression(self) -> tuple[DataFrame, DataFrame]:
         return study.logistic_model(self.analysis)
@@ -163,14 +193,29 @@ class Frames:
     def warehouse(self) -> Warehouse:
         """A complete stored build in a scratch place of the shared folder."""
         root = scratch_path(self.spark, "warehouse")
-        built = Warehouse(self.spark, prefix=root.rsplit("/", 1)[1].replace("-", "_") + "_", root=root)
+        built = self.new_warehouse(root)
+        warehouse_plan.build(built, self.bronze, PARAMS)
+        return built
+
+    def new_warehouse(self, root: str, buckets: int | None = None) -> Warehouse:
+        made = Warehouse(self.spark, root.rsplit("/", 1)[1].replace("-", "_") + "_", root, buckets)
+        for layer in LAYERS:
+            scratch_database(made.database(layer))
+        return made
+
+    @cached_property
+    def bucketed(self) -> Warehouse:
+        """The same build with the employee tables bucketed, so that they join without a shuffle."""
+        built = self.new_warehouse(scratch_path(self.spark, "buckets"), buckets=8)
         warehouse_plan.build(built, self.bronze, PARAMS)
         return built
 
-    def csv_round_trip(self, name: str, df: DataFrame) -> DataFrame:
+    def exported(self, export: Callable[[Warehouse, str], list[str]], layer: str, name: str) -> DataFrame:
+        """One table of an export of the stored build, read back from its CSV parts."""
         folder = scratch_path(self.spark, "extract")
-        extracts.export_tables({name: df}, folder)
-        return self.spark.read.schema(df.schema).option("header", True).csv(f"{folder}/{name}")
+        export(self.warehouse, folder)
+        schema = self.warehouse.table(layer, name).schema
+        return self.spark.read.schema(schema).option("header", True).csv(f"{folder}/{name}")
 
 
 def rounded(df: DataFrame, places: int = 6) -> DataFrame:
@@ -238,7 +283,7 @@ _QUERIES: dict[str, Callable[[Frames], DataFrame]] = {
     "attrition_by_department": lambda f: gold.attrition_by_department(f.employment, f.departments, f.people),
     # Headlines and listings
     "best_worst_source": lambda f: headlines.best_worst_source(stored(f.quality_of_hire, "quality_of_hire")),
-    "headline": lambda f: _flat_kpis(f.stored.kpis),
+    "headline": lambda f: _flat_kpis(f.headline),
     "turnover_by_department": lambda f: headlines.turnover_by_department(f.turnover),
     "quality_by_channel": lambda f: headlines.quality_by_channel(f.quality_of_hire),
     # Reporting measures
@@ -264,6 +309,18 @@ _QUERIES: dict[str, Callable[[Frames], DataFrame]] = {
     "continuous_tests": lambda f: study.continuous_tests(f.analysis),
     "logistic_odds": lambda f: f.regression[0],
     "logistic_fit": lambda f: f.regression[1],
+    "logistic_calibration": lambda f: study.logistic_calibration(f.analysis).select(
+        "term", F.round("observed", 3).alias("observed"), F.round("fitted", 3).alias("fitted")
+    ),
+    "single_term_odds": lambda f: f.single_odds.drop("p_value"),
+    "single_term_fit": lambda f: reduce(
+        DataFrame.unionByName,
+        (fit.select(F.lit(m).alias("model"), "observations", "pseudo_r2_mcfadden", "converged") for m, (_, fit) in f.single.items()),
+    ),
+    "single_term_p_values": lambda f: f.single_odds.select("model", "term", F.round("p_value", 4).alias("p_value")),
+    "single_term_top_risk": lambda f: study.top_risks(f.single_odds).drop("p_value", "model"),
+    "single_term_top_protective": lambda f: study.top_protections(f.single_odds).drop("p_value", "model"),
+    "single_term_feed": lambda f: headlines.odds_ratio_feed(f.single_odds),
     "top_risk": lambda f: study.top_risks(f.regression[0]),
     "top_protective": lambda f: study.top_protections(f.regression[0]),
     "study_document": lambda f: f.document,
@@ -287,8 +344,9 @@ _QUERIES: dict[str, Callable[[Frames], DataFrame]] = {
     "csv_absence_by_reason": lambda f: f.from_csv.reasons,
     "warehouse_turnover": lambda f: f.warehouse.table("gold", "kpi_turnover"),
     "warehouse_counts": _warehouse_counts,
-    "export_gold_csv": lambda f: f.csv_round_trip("kpi_quality_of_hire", f.quality_of_hire),
-    "export_star_csv": lambda f: f.csv_round_trip("fact_employment", f.employment),
+    "warehouse_bucketed_analysis": lambda f: f.bucketed.table("gold", "employee_analysis"),
+    "export_gold_csv": lambda f: f.exported(extracts.export_gold, "gold", "kpi_quality_of_hire"),
+    "export_star_csv": lambda f: f.exported(extracts.export_model, "silver", "fact_employment"),
 }
 
 

@@ -43,9 +43,10 @@ def hashed_departure(
 ) -> Column:
     """A reproducible leaving date before the snapshot, at least ``minimum_service`` days after hire.
 
-    The number is widened first because the hash of an int differs from that of a long.
-    ``greatest`` would skip a missing hire date, hence the guard.
+    The hash is the first eight hexadecimal digits of the number's MD5, which any engine can
+    repeat. ``greatest`` would skip a missing hire date, hence the guard.
     """
-    offset = F.pmod(F.xxhash64(employee_number.cast("bigint")), F.lit(spread_days)).cast("int")
+    digits = F.substring(F.md5(employee_number.cast("string").cast("binary")), 1, 8)
+    offset = (F.conv(digits, 16, 10).cast("bigint") % F.lit(spread_days)).cast("int")
     drawn = F.date_sub(date_lit(as_of), offset)
     return F.when(hired.isNotNull(), F.greatest(drawn, F.date_add(hired, minimum_service)))

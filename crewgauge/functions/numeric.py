@@ -28,14 +28,22 @@ def percent(part: Column, whole: Column, places: int) -> Column:
     return F.round(F.try_divide(real(100) * part, whole.cast("double")), places)
 
 
+# Decimals that hours are added with.
+HOUR_PLACES = 4
+
+
+def whole_units(value: Column, places: int) -> Column:
+    """Sum of values rounded to ``places`` decimals, as a whole number of their last decimal."""
+    return F.sum(F.round(value * real(10**places)).cast("bigint"))
+
+
 def exact_sum(value: Column, places: int = 1) -> Column:
     """Sum of values already rounded to ``places`` decimals, carried as whole numbers.
 
     Adding doubles gives a result that depends on how rows meet in the shuffle; whole numbers
     always give the same one.
     """
-    scale = 10**places
-    return F.sum(F.round(value * real(scale)).cast("bigint")) / real(scale)
+    return whole_units(value, places) / real(10**places)
 
 
 def exact_avg(value: Column, places: int = 1) -> Column:

@@ -32,7 +32,8 @@ def absenteeism_rate(absence_hours: Column, exposure: Column, params: Params) ->
 
 
 def bradford_factor(spells: Column, days: Column) -> Column:
-    return spells * spells * days
+    """Spells squared times days, in DOUBLE: the product of one busy employee exceeds a BIGINT."""
+    return spells.cast("double") * spells * days
 
 
 def scale_fraction(value: Column, ends: tuple[int, int]) -> Column:

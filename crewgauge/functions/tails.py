@@ -14,10 +14,14 @@ from pyspark.sql.types import DoubleType
 
 _TINY = 1e-300
 _EPS = 1e-15
+# Steps after which a continued fraction counts as undefined; its steps grow with the root of its parameters.
+_STEPS = 1_000_000
+# Degrees of freedom from which Student's t is the normal distribution to all digits of a double.
+_NORMAL = 1e7
 
 
 def _continued_fraction(terms) -> float:
-    """Value of 1 / (1 + a1/(1 + a2/(1 + ...))) style fractions given (a, b) pairs."""
+    """Value of 1 / (1 + a1/(1 + a2/(1 + ...))) style fractions given (a, b) pairs; NaN without convergence."""
     f, c, d = _TINY, _TINY, 0.0
     for a, b in terms:
         d = b + a * d
@@ -27,13 +31,13 @@ def _continued_fraction(terms) -> float:
         step = c * d
         f *= step
         if abs(step - 1.0) < _EPS:
-            break
-    return f
+            return f
+    return math.nan
 
 
 def _beta_terms(a: float, b: float, x: float):
     yield 1.0, 1.0
-    for m in range(0, 20_000):
+    for m in range(0, _STEPS):
         if m:
             yield m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)), 1.0
         yield -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1)), 1.0
@@ -55,7 +59,7 @@ def incomplete_beta(a: float, b: float, x: float) -> float:
 
 def _gamma_terms(a: float, x: float):
     yield 1.0, x + 1.0 - a
-    for n in range(1, 20_000):
+    for n in range(1, _STEPS):
         yield -n * (n - a), x + 2 * n + 1.0 - a
 
 
@@ -76,6 +80,8 @@ def upper_gamma(a: float, x: float) -> float:
 
 
 def t_two_sided(t: float, df: float) -> float:
+    if df > _NORMAL:
+        return math.erfc(abs(t) / math.sqrt(2.0))
     return incomplete_beta(df / 2.0, 0.5, df / (df + t * t))
 
 
@@ -86,7 +92,7 @@ def chi_square_tail(x: float, dof: float) -> float:
 def _rowwise(function, first: pd.Series, second: pd.Series) -> pd.Series:
     known = first.notna() & second.notna()
     values = [function(a, b) if ok else None for a, b, ok in zip(first, second, known)]
-    return pd.Series(values, dtype="float64")
+    return pd.Series([None if v is None or math.isnan(v) else v for v in values], dtype="float64")
 
 
 @F.pandas_udf(DoubleType())

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GeneralizedLinearRegression
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import GeneralizedLinearRegression, GeneralizedLinearRegressionModel
 from pyspark.sql import Column, DataFrame, functions as F
 
 from crewgauge.functions.tails import chi_square_tail
@@ -15,8 +17,8 @@ from crewgauge.sinks.tables import stored
 
 # Fixed value: the 97.5 % point of the normal distribution.
 WALD_Z = 1.959964
-# A categorical term with more levels than this is refused rather than dummy-coded.
-MAX_LEVELS = 100
+# The fit ends when no coefficient changes by more than this, or is reported as not converged after so many iterations.
+TOLERANCE, ITERATIONS = 1e-12, 200
 
 
 @dataclass(frozen=True)
@@ -27,19 +29,19 @@ class Category:
     reference: str
 
 
-def fit_logistic(
+@contextmanager
+def _fitted(
     df: DataFrame, outcome: str, terms: Mapping[str, Column | Category]
-) -> tuple[DataFrame, DataFrame]:
-    """Fit ``outcome`` (0/1) on ``terms``; return the odds-ratio frame and the one-row fit frame.
+) -> Iterator[tuple[GeneralizedLinearRegressionModel, DataFrame, list[str]]]:
+    """The model of ``outcome`` (0/1) on ``terms``, its design frame and the names of the design's columns.
 
     Only the needed columns are written to the shared folder: every iteration of the fit reads
     them, and losing an executor then costs a re-read, not the joins before it. Incomplete rows
     are dropped on the stored columns; dropped earlier, the one predicate over all terms would
     be rewritten for every combination of their aliases while the plan is optimised. Each
     iteration sends a matrix of (terms + 1) squared to the driver, whatever the number of rows.
-    Names of dummies are ``column=level``.
+    Names of dummies are ``column=level``; MLlib's solver takes 4,096 columns and refuses more.
     """
-    spark = df.sparkSession
     inputs = [F.col(outcome).cast("double").alias("_y")]
     for name, term in terms.items():
         source = F.col(term.column).cast("string") if isinstance(term, Category) else term.cast("double")
@@ -48,13 +50,23 @@ def fit_logistic(
     try:
         design, names = _design(rows, terms)
         model = GeneralizedLinearRegression(
-            family="binomial", link="logit", labelCol="_y", featuresCol="_x", tol=1e-8, maxIter=200
+            family="binomial", link="logit", labelCol="_y", featuresCol="_x", tol=TOLERANCE, maxIter=ITERATIONS
         ).fit(design)
+        yield model, design, names
+    finally:
+        rows.unpersist()
+
+
+def fit_logistic(
+    df: DataFrame, outcome: str, terms: Mapping[str, Column | Category]
+) -> tuple[DataFrame, DataFrame]:
+    """Fit ``outcome`` (0/1) on ``terms``; return the odds-ratio frame and the one-row fit frame."""
+    spark = df.sparkSession
+    with _fitted(df, outcome, terms) as (model, _, names):
         summary = model.summary
         errors, p_values = summary.coefficientStandardErrors, summary.pValues
         n, deviance, null_deviance = summary.numInstances, summary.deviance, summary.nullDeviance
-    finally:
-        rows.unpersist()
+        iterations = summary.numIterations
 
     found = [(n, float(b), float(e), float(p)) for n, b, e, p in zip(names, model.coefficients, errors, p_values)]
     beta, reach = F.col("beta"), F.lit(WALD_Z) * F.col("error")
@@ -66,12 +78,25 @@ def fit_logistic(
         "p",
     )
     llr_p = chi_square_tail(null_deviance - deviance, float(len(names)))
-    fit = [(int(n), 1.0 - deviance / null_deviance, llr_p)]
+    fit = [(int(n), 1.0 - deviance / null_deviance, llr_p, int(iterations), iterations < ITERATIONS)]
     return odds, spark.createDataFrame(
-        fit, "observations bigint, pseudo_r2_mcfadden double, llr_p_value double"
+        fit, "observations bigint, pseudo_r2_mcfadden double, llr_p_value double, iterations int, converged boolean"
     )
 
 
+def calibration(df: DataFrame, outcome: str, terms: Mapping[str, Column | Category]) -> DataFrame:
+    """Per term and for the intercept: the sums of outcome times x and of fitted probability times x.
+
+    They are equal exactly where the likelihood has its maximum.
+    """
+    with _fitted(df, outcome, terms) as (model, design, names):
+        x = F.concat(F.array(F.lit(1.0)), vector_to_array("_x"))
+        rows = model.transform(design).select("_y", "prediction", F.posexplode(x).alias("_at", "_x"))
+        sums = rows.groupBy("_at").agg(F.sum(F.col("_y") * F.col("_x")).alias("observed"), F.sum(F.col("prediction") * F.col("_x")).alias("fitted"))
+        named = F.element_at(F.array(*map(F.lit, ["intercept", *names])), F.col("_at") + 1)
+        return stored(sums.select(named.alias("term"), "observed", "fitted"), "calibration")
+
+
 def _design(rows: DataFrame, terms: Mapping[str, Column | Category]) -> tuple[DataFrame, list[str]]:
     """One numeric column per term, dummies for all levels but the reference, as a vector."""
     columns: dict[str, Column] = {}
@@ -79,9 +104,7 @@ def _design(rows: DataFrame, terms: Mapping[str, Column | Category]) -> tuple[Da
         if not isinstance(term, Category):
             columns[name] = F.col(name)
             continue
-        levels = sorted(r[0] for r in rows.select(name).distinct().limit(MAX_LEVELS + 1).collect())
-        if len(levels) > MAX_LEVELS:
-            raise ValueError(f"{name} has more than {MAX_LEVELS} levels")
+        levels = sorted(r[0] for r in rows.select(name).distinct().collect())
         if term.reference not in levels:
             raise ValueError(f"reference level {term.reference!r} of {name} does not occur")
         for level in levels:

@@ -19,7 +19,8 @@ def number_rows(
     Rows are range-partitioned and sorted, so every task numbers one slice of the order; adding
     the sizes of the slices before it makes the number global. Columns outside ``order`` and a
     random last key break ties, so that no set of equal keys, or even of copies of one row, has
-    to fit into one slice. ``distinct`` says that no two rows are equal, so none is needed.
+    to fit into one slice. ``distinct`` says that no two rows agree in ``order``; then only these
+    columns are keys and nothing is stored beforehand.
 
     Two things must not change when a lost executor's work is repeated: the random keys are
     stored before rows are moved by them, and the slices before their sizes are taken.
@@ -27,12 +28,11 @@ def number_rows(
     Without ``partitions`` adaptive execution merges neighbouring slices of a small input. The
     only broadcast is one row per slice, a number set by configuration, not by the data.
     """
-    keys = [*order, *(c for c in df.columns if c not in order)]
     if distinct:
-        keyed = df
+        keyed, keys = df, list(order)
     else:
         keyed = stored(df.withColumn("_tie", F.rand()), "unordered")
-        keys.append("_tie")
+        keys = [*order, *(c for c in df.columns if c not in order), "_tie"]
     sliced = stored(
         keyed.repartitionByRange(*([partitions] if partitions else []), *keys)
         .sortWithinPartitions(*keys)

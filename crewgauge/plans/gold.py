@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from crewgauge import schemas
 from crewgauge.functions import bands, dates, scores
-from crewgauge.functions.numeric import percent, ratio, real
+from crewgauge.functions.numeric import HOUR_PLACES, exact_sum, percent, ratio, real, whole_units
 from crewgauge.operators.headcount import monthly_movement
 from crewgauge.operators.segments import by_segments
 from crewgauge.params import Params
@@ -21,7 +21,7 @@ from crewgauge.sources.bronze import Bronze
 def absence_per_employee(spells: DataFrame) -> DataFrame:
     """Totals per employee; each task sums its share first, so one busy employee is no hot spot."""
     return spells.groupBy("employee_key").agg(
-        F.sum("absence_hours").alias("absence_hours"),
+        exact_sum(F.col("absence_hours"), HOUR_PLACES).alias("absence_hours"),
         F.sum("absence_days").alias("absence_days"),
         F.count("*").alias("absence_spells"),
     )
@@ -137,19 +137,19 @@ def kpi_absenteeism(analysis: DataFrame) -> DataFrame:
     }
     totals = {
         "employees": F.count("*"),
-        "hours": F.sum("absence_hours"),
-        # Whole tenths: a sum of doubles would depend on the order of arrival.
-        "scheduled_tenths": F.sum(F.round(F.col("scheduled_hours") * real(10)).cast("bigint")),
+        # Whole units: a sum of doubles would depend on the order of arrival.
+        "hour_units": whole_units(F.col("absence_hours"), HOUR_PLACES),
+        "scheduled_tenths": whole_units(F.col("scheduled_hours"), 1),
         "days": F.sum("absence_days"),
     }
-    scheduled = F.col("scheduled_tenths") / real(10)
+    hours, scheduled = F.col("hour_units") / real(10**HOUR_PLACES), F.col("scheduled_tenths") / real(10)
     return by_segments(analysis, segments, totals, ("Overall", "All employees")).select(
         "segment_type",
         "segment",
         "employees",
-        F.round("hours", 0).alias("absence_hours"),
+        F.round(hours, 0).alias("absence_hours"),
         F.round(scheduled, 0).alias("scheduled_hours"),
-        percent(F.col("hours"), scheduled, 2).alias("absenteeism_rate_pct"),
+        percent(hours, scheduled, 2).alias("absenteeism_rate_pct"),
         F.round(ratio(F.col("days"), F.col("employees")), 2).alias("avg_absence_days"),
     )
 
@@ -169,7 +169,7 @@ def kpi_quality_of_hire(analysis: DataFrame) -> DataFrame:
     }
     totals = {"hires": F.count("*")}
     for name, (column, stored, _) in averages.items():
-        totals[f"{name}_sum"] = F.sum(F.round(F.col(column) * real(10**stored)).cast("bigint"))
+        totals[f"{name}_sum"] = whole_units(F.col(column), stored)
         totals[f"{name}_n"] = F.count(column)
     return by_segments(analysis, segments, totals, ("Overall", "All hires")).select(
         "segment_type",
@@ -211,14 +211,17 @@ def attrition_drivers(analysis: DataFrame) -> DataFrame:
 def absence_by_reason(spells: DataFrame) -> DataFrame:
     """Spells and hours per reason with the share of all hours.
 
-    The per-reason sums are stored, so the absences are read once for both the sums and their
-    total. The total is a scalar subquery over them, not a window, so the number of distinct
-    reasons may grow without meeting in one task. (A subquery over the unstored sums would share
-    their shuffle too, but adaptive execution then leaves hot partitions of the joins unsplit.)
+    The per-reason sums are stored when the frame is made, so the absences are read once for both
+    the sums and their total. The total is a scalar subquery over them, not a window, so the
+    number of distinct reasons may grow without meeting in one task. (A subquery over the unstored
+    sums would share their shuffle too, but adaptive execution then leaves hot partitions of the
+    joins unsplit.)
     """
-    sums = spells.groupBy("reason_code").agg(F.count("*").alias("spells"), F.sum("absence_hours").alias("hours"))
-    reasons = stored(sums, "reasons")
-    total = reasons.agg(F.sum("hours")).scalar()
+    units = whole_units(F.col("absence_hours"), HOUR_PLACES).alias("units")
+    sums = spells.groupBy("reason_code").agg(F.count("*").alias("spells"), units)
+    scale = real(10**HOUR_PLACES)
+    reasons = stored(sums, "reasons").withColumn("hours", F.col("units") / scale)
+    total = reasons.agg(F.sum("units") / scale).scalar()
     return reasons.select(
         "reason_code",
         "spells",
@@ -234,7 +237,7 @@ def absence_monthly(spells: DataFrame, calendar: DataFrame) -> DataFrame:
     the date type and is broadcast for that reason.
     """
     months = spells.groupBy(F.col("absence_month_key").alias("date_key")).agg(
-        F.count("*").alias("spells"), F.round(F.sum("absence_hours"), 0).alias("absence_hours")
+        F.count("*").alias("spells"), F.round(exact_sum(F.col("absence_hours"), HOUR_PLACES), 0).alias("absence_hours")
     )
     return months.join(F.broadcast(calendar), "date_key").select(
         "date_key", "month_start", "year", "month_name", "spells", "absence_hours"
@@ -277,3 +280,18 @@ def attrition_by_department(employment: DataFrame, departments: DataFrame, peopl
             F.round(F.avg("attrition_flag") * real(100), 1).alias("attrition_pct"),
         )
     )
+
+
+# The row order in which reports expect four of the marts.
+MART_ORDER = {
+    "absence_by_reason": ("-absence_hours", "reason_code"),
+    "absence_monthly": ("date_key",),
+    "kpi_quality_of_hire": ("segment_type", "-quality_of_hire", "segment"),
+    "attrition_drivers": ("driver", "level"),
+}
+
+
+def ordered_mart(name: str, mart: DataFrame) -> DataFrame:
+    """The mart in its report order, names after the ordering figures; other marts are left as they are."""
+    keys = [F.col(k[1:]).desc_nulls_last() if k.startswith("-") else F.col(k).asc_nulls_first() for k in MART_ORDER.get(name, ())]
+    return mart.orderBy(*keys) if keys else mart

@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from crewgauge.functions.bands import turnover_status
-from crewgauge.functions.numeric import exact_avg, exact_sum, ratio, real
+from crewgauge.functions.numeric import HOUR_PLACES, exact_avg, exact_sum, ratio, real
 
 
 def _active() -> Column:
@@ -26,6 +26,10 @@ def _turnover() -> Column:
     return ratio(_separations(), _average_headcount())
 
 
+def _absence_hours() -> Column:
+    return exact_sum(F.col("absence_hours"), HOUR_PLACES)
+
+
 def _attrition_rate() -> Column:
     return ratio(_separations(), F.count("*"))
 
@@ -39,9 +43,9 @@ MEASURES: dict[str, Callable[[], Column]] = {
     "turnover_rate": _turnover,
     "attrition_rate": _attrition_rate,
     "retention_rate": lambda: real(1) - _attrition_rate(),
-    "absence_hours": lambda: F.sum("absence_hours"),
+    "absence_hours": _absence_hours,
     "scheduled_hours": lambda: exact_sum(F.col("scheduled_hours")),
-    "absenteeism_rate": lambda: ratio(F.sum("absence_hours"), exact_sum(F.col("scheduled_hours"))),
+    "absenteeism_rate": lambda: ratio(_absence_hours(), exact_sum(F.col("scheduled_hours"))),
     "avg_absence_days": lambda: F.avg("absence_days"),
     "avg_bradford_factor": lambda: F.avg("bradford_factor"),
     "quality_of_hire": lambda: exact_avg(F.col("quality_of_hire")),
@@ -74,7 +78,7 @@ def evaluate(
 def absence_hours_trend(spells: DataFrame, calendar: DataFrame) -> DataFrame:
     """Absence hours under each month of the calendar that has any."""
     months = spells.groupBy(F.col("absence_month_key").alias("date_key")).agg(
-        F.sum("absence_hours").alias("absence_hours")
+        _absence_hours().alias("absence_hours")
     )
     return months.join(F.broadcast(calendar.select("date_key", "month_start")), "date_key")
 

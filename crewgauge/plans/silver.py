@@ -5,14 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from crewgauge import schemas
 from crewgauge.functions import bands, dates
-from crewgauge.operators import lookup
 from crewgauge.operators.numbering import number_rows
 from crewgauge.params import Params
-from crewgauge.sinks.tables import stored
 from crewgauge.sources.bronze import Bronze
 
 # Raw column -> target column, where the value is taken as it is.
@@ -90,20 +88,14 @@ def spells(absence: DataFrame) -> DataFrame:
     )
 
 
-def name_dimension(
-    employees: DataFrame, raw: str, key: str, name: str, limit: int = lookup.BROADCAST_BYTES
-) -> DataFrame:
+def name_dimension(employees: DataFrame, raw: str, key: str, name: str) -> DataFrame:
     """Distinct trimmed names with consecutive keys in name order; a missing name comes first.
 
-    The names are stored and measured. Up to the limit they are numbered in one task and marked
-    for broadcast. Beyond it they are numbered in slices, and joins to them are shuffled, with
-    adaptive execution splitting the partitions of hot names.
+    They are numbered in slices at every size. Spark's own size check decides whether a join to
+    them is a broadcast; where it is not, adaptive execution splits the partitions of hot names.
     """
-    names = stored(employees.select(F.trim(raw).alias(name)).distinct(), "names")
-    if lookup.measured_bytes(names) > limit:
-        return number_rows(names, [name], key, distinct=True)
-    number = F.row_number().over(Window.orderBy(name)).cast("bigint")
-    return F.broadcast(names.select(number.alias(key), name))
+    names = employees.select(F.trim(raw).alias(name)).distinct()
+    return number_rows(names, [name], key, distinct=True)
 
 
 def dim_department(employees: DataFrame) -> DataFrame:
@@ -114,9 +106,9 @@ def dim_job_role(employees: DataFrame) -> DataFrame:
     return name_dimension(employees, "JobRole", "job_role_key", "job_role_name")
 
 
-def dim_date(recruitment: DataFrame, as_of: date) -> DataFrame:
-    """Every month from the earliest hire to the snapshot; at least the hire month."""
-    bounds = recruitment.agg(F.trunc(F.min("HireDate"), "MM").alias("low")).select(
+def dim_date(hire_dates: DataFrame, as_of: date) -> DataFrame:
+    """Every month from the earliest HireDate to the snapshot; at least the hire month."""
+    bounds = hire_dates.agg(F.trunc(F.min("HireDate"), "MM").alias("low")).select(
         "low", F.greatest("low", F.trunc(dates.date_lit(as_of), "MM")).alias("high")
     )
     months = bounds.where("low IS NOT NULL").select(
@@ -196,7 +188,8 @@ def fact_absence(absence: DataFrame) -> DataFrame:
 
 
 def fact_recruitment(recruitment: DataFrame) -> DataFrame:
-    return number_rows(stage_recruitment(recruitment), ["employee_key"], "recruitment_key").to(
+    """An employee has one recruitment row, so the employee number alone gives the order."""
+    return number_rows(stage_recruitment(recruitment), ["employee_key"], "recruitment_key", distinct=True).to(
         schemas.FACT_RECRUITMENT
     )
 
@@ -218,19 +211,17 @@ class Star:
 
 
 def hired_rows(bronze: Bronze, params: Params) -> DataFrame:
-    if bronze.hired is not None:
-        return bronze.hired
     return join_hires(bronze.employees, bronze.recruitment, bronze.terminations, params)
 
 
 def build_star(bronze: Bronze, params: Params) -> Star:
     departments = dim_department(bronze.employees)
     roles = dim_job_role(bronze.employees)
-    hired = join_hires(bronze.employees, bronze.recruitment, bronze.terminations, params)
+    hired = hired_rows(bronze, params)
     return Star(
         dim_department=departments,
         dim_job_role=roles,
-        dim_date=dim_date(bronze.recruitment, params.as_of),
+        dim_date=dim_date(bronze.hires, params.as_of),
         dim_employee=dim_employee(bronze.employees, departments, roles),
         fact_employment=fact_employment(hired, departments, roles, params),
         fact_absence=fact_absence(bronze.absence),

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from crewgauge.functions import bands
 from crewgauge.operators import contingency, moments
-from crewgauge.operators.logistic import Category, fit_logistic
+from crewgauge.operators.logistic import Category, calibration, fit_logistic
 
 # Measures compared between leavers and stayers, with their display names.
 MEASURES = {
@@ -117,9 +119,21 @@ def regression_terms() -> dict[str, Column | Category]:
     }
 
 
-def logistic_model(analysis: DataFrame) -> tuple[DataFrame, DataFrame]:
+def single_terms() -> dict[str, dict[str, Column | Category]]:
+    """One-category models, by name: their odds ratios are those of a contingency table."""
+    return {
+        "overtime": {"overtime": F.col("overtime")},
+        "business_travel": {"business_travel": Category("business_travel", "Non-Travel")},
+        "short_tenure": {"short_tenure": F.col("tenure_years") < 5.0},
+        "long_tenure": {"long_tenure": F.col("tenure_years") >= 5.5},
+    }
+
+
+def logistic_model(
+    analysis: DataFrame, terms: Mapping[str, Column | Category] | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Odds ratios, highest first, and the fit row. Significance is judged on the rounded p."""
-    odds, fit = fit_logistic(analysis, "attrition_flag", regression_terms())
+    odds, fit = fit_logistic(analysis, "attrition_flag", terms or regression_terms())
     names = F.create_map(*(F.lit(part) for pair in TERM_LABELS.items() for part in pair))
     p = F.round("p", 5)
     table = odds.select(
@@ -134,10 +148,17 @@ def logistic_model(analysis: DataFrame) -> tuple[DataFrame, DataFrame]:
         "observations",
         F.round("pseudo_r2_mcfadden", 3).alias("pseudo_r2_mcfadden"),
         F.round("llr_p_value", 6).alias("llr_p_value"),
+        "iterations",
+        "converged",
     )
     return table, summary
 
 
+def logistic_calibration(analysis: DataFrame) -> DataFrame:
+    """Observed against fitted sums of every term of the whole model."""
+    return calibration(analysis, "attrition_flag", regression_terms())
+
+
 def top_risks(odds: DataFrame, count: int = 6) -> DataFrame:
     return (
         odds.where("odds_ratio > 1 AND significant").orderBy(F.col("odds_ratio").desc(), "term").limit(count)

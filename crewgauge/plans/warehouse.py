@@ -30,11 +30,11 @@ def build_silver(warehouse: Warehouse, bronze: Bronze, params: Params) -> Star:
         {
             "dim_department": silver.dim_department(bronze.employees),
             "dim_job_role": silver.dim_job_role(bronze.employees),
-            "dim_date": silver.dim_date(bronze.recruitment, params.as_of),
+            "dim_date": silver.dim_date(bronze.hires, params.as_of),
         },
     )
     departments, roles = names["dim_department"], names["dim_job_role"]
-    hired = silver.join_hires(bronze.employees, bronze.recruitment, bronze.terminations, params)
+    hired = silver.hired_rows(bronze, params)
     keyed = {"unique_key": "employee_key"}
     facts = warehouse.replace_all(
         "silver",

@@ -92,7 +92,7 @@ EMPLOYEE_ANALYSIS = _columns("""
     source_channel STRING, time_to_fill_days INT, ramp_up_days INT,
     hiring_manager_satisfaction INT, recruiting_cost INT, exposure_days DOUBLE,
     absence_hours DOUBLE, absence_days BIGINT, absence_spells BIGINT, scheduled_hours DOUBLE,
-    absenteeism_rate_pct DOUBLE, bradford_factor BIGINT, performance_score DOUBLE,
+    absenteeism_rate_pct DOUBLE, bradford_factor DOUBLE, performance_score DOUBLE,
     retention_score DOUBLE, ramp_score DOUBLE, hm_satisfaction_score DOUBLE,
     quality_of_hire DOUBLE
 """)

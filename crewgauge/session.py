@@ -38,6 +38,31 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+# The folder of this process's runs below the shared folder, made with the first path.
+_run: list[str] = []
+_databases: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path below the shared folder that no other call uses."""
-    return f"{shared_dir(spark)}/crewgauge/{name}-{uuid.uuid4().hex}"
+    """A path below the shared folder that no other call uses; ``release`` deletes it."""
+    if not _run:
+        _run.append(f"{shared_dir(spark)}/crewgauge/run-{uuid.uuid4().hex}")
+    return f"{_run[0]}/{name}-{uuid.uuid4().hex}"
+
+
+def scratch_database(name: str) -> None:
+    """Let ``release`` drop a database."""
+    _databases.append(name)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete all scratch files and databases of this process.
+
+    Frames made before are lazy and may still read them, so whoever runs the queries calls this
+    when their results are out, also after an error.
+    """
+    while _databases:
+        spark.sql(f"DROP DATABASE IF EXISTS {_databases.pop()} CASCADE")
+    while _run:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_run.pop())
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)

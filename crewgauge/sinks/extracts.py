@@ -6,6 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
+from crewgauge.plans.gold import ordered_mart
 from crewgauge.sinks.tables import Warehouse
 
 # Silver tables shipped as the reporting model.
@@ -27,9 +28,9 @@ def export_tables(tables: Mapping[str, DataFrame], folder: str) -> list[str]:
 
 
 def export_gold(warehouse: Warehouse, folder: str) -> list[str]:
-    """Every table found in the gold layer."""
+    """Every table found in the gold layer, those with a report order in it."""
     names = warehouse.table_names("gold")
-    return export_tables({n: warehouse.table("gold", n) for n in names}, folder)
+    return export_tables({n: ordered_mart(n, warehouse.table("gold", n)) for n in names}, folder)
 
 
 def export_model(warehouse: Warehouse, folder: str) -> list[str]:

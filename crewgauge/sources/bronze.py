@@ -14,8 +14,9 @@ class Bronze:
 
     ``spells`` are the absence rows; their AbsenceID may be missing from sources that do not
     carry one, in which case ``with_absence_id`` adds it. ``terminations`` holds recorded leaving
-    dates (EmployeeNumber, termination_date); without it they are derived. A source that can
-    deliver employees already joined with both sets it as ``hired``, which saves that join.
+    dates (EmployeeNumber, termination_date); without it they are derived. ``hire_dates`` is any
+    frame whose HireDate column has the same minimum as the recruitment rows', for a source where
+    that is cheaper to read.
     """
 
     employees: DataFrame
@@ -23,7 +24,11 @@ class Bronze:
     spells: DataFrame
     terminations: DataFrame | None = None
     with_absence_id: Callable[[DataFrame], DataFrame] | None = None
-    hired: DataFrame | None = None
+    hire_dates: DataFrame | None = None
+
+    @property
+    def hires(self) -> DataFrame:
+        return self.recruitment if self.hire_dates is None else self.hire_dates
 
     @property
     def absence(self) -> DataFrame:

@@ -4,25 +4,25 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from crewgauge import schemas
 from crewgauge.sources.bronze import Bronze
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Header row, declared types: no pass over the data to guess them.
+    """Columns by header name, in the declared types; no pass over the data to guess them.
 
-    ``enforceSchema`` off makes Spark check that the header names the declared columns in order;
-    a value that does not fit its type fails the read instead of turning into NULL.
+    The header may have the columns in any order and others besides. A missing column fails the
+    read, as does a value that does not fit its type or a part with another header.
     """
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("mode", "FAILFAST")
-        .csv(path)
-    )
+    reader = spark.read.option("header", True).option("enforceSchema", False).option("mode", "FAILFAST")
+    names = reader.csv(path).columns  # reads the header only
+    if missing := [f.name for f in schema if f.name not in names]:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    declared = {f.name: f for f in schema}
+    in_file = StructType([declared.get(n, StructField(n, StringType())) for n in names])
+    return reader.schema(in_file).csv(path).select(*schema.names)
 
 
 def read_first_present(spark: SparkSession, paths: list[str], schema: StructType) -> DataFrame:

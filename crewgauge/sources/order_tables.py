@@ -1,7 +1,7 @@
 """The order-processing test tables read as a workforce.
 
-Customers stand in for employees, a customer's first order for the recruitment record, returned
-line items for absence spells. The remainders below are fixed values of that mapping.
+Customers stand in for employees, a customer's first order for the recruitment record, line
+items shipped in the absence window for absence spells. The remainders below are fixed values of that mapping.
 """
 
 from __future__ import annotations
@@ -89,7 +89,6 @@ def read_bronze(spark: SparkSession, folder: str, params: Params = PARAMS) -> Br
         F.col("last_order") < quiet_since,
         F.greatest("last_order", F.date_add("hire_date", params.minimum_service_days)),
     ).alias("termination_date")
-    hire_columns = {c: e for c, e in _RECRUITMENT_COLUMNS.items() if c not in _EMPLOYEE_COLUMNS}
     return Bronze(
         employees=_columns(customers.join(history, same, "left"), _EMPLOYEE_COLUMNS),
         recruitment=_columns(history, _RECRUITMENT_COLUMNS),
@@ -98,11 +97,8 @@ def read_bronze(spark: SparkSession, folder: str, params: Params = PARAMS) -> Br
             "termination_date IS NOT NULL"
         ),
         with_absence_id=_number_spells,
-        # One aggregate of the orders serves all three, so it is read once.
-        hired=_columns(
-            customers.join(history, same).withColumn("termination_date", departure),
-            {**_EMPLOYEE_COLUMNS, **hire_columns, "termination_date": "termination_date"},
-        ),
+        # The earliest of all orders is the earliest first order.
+        hire_dates=orders.select(F.to_date("o_orderdate").alias("HireDate")),
     )
 
 
@@ -115,7 +111,7 @@ def _columns(rows: DataFrame, columns: dict[str, str]) -> DataFrame:
 
 
 def _spells(table, orders: DataFrame, params: Params) -> DataFrame:
-    """Returned lines of the absence window.
+    """The lines of the absence window.
 
     The window is tested on the stored timestamp, not on a date made from it, so that the test
     reaches the file scan.
@@ -128,12 +124,10 @@ def _spells(table, orders: DataFrame, params: Params) -> DataFrame:
         return F.lit(f"{day.isoformat()} 00:00:00").cast("timestamp_ntz")
 
     shipped = F.col("l_shipdate")
-    returned = table("lineitem").where(
-        (F.col("l_returnflag") == "R") & (shipped >= midnight(start)) & (shipped < midnight(end))
-    )
+    lines = table("lineitem").where((shipped >= midnight(start)) & (shipped < midnight(end)))
     days = 1 + F.col("l_quantity").cast("int") % 5
     return (
-        returned.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table("part"), F.col("l_partkey") == F.col("p_partkey"))
         .select(
             F.col("o_custkey").alias("EmployeeNumber"),

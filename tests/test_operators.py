@@ -9,7 +9,7 @@ from pyspark.sql import Window, functions as F
 
 from crewgauge.operators.contingency import chi_square
 from crewgauge.operators.headcount import monthly_movement
-from crewgauge.operators.lookup import measured_bytes
+
 from crewgauge.operators.moments import grouped_moments, welch
 from crewgauge.operators.numbering import number_rows
 from crewgauge.operators.segments import by_segments
@@ -100,17 +100,36 @@ def test_welch(spark):
     assert rows["Gap"]["missing_leavers"] == 1 and rows["Gap"]["t"] is None and rows["Gap"]["cohens_d"] is None
 
 
-def test_broadcast_only_below_the_measured_limit(spark):
-    names = spark.createDataFrame([(1, "abcd"), (2, None)], "k bigint, name string")
-    assert measured_bytes(names) == 2 * 16 + 4
-    people = spark.createDataFrame([(f" r{i % 30}",) for i in range(200)] + [(None,)], "JobRole string")
-    small = name_dimension(people, "JobRole", "key", "name")
-    large = name_dimension(people, "JobRole", "key", "name", limit=10)
-    plan = lambda df: df._jdf.queryExecution().logical().toString()
-    assert "Hint broadcast" in plan(small).splitlines()[0] and "Hint" not in plan(large).splitlines()[0]
-    assert small.exceptAll(large).count() == 0 and small.count() == large.count() == 31
+def test_names_are_numbered_in_order(spark):
+    people = spark.createDataFrame([(f" r{i % 30:02}",) for i in range(200)] + [(None,)], "JobRole string")
+    names = name_dimension(people, "JobRole", "key", "name")
+    assert [r["name"] for r in names.orderBy("key").collect()] == [None, *(f"r{i:02}" for i in range(30))]
     staged = people.select(F.trim("JobRole").alias("name"))
-    assert staged.join(large, "name").count() == staged.join(small, "name").count() == 200
+    assert staged.join(names, "name").count() == 200
+
+
+def test_bradford_of_a_very_busy_employee(spark):
+    from crewgauge.functions.scores import bradford_factor
+
+    row = spark.createDataFrame([(3_000_000, 9_000_000)], "s bigint, d bigint").select(bradford_factor(F.col("s"), F.col("d")).alias("b"))
+    assert row.first()["b"] == 8.1e19
+
+
+def test_t_tail_at_many_degrees_of_freedom():
+    import math
+
+    from crewgauge.functions.tails import t_two_sided
+
+    for df in (1e6, 1e8, 1e11):
+        assert abs(t_two_sided(0.5, df) - math.erfc(0.5 / math.sqrt(2))) < 1e-6
+
+
+def test_a_category_with_many_levels_is_fitted(spark):
+    from crewgauge.operators.logistic import Category, fit_logistic
+
+    rows = [(f"c{i % 150:03}", int((i * 7919 % 10_007) % 3 == 0)) for i in range(15_000)]
+    odds, fit = fit_logistic(spark.createDataFrame(rows, "c string, y int"), "y", {"c": Category("c", "c000")})
+    assert odds.count() == 149 and fit.first()["converged"]
 
 
 def test_busy_keys_do_not_change_totals(spark):

@@ -3,10 +3,12 @@
 import pytest
 
 import __spark_entry__ as registry
+import oracle
 from tests.compare import spark_result, sql_engine, sql_result
 
 FOLDER = registry.SMOKE_DIR
-QUERIES, SQL = registry.queries(), registry.oracle_sql()
+# The optional subpackage tests its own queries.
+QUERIES, SQL = registry.queries(), oracle.statements()
 
 
 @pytest.fixture(scope="module")
@@ -15,7 +17,7 @@ def connection():
 
 
 def test_every_statement_has_a_query():
-    assert set(SQL) <= set(QUERIES)
+    assert set(registry.oracle_sql()) <= set(QUERIES) and set(SQL) <= set(registry.oracle_sql())
 
 
 def test_entry(spark):

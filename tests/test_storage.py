@@ -155,3 +155,68 @@ def test_point_in_time_agrees_with_the_series(built):
 
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(
+        "ReasonCode,Note,EmployeeNumber,AbsenceID,AbsenceDate,AbsenceDays,AbsenceHours\nIllness,x,2,1,2025-01-01,1,7.5\n"
+    )
+    row = read_csv(spark, str(tmp_path / "a.csv"), schemas.ABSENCE).first()
+    assert (row["AbsenceID"], row["EmployeeNumber"], row["AbsenceHours"], row["ReasonCode"]) == (1, 2, 7.5, "Illness")
+    assert row.__fields__ == schemas.ABSENCE.names
+    (tmp_path / "b.csv").write_text("AbsenceID,EmployeeNumber\n1,2\n")
+    with pytest.raises(ValueError, match="AbsenceDate"):
+        read_csv(spark, str(tmp_path / "b.csv"), schemas.ABSENCE)
+
+
+def test_release_leaves_nothing_behind(spark):
+    import __spark_entry__ as registry
+    from crewgauge.session import release, shared_dir
+
+    release(spark)
+    queries = registry.queries()
+    before = {d.name for d in spark.catalog.listDatabases()}
+    assert queries["warehouse_counts"](spark, registry.SMOKE_DIR).count() > 0
+    assert queries["headline"](spark, registry.SMOKE_DIR).count() == 1
+    assert {d.name for d in spark.catalog.listDatabases()} > before
+    release(spark)
+    assert {d.name for d in spark.catalog.listDatabases()} == before
+    assert not list(Path(shared_dir(spark).removeprefix("file:")).glob("crewgauge/run-*"))
+
+
+def test_report_order_of_marts(spark):
+    import __spark_entry__ as registry
+    from crewgauge.plans.gold import MART_ORDER, ordered_mart
+
+    for name, keys in MART_ORDER.items():
+        rows = ordered_mart(name, registry.queries()[name](spark, registry.SMOKE_DIR)).collect()
+        key = lambda r: tuple(-(r[k[1:]] or 0) if k[0] == "-" else r[k] or "" for k in keys)  # noqa: E731, B023
+        assert rows == sorted(rows, key=key) and len(rows) > 1
+
+
+def test_listings_keep_their_order(spark):
+    import __spark_entry__ as registry
+
+    queries = registry.queries()
+    checks = {
+        "categorical_tests": lambda r: -r["cramers_v"], "turnover_by_department": lambda r: -r["turnover_pct"],
+        "quality_by_channel": lambda r: -r["quality_of_hire"], "feed_department_turnover": lambda r: r["turnover_pct"],
+        "feed_headcount": lambda r: r["date_key"], "feed_absence_reason": lambda r: r["absence_hours"],
+        "feed_odds_ratios": lambda r: r["odds_ratio"], "feed_driver_levels": lambda r: (r["driver"], r["level"]),
+    }
+    for name, key in checks.items():
+        rows = queries[name](spark, registry.SMOKE_DIR).collect()
+        assert [key(r) for r in rows] == sorted(key(r) for r in rows), name
+
+
+def test_absences_are_stored_in_order(spark):
+    """Within a stored part rows follow employee, date and key."""
+    import __spark_entry__ as registry
+    from pyspark.sql import functions as F
+
+    frames = registry.Frames(spark, registry.SMOKE_DIR)
+    stored = frames.warehouse.table("silver", "fact_absence").select(
+        F.input_file_name().alias("f"), F.monotonically_increasing_id().alias("n"), "employee_key", "absence_date", "absence_key"
+    )
+    rows = [(r["f"], r["employee_key"], r["absence_date"], r["absence_key"]) for r in stored.orderBy("f", "n").collect()]
+    assert rows == sorted(rows) and rows
