@@ -10,6 +10,8 @@ pivots would put every document into every window. The join therefore goes down
    one Voronoi region. Sizes are cut into bands, and a set near a band's upper end is replicated into the next. Sets
    with many empty classes, where a coincidence may say nothing, also enter cells of single n-grams (the prefix
    principle). Cells with one point, nearly all, are found from 16 bytes a cell and never touched again.
+   There are more classes than ``D + 1``, so a linked set shares several cells; sets that share fewer, such as texts
+   with a common passage, leave here.
 3. *Recursion.* A region beyond ``LEAF`` points takes some of its points as pivots; each point goes to the nearest, its
    home, and by the triangle inequality also to every pivot within ``2 * eps`` more than that. A link is counted where its
    smaller point is at home. Regions that no longer shrink are cut into blocks, and each two blocks meet in a tile.
@@ -92,9 +94,13 @@ def ngrams(text: bytes, words: int) -> np.ndarray:
     return np.unique(_mixed(total))
 
 
-def cells(grams: np.ndarray, bound: Bound) -> np.ndarray:
-    """The cells that a set enters, as 64-bit keys."""
-    size, keys = len(grams), []
+def cells(grams: np.ndarray, bound: Bound) -> list[tuple[np.ndarray, int]]:
+    """The cells that a set enters, as 64-bit keys, by band, and how many of them every set linked there must share.
+
+    Of ``classes`` projections at most ``differ`` are unequal, so ``spare + 1`` or more are equal; those that are not
+    empty are shared cells.
+    """
+    size, found = len(grams), []
     low, high = bound.band(size)
     bands = [(low, high)]
     if size * bound.den // bound.num >= high:
@@ -102,17 +108,20 @@ def cells(grams: np.ndarray, bound: Bound) -> np.ndarray:
     for low, high in bands:
         if not (differ := bound.differ(high - 1)):
             continue  # such sets are linked only if they are equal
-        spare = 4 + differ // 32
+        spare = 4 + differ // 6
         classes = differ + 1 + spare
         own = (grams >> np.uint64(17)) % np.uint64(classes)
         order = np.argsort(own, kind="stable")
         first = np.flatnonzero(np.diff(own[order], prepend=np.uint64(classes)))
         summed = np.add.reduceat(_mixed(grams[order] + np.uint64(low)), first)
-        keys.append(_mixed(summed ^ _mixed(own[order][first] + np.uint64(classes << 32))))
-        if classes - len(first) > spare:
+        keys = _mixed(summed ^ _mixed(own[order][first] + np.uint64(classes << 32)))
+        empty = classes - len(first)
+        if empty > spare:
             prefix = size - (bound.num * size + bound.den - 1) // bound.den + 1
-            keys.append(_mixed(grams[:prefix] ^ np.uint64(high * 0x9E3779B97F4A7C15 & (1 << 64) - 1)))
-    return np.concatenate(keys) if keys else np.empty(0, np.uint64)
+            single = _mixed(grams[:prefix] ^ np.uint64(high * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
+            keys = np.concatenate([keys, single])
+        found.append((keys, max(1, spare + 1 - empty)))
+    return found
 
 
 def _digest(grams: np.ndarray) -> bytes:
@@ -131,7 +140,7 @@ def _cell_points(texts: DataFrame, bound: Bound) -> DataFrame:
             held, points = [], []
             for text in batch.column(1):
                 grams = ngrams(text.as_py(), bound.words)
-                keys = cells(grams, bound) if len(grams) else grams
+                keys = np.concatenate([grams[:0], *(k for k, _ in cells(grams, bound))] if len(grams) else [grams])
                 held.append(keys)
                 points.append(np.full(len(keys), np.frombuffer(_digest(grams)[:8], "<i8")[0]))
                 if sum(map(len, held[-64:])) > 200_000 or len(held) >= 1024:
@@ -172,6 +181,13 @@ def _shared_cells(pairs: DataFrame, bits: int):
     return pairs.sparkSession.sparkContext.broadcast(array)
 
 
+def _shared(keys: np.ndarray, need: int, bitmap: np.ndarray, bits: int) -> np.ndarray:
+    """Those keys that may be shared, if there are enough of them for a link."""
+    at = _bit_positions(keys, bits)
+    kept = keys[((bitmap[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1)).all(axis=0)]
+    return kept if len(kept) >= need else keys[:0]
+
+
 _POINT_SCHEMA = "doc_id long, point binary, n_shingles long, cells array<long>, grams array<long>"
 
 
@@ -184,12 +200,9 @@ def _points(texts: DataFrame, bound: Bound, shared, bits: int) -> DataFrame:
             ids, out = batch.column(0).to_pylist(), []
             for doc_id, text in zip(ids, batch.column(1), strict=True):
                 grams = ngrams(text.as_py(), bound.words)
-                point, own = (_digest(grams), cells(grams, bound)) if len(grams) else (None, grams)
-                if point not in seen and len(own):
-                    at = _bit_positions(own, bits)
-                    own = own[((bitmap[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1)).all(axis=0)]
-                else:
-                    own = own[:0]
+                point, own = _digest(grams) if len(grams) else None, grams[:0]
+                if point is not None and point not in seen:
+                    own = np.concatenate([own, *(_shared(keys, need, bitmap, bits) for keys, need in cells(grams, bound))])
                 if len(own):
                     seen = seen if len(seen) < _SEEN else set()
                     seen.add(point)
