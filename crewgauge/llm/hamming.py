@@ -40,7 +40,7 @@ def _segments(vector: Column, bits: int, width: int) -> list[Column]:
 
 
 def _probes(widths: list[int], radius: int):
-    """Every value at distance ``radius`` from a query's segment: (query, segment, value)."""
+    """Every value at distance ``radius`` from a query's segment: (query, cell), a cell being one value of one segment."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flips = [np.array([sum(1 << b for b in bits) for bits in combinations(range(w), radius)], np.int64) for w in widths]
@@ -49,9 +49,9 @@ def _probes(widths: list[int], radius: int):
             for row in range(batch.num_rows):
                 for n, flip in enumerate(flips):
                     if len(flip):
-                        value = numbers[n + 1][row] ^ flip
-                        same = [pa.array(np.full(len(flip), x, np.int64)) for x in (numbers[0][row], n)]
-                        yield pa.RecordBatch.from_arrays([*same, pa.array(value)], ["query", "segment", "value"])
+                        cell = (numbers[n + 1][row] ^ flip) * len(widths) + n
+                        query = np.full(len(flip), numbers[0][row], np.int64)
+                        yield pa.RecordBatch.from_arrays([pa.array(query), pa.array(cell)], ["query", "cell"])
 
     return run
 
@@ -73,8 +73,9 @@ def top_k(
 
     nth = F.row_number().over(Window.partitionBy(*names).orderBy(F.col("id").asc_nulls_last()))
     codes = coded(rows).withColumn("nth", nth).where(F.col("nth") <= k).groupBy(*names).agg(F.sort_array(F.collect_list("id")).alias("ids"))
-    segments = F.array(*(F.struct(F.lit(n).cast("long").alias("segment"), F.col(c).alias("value")) for n, c in enumerate(names)))
-    postings = written(codes.select(*names, "ids", F.inline(segments)), "postings")
+    # one long names a segment and its value, so that a join to few probes needs little memory
+    cells = F.array(*(F.col(c) * len(names) + n for n, c in enumerate(names)))
+    postings = written(codes.select(*names, "ids", F.posexplode(cells).alias("segment", "cell")), "postings")
     numbered = coded(asked).groupBy(*names).agg(F.collect_list("id").alias("askers"))
     numbered = written(numbered.withColumn("query", F.monotonically_increasing_id()), "queries")
 
@@ -102,12 +103,12 @@ def top_k(
 
 def _round(active: DataFrame, postings: DataFrame, names: list[str], widths: list[int], radius: int) -> DataFrame:
     """(query, distance, id): the rows that some segment meets first at ``radius`` and that can be among the nearest."""
-    probes = active.select("query", *names).mapInArrow(_probes(widths, radius), "query long, segment long, value long")
+    probes = active.select("query", *names).mapInArrow(_probes(widths, radius), "query long, cell long")
     asked = active.select("query", "within", *(F.col(n).alias(f"q{n}") for n in names))
     apart = [F.bit_count(F.col(n).bitwiseXOR(F.col(f"q{n}"))) for n in names]
     distance = sum(apart[1:], apart[0])
     first = F.lit(True)
     for n, d in enumerate(apart):
         first &= F.when(F.col("segment") > n, d > radius).when(F.col("segment") < n, d >= radius).otherwise(True)
-    met = probes.join(asked, "query").join(postings, ["segment", "value"]).where((distance <= F.col("within")) & first)
+    met = probes.join(asked, "query").join(postings, "cell").where((distance <= F.col("within")) & first)
     return met.select("query", distance.alias("distance"), F.explode("ids").alias("id"))
