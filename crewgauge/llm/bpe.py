@@ -28,9 +28,9 @@ from crewgauge.llm.words import SpacedEncoder, spaced_words
 TABLE_WORDS = 1 << 17
 TABLE_LETTERS = 32
 #: A task hands on its counts when it holds this many distinct words.
-_HELD_WORDS = 200_000
+_HELD_WORDS = 400_000
 #: Entries of a worker's own tables of words and pre-tokens, and rows that it hands on at once.
-_OWN_WORDS, _ROWS = 150_000, 256
+_OWN_WORDS, _ROWS = 250_000, 256
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -46,14 +46,15 @@ def _four_bytes(ids) -> bytes:
 class WordEncoder:
     """Encodes texts through tables of words and pre-tokens; ids are little-endian unsigned 32-bit bytes.
 
-    ``known`` holds pre-tokens encoded beforehand. Other entries are kept as they come, ``limit`` in each table at
-    most and none longer than ``longest`` characters; beyond that a table starts afresh, which costs time and
-    changes no result. A text with an added token's string is encoded as a whole.
+    ``known`` holds pre-tokens encoded beforehand. Other entries are kept as they come, ``limit`` in each table and
+    none longer than ``longest`` characters. A full table becomes the old one and a new one begins, into which entries
+    move back when they are met again; so a table holds twice ``limit`` at most, frequent words stay, and no result
+    depends on it. A text with an added token's string is encoded as a whole.
     """
 
     longest = 64
 
-    def __init__(self, tokenizer_path: str, known: Mapping[str, bytes] | None = None, limit: int = 400_000) -> None:
+    def __init__(self, tokenizer_path: str, known: Mapping[str, bytes] | None = None, limit: int = 250_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
@@ -61,9 +62,11 @@ class WordEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known, self.limit = dict(known or {}), limit
+        self.known, self.limit = known or {}, limit
         self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = dict(self.known)
+        self.old_words: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        self.old_pieces: dict[str, bytes] = {}
         pieces = sorted(self.tokenizer.get_vocab().items(), key=lambda x: x[1])
         self.edge = np.zeros(pieces[-1][1] + 1, bool)
         self.edge[[i for piece, i in pieces if self.is_edge(piece)]] = True
@@ -103,11 +106,33 @@ class WordEncoder:
             found[token] = _four_bytes(e.ids)
         return found
 
-    def _room(self, table: dict[str, bytes], start: Mapping[str, bytes], more: Mapping[str, bytes]) -> None:
-        if len(table) + len(more) > len(start) + self.limit:
-            table.clear()
-            table.update(start)
-        table.update((w, ids) for w, ids in more.items() if len(w) <= self.longest)
+    def _kept(self, new: dict[str, bytes], old: dict[str, bytes], more: Mapping[str, bytes]) -> tuple[dict, dict]:
+        """The new and the old table after ``more`` has come in."""
+        if len(new) + len(more) > self.limit:
+            new, old = {}, new
+        new.update((w, ids) for w, ids in more.items() if len(w) <= self.longest)
+        return new, old
+
+    def _ids(self, words: set[str]) -> dict[str, bytes]:
+        """The ids of distinct words that are not in the new table."""
+        found = {w: ids for w in words if (ids := self.old_words.get(w)) is not None}
+        parts = {w: self.pre_tokens(w) for w in words if w not in found}
+        pieces: dict[str, bytes | None] = {}
+        moved: dict[str, bytes] = {}
+        for own in parts.values():
+            for p in own:
+                if p not in pieces:
+                    ids = self.known.get(p) or self.pieces.get(p)
+                    if ids is None and (ids := self.old_pieces.get(p)) is not None:
+                        moved[p] = ids
+                    pieces[p] = ids
+        if new := [p for p, ids in pieces.items() if ids is None]:
+            fresh = self.encode_pre_tokens(new)
+            pieces.update(fresh)
+            moved.update(fresh)
+        self.pieces, self.old_pieces = self._kept(self.pieces, self.old_pieces, moved)
+        found.update((w, b"".join([pieces[p] for p in own])) for w, own in parts.items())
+        return found
 
     def encode(self, text: str) -> bytes:
         if any(t in text for t in self.added):
@@ -117,15 +142,10 @@ class WordEncoder:
         if None not in got:
             return b"".join(got)
         missing = [n for n, ids in enumerate(got) if ids is None]
-        parts = {w: self.pre_tokens(w) for w in {words[n] for n in missing}}
-        new = list({p: None for own in parts.values() for p in own if p not in self.pieces})
-        fresh = self.encode_pre_tokens(new) if new else {}
-        find = lambda p: fresh[p] if p in fresh else self.pieces[p]
-        found = {w: b"".join(map(find, own)) for w, own in parts.items()}
+        found = self._ids({words[n] for n in missing})
         for n in missing:
             got[n] = found[words[n]]
-        self._room(self.pieces, self.known, fresh)
-        self._room(self.words, {}, found)
+        self.words, self.old_words = self._kept(self.words, self.old_words, found)
         return b"".join(got)
 
 

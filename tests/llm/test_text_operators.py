@@ -29,7 +29,7 @@ def whole(path, text):
 @pytest.mark.parametrize(("kind", "path"), [(SpacedEncoder, BYTES), (BareEncoder, WORDS)])
 def test_words_are_encoded_like_whole_texts(kind, path):
     tokenizer = Tokenizer.from_file(path)
-    for limit in (3, 400_000):
+    for limit in (3, 250_000):
         encoder = kind(path, limit=limit)
         for text in [*ODD, *(t or "" for t in TEXTS)] * 2:
             assert encoder.encode(text) == np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text[:40]
