@@ -162,12 +162,12 @@ class Frames:
 
     @cached_property
     def document(self) -> DataFrame:
-        """The study document, written as JSON and read back."""
+        """The whole study document, written as JSON and read back."""
         f = self.stored
-        odds, fit = f.regression
-        made = study.study_document(
-            f.kpis, study.continuous_tests(f.analysis), study.categorical_tests(f.analysis), odds, fit
-        )
+        tests = study.continuous_tests(f.analysis), study.categorical_tests(f.analysis)
+        return self.written(study.study_document(self.spark, f.kpis, *tests, f.regression))
+
+    def written(self, made: DataFrame) -> DataFrame:
         path = scratch_path(self.spark, "study")
         document.write_document(made, path)
         return document.read_document(self.spark, path, made.schema)
@@ -324,9 +324,16 @@ _QUERIES: dict[str, Callable[[Frames], DataFrame]] = {
     "top_risk": lambda f: study.top_risks(f.regression[0]),
     "top_protective": lambda f: study.top_protections(f.regression[0]),
     "study_document": lambda f: f.document,
-    "document_kpis": lambda f: _flat_kpis(f.document.select("kpis.*")),
-    "document_continuous_tests": lambda f: f.document.select(F.inline("continuous_tests")),
-    "document_categorical_tests": lambda f: f.document.select(F.inline("categorical_tests")),
+    "document_kpis": lambda f: _flat_kpis(f.written(study.study_document(f.spark, f.headline)).select("kpis.*")),
+    "document_continuous_tests": lambda f: f.written(
+        study.study_document(f.spark, continuous=study.continuous_tests(f.analysis))
+    ).select(F.inline("continuous_tests")),
+    "document_categorical_tests": lambda f: f.written(
+        study.study_document(f.spark, categorical=study.categorical_tests(f.analysis))
+    ).select(F.inline("categorical_tests")),
+    "document_regression": lambda f: f.written(
+        study.study_document(f.spark, regression=f.single["long_tenure"])
+    ).select("logistic_regression.fit.*", F.inline("logistic_regression.odds_ratios")).drop("p_value", "llr_p_value", "iterations"),
     # Chart feeds
     "feed_odds_ratios": lambda f: headlines.odds_ratio_feed(f.regression[0]),
     "feed_driver_levels": lambda f: headlines.charted_drivers(f.drivers),

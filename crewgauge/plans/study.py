@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from crewgauge.functions import bands
 from crewgauge.operators import contingency, moments
@@ -176,17 +176,30 @@ def _listing(frame: DataFrame, *order: Column) -> Column:
     return keyed.agg(rows).scalar()
 
 
-def study_document(kpis: DataFrame, continuous: DataFrame, categorical: DataFrame, odds: DataFrame, fit: DataFrame) -> DataFrame:
-    """The whole study as one nested row, ready for the JSON sink.
+def study_document(
+    spark: SparkSession,
+    kpis: DataFrame | None = None,
+    continuous: DataFrame | None = None,
+    categorical: DataFrame | None = None,
+    regression: tuple[DataFrame, DataFrame] | None = None,
+) -> DataFrame:
+    """The study as one nested row, ready for the JSON sink; sections that are not given are left out.
 
     Listings are in the order of their frames; an undefined effect (sort key above zero) comes last.
     """
-    return kpis.sparkSession.range(1).select(
-        kpis.select(F.struct(*kpis.columns)).scalar().alias("kpis"),
-        _listing(continuous, F.coalesce(-F.abs("cohens_d"), F.lit(0.5)).alias("_k"), F.col("feature").alias("_n")).alias("continuous_tests"),
-        _listing(categorical, (-F.col("cramers_v")).alias("_k"), F.col("driver").alias("_n")).alias("categorical_tests"),
-        F.struct(
-            fit.select(F.struct(*fit.columns)).scalar().alias("fit"),
-            _listing(odds, (-F.col("odds_ratio")).alias("_k"), F.col("term").alias("_n")).alias("odds_ratios"),
-        ).alias("logistic_regression"),
-    )
+    sections: dict[str, Column] = {}
+    if kpis is not None:
+        sections["kpis"] = kpis.select(F.struct(*kpis.columns)).scalar()
+    if continuous is not None:
+        keys = F.coalesce(-F.abs("cohens_d"), F.lit(0.5)).alias("_k"), F.col("feature").alias("_n")
+        sections["continuous_tests"] = _listing(continuous, *keys)
+    if categorical is not None:
+        keys = (-F.col("cramers_v")).alias("_k"), F.col("driver").alias("_n")
+        sections["categorical_tests"] = _listing(categorical, *keys)
+    if regression is not None:
+        odds, fit = regression
+        rows = _listing(odds, (-F.col("odds_ratio")).alias("_k"), F.col("term").alias("_n"))
+        sections["logistic_regression"] = F.struct(
+            fit.select(F.struct(*fit.columns)).scalar().alias("fit"), rows.alias("odds_ratios")
+        )
+    return spark.range(1).select(*(section.alias(name) for name, section in sections.items()))

@@ -545,6 +545,8 @@ _SELECTS = {
     "quality_orphans": _ORPHANS,
     "quality_counts": _COUNTS,
     "document_kpis": _HEADLINE,
+    "document_regression": f"""SELECT f.observations, f.pseudo_r2_mcfadden, f.converged, o.* EXCLUDE (model)
+        FROM ({_SINGLE_ODDS}) o JOIN ({_SINGLE_FIT}) f ON f.model = o.model WHERE o.model = 'long_tenure'""",
     "document_continuous_tests": _CONTINUOUS,
     "document_categorical_tests": _CATEGORICAL,
     "csv_turnover": _turnover(),

@@ -129,7 +129,7 @@ def test_document_round_trip(spark, population, tmp_path):
     odds, fit = study.logistic_model(population)
     kpis = headlines.headline(gold.kpi_turnover(population), gold.kpi_absenteeism(population), gold.kpi_quality_of_hire(population))
     continuous, categorical = study.continuous_tests(population), study.categorical_tests(population)
-    made = study.study_document(kpis, continuous, categorical, odds, fit)
+    made = study.study_document(spark, kpis, continuous, categorical, (odds, fit))
     write_document(made, str(tmp_path / "study"))
     back = read_document(spark, str(tmp_path / "study"), made.schema)
     assert back.collect() == made.collect()
@@ -154,6 +154,6 @@ def test_undefined_tests_come_last_in_the_document(population):
     continuous, categorical = study.continuous_tests(gap), study.categorical_tests(gap)
     odds, fit = study.logistic_model(gap)
     assert fit.first()["observations"] == 699
-    listed = study.study_document(kpis, continuous, categorical, odds, fit).first()["continuous_tests"]
+    listed = study.study_document(spark, kpis, continuous, categorical, (odds, fit)).first()["continuous_tests"]
     assert [r["feature"] for r in listed] == [r["feature"] for r in continuous.collect()]
     assert listed[-1]["feature"] == "Tenure (years)" and listed[-1]["cohens_d"] is None
