@@ -55,6 +55,11 @@ class Frames:
     def bronze(self) -> Bronze:
         return read_bronze(self.spark, self.folder, PARAMS)
 
+    @cached_property
+    def built(self) -> Bronze:
+        """The same frames for builds of several jobs."""
+        return read_bronze(self.spark, self.folder, PARAMS, store_history=True)
+
     @cached_property
     def departments(self) -> DataFrame:
         return silver.dim_department(self.bronze.employees)
@@ -79,7 +84,7 @@ class Frames:
     @cached_property
     def star(self) -> silver.Star:
         """All silver tables, each computed once: the checks read every one of them several times."""
-        star = silver.build_star(self.bronze, PARAMS)
+        star = silver.build_star(self.built, PARAMS)
         return replace(
             star,
             dim_employee=stored(star.dim_employee, "dim_employee"),
@@ -177,16 +182,16 @@ class Frames:
         """The same frames over raw CSV files; the preferred employee file does not exist."""
         folder = scratch_path(self.spark, "raw")
         raw = {
-            "employees": self.bronze.employees.to(schemas.EMPLOYEES),
-            "absence": self.bronze.absence,
-            "recruitment": self.bronze.recruitment,
+            "employees": self.built.employees.to(schemas.EMPLOYEES),
+            "absence": self.built.absence,
+            "recruitment": self.built.recruitment,
         }
         extracts.export_tables({n: df.select(*RAW_SCHEMAS[n].names) for n, df in raw.items()}, folder)
         read = bronze_from_csv(
             self.spark, [f"{folder}/preferred", f"{folder}/employees"], f"{folder}/absence", f"{folder}/recruitment"
         )
         again = Frames(self.spark, self.folder)
-        again.__dict__["bronze"] = replace(read, terminations=self.bronze.terminations)
+        again.__dict__["bronze"] = replace(read, terminations=self.built.terminations)
         return again
 
     @cached_property
@@ -194,7 +199,7 @@ class Frames:
         """A complete stored build in a scratch place of the shared folder."""
         root = scratch_path(self.spark, "warehouse")
         built = self.new_warehouse(root)
-        warehouse_plan.build(built, self.bronze, PARAMS)
+        warehouse_plan.build(built, self.built, PARAMS)
         return built
 
     def new_warehouse(self, root: str, buckets: int | None = None) -> Warehouse:
@@ -207,7 +212,7 @@ class Frames:
     def bucketed(self) -> Warehouse:
         """The same build with the employee tables bucketed, so that they join without a shuffle."""
         built = self.new_warehouse(scratch_path(self.spark, "buckets"), buckets=8)
-        warehouse_plan.build(built, self.bronze, PARAMS)
+        warehouse_plan.build(built, self.built, PARAMS)
         return built
 
     def exported(self, export: Callable[[Warehouse, str], list[str]], layer: str, name: str) -> DataFrame:

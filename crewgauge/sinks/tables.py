@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from crewgauge.session import scratch_path
 
 LAYERS = ("bronze", "silver", "gold")
+# Between a table's name and the number of its version.
+_VERSION = "__version_"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -49,7 +51,13 @@ class Warehouse:
         return self.spark.table(f"{self.database(layer)}.{name}")
 
     def table_names(self, layer: str) -> list[str]:
-        return sorted(t.name for t in self.spark.catalog.listTables(self.database(layer)))
+        return sorted(t.name for t in self.spark.catalog.listTables(self.database(layer)) if _VERSION not in t.name)
+
+    def versions(self, layer: str, name: str) -> list[int]:
+        """The stored versions of a table, oldest first."""
+        names = (t.name for t in self.spark.catalog.listTables(self.database(layer)))
+        start = f"{name}{_VERSION}".lower()
+        return sorted(int(n[len(start) :]) for n in names if n.lower().startswith(start))
 
     def replace(
         self,
@@ -61,6 +69,10 @@ class Warehouse:
     ) -> DataFrame:
         """Write ``df`` as the table's new content and return the stored table.
 
+        The content is a table of its own, and ``name`` is a view that is switched to it when it
+        is complete, so readers see the old or the new rows at every moment. The version before
+        is kept for those who still read it; older ones are dropped.
+
         ``unique_key`` names the key of a table that has one row per key. Where buckets are in
         use the table is bucketed on it, so such tables join without a shuffle. A table in which one key may own a large share of the rows
         must not be bucketed on it, as a bucket is read by one task; it gets ``order`` instead,
@@ -76,7 +88,12 @@ class Warehouse:
         writer = laid_out.write.mode("overwrite").format("parquet")
         if unique_key and self.buckets:
             writer = writer.bucketBy(self.buckets, unique_key).sortBy(unique_key)
-        writer.saveAsTable(f"{self.database(layer)}.{name}")
+        old = self.versions(layer, name)
+        database, version = self.database(layer), f"{name}{_VERSION}{max(old, default=0) + 1}"
+        writer.saveAsTable(f"{database}.{version}")
+        self.spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS SELECT * FROM {database}.{version}")
+        for number in old[:-1]:
+            self.spark.sql(f"DROP TABLE IF EXISTS {database}.{name}{_VERSION}{number}")
         return self.table(layer, name)
 
     def replace_all(self, layer: str, tables: Mapping[str, DataFrame], **options: dict) -> dict[str, DataFrame]:

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from crewgauge import schemas
 from crewgauge.operators.numbering import number_rows
 from crewgauge.params import Params
+from crewgauge.sinks.tables import stored
 from crewgauge.sources.bronze import Bronze
 
 # The latest order date in the tables.
@@ -62,7 +63,10 @@ _RECRUITMENT_COLUMNS = {
 }
 
 
-def read_bronze(spark: SparkSession, folder: str, params: Params = PARAMS) -> Bronze:
+def read_bronze(spark: SparkSession, folder: str, params: Params = PARAMS, store_history: bool = False) -> Bronze:
+    """The tables as a workforce. ``store_history`` writes the order history of each customer once,
+    for builds whose separate jobs would otherwise each aggregate all orders for it."""
+
     def table(name: str) -> DataFrame:
         return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -83,6 +87,8 @@ def read_bronze(spark: SparkSession, folder: str, params: Params = PARAMS) -> Br
         )
         .withColumn("hire_date", F.to_date("first.o_orderdate"))
     )
+    if store_history:
+        history = stored(history, "history")
     same = F.col("k") == F.col("o_custkey")
     # Leaving date: the last order, but some days after the first at the soonest.
     departure = F.when(

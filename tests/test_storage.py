@@ -220,3 +220,15 @@ def test_absences_are_stored_in_order(spark):
     )
     rows = [(r["f"], r["employee_key"], r["absence_date"], r["absence_key"]) for r in stored.orderBy("f", "n").collect()]
     assert rows == sorted(rows) and rows
+
+
+def test_replacing_a_table_keeps_its_readers(spark, tmp_path):
+    house = Warehouse(spark, prefix="versions_", root=str(tmp_path / "house"))
+    house.create_layers()
+    first = house.replace("gold", "t", spark.range(3).selectExpr("id AS a"))
+    second = house.replace("gold", "t", spark.range(5).selectExpr("id AS b", "id AS c"))
+    assert first.count() == 3 and second.count() == house.table("gold", "t").count() == 5
+    house.replace("gold", "t", spark.range(7).selectExpr("id AS b"))
+    assert house.table_names("gold") == ["t"] and len(house.versions("gold", "t")) == 2
+    for layer in ("bronze", "silver", "gold"):
+        spark.sql(f"DROP DATABASE {house.database(layer)} CASCADE")
