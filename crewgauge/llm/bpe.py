@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from crewgauge.llm.scratch import written
 from crewgauge.llm.words import SpacedEncoder, spaced_words
 
 TABLE_WORDS = 1 << 17
@@ -65,7 +66,11 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def word_table(counts: DataFrame, tokenizer_path: str, words: int = TABLE_WORDS) -> DataFrame:
-    """(word, ids): the most frequent words, each encoded once; ``words`` rows at most."""
+    """(word, ids): the most frequent words, each encoded once; ``words`` rows at most.
+
+    The frequency from which words are taken comes from a histogram of frequencies in steps of a
+    twelfth of their size (a few hundred rows), so no task has to rank them.
+    """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = SpacedEncoder(tokenizer_path)
@@ -74,7 +79,13 @@ def word_table(counts: DataFrame, tokenizer_path: str, words: int = TABLE_WORDS)
             ids = encoder.encode_pre_tokens(tokens) if tokens else {}
             yield pa.RecordBatch.from_arrays([pa.array(tokens, pa.string()), pa.array([ids[t] for t in tokens], pa.binary())], ["word", "ids"])
 
-    frequent = counts.orderBy(F.desc("n"), "word").limit(words).select("word").repartition(F.col("word"))
+    counts = written(counts.withColumn("step", F.floor(F.log2("n") * 8).cast("int")), "counts")
+    taken, least = 0, None
+    for step, many in sorted(map(tuple, counts.groupBy("step").count().collect()), reverse=True):
+        if (taken := taken + many) > words:
+            break
+        least = step
+    frequent = counts.where(F.col("step") >= F.lit(least)).select("word")
     return frequent.mapInArrow(encode, "word string, ids binary")
 
 

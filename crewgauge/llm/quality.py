@@ -146,8 +146,9 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, mean: np.nda
 
 
 def _sample(rows: DataFrame, limit: int) -> np.ndarray:
-    """The features of the ``limit`` rows with the smallest hashes of their ids."""
-    arrow = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit).select("f").toArrow().column("f").combine_chunks()
+    """The features of the ``limit`` rows with the smallest hashes of their ids; about half as many more are ranked."""
+    share, hashed = min(1.0, 1.5 * limit / max(rows.count(), 1)), F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))
+    arrow = rows.where(hashed < int(share * (1 << 40))).orderBy(hashed, "doc_id").limit(limit).select("f").toArrow().column("f").combine_chunks()
     return np.asarray(arrow.values.to_numpy(), float).reshape(len(arrow), len(FEATURES))
 
 
