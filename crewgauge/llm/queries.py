@@ -102,6 +102,24 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 _SQL = {
+    "op1_ngram_join": rf"""
+        WITH RECURSIVE texts AS (
+            SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents
+        ), sets AS (
+            SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[]) WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END)) AS gram FROM texts
+        ), sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+        common AS (
+            SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared FROM sets a JOIN sets b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY ALL
+        ), links AS (
+            SELECT x, y FROM common JOIN sizes s ON s.doc_id = x JOIN sizes t ON t.doc_id = y WHERE 100 * shared >= 85 * (s.n + t.n - shared)
+        ), reached(x, y) AS (
+            SELECT doc_id, doc_id FROM documents UNION SELECT r.x, l.y FROM reached r JOIN links l ON l.x = r.y
+        ), least AS (SELECT x, min(y) AS component_id FROM reached GROUP BY x),
+        degrees AS (SELECT x, count(*) AS n_links FROM links GROUP BY x)
+        SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, component_id, coalesce(n_links, 0) AS n_links FROM documents d
+        LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN least l ON l.x = d.doc_id LEFT JOIN degrees g ON g.x = d.doc_id
+    """,
     "op2_hamming": """
         WITH codes AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x > 0 AND NOT isnan(x) AS INTEGER)) AS code FROM embeddings WHERE embedding IS NOT NULL),
         pairs AS (
