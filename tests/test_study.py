@@ -154,6 +154,6 @@ def test_undefined_tests_come_last_in_the_document(population):
     continuous, categorical = study.continuous_tests(gap), study.categorical_tests(gap)
     odds, fit = study.logistic_model(gap)
     assert fit.first()["observations"] == 699
-    listed = study.study_document(spark, kpis, continuous, categorical, (odds, fit)).first()["continuous_tests"]
+    listed = study.study_document(kpis.sparkSession, kpis, continuous, categorical, (odds, fit)).first()["continuous_tests"]
     assert [r["feature"] for r in listed] == [r["feature"] for r in continuous.collect()]
     assert listed[-1]["feature"] == "Tenure (years)" and listed[-1]["cohens_d"] is None
