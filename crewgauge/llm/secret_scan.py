@@ -3,7 +3,9 @@
 The patterns find assignments, access keys and hexadecimal runs in whole texts. Beyond them, a candidate is a run of
 key-like characters shortly behind a sensitive word. A zstandard compressor is primed with a dictionary of common
 identifiers and code followed by the candidate's own surroundings; the candidate's marginal compressed bytes tell how
-much of it was not to be foreseen. Candidates that stay incompressible are reported as ``novel``.
+much of it was not to be foreseen. Long candidates are judged by windows so short that zstandard leaves their literals as
+they are: only matches save bytes, whatever the candidate's alphabet and length. A candidate with an incompressible window
+is reported as ``novel``.
 
 Each text is scanned on its own in a Spark task; nothing is shuffled and texts are never cut.
 
@@ -34,6 +36,8 @@ REACH = 40
 AROUND = 512
 #: Marginal compressed bytes per byte from which a candidate counts as incompressible.
 NOVEL = 0.8
+#: Characters judged at once, half of them anew each time. zstandard entropy-codes literals from 64 on.
+WINDOW = 40
 _IDENTIFIERS = (
     "abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ 0123456789 import from return function class public static void const "
     "string value default config settings username password secret token api_key access_key private_key client_id client_secret "
@@ -48,10 +52,17 @@ class _Novelty:
     def __init__(self, identifiers: str) -> None:
         self.identifiers = identifiers.encode()
 
-    def share(self, candidate: str, around: str) -> float:
+    def share(self, candidate: str, around: str, enough: float = float("inf")) -> float:
+        """The share of the candidate's least foreseen window; windows behind one that reaches ``enough`` are not looked at."""
         known = zstandard.ZstdCompressionDict(self.identifiers + around.encode("utf-8", "replace"), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         size = zstandard.ZstdCompressor(level=3, dict_data=known, write_content_size=False, write_dict_id=False)
-        return (len(size.compress(candidate.encode())) - len(size.compress(b""))) / len(candidate)
+        empty, most = len(size.compress(b"")), 0.0
+        for start in (*range(0, len(candidate) - WINDOW, WINDOW // 2), max(0, len(candidate) - WINDOW)):
+            window = candidate[start : start + WINDOW].encode()
+            most = max(most, (len(size.compress(window)) - empty) / len(window))
+            if most >= enough:
+                break
+        return most
 
 
 def pattern_spans(text: str) -> list[tuple[int, int, str]]:
@@ -73,7 +84,7 @@ def novel_spans(text: str, known: list[tuple[int, int, str]], novelty: _Novelty,
         if not _SENSITIVE.search(text, max(0, a - REACH), a) or any(a < e and s < b for s, e, _ in known):
             continue
         around = text[max(0, a - AROUND) : a] + text[b : b + AROUND]
-        if novelty.share(m[0], around) >= threshold:
+        if novelty.share(m[0], around, threshold) >= threshold:
             found.append((a, b, "novel"))
     return found
 

@@ -1,6 +1,7 @@
 """BPE, packing, exact duplicates, quality and secrets on awkward rows, against plain Python."""
 
 import hashlib
+import random
 import re
 import zlib
 
@@ -187,6 +188,17 @@ def test_secret_patterns(spark):
     assert rows[16]["spans"] == "novel:19:46" and not rows[17]["spans"] and not rows[18]["spans"]
 
 
+@pytest.mark.parametrize("letters", ["ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "0123456789ABCDEF", "0123456789"])
+def test_novelty_of_all_lengths_and_alphabets(letters):
+    made, novelty = random.Random(7), secret_scan._Novelty(secret_scan._IDENTIFIERS)
+    for length in (20, 32, 40, 41, 63, 64, 80, 128, 256, 512, 1000, 4000):
+        texts = [f"the signing key {''.join(made.choices(letters, k=length))} is here" for _ in range(20)]
+        found = [secret_scan.novel_spans(t, [], novelty, secret_scan.NOVEL) for t in texts]
+        assert sum(f == [(16, 16 + length, "novel")] for f in found) >= 19, length
+    for known in ("z" * 4000, "0123456789" * 300, "ab-" * 50, "password-secret-token-" * 20):
+        assert not secret_scan.novel_spans(f"the key is {known} here", [], novelty, secret_scan.NOVEL)
+
+
 def test_redaction(spark):
     table = spark.createDataFrame([(n, t) for n, t in enumerate(SECRETS)], "doc_id long, text string")
     rows = {r["row"]["doc_id"]: r["redacted"] for r in secret_scan.scan(table).collect()}
