@@ -5,12 +5,14 @@ key-like characters shortly behind a sensitive word. A zstandard compressor is p
 identifiers and code followed by the candidate's own surroundings; the candidate's marginal compressed bytes tell how
 much of it was not to be foreseen. Long candidates are judged by windows so short that zstandard leaves their literals as
 they are: only matches save bytes, whatever the candidate's alphabet and length. A candidate with an incompressible window
-is reported as ``novel``.
+is reported as ``novel``. What directly continues a reported candidate, behind a line break or a dot, is in its context,
+however far the word is; the context of a key block reaches to its END line, and there short lines are candidates too.
 
 Each text is scanned on its own in a Spark task; nothing is shuffled and texts are never cut.
 
 Defined results: a null or empty text has no spans. Positions are code points, ends exclusive. Repeated rows give
-repeated results. A ``novel`` span never touches a span of the patterns.
+repeated results. A candidate inside spans of the patterns is known. One that goes beyond them is judged by its parts outside
+(without a name and equals sign before its value) and reported beside these spans, which stay as they are.
 """
 
 from __future__ import annotations
@@ -32,6 +34,13 @@ _ASSIGN_WORDS = ("password", "passwd", "secret", "token", "api_key", "apikey")
 #: What a candidate stands behind, at most ``REACH`` code points before it.
 _SENSITIVE = re.compile(r"(?ai:key|secret|token|passw|pwd|credential|auth|bearer|signature|private)")
 _CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}(?![A-Za-z0-9+/_=-])")
+_BLOCK = re.compile(r"-{4,5} ?BEGIN [A-Z0-9 ]*KEY[A-Z0-9 ]*-{4,5}((?:(?!---- ?BEGIN ).)*?)---- ?END ", re.S)
+#: A line of a key block that is shorter than a candidate elsewhere; line breaks may be escaped.
+_SHORT_LINE = re.compile(r"(?:\n[ \t]*|\\n)([A-Za-z0-9+/_=-]{1,19})(?=[ \t]*\r?\n|\\)")
+#: What stands between a candidate and its continuation: a line break, perhaps escaped, or a dot; short parts between dots are its own.
+_PARTED = re.compile(r"[ \t]*\\?\r?\n[ \t]*|\\|\.((?:[A-Za-z0-9+/_=-]{1,19}\.)*)")
+#: What may stand before a value in the same run of characters.
+_NAME = re.compile(r"(?:[A-Za-z_][A-Za-z0-9_-]*=(?==*[^=]))*(?:0[xX])?")
 REACH = 40
 AROUND = 512
 #: Marginal compressed bytes per byte from which a candidate counts as incompressible.
@@ -77,18 +86,40 @@ def pattern_spans(text: str) -> list[tuple[int, int, str]]:
 
 
 def novel_spans(text: str, known: list[tuple[int, int, str]], novelty: _Novelty, threshold: float) -> list[tuple[int, int, str]]:
-    """Incompressible strings behind sensitive words that no pattern has found."""
-    found = []
-    for m in _CANDIDATE.finditer(text):
-        a, b = m.span()
-        if not _SENSITIVE.search(text, max(0, a - REACH), a) or any(a < e and s < b for s, e, _ in known):
+    """Incompressible strings behind sensitive words that no pattern has found, or not all of."""
+    blocks = [m.span(1) for m in _BLOCK.finditer(text)] if "BEGIN " in text else []
+    runs = [m.span() for m in _CANDIDATE.finditer(text)]
+    if blocks:
+        runs = sorted(runs + [m.span(1) for block in blocks for m in _SHORT_LINE.finditer(text, block[0] - 1, block[1])])
+    found, end = [], None  # of the last candidate that is secret
+    for a, b in runs:
+        parted = _PARTED.fullmatch(text, end, a) if end is not None else None
+        if not parted and not _SENSITIVE.search(text, max(0, a - REACH), a) and not any(s <= a < e for s, e in blocks):
             continue
         around = text[max(0, a - AROUND) : a] + text[b : b + AROUND]
-        if novelty.share(m[0], around, threshold) >= threshold:
-            found.append((a, b, "novel"))
+        start, parts = _outside(text, a, b, known)
+        if any(novelty.share(text[s:e], around, threshold) >= threshold for s, e in parts):
+            found.append((parted.start(1) if parted and parted[1] else start, b, "novel"))
+            end = b
+        elif not parts:
+            end = b
     return found
 
 
+def _outside(text: str, a: int, b: int, known: list[tuple[int, int, str]]) -> tuple[int, list[tuple[int, int]]]:
+    """Where the value of the candidate from ``a`` to ``b`` starts, and its parts outside the spans of the patterns."""
+    spans = [(s, e, kind) for s, e, kind in known if a < e and s < b]
+    if not spans:
+        return a, [(a, b)]
+    start = at = _NAME.match(text, a, b).end()
+    parts = []
+    for s, e, kind in spans:
+        if s > at and (kind != "assign" or s - at >= 20):  # what is before an assignment belongs to its name
+            parts.append((at, s))
+        at = max(at, e)
+    return start, parts + [(at, b)] * (at < b)
+
+
 def redacted(text: str, spans: list[tuple[int, int, str]]) -> str:
     """The text with every span replaced by its kind in brackets; overlapping spans are one, named by the first."""
     merged: list[list] = []
