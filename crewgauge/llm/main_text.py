@@ -3,7 +3,9 @@
 1. Markup is stripped: every block element starts a line; white space inside a line becomes one space; character
 references are decoded. Lines inside containers that are no article by their element, role, id or class (menus,
 headers, footers, sidebars, notices, adverts, forms, comments) carry no text weight, nor do lines made of links.
-Scripts and styles give no line.
+Scripts and styles give no line. A form that holds the page's parts is none of these containers. Classes and ids count by
+their whole names. An article or main element inside a container that is shut by its name alone is read where it outweighs
+the other text and the page has no article elsewhere; without any text, forms are read if they have a surge.
 2. The line-block value of a line is the summed weight of ``WINDOW`` lines from it on. Where it rises to ``SURGE``
 characters, main text begins; where it falls to zero, the text dives and the segment ends. A page that marks an
 article or main element is judged inside it alone, where any text is a surge, so short paragraphs stay.
@@ -45,6 +47,17 @@ _NAMES = frozenset(
     "recommendations newsletter subscribe subscription signup login breadcrumb breadcrumbs menu nav navbar navigation footer masthead "
     "popup modal overlay widget toolbar pagination pager skip".split()
 )
+_COMMENTS = frozenset("comment comments commentlist disqus reply replies respond".split())
+#: With these a name still means nothing else; any other word (with-sidebar, no-comments, related-work) makes it another name.
+_NAME_FILLERS = frozenset(
+    "a area article articles aside bar block bottom box button buttons c container entry fixed form global group header icons info inner item "
+    "items js l label left link links list m main media message o outer page panel placeholder policy popup post posts primary right secondary "
+    "section site slot story stories this thread top unit user wrap wrapper x".split()
+)
+#: What a form holds that stands around a whole page.
+_PAGE_PARTS = re.compile(r"<(?:article|main|nav|header|footer|aside)\b|\b__VIEWSTATE\b", re.I)
+#: Marks of lines: read; in an article inside a container shut by name; in a form; in a container shut by name; never read.
+_READ, _REGAINED, _FORM, _NAMED, _SHUT = range(5)
 _TOKEN = re.compile(
     r"<!--(?:.*?-->|.*)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>?"
     r"|<(?P<end>/?)(?P<name>[A-Za-z][^\s/>]*)(?P<rest>(?:[^\"'>]++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)>?",
@@ -54,26 +67,27 @@ _ATTRIBUTE = re.compile(r"\b(class|id|role|aria-hidden|hidden)\s*=\s*(?:\"([^\"]
 _NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
-def _boilerplate(name: str, rest: str, in_article: bool) -> bool:
+def _mark(name: str, rest: str, in_article: bool) -> int:
     """Whether an element is no article by what it is called."""
-    if name in _NO_ARTICLE or (name == "header" and not in_article):
-        return True
+    mark = _FORM if name == "form" else _SHUT if name in _NO_ARTICLE or (name == "header" and not in_article) else _READ
     for attribute, *values in _ATTRIBUTE.findall(rest):
         value = html.unescape("".join(values))
         if attribute.lower() == "role" and value.strip().lower() in _ROLES:
-            return True
+            return _SHUT
         if attribute.lower() in ("class", "id") and name not in ("html", "body", "article", "main"):
-            if any(part.lower() in _NAMES for part in _NAME_PARTS.findall(value)):
-                return True
-    return False
+            for whole in value.split():
+                parts = {part.lower() for part in _NAME_PARTS.findall(whole)}
+                if parts & _NAMES and parts <= _NAMES | _NAME_FILLERS:
+                    mark = max(mark, _SHUT if parts & _COMMENTS else _NAMED)
+    return mark
 
 
 class _Lines:
-    """The lines of one page: text, weight, and whether an article element holds them."""
+    """The lines of one page: text, weight, mark, and whether an article element holds them."""
 
     def __init__(self, page: str) -> None:
-        self.lines: list[tuple[str, int, bool]] = []
-        self.open: list[tuple[str, bool, bool]] = []  # element, no article, article
+        self.lines: list[tuple[str, int, int, bool]] = []
+        self.open: list[tuple[str, int, bool]] = []  # element, mark, article
         self.parts: list[str] = []
         self.linked = self.link_depth = 0
         at = 0
@@ -92,7 +106,7 @@ class _Lines:
                 elif found["end"]:
                     self.close(name)
                 else:
-                    self.start(name, found["rest"])
+                    self.start(name, found["rest"], name == "form" and self.around_page(page, at))
         self.flush()
 
     @staticmethod
@@ -100,6 +114,11 @@ class _Lines:
         found = re.compile(rf"</{re.escape(name)}\b[^>]*>?", re.I).search(page, at)
         return found.end() if found else len(page)
 
+    @staticmethod
+    def around_page(page: str, at: int) -> bool:
+        end = re.compile(r"</?form\b", re.I).search(page, at)  # forms do not nest
+        return bool(_PAGE_PARTS.search(page, at, end.start() if end else len(page)))
+
     @staticmethod
     def after_head(page: str, at: int) -> int:
         """The head ends where it says so; without an end it is read as if it were not there."""
@@ -107,8 +126,8 @@ class _Lines:
         return found.start() if found else at
 
     @property
-    def state(self) -> tuple[bool, bool]:
-        return (self.open[-1][1], self.open[-1][2]) if self.open else (False, False)
+    def state(self) -> tuple[int, bool]:
+        return (self.open[-1][1], self.open[-1][2]) if self.open else (_READ, False)
 
     def text(self, raw: str) -> None:
         if raw:
@@ -119,15 +138,15 @@ class _Lines:
     def flush(self) -> None:
         raw = "".join(self.parts)
         if raw and (text := " ".join(html.unescape(raw).split())):
-            boilerplate, article = self.state
+            mark, article = self.state
             of_links = not article and self.linked > LINK_SHARE * len(raw)
-            self.lines.append((text, 0 if boilerplate or of_links else len(text), article))
+            self.lines.append((text, 0 if of_links else len(text), mark, article))
         self.parts, self.linked = [], 0
 
-    def start(self, name: str, rest: str) -> None:
-        boilerplate, article = self.state
+    def start(self, name: str, rest: str, around_page: bool = False) -> None:
+        mark, article = self.state
         is_article = name in ("article", "main") or 'role="main"' in rest
-        shut = _boilerplate(name, rest, article)
+        shut = _READ if around_page else _mark(name, rest, article)
         if name == "br":
             self.parts.append(" ")
         if name == "a":
@@ -138,9 +157,11 @@ class _Lines:
             self.flush()
             if name in ("p", "li", "dd", "dt", "td", "th", "tr") and self.open and self.open[-1][0] == name:
                 self.open.pop()  # its end tag is optional
-                boilerplate, article = self.state
+                mark, article = self.state
+            if is_article and mark in (_FORM, _NAMED):
+                mark = _REGAINED
             if name != "hr" and not rest.endswith("/"):
-                self.open.append((name, boilerplate or shut, article or is_article))
+                self.open.append((name, max(mark, shut), article or is_article))
 
     def close(self, name: str) -> None:
         if name == "a":
@@ -176,8 +197,15 @@ def segments(weights: list[int], surge: int, window: int = WINDOW) -> list[tuple
 def main_text(page: str | None) -> str:
     """The lines of main text of one page, one per line."""
     lines = _Lines(page or "").lines
-    marked = any(article and weight for _, weight, article in lines)
-    weights = [weight if article or not marked else 0 for _, weight, article in lines]
+    of = lambda mark, articles: [w if m == mark and (article or not articles) else 0 for _, w, m, article in lines]
+    weights = of(_READ, True)
+    marked = any(weights)
+    if not marked:
+        weights, regained = of(_READ, False), of(_REGAINED, True)
+        if marked := sum(regained) > sum(weights):
+            weights = regained
+        elif not any(weights) and segments(forms := of(_FORM, False), SURGE):
+            weights = forms
     kept = [n for a, b in segments(weights, 1 if marked else SURGE) for n in range(a, b) if weights[n]]
     if not marked and not kept:  # a page with little text all over has no surge: its weighted lines are its text
         kept = [n for n, weight in enumerate(weights) if weight]

@@ -114,6 +114,24 @@ def test_main_text_of_awkward_pages(page, text):
     assert main_text.main_text(page) == text
 
 
+TEXT = "Para which is long enough to be a surge of text, since it has so many characters in it, over eighty."
+
+
+@pytest.mark.parametrize(("page", "text"), [
+    (f"<div class='layout with-sidebar'><article><h1>T</h1><p>{TEXT}</article><div class=sidebar>side</div></div>", f"T\n{TEXT}"),
+    (f"<div class='layout sidebar'><p>out<main><h1>T</h1><p>{TEXT}<div class=share>on</div></main></div>", f"T\n{TEXT}"),
+    (f"<form id='aspnetForm'><nav>n</nav><article><p>{TEXT}</article><footer>f</footer></form>", TEXT),
+    (f"<form id='aspnetForm'><input name=__VIEWSTATE><div><p>{TEXT}</div></form>", TEXT), (f"<form><div><p>{TEXT}</div></form>", TEXT),
+    (f"<article><p>{TEXT}<section id='related-work'><p>a</section><p class='notice-period'>b<p class='no-comments'>c</article>", f"{TEXT}\na\nb\nc"),
+    (f"<article><p>{TEXT}</article><div class=related><article>{TEXT} {TEXT}</article></div>", TEXT),
+    (f"<div><p>{TEXT}</div><div class=widget><article>teaser</article></div>", TEXT),
+    *((f"<{shut}><article><p>{TEXT}</article></{shut.split()[0]}>", "") for shut in ("nav", "aside", "footer", "div class=comments", "div id=comment-list")),
+    *((f"<article><p>a<div class={name}>no</div></article>", "a") for name in ("ad-box", "cookie-notice", "related-posts", "siteFooter", "'x share-buttons'")),
+])
+def test_main_text_in_wrappers(page, text):
+    assert main_text.main_text(page) == text
+
+
 def test_surge_and_dive():
     assert main_text.line_blocks([1, 0, 0, 0, 5]) == [1, 0, 5, 5, 5]
     assert main_text.segments([0, 90, 0, 0, 0, 10, 0, 0, 0, 100], 80) == [(1, 2), (9, 10)]
