@@ -6,10 +6,13 @@ headers, footers, sidebars, notices, adverts, forms, comments) carry no text wei
 Scripts and styles give no line. A form that holds the page's parts is none of these containers. Classes and ids count by
 their whole names. An article or main element inside a container that is shut by its name alone is read where it outweighs
 the other text and the page has no article elsewhere; without any text, forms are read if they have a surge.
-2. The line-block value of a line is the summed weight of ``WINDOW`` lines from it on. Where it rises to ``SURGE``
-characters, main text begins; where it falls to zero, the text dives and the segment ends. A page that marks an
-article or main element is judged inside it alone, where any text is a surge, so short paragraphs stay.
-3. All lines with weight between a surge and its dive are kept, in page order.
+2. The line-block value of a line is the summed weight of ``WINDOW`` lines from it on; lines of those containers are left
+out before. Where it rises to ``SURGE`` characters, main text begins; where it falls to zero, the text dives and the segment
+ends. A page that marks an article or main element is judged inside it alone, where any text is a surge, so short
+paragraphs stay.
+3. Segments are extended to the next lines with weight on both sides as long as these stand in the same container.
+4. All lines of a segment are kept, in page order, but for lists made of links and, where a segment was extended, lines made
+of links in other containers.
 
 Pages are read row by row in Spark tasks, nothing is shuffled and nothing of a page is cut off.
 
@@ -22,14 +25,16 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 WINDOW = 3
 SURGE = 80
-#: A line outside an article with more than this share of its characters in links carries no weight.
+#: A line outside an article with more than this share of its characters in links carries no weight of its own.
 LINK_SHARE = 0.5
 
 # Elements by their part in a page.
@@ -56,6 +61,9 @@ _NAME_FILLERS = frozenset(
 )
 #: What a form holds that stands around a whole page.
 _PAGE_PARTS = re.compile(r"<(?:article|main|nav|header|footer|aside)\b|\b__VIEWSTATE\b", re.I)
+#: Elements whose children stand together, and lists.
+_GROUPING = frozenset("html body div section center header hgroup td th form details dialog figure article main nav aside footer".split())
+_LISTS = frozenset("ul ol dl menu".split())
 #: Marks of lines: read; in an article inside a container shut by name; in a form; in a container shut by name; never read.
 _READ, _REGAINED, _FORM, _NAMED, _SHUT = range(5)
 _TOKEN = re.compile(
@@ -82,12 +90,35 @@ def _mark(name: str, rest: str, in_article: bool) -> int:
     return mark
 
 
+class _Open(NamedTuple):
+    """An open element: its mark, whether an article holds it, the innermost container and the one around that, the list."""
+
+    name: str
+    mark: int = _READ
+    article: bool = False
+    place: int = 0
+    around: int = -1
+    list: int | None = None
+
+
+class _Line(NamedTuple):
+    text: str
+    weight: int
+    inside: _Open
+
+    @property
+    def places(self) -> set[int]:
+        """Containers that the line stands in; one whose own text it is stands beside others."""
+        return {self.inside.place, self.inside.around} if self.inside.name in _GROUPING else {self.inside.place}
+
+
 class _Lines:
-    """The lines of one page: text, weight, mark, and whether an article element holds them."""
+    """The lines of one page, without weight if made of links, and the elements that hold them."""
 
     def __init__(self, page: str) -> None:
-        self.lines: list[tuple[str, int, int, bool]] = []
-        self.open: list[tuple[str, int, bool]] = []  # element, mark, article
+        self.lines: list[_Line] = []
+        self.open: list[_Open] = []
+        self.opened = 0
         self.parts: list[str] = []
         self.linked = self.link_depth = 0
         at = 0
@@ -126,8 +157,8 @@ class _Lines:
         return found.start() if found else at
 
     @property
-    def state(self) -> tuple[int, bool]:
-        return (self.open[-1][1], self.open[-1][2]) if self.open else (_READ, False)
+    def state(self) -> _Open:
+        return self.open[-1] if self.open else _Open("")
 
     def text(self, raw: str) -> None:
         if raw:
@@ -138,13 +169,12 @@ class _Lines:
     def flush(self) -> None:
         raw = "".join(self.parts)
         if raw and (text := " ".join(html.unescape(raw).split())):
-            mark, article = self.state
-            of_links = not article and self.linked > LINK_SHARE * len(raw)
-            self.lines.append((text, 0 if of_links else len(text), mark, article))
+            of_links = not self.state.article and self.linked > LINK_SHARE * len(raw)
+            self.lines.append(_Line(text, 0 if of_links else len(text), self.state))
         self.parts, self.linked = [], 0
 
     def start(self, name: str, rest: str, around_page: bool = False) -> None:
-        mark, article = self.state
+        article = self.state.article
         is_article = name in ("article", "main") or 'role="main"' in rest
         shut = _READ if around_page else _mark(name, rest, article)
         if name == "br":
@@ -155,18 +185,22 @@ class _Lines:
             return
         if name in _BLOCK or shut:
             self.flush()
-            if name in ("p", "li", "dd", "dt", "td", "th", "tr") and self.open and self.open[-1][0] == name:
+            if name in ("p", "li", "dd", "dt", "td", "th", "tr") and self.open and self.open[-1].name == name:
                 self.open.pop()  # its end tag is optional
-                mark, article = self.state
+            _, mark, article, place, around, of_list = self.state
+            self.opened += 1
+            if name in _GROUPING:
+                place, around = self.opened, place
             if is_article and mark in (_FORM, _NAMED):
                 mark = _REGAINED
             if name != "hr" and not rest.endswith("/"):
-                self.open.append((name, max(mark, shut), article or is_article))
+                of_list = self.opened if name in _LISTS else None if name in _GROUPING else of_list
+                self.open.append(_Open(name, max(mark, shut), article or is_article, place, around, of_list))
 
     def close(self, name: str) -> None:
         if name == "a":
             self.link_depth = 0
-        at = next((n for n in range(len(self.open) - 1, -1, -1) if self.open[n][0] == name), None)
+        at = next((n for n in range(len(self.open) - 1, -1, -1) if self.open[n].name == name), None)
         if name in _BLOCK or at is not None:
             self.flush()
         if at is not None:
@@ -194,22 +228,44 @@ def segments(weights: list[int], surge: int, window: int = WINDOW) -> list[tuple
     return found if begun is None else [*found, (begun, len(blocks))]
 
 
+def _kept(lines: list[_Line], weights: list[int]) -> list[int]:
+    """The lines of the segments, extended to what stands in the same container."""
+    listed: dict[int, int] = {}  # weight of each list
+    for line, weight in zip(lines, weights, strict=True):
+        if line.inside.list is not None:
+            listed[line.inside.list] = listed.get(line.inside.list, 0) + weight
+    of_text = lambda n: weights[n] or lines[n].inside.list is None or listed[lines[n].inside.list]
+    heavy = [n for n, weight in enumerate(weights) if weight]
+    own = [[n for n in range(a, b) if weights[n]] for a, b in segments(weights, SURGE)]
+    surged = {n for some in own for n in some}
+    kept = {n for some in own for n in range(some[0], some[-1] + 1) if of_text(n)}
+    for some in own:
+        for end, step in ((some[0], -1), (some[-1], 1)):
+            at = bisect_left(heavy, end) + step
+            while 0 <= at < len(heavy) and (near := lines[end].places & lines[heavy[at]].places):
+                between = range(min(end, heavy[at]), max(end, heavy[at]) + 1)
+                kept.update(n for n in between if of_text(n) and lines[n].places & near)
+                if heavy[at] in surged:
+                    break
+                end, at = heavy[at], at + step
+    return sorted(kept)
+
+
 def main_text(page: str | None) -> str:
     """The lines of main text of one page, one per line."""
     lines = _Lines(page or "").lines
-    of = lambda mark, articles: [w if m == mark and (article or not articles) else 0 for _, w, m, article in lines]
-    weights = of(_READ, True)
-    marked = any(weights)
-    if not marked:
-        weights, regained = of(_READ, False), of(_REGAINED, True)
-        if marked := sum(regained) > sum(weights):
-            weights = regained
-        elif not any(weights) and segments(forms := of(_FORM, False), SURGE):
-            weights = forms
-    kept = [n for a, b in segments(weights, 1 if marked else SURGE) for n in range(a, b) if weights[n]]
-    if not marked and not kept:  # a page with little text all over has no surge: its weighted lines are its text
-        kept = [n for n, weight in enumerate(weights) if weight]
-    return "\n".join(lines[n][0] for n in kept)
+    of = lambda mark: [line for line in lines if line.inside.mark == mark]
+    weight = lambda some: sum(line.weight for line in some)
+    read, regained = of(_READ), [line for line in of(_REGAINED) if line.inside.article]
+    article = [line for line in read if line.inside.article]
+    if weight(article) or weight(regained) > weight(read):  # any text in an article is a surge
+        return "\n".join(line.text for line in (article if weight(article) else regained))
+    if not weight(read):
+        read = of(_FORM)
+        return "\n".join(read[n].text for n in _kept(read, [line.weight for line in read]))
+    weights = [line.weight for line in read]
+    kept = _kept(read, weights) or [n for n, w in enumerate(weights) if w]  # a page with little text all over has no surge
+    return "\n".join(read[n].text for n in kept)
 
 
 def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:

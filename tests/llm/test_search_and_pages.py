@@ -132,6 +132,22 @@ def test_main_text_in_wrappers(page, text):
     assert main_text.main_text(page) == text
 
 
+LINKS = "<ul>" + "<li><a href=x>a link</a>" * 5 + "</ul>"
+
+
+@pytest.mark.parametrize(("page", "text"), [
+    (f"<div><h1>Title</h1><div class=share>a</div><div class=share>b</div><p>{TEXT}</div>", f"Title\n{TEXT}"),
+    (f"<div><h1>Title</h1>{'<div class=ad>x</div>' * 5}<p>{TEXT}{'<div class=ad>x</div>' * 5}<p>End.</div>", f"Title\n{TEXT}\nEnd."),
+    (f"<div><p>Lead.</p>{LINKS}<p>{TEXT}</p>{LINKS}<p>Near.</p>{LINKS}<p>End.</div><div>{LINKS}<p>Other.</div>", f"Lead.\n{TEXT}\nNear.\nEnd."),
+    (f"<div><p>{TEXT}<p><a href=x>all of it a link</a><p>and {TEXT}</div>", f"{TEXT}\nall of it a link\nand {TEXT}"),
+    (f"<div><p>{TEXT}</p>{'<p><a>in between</a></p>' * 4}<p>End.</div>", "\n".join([TEXT, *["in between"] * 4, "End."])),
+    (f"<div><p>{TEXT}<ul><li><a>one</a><li>two words</ul></div><div><a>more</a></div>", f"{TEXT}\none\ntwo words"),
+    (f"<div><a>Home</a></div><div>{LINKS}</div><div><p>{TEXT}</div><div><a>Next</a></div>", TEXT),
+])
+def test_main_text_without_article_is_whole(page, text):
+    assert main_text.main_text(page) == text
+
+
 def test_surge_and_dive():
     assert main_text.line_blocks([1, 0, 0, 0, 5]) == [1, 0, 5, 5, 5]
     assert main_text.segments([0, 90, 0, 0, 0, 10, 0, 0, 0, 100], 80) == [(1, 2), (9, 10)]
