@@ -102,17 +102,27 @@ def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return decide(rows, words, groups, order, bits).where("kept").select("row.*")
 
 
-def without(docs: DataFrame, id_col: str, ids: DataFrame, bits: int = BITS) -> DataFrame:
+def without(docs: DataFrame, id_col: str, ids: DataFrame, bits: int = BITS, once: DataFrame | None = None) -> DataFrame:
     """The rows of ``docs`` whose id is not among ``ids`` (a column ``id_col``); rows with a null id stay.
 
+    Of the rows with one of the ids ``once``, none of them among ``ids``, one stays.
+
     Rows that miss the filter made of ``ids`` go straight through; the others, nearly all of them to be dropped, are
     shuffled by id.
     """
     key = lambda c: F.unhex(F.sha2(F.col(c).cast("string").cast("binary"), 256))
-    hits = ids.select(key(id_col).alias("digest")).select(F.explode(F.array(*_positions(bits))).alias("position"))
+    listed = ids.select(id_col, F.lit(False).alias("stays"))
+    if once is not None:
+        listed = listed.unionByName(once.select(id_col, F.lit(True).alias("stays")))
+    hits = listed.select(key(id_col).alias("digest")).select(F.explode(F.array(*_positions(bits))).alias("position"))
     words = written(_as_words(hits), "dropped")
     rows = docs.select(F.col(id_col).alias("id"), key(id_col).alias("digest"), F.struct("*").alias("row"))
     seen = probed(rows, words, bits)
     maybe = F.coalesce(F.col("maybe") & F.col("id").isNotNull(), F.lit(False))
-    rest = seen.where(maybe).join(ids.select(F.col(id_col).alias("id")), "id", "left_anti")
+    if once is None:
+        rest = seen.where(maybe).join(ids.select(F.col(id_col).alias("id")), "id", "left_anti")
+    else:
+        rest = seen.where(maybe).join(listed.withColumnRenamed(id_col, "id"), "id", "left").where("stays is null or stays")
+        nth = F.row_number().over(Window.partitionBy("id").orderBy(F.xxhash64(F.to_json("row"))))
+        rest = rest.withColumn("nth", nth).where("stays is null or nth = 1")
     return seen.where(~maybe).select("row.*").unionByName(rest.select("row.*"))

@@ -128,8 +128,16 @@ def _digest(grams: np.ndarray) -> bytes:
     return hashlib.blake2b(grams.tobytes(), digest_size=16).digest()
 
 
-def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
+def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
+    """Id and text of a row in 25 bytes, in the order of the ids, null last."""
+    number = F.col(id_col).cast("long")
+    ordered = F.lpad(F.hex(number.bitwiseXOR(F.lit(-(1 << 63)))), 16, "0")
+    text = F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
+    return F.unhex(F.concat(F.when(number.isNull(), F.lit("01" + "0" * 16)).otherwise(F.concat(F.lit("00"), ordered)), text))
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str, id_type: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast(id_type).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
 
 
 def _cell_points(texts: DataFrame, bound: Bound) -> DataFrame:
@@ -188,7 +196,7 @@ def _shared(keys: np.ndarray, need: int, bitmap: np.ndarray, bits: int) -> np.nd
     return kept if len(kept) >= need else keys[:0]
 
 
-_POINT_SCHEMA = "doc_id long, point binary, n_shingles long, cells array<long>, grams array<long>"
+_POINT_SCHEMA = "point binary, n_shingles long, cells array<long>, grams array<long>"
 
 
 def _points(texts: DataFrame, bound: Bound, shared, bits: int) -> DataFrame:
@@ -210,16 +218,16 @@ def _points(texts: DataFrame, bound: Bound, shared, bits: int) -> DataFrame:
                 else:
                     out.append((doc_id, point, len(grams), None, None))
                 if len(out) >= 512:
-                    yield _point_batch(out)
+                    yield _point_batch(out, batch.schema.field(0).type)
                     out = []
             if out:
-                yield _point_batch(out)
+                yield _point_batch(out, batch.schema.field(0).type)
 
-    return texts.mapInArrow(run, _POINT_SCHEMA)
+    return texts.mapInArrow(run, f"doc_id {dict(texts.dtypes)['doc_id']}, {_POINT_SCHEMA}")
 
 
-def _point_batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+def _point_batch(rows: list[tuple], id_type: pa.DataType) -> pa.RecordBatch:
+    kinds = (id_type, pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
     names = ("doc_id", "point", "n_shingles", "cells", "grams")
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
@@ -390,9 +398,9 @@ def _edge_batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(links, pa.int64())], ["a", "b", "links"])
 
 
-def join(docs: DataFrame, bound: Bound = Bound(), id_col: str = "doc_id", text_col: str = "text", bits: int = BITS) -> DataFrame:
+def join(docs: DataFrame, bound: Bound = Bound(), id_col: str = "doc_id", text_col: str = "text", bits: int = BITS, id_type: str = "long") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id and n_links (other rows that it is linked with)."""
-    texts = _texts(docs, id_col, text_col)
+    texts = _texts(docs, id_col, text_col, id_type)
     shared = _shared_cells(_cell_points(texts, bound), bits)
     points = written(_points(texts, bound, shared, bits), "points")
     copies = written(points.where("point is not null").groupBy("point").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies")), "copies")

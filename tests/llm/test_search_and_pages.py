@@ -214,6 +214,20 @@ def test_pipeline_stages(spark):
     assert {9, 17, None} <= near and not {10, 12, 18, 19} & near
 
 
+def test_near_duplicates_by_row(spark):
+    """Repeated and null ids: one row of each group stays, whatever the ids of the others."""
+    text = lambda name, *odd: " ".join([f"{name}{n}" for n in range(60)] + list(odd))
+    rows = [
+        (1, text("a")), (2, text("a", "x")), (2, text("b")), (None, text("c")), (None, text("c", "x")), (None, text("a", "y")), (5, text("d")),
+        (5, text("d", "x")), (5, text("e")), (5, text("e")), (-7, text("f")), (7, text("f", "x")), (None, None), (None, None), (None, "g"),
+    ]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = rows_of(corpus_pipeline.drop_near_duplicates(spark, table, ""))
+    groups = [{r for r in rows if r[1] and r[1].startswith(name)} for name in "abcdefg"]
+    assert [len([r for r in got if r in group]) for group in groups] == [1] * 7
+    assert {(1, text("a")), (2, text("b")), (-7, text("f")), (None, "g")} <= set(got) and got.count((None, None)) == 2 and len(got) == 9
+
+
 def test_pipeline_run(spark):
     folder = "/root/testdata/sf0.001"
     made = registry.queries()["pipeline"](spark, folder)
