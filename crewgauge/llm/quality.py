@@ -12,8 +12,8 @@ compressibility. Labels, language, source and id are no features.
 
 Features of all documents are computed once, in Spark tasks, and written; scoring reads them again and is an
 expression over an array. Moments over all documents scale the features. Only the fit uses a sample: the ``FIT_ROWS``
-positives and as many unlabelled rows with the smallest hashes of their ids, which bounds what the driver holds at every
-size of the corpus.
+positives and as many unlabelled rows with the smallest hashes of their ids and features, which bounds what the driver
+holds at every size of the corpus. Only rows alike in both are taken together.
 
 Defined results: null and empty texts have the features of the empty text and a score like any other. Null ids belong
 to no held-out fold and have no label. Repeated rows have equal scores. Without any positive label every score is 1,
@@ -146,8 +146,8 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, mean: np.nda
 
 
 def _sample(rows: DataFrame, limit: int) -> np.ndarray:
-    """The features of the ``limit`` rows with the smallest hashes of their ids; about half as many more are ranked."""
-    share, hashed = min(1.0, 1.5 * limit / max(rows.count(), 1)), F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))
+    """The features of the ``limit`` rows with the smallest hashes of their ids and features; about half as many more are ranked."""
+    share, hashed = min(1.0, 1.5 * limit / max(rows.count(), 1)), F.pmod(F.xxhash64("doc_id", "f"), F.lit(1 << 40))
     arrow = rows.where(hashed < int(share * (1 << 40))).orderBy(hashed, "doc_id").limit(limit).select("f").toArrow().column("f").combine_chunks()
     return np.asarray(arrow.values.to_numpy(), float).reshape(len(arrow), len(FEATURES))
 

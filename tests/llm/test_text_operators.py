@@ -139,6 +139,13 @@ def test_held_out_labels_do_not_matter(spark):
     assert all(0 <= r[2] <= 1 and r[3] == int(r[2] >= 0.7) for r in results[0])
 
 
+def test_sample_stands_for_null_and_repeated_ids(spark):
+    ids = [*[None] * 1000, *[1] * 1000, *range(2, 1002)]
+    table = spark.createDataFrame([(i, [float(k // 1000), float(k), *[0.0] * 15]) for k, i in enumerate(ids)], "doc_id long, f array<double>")
+    kinds = quality._sample(table, 300)[:, 0]
+    assert len(kinds) == 300 and all(60 < (kinds == kind).sum() < 140 for kind in range(3))
+
+
 def test_quality_without_positives_or_rows(spark):
     table = quality.feature_table(docs(spark))
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
