@@ -8,7 +8,10 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from crewgauge.llm import bpe, chat, exact_dedup, hamming, main_text, ngram_join, packing, quality, secret_scan, url_rules
+from crewgauge.llm import (
+    bpe, chat, exact_dedup, hamming, main_text, ngram_join, packing, parsed_repeats, periodic_runs, quality, ranked_search,
+    secret_scan, url_rules,
+)
 from crewgauge.llm.packing import default_tokenizer
 from crewgauge.llm.scratch import written
 
@@ -85,6 +88,50 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(docs, default_tokenizer("word_bpe_49k.json"), with_ids=False)
 
 
+def _with_planted_runs(docs: DataFrame) -> DataFrame:
+    """The texts of ``documents``; in every tenth, by a hash of the id, the words from some place on repeat with some period."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+
+    def repeated(words):
+        n = F.size(words).cast("bigint")
+        first = g % n
+        period = 1 + F.floor((n - first) / (3 + g % 8))
+        return F.array_join(F.transform(words, lambda w, i: F.when(i < first, w).otherwise(F.get(words, first + (i - first) % period))), " ")
+
+    words = F.array(F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)")))  # in an array, so that it is made once
+    planted = F.transform(words, lambda w: F.when(F.size(w) > 0, repeated(w)).otherwise(""))[0]
+    return docs.select("doc_id", F.when((h % 10 == 0) & F.col("text").isNotNull(), planted).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic_runs.detect(_with_planted_runs(_table(spark, folder, "documents")))
+    stronger = lambda a, b: a["period"].isNull() | (b["length"] * a["period"] > a["length"] * b["period"])
+    none = F.from_json(F.lit("{}"), "start bigint, length bigint, period bigint")
+    best = F.aggregate("runs", none, lambda a, b: F.when(stronger(a, b), b).otherwise(a))  # in order, so the first of equals stays
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return found.select(
+        "row.doc_id", F.size("runs").cast("bigint").alias("n_runs"), best.alias("best"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    ).select(
+        "doc_id", "n_runs", "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256",
+    )
+
+
+def op12_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked_search.rank(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"), k=50)
+
+
+def op13_parsed_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    kept = parsed_repeats.remove_repeats(_table(spark, folder, "documents"), with_text=False)
+    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
+    return kept.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"), "kept_sha256"
+    )
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_hamming": op2_hamming,
@@ -96,9 +143,13 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_main_text": op8_main_text,
     "op9_chat": op9_chat,
     "op10_packing": op10_packing,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_ranked_search": op12_ranked_search,
+    "op13_parsed_repeats": op13_parsed_repeats,
     "pipeline": corpus_pipeline.run,
 }
 
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 _SQL = {
@@ -162,6 +213,42 @@ _SQL = {
             CAST(sum(18 + length(role) + length(replace(replace(replace(text, '\', '\\'), '#', '\#'), '</', '<\/'))) AS BIGINT) AS formatted_chars
         FROM turns GROUP BY conv_id
     """,
+    "op12_ranked_search": rf"""
+        WITH spelt AS (SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '{_TERM}')) AS term FROM documents),
+        counts AS (SELECT doc_id, term, count(*) AS tf FROM spelt GROUP BY ALL),
+        lengths AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM counts GROUP BY doc_id),
+        totals AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM lengths),
+        weights AS (
+            SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+            FROM counts, totals GROUP BY term, docs
+        ), asked AS (SELECT DISTINCT item_id, unnest(regexp_extract_all({_LOWER}, '{_TERM}')) AS term FROM benchmark),
+        scores AS (
+            SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // terms)))) AS BIGINT) AS score
+            FROM asked JOIN counts USING (term) JOIN weights USING (term) JOIN lengths USING (doc_id), totals GROUP BY ALL
+        ), ranked AS (
+            SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM scores WHERE score > 0
+        )
+        SELECT * FROM ranked WHERE rank <= 50
+    """,
+    "op13_parsed_repeats": """
+        WITH texts AS (SELECT row_number() OVER () AS n, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+        windows AS (
+            SELECT n, i, md5(substr(h, CAST(2 * i + 1 AS BIGINT), 800)) AS digest
+            FROM (SELECT n, h, unnest(range(0, greatest(length(h) // 2 - 399, 0))) AS i FROM texts)
+        ), repeated AS (
+            SELECT n, i FROM (SELECT n, i, count(*) OVER (PARTITION BY digest) AS c FROM windows) WHERE c > 1
+        ), numbered AS (
+            SELECT n, i, sum(CAST(i - before > 400 OR before IS NULL AS INTEGER)) OVER (PARTITION BY n ORDER BY i) AS span
+            FROM (SELECT n, i, lag(i) OVER (PARTITION BY n ORDER BY i) AS before FROM repeated)
+        ), spans AS (SELECT n, span, min(i) AS a, max(i) + 400 AS b FROM numbered GROUP BY n, span),
+        edges AS (
+            SELECT n, a AS stop, lag(b, 1, 0) OVER (PARTITION BY n ORDER BY a) AS start FROM spans
+            UNION ALL SELECT t.n, length(any_value(h)) // 2, coalesce(max(b), 0) FROM texts t LEFT JOIN spans s ON s.n = t.n GROUP BY t.n
+        ), kept AS (SELECT n, string_agg(substr(h, CAST(2 * start + 1 AS BIGINT), CAST(2 * (stop - start) AS BIGINT)), '' ORDER BY start) AS k FROM edges JOIN texts USING (n) GROUP BY n),
+        removed AS (SELECT n, count(*) AS spans, CAST(sum(b - a) AS BIGINT) AS bytes FROM spans GROUP BY n)
+        SELECT doc_id, length(h) // 2 AS n_bytes, coalesce(bytes, 0) AS n_removed, coalesce(spans, 0) AS n_spans, sha256(unhex(k)) AS kept_sha256
+        FROM texts JOIN kept USING (n) LEFT JOIN removed USING (n)
+    """,
 }
 
 
