@@ -18,7 +18,7 @@ from tests.llm.test_join import by_pairs
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_matches_sql(spark, name):
     connection = duckdb.connect()
-    for table in ("documents", "pages", "embeddings", "conversations"):
+    for table in ("documents", "pages", "embeddings", "conversations", "benchmark"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{registry.SMOKE_DIR}/{table}.parquet'")
     made = registry.queries()[name](spark, registry.SMOKE_DIR)
     assert normal(made.columns, made.collect()) == sql_result(connection, registry.oracle_sql()[name])
