@@ -19,7 +19,8 @@ from crewgauge.plans import gold, headlines, measures, quality, silver, study  #
 from crewgauge.plans import warehouse as warehouse_plan  # noqa: E402
 from crewgauge.session import scratch_database, scratch_path  # noqa: E402
 from crewgauge.sinks import document, extracts  # noqa: E402
-from crewgauge.sinks.tables import LAYERS, Warehouse, stored  # noqa: E402
+from crewgauge.plans.publish import ConstraintError  # noqa: E402
+from crewgauge.sinks.tables import AUDIT, LAYERS, Warehouse, stored  # noqa: E402
 from crewgauge.sources.bronze import Bronze  # noqa: E402
 from crewgauge.sources.csv_files import bronze_from_csv  # noqa: E402
 from crewgauge.sources.order_tables import PARAMS, read_bronze  # noqa: E402
@@ -204,10 +205,36 @@ class Frames:
 
     def new_warehouse(self, root: str, buckets: int | None = None) -> Warehouse:
         made = Warehouse(self.spark, root.rsplit("/", 1)[1].replace("-", "_") + "_", root, buckets)
-        for layer in LAYERS:
+        for layer in (*LAYERS, AUDIT):
             scratch_database(made.database(layer))
         return made
 
+    @cached_property
+    def refused(self) -> DataFrame:
+        """What the audit says of a second build with planted faults, and the rows that readers see after it.
+
+        Planted are every hundredth employee a second time, and recruitment rows and absences of numbers that nobody has.
+        """
+        built = self.new_warehouse(scratch_path(self.spark, "refused"))
+        built.create_layers()
+        raw = warehouse_plan.load_bronze(built, self.built)
+        warehouse_plan.build_silver(built, raw, PARAMS)
+        number = F.col("EmployeeNumber")
+        faulty = replace(
+            raw,
+            employees=raw.employees.unionByName(raw.employees.where(number % 100 == 0)),
+            recruitment=raw.recruitment.unionByName(raw.recruitment.where(number % 100 == 7).withColumn("EmployeeNumber", -number)),
+            spells=raw.spells.withColumn("EmployeeNumber", F.when(number % 100 == 13, -number).otherwise(number)),
+        )
+        try:
+            warehouse_plan.build_silver(built, faulty, PARAMS)
+        except ConstraintError as refusal:
+            report = refusal.report
+        else:
+            raise AssertionError("the faulty build was published")
+        seen = quality.row_counts({n: built.table("silver", n) for n in built.table_names("silver")})
+        return report.unionByName(seen.withColumn("rule", F.lit("seen")), allowMissingColumns=True)
+
     @cached_property
     def bucketed(self) -> Warehouse:
         """The same build with the employee tables bucketed, so that they join without a shuffle."""
@@ -351,6 +378,7 @@ _QUERIES: dict[str, Callable[[Frames], DataFrame]] = {
     "quality_unique": lambda f: quality.repeated_keys(f.star),
     "quality_orphans": lambda f: quality.orphans(f.star),
     "quality_counts": lambda f: quality.row_counts(f.star.tables()),
+    "publish_refused": lambda f: f.refused,
     # Files, stored tables and extracts, written to the shared folder and read back
     "csv_turnover": lambda f: f.from_csv.turnover,
     "csv_absence_by_reason": lambda f: f.from_csv.reasons,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
@@ -74,6 +75,38 @@ def orphans(star: Star) -> DataFrame:
     return _stack([check(*reference) for reference in REFERENCES])
 
 
+def violations(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Every value that breaks a declared key or reference of ``tables``, with the number of its rows.
+
+    ``rule`` is ``unique`` (a key that occurs more than once), ``not null`` (the key of a table is missing; ``key`` is null) or
+    ``reference`` (a value that the referenced table does not have). Constraints of tables that are not given are left out.
+    Rows are counted per value first, so a value that a third of the rows share is one row afterwards.
+    """
+    found = []
+
+    def report(rows: DataFrame, table: str, column: str, rule: str, target: str | None = None) -> None:
+        found.append(
+            rows.select(
+                F.lit(table).alias("table_name"), F.lit(column).alias("column_name"), F.lit(rule).alias("rule"),
+                F.lit(target).cast("string").alias("references_table"), F.col(column).cast("string").alias("key"), "row_count",
+            )
+        )
+
+    def uses(table: str, column: str) -> DataFrame:
+        return tables[table].groupBy(column).agg(F.count("*").alias("row_count"))
+
+    for table, columns in UNIQUE.items():
+        if table in tables:
+            for column in columns:
+                report(uses(table, column).where(F.col(column).isNotNull() & (F.col("row_count") > 1)), table, column, "unique")
+            report(uses(table, columns[0]).where(F.col(columns[0]).isNull()), table, columns[0], "not null")
+    for table, column, target in REFERENCES:
+        if table in tables and target in tables:
+            used = uses(table, column).where(F.col(column).isNotNull())
+            report(used.join(tables[target].select(column), column, "left_anti"), table, column, "reference", target)
+    return _stack(found)
+
+
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return _stack(
         [df.agg(F.count("*").alias("row_count")).select(F.lit(n).alias("table_name"), "row_count") for n, df in tables.items()]

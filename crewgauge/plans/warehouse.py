@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from crewgauge.params import Params
 from crewgauge.plans import gold, silver
+from crewgauge.plans.publish import publish_checked
 from crewgauge.plans.silver import Star
 from crewgauge.sinks.tables import Warehouse
 from crewgauge.sources.bronze import Bronze
@@ -24,8 +25,11 @@ def load_bronze(warehouse: Warehouse, bronze: Bronze) -> Bronze:
 
 
 def build_silver(warehouse: Warehouse, bronze: Bronze, params: Params) -> Star:
-    """Dimensions are stored first: the facts then join tables whose size is on record."""
-    names = warehouse.replace_all(
+    """All silver tables, published together once their keys and references hold (``publish_checked``).
+
+    Dimensions are stored first: the facts then join tables whose size is on record.
+    """
+    staged = warehouse.stage_all(
         "silver",
         {
             "dim_department": silver.dim_department(bronze.employees),
@@ -33,10 +37,10 @@ def build_silver(warehouse: Warehouse, bronze: Bronze, params: Params) -> Star:
             "dim_date": silver.dim_date(bronze.hires, params.as_of),
         },
     )
-    departments, roles = names["dim_department"], names["dim_job_role"]
+    departments, roles = staged["dim_department"].rows, staged["dim_job_role"].rows
     hired = silver.hired_rows(bronze, params)
     keyed = {"unique_key": "employee_key"}
-    facts = warehouse.replace_all(
+    staged |= warehouse.stage_all(
         "silver",
         {
             "dim_employee": silver.dim_employee(bronze.employees, departments, roles),
@@ -49,7 +53,7 @@ def build_silver(warehouse: Warehouse, bronze: Bronze, params: Params) -> Star:
         fact_recruitment=keyed,
         fact_absence={"order": ("employee_key", "absence_date", "absence_key")},
     )
-    return Star(**names, **facts)
+    return Star(**publish_checked(warehouse, "silver", staged))
 
 
 def build_gold(warehouse: Warehouse, star: Star, params: Params) -> list[str]:

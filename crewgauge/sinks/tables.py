@@ -11,8 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from crewgauge.session import scratch_path
 
 LAYERS = ("bronze", "silver", "gold")
+#: The database of audit reports, one table for each audited layer.
+AUDIT = "audit"
 # Between a table's name and the number of its version.
 _VERSION = "__version_"
+# The property of a table's view that holds the number of the version it shows.
+_PROPERTY = "crewgauge.version"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -42,8 +46,8 @@ class Warehouse:
     def database(self, layer: str) -> str:
         return f"{self.prefix}{layer}"
 
-    def create_layers(self) -> None:
-        for layer in LAYERS:
+    def create_layers(self, *layers: str) -> None:
+        for layer in layers or LAYERS:
             place = f" LOCATION '{self.root}/{layer}'" if self.root else ""
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database(layer)}{place}")
 
@@ -59,19 +63,22 @@ class Warehouse:
         start = f"{name}{_VERSION}".lower()
         return sorted(int(n[len(start) :]) for n in names if n.lower().startswith(start))
 
-    def replace(
+    def published(self, layer: str, name: str) -> int | None:
+        """The version that readers of the table see."""
+        if not self.spark.catalog.tableExists(f"{self.database(layer)}.{name}"):
+            return None
+        rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.database(layer)}.{name}").collect()
+        return next((int(r["value"]) for r in rows if r["key"] == _PROPERTY), None)
+
+    def stage(
         self,
         layer: str,
         name: str,
         df: DataFrame,
         unique_key: str | None = None,
         order: tuple[str, ...] = (),
-    ) -> DataFrame:
-        """Write ``df`` as the table's new content and return the stored table.
-
-        The content is a table of its own, and ``name`` is a view that is switched to it when it
-        is complete, so readers see the old or the new rows at every moment. The version before
-        is kept for those who still read it; older ones are dropped.
+    ) -> Staged:
+        """Write ``df`` as a new version of the table, which no reader sees before it is published.
 
         ``unique_key`` names the key of a table that has one row per key. Where buckets are in
         use the table is bucketed on it, so such tables join without a shuffle. A table in which one key may own a large share of the rows
@@ -88,22 +95,63 @@ class Warehouse:
         writer = laid_out.write.mode("overwrite").format("parquet")
         if unique_key and self.buckets:
             writer = writer.bucketBy(self.buckets, unique_key).sortBy(unique_key)
-        old = self.versions(layer, name)
-        database, version = self.database(layer), f"{name}{_VERSION}{max(old, default=0) + 1}"
-        writer.saveAsTable(f"{database}.{version}")
-        self.spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS SELECT * FROM {database}.{version}")
-        for number in old[:-1]:
-            self.spark.sql(f"DROP TABLE IF EXISTS {database}.{name}{_VERSION}{number}")
+        staged = Staged(self, layer, name, max(self.versions(layer, name), default=0) + 1)
+        writer.saveAsTable(staged.full_name)
+        return staged
+
+    def publish(self, staged: Staged) -> DataFrame:
+        """Switch the table's readers to a staged version.
+
+        The content is a table of its own, and the name is a view on it, so readers see the old or the new rows at every
+        moment. The version before is kept for those who still read it; all others are dropped.
+        """
+        layer, name, before = staged.layer, staged.name, self.published(staged.layer, staged.name)
+        view = f"{self.database(layer)}.{name}"
+        self.spark.sql(
+            f"CREATE OR REPLACE VIEW {view} TBLPROPERTIES ('{_PROPERTY}' = '{staged.version}') AS SELECT * FROM {staged.full_name}"
+        )
+        for number in self.versions(layer, name):
+            if number < staged.version and number != before:
+                Staged(self, layer, name, number).discard()
         return self.table(layer, name)
 
-    def replace_all(self, layer: str, tables: Mapping[str, DataFrame], **options: dict) -> dict[str, DataFrame]:
-        """Replace tables that do not read each other, submitting their jobs side by side.
+    def replace(self, layer: str, name: str, df: DataFrame, **options) -> DataFrame:
+        """Write ``df`` as the table's new content, show it to readers and return the stored table. Options as in ``stage``."""
+        return self.publish(self.stage(layer, name, df, **options))
 
-        ``options`` gives the ``replace`` arguments of single tables by name.
+    def stage_all(self, layer: str, tables: Mapping[str, DataFrame], **options: dict) -> dict[str, Staged]:
+        """Stage tables that do not read each other, submitting their jobs side by side.
+
+        ``options`` gives the ``stage`` arguments of single tables by name.
         """
         with ThreadPoolExecutor(max_workers=max(len(tables), 1)) as pool:
             writes = {
-                name: pool.submit(self.replace, layer, name, df, **options.get(name, {}))
+                name: pool.submit(self.stage, layer, name, df, **options.get(name, {}))
                 for name, df in tables.items()
             }
             return {name: write.result() for name, write in writes.items()}
+
+    def replace_all(self, layer: str, tables: Mapping[str, DataFrame], **options: dict) -> dict[str, DataFrame]:
+        """``replace`` for tables that do not read each other."""
+        return {name: self.publish(staged) for name, staged in self.stage_all(layer, tables, **options).items()}
+
+
+@dataclass(frozen=True)
+class Staged:
+    """A stored version of a table."""
+
+    warehouse: Warehouse
+    layer: str
+    name: str
+    version: int
+
+    @property
+    def full_name(self) -> str:
+        return f"{self.warehouse.database(self.layer)}.{self.name}{_VERSION}{self.version}"
+
+    @property
+    def rows(self) -> DataFrame:
+        return self.warehouse.spark.table(self.full_name)
+
+    def discard(self) -> None:
+        self.warehouse.spark.sql(f"DROP TABLE IF EXISTS {self.full_name}")

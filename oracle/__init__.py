@@ -482,6 +482,30 @@ _ORPHANS = " UNION ALL ".join(
     for t, c, r in _LINKS
 )
 
+# A build with planted faults: every hundredth employee twice, recruitment rows and absences of nobody.
+_FAULTY = {
+    **_SILVER,
+    "dim_employee": f"{_SILVER['dim_employee']} UNION ALL SELECT * FROM ({_SILVER['dim_employee']}) WHERE employee_key % 100 = 0",
+    "fact_employment": f"{_FACT_EMPLOYMENT} UNION ALL SELECT * FROM ({_FACT_EMPLOYMENT}) WHERE employee_key % 100 = 0",
+    "fact_absence": f"SELECT * REPLACE (CASE WHEN employee_key % 100 = 13 THEN -employee_key ELSE employee_key END AS employee_key) FROM ({_FACT_ABSENCE})",
+    "fact_recruitment": f"""SELECT row_number() OVER (ORDER BY employee_key) AS recruitment_key, employee_key FROM (
+        SELECT employee_key FROM ({_FACT_RECRUITMENT}) UNION ALL SELECT -employee_key FROM ({_FACT_RECRUITMENT}) WHERE employee_key % 100 = 7)""",
+}
+
+_REFUSED = " UNION ALL ".join(
+    [
+        f"""SELECT '{t}' AS table_name, '{c}' AS column_name, 'unique' AS rule, CAST(NULL AS VARCHAR) AS references_table,
+        CAST({c} AS VARCHAR) AS key, count(*) AS row_count FROM ({_FAULTY[t]}) WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1"""
+        for t, c in _KEYS
+    ]
+    + [
+        f"""SELECT '{t}', '{c}', 'reference', '{r}', CAST({c} AS VARCHAR), count(*) FROM ({_FAULTY[t]})
+        WHERE {c} NOT IN (SELECT {c} FROM ({_FAULTY[r]}) WHERE {c} IS NOT NULL) GROUP BY {c}"""
+        for t, c, r in _LINKS
+    ]
+    + [f"SELECT table_name, NULL, 'seen', NULL, NULL, row_count FROM ({_COUNTS})"]
+)
+
 _BY_DEPARTMENT = """SELECT dept AS department_name, count(*) AS headcount, CAST(sum(leaver) AS BIGINT) AS leavers,
     round(100.0::DOUBLE * sum(leaver) / count(*), 1) AS attrition_pct FROM employment GROUP BY dept"""
 
@@ -544,6 +568,7 @@ _SELECTS = {
     "quality_unique": _UNIQUE,
     "quality_orphans": _ORPHANS,
     "quality_counts": _COUNTS,
+    "publish_refused": _REFUSED,
     "document_kpis": _HEADLINE,
     "document_regression": f"""SELECT f.observations, f.pseudo_r2_mcfadden, f.converged, o.* EXCLUDE (model)
         FROM ({_SINGLE_ODDS}) o JOIN ({_SINGLE_FIT}) f ON f.model = o.model WHERE o.model = 'long_tenure'""",

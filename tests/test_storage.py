@@ -5,10 +5,12 @@ from datetime import date
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from crewgauge import schemas
 from crewgauge.plans import gold, headlines, measures, quality, silver
 from crewgauge.plans import warehouse as plan
+from crewgauge.plans.publish import ConstraintError, publish_checked
 from crewgauge.session import shared_dir
 from crewgauge.sinks import extracts
 from crewgauge.sinks.tables import Warehouse
@@ -184,6 +186,41 @@ def test_release_leaves_nothing_behind(spark):
     assert not list(Path(shared_dir(spark).removeprefix("file:")).glob("crewgauge/run-*"))
 
 
+def test_nothing_is_published_before_the_audit(spark, tmp_path):
+    house = Warehouse(spark, prefix="audited_", root=str(tmp_path / "house"), buckets=2)
+    good = bronze(spark, people(12), SPELLS[:5])
+    plan.build(house, good, PARAMS)
+    before = {n: house.table("silver", n).collect() for n in house.table_names("silver")}
+    versions = {n: house.versions("silver", n) for n in before}
+    twice = bronze(spark, people(12) + [{"n": 3}], [*SPELLS[:5], (99, date(2025, 1, 1), 1, "Illness"), (None, date(2025, 1, 1), 1, "Illness")])
+    for _ in range(2):
+        with pytest.raises(ConstraintError, match="dim_employee.employee_key: unique, 1 values in 2 rows") as refused:
+            plan.build(house, twice, PARAMS)
+        rows = {(r["table_name"], r["rule"], r["key"]): r["row_count"] for r in refused.value.report.collect()}
+        # The employee 3 is there twice, and so are the hires that join with it.
+        assert rows["dim_employee", "unique", "3"] == 2 and rows["fact_absence", "reference", "99"] == 1
+        assert {n: house.table("silver", n).collect() for n in before} == before
+        assert {n: house.versions("silver", n) for n in before} == versions
+        assert house.table("audit", "silver").count() == len(rows)
+    plan.build(house, good, PARAMS)
+    assert house.table("audit", "silver").count() == 0
+    assert all(len(house.versions("silver", n)) == 2 for n in before)
+
+
+def test_audit_reads_published_tables_too(spark, tmp_path):
+    house = Warehouse(spark, prefix="partly_", root=str(tmp_path / "house"))
+    plan.build(house, bronze(spark, people(6), SPELLS[:3]), PARAMS)
+    absences = house.table("silver", "fact_absence")
+    missing = absences.withColumn("absence_key", F.lit(None).cast("bigint"))
+    with pytest.raises(ConstraintError, match="fact_absence.absence_key: not null, 1 values in 3 rows"):
+        publish_checked(house, "silver", {"fact_absence": house.stage("silver", "fact_absence", missing)})
+    unknown = absences.withColumn("employee_key", F.lit(77).cast("bigint"))
+    with pytest.raises(ConstraintError, match="fact_absence.employee_key: reference, 1 values in 3 rows"):
+        publish_checked(house, "silver", {"fact_absence": house.stage("silver", "fact_absence", unknown)})
+    publish_checked(house, "silver", {"fact_absence": house.stage("silver", "fact_absence", absences.limit(0))})
+    assert house.table("silver", "fact_absence").count() == 0
+
+
 def test_report_order_of_marts(spark):
     import __spark_entry__ as registry
     from crewgauge.plans.gold import MART_ORDER, ordered_mart
