@@ -34,13 +34,9 @@ except ModuleNotFoundError as missing:
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 RAW_SCHEMAS = {"employees": schemas.EMPLOYEES, "absence": schemas.ABSENCE, "recruitment": schemas.RECRUITMENT}
-HEADLINE_COLUMNS = (
-    "is_active", "attrition_flag", "termination_date", "department_name", "job_role_name", "tenure_band", "age_band", "overtime",
-    "work_life_balance", "absence_hours", "scheduled_hours", "absence_days", "source_channel", "quality_of_hire",
-    "performance_score", "retention_score", "ramp_score", "hm_satisfaction_score", "time_to_fill_days", "recruiting_cost",
-)
 STUDY_COLUMNS = tuple(dict.fromkeys([
-    *HEADLINE_COLUMNS, *study.MEASURES, *study.TESTED_DRIVERS,
+    "is_active", "attrition_flag", "termination_date", "absence_hours", "scheduled_hours", "absence_days", "source_channel", "quality_of_hire",
+    "time_to_fill_days", *study.MEASURES, *study.TESTED_DRIVERS,
 ]))
 TRAILING_YEAR = replace(PARAMS, turnover_window_days=365)
 
@@ -108,11 +104,10 @@ class Frames:
     def stored(self) -> Frames:
         """The same frames over a stored analysis table, for queries made of several marts.
 
-        It has the columns that the overall marts and the study read, not the whole table.
+        It has the columns that the headline and the study read, not the whole table.
         """
         again = Frames(self.spark, self.folder)
         again.__dict__["analysis"] = stored(self.analysis.select(*STUDY_COLUMNS), "analysis")
-        again.__dict__["quality_of_hire"] = stored(again.quality_of_hire, "quality_of_hire")
         return again
 
     @cached_property
@@ -141,15 +136,13 @@ class Frames:
 
     @cached_property
     def kpis(self) -> DataFrame:
-        return headlines.headline(self.turnover, self.absenteeism, self.quality_of_hire)
+        """The headline read from stored marts."""
+        marts = (self.warehouse.table("gold", f"kpi_{n}") for n in ("turnover", "absenteeism", "quality_of_hire"))
+        return headlines.headline(*marts)
 
     @cached_property
     def headline(self) -> DataFrame:
-        """The headline figures from one pass over their columns."""
-        again = Frames(self.spark, self.folder)
-        again.__dict__["analysis"] = stored(self.analysis.select(*HEADLINE_COLUMNS), "analysis")
-        again.__dict__["quality_of_hire"] = stored(again.quality_of_hire, "quality_of_hire")
-        return again.kpis
+        return headlines.headline_of(self.analysis, PARAMS)
 
     @cached_property
     def single(self) -> dict[str, tuple[DataFrame, DataFrame]]:
@@ -171,7 +164,7 @@ class Frames:
         """The whole study document, written as JSON and read back."""
         f = self.stored
         tests = study.continuous_tests(f.analysis), study.categorical_tests(f.analysis)
-        return self.written(study.study_document(self.spark, f.kpis, *tests, f.regression))
+        return self.written(study.study_document(self.spark, f.headline, *tests, f.regression))
 
     def written(self, made: DataFrame) -> DataFrame:
         path = scratch_path(self.spark, "study")
@@ -316,6 +309,7 @@ _QUERIES: dict[str, Callable[[Frames], DataFrame]] = {
     # Headlines and listings
     "best_worst_source": lambda f: headlines.best_worst_source(stored(f.quality_of_hire, "quality_of_hire")),
     "headline": lambda f: _flat_kpis(f.headline),
+    "warehouse_headline": lambda f: _flat_kpis(f.kpis),
     "turnover_by_department": lambda f: headlines.turnover_by_department(f.turnover),
     "quality_by_channel": lambda f: headlines.quality_by_channel(f.quality_of_hire),
     # Reporting measures
@@ -327,7 +321,20 @@ _QUERIES: dict[str, Callable[[Frames], DataFrame]] = {
     "turnover_status": lambda f: rounded(
         measures.evaluate(f.analysis, ["turnover_rate", "turnover_status"], by=["tenure_band"])
     ),
+    "measures_with_subtotals": lambda f: rounded(measures.with_subtotals(f.analysis, by=["department_name", "job_role_name"])),
+    "measures_grouping_sets": lambda f: rounded(
+        measures.with_subtotals(
+            f.analysis, ["headcount", "turnover_rate", "avg_bradford_factor"], ["age_band", "gender", "overtime"], "is_active = 1",
+            [["age_band", "gender"], ["overtime"], []],
+        )
+    ),
     "absence_trend": lambda f: measures.absence_hours_trend(f.spells, f.calendar),
+    "absence_trend_filtered": lambda f: measures.absence_hours_trend(
+        f.spells, f.calendar, f.analysis, by=["department_name"], where="overtime = 1"
+    ),
+    "absence_trend_of_some": lambda f: measures.absence_hours_trend(
+        f.spells, f.calendar, f.analysis, where="gender = 'Female' AND is_active = 1", spells_where="absence_days >= 3"
+    ),
     # Study
     "contingency": lambda f: study.contingency_table(f.analysis),
     "chi_square": _chi_square,

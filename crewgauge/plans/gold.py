@@ -105,9 +105,42 @@ def separations_in_window(params: Params) -> Column:
     return F.when(F.col("termination_date") > start, flag).otherwise(F.lit(0))
 
 
+def turnover_totals(params: Params) -> dict[str, Column]:
+    return {"headcount_current": F.sum("is_active"), "separations": F.sum(separations_in_window(params))}
+
+
+def average_heads() -> Column:
+    return F.col("headcount_current") + F.col("separations") / real(2)
+
+
+def turnover_pct() -> Column:
+    return percent(F.col("separations"), average_heads(), 1)
+
+
+def absence_totals() -> dict[str, Column]:
+    """Whole units: a sum of doubles would depend on the order of arrival."""
+    return {
+        "employees": F.count("*"),
+        "hour_units": whole_units(F.col("absence_hours"), HOUR_PLACES),
+        "scheduled_tenths": whole_units(F.col("scheduled_hours"), 1),
+        "days": F.sum("absence_days"),
+    }
+
+
+def absence_figures() -> dict[str, Column]:
+    """Hours, scheduled hours, rate and days a head over columns of ``absence_totals``."""
+    hours, scheduled = F.col("hour_units") / real(10**HOUR_PLACES), F.col("scheduled_tenths") / real(10)
+    return {
+        "absence_hours": F.round(hours, 0),
+        "scheduled_hours": F.round(scheduled, 0),
+        "absenteeism_rate_pct": percent(hours, scheduled, 2),
+        "avg_absence_days": F.round(ratio(F.col("days"), F.col("employees")), 2),
+    }
+
+
 def kpi_turnover(analysis: DataFrame, params: Params = Params()) -> DataFrame:
     heads, seps = F.col("headcount_current"), F.col("separations")
-    average = heads + seps / real(2)
+    average = average_heads()
     segments = {
         "Department": F.col("department_name"),
         "Job role": F.col("job_role_name"),
@@ -115,17 +148,13 @@ def kpi_turnover(analysis: DataFrame, params: Params = Params()) -> DataFrame:
         "Age band": F.col("age_band"),
         "Overtime": bands.overtime_label(F.col("overtime")),
     }
-    totals = {
-        "headcount_current": F.sum("is_active"),
-        "separations": F.sum(separations_in_window(params)),
-    }
-    return by_segments(analysis, segments, totals, ("Overall", "All employees")).select(
+    return by_segments(analysis, segments, turnover_totals(params), ("Overall", "All employees")).select(
         "segment_type",
         "segment",
         heads,
         seps,
         F.round(average, 1).alias("avg_headcount"),
-        percent(seps, average, 1).alias("turnover_pct"),
+        turnover_pct().alias("turnover_pct"),
     )
 
 
@@ -135,52 +164,45 @@ def kpi_absenteeism(analysis: DataFrame) -> DataFrame:
         "Overtime": bands.overtime_label(F.col("overtime")),
         "Work-life balance": bands.prefixed("WLB rating ", F.col("work_life_balance")),
     }
-    totals = {
-        "employees": F.count("*"),
-        # Whole units: a sum of doubles would depend on the order of arrival.
-        "hour_units": whole_units(F.col("absence_hours"), HOUR_PLACES),
-        "scheduled_tenths": whole_units(F.col("scheduled_hours"), 1),
-        "days": F.sum("absence_days"),
-    }
-    hours, scheduled = F.col("hour_units") / real(10**HOUR_PLACES), F.col("scheduled_tenths") / real(10)
-    return by_segments(analysis, segments, totals, ("Overall", "All employees")).select(
-        "segment_type",
-        "segment",
-        "employees",
-        F.round(hours, 0).alias("absence_hours"),
-        F.round(scheduled, 0).alias("scheduled_hours"),
-        percent(hours, scheduled, 2).alias("absenteeism_rate_pct"),
-        F.round(ratio(F.col("days"), F.col("employees")), 2).alias("avg_absence_days"),
+    return by_segments(analysis, segments, absence_totals(), ("Overall", "All employees")).select(
+        "segment_type", "segment", "employees", *(figure.alias(name) for name, figure in absence_figures().items())
     )
 
 
-def kpi_quality_of_hire(analysis: DataFrame) -> DataFrame:
-    """Averages by source channel. A score that is NULL for a person is left out of its average."""
-    segments = {"Source channel": F.col("source_channel")}
-    # Measure -> (source column, decimals stored in it, decimals reported).
-    averages = {
-        "quality_of_hire": ("quality_of_hire", 1, 1),
-        "performance_score": ("performance_score", 1, 1),
-        "retention_score": ("retention_score", 1, 1),
-        "ramp_score": ("ramp_score", 1, 1),
-        "hm_satisfaction_score": ("hm_satisfaction_score", 1, 1),
-        "avg_time_to_fill": ("time_to_fill_days", 0, 0),
-        "avg_recruiting_cost": ("recruiting_cost", 0, 0),
-    }
-    totals = {"hires": F.count("*")}
-    for name, (column, stored, _) in averages.items():
+# Measure -> (source column, decimals stored in it, decimals reported).
+HIRE_AVERAGES = {
+    "quality_of_hire": ("quality_of_hire", 1, 1),
+    "performance_score": ("performance_score", 1, 1),
+    "retention_score": ("retention_score", 1, 1),
+    "ramp_score": ("ramp_score", 1, 1),
+    "hm_satisfaction_score": ("hm_satisfaction_score", 1, 1),
+    "avg_time_to_fill": ("time_to_fill_days", 0, 0),
+    "avg_recruiting_cost": ("recruiting_cost", 0, 0),
+}
+
+
+def hire_totals(*names: str) -> dict[str, Column]:
+    """Sum and count behind each named average; they add up over groups."""
+    totals = {}
+    for name in names:
+        column, stored, _ = HIRE_AVERAGES[name]
         totals[f"{name}_sum"] = whole_units(F.col(column), stored)
         totals[f"{name}_n"] = F.count(column)
+    return totals
+
+
+def hire_average(name: str) -> Column:
+    """The reported average over columns of ``hire_totals``. A score that is NULL for a person is left out of it."""
+    _, stored, reported = HIRE_AVERAGES[name]
+    return F.round(ratio(F.col(f"{name}_sum") / real(10**stored), F.col(f"{name}_n")), reported)
+
+
+def kpi_quality_of_hire(analysis: DataFrame) -> DataFrame:
+    """Averages by source channel."""
+    segments = {"Source channel": F.col("source_channel")}
+    totals = {"hires": F.count("*"), **hire_totals(*HIRE_AVERAGES)}
     return by_segments(analysis, segments, totals, ("Overall", "All hires")).select(
-        "segment_type",
-        "segment",
-        "hires",
-        *(
-            F.round(
-                ratio(F.col(f"{name}_sum") / real(10**stored), F.col(f"{name}_n")), reported
-            ).alias(name)
-            for name, (_, stored, reported) in averages.items()
-        ),
+        "segment_type", "segment", "hires", *(hire_average(name).alias(name) for name in HIRE_AVERAGES)
     )
 
 
@@ -211,22 +233,23 @@ def attrition_drivers(analysis: DataFrame) -> DataFrame:
 def absence_by_reason(spells: DataFrame) -> DataFrame:
     """Spells and hours per reason with the share of all hours.
 
-    The per-reason sums are stored when the frame is made, so the absences are read once for both
-    the sums and their total. The total is a scalar subquery over them, not a window, so the
-    number of distinct reasons may grow without meeting in one task. (A subquery over the unstored
-    sums would share their shuffle too, but adaptive execution then leaves hot partitions of the
-    joins unsplit.)
+    One lazy plan: the sums per reason are grouped once more by reason and by nothing, and the reasons are joined with the one row of
+    the total. No window, so the number of distinct reasons may grow without meeting in one task.
     """
     units = whole_units(F.col("absence_hours"), HOUR_PLACES).alias("units")
     sums = spells.groupBy("reason_code").agg(F.count("*").alias("spells"), units)
+    both = sums.groupingSets([[F.col("reason_code")], []], "reason_code").agg(
+        F.grouping_id().alias("total"), F.sum("spells").alias("spells"), F.sum("units").alias("units")
+    )
     scale = real(10**HOUR_PLACES)
-    reasons = stored(sums, "reasons").withColumn("hours", F.col("units") / scale)
-    total = reasons.agg(F.sum("units") / scale).scalar()
-    return reasons.select(
+    # With the same columns as the reasons, so that both read one shuffle of the sums.
+    whole = both.where("total = 1").select((F.col("units") / scale).alias("all_hours"), F.col("spells").alias("all_spells"))
+    reasons = both.where("total = 0").withColumn("hours", F.col("units") / scale)
+    return reasons.join(F.broadcast(whole)).select(
         "reason_code",
         "spells",
         F.round("hours", 0).alias("absence_hours"),
-        percent(F.col("hours"), total, 1).alias("pct_of_hours"),
+        F.when(F.col("all_spells") > 0, percent(F.col("hours"), F.col("all_hours"), 1)).alias("pct_of_hours"),
     )
 
 

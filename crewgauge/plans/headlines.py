@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from crewgauge.params import Params
+from crewgauge.plans import gold
+
 
 def overall(mart: DataFrame) -> DataFrame:
     return mart.where(F.col("segment_type") == "Overall")
@@ -57,6 +60,34 @@ def headline(turnover: DataFrame, absenteeism: DataFrame, quality: DataFrame) ->
     )
 
 
+def headline_of(analysis: DataFrame, params: Params = Params()) -> DataFrame:
+    """The row of ``headline`` straight from the analysis frame, in one pass.
+
+    One aggregate by channel holds the sums behind every figure; the handful of channels is then added up, and the best and
+    the worst are the least of a pair of figure and name. As in ``ranked_sources``, undefined scores come last and the first name wins ties.
+    """
+    totals = {**gold.turnover_totals(params), **gold.absence_totals(), **gold.hire_totals("quality_of_hire", "avg_time_to_fill")}
+    channels = analysis.groupBy(F.col("source_channel").alias("channel")).agg(*(t.alias(n) for n, t in totals.items()))
+    qoh = gold.hire_average("quality_of_hire").alias("qoh")
+
+    def first(score: Column) -> Column:
+        return F.min(F.struct(F.col("qoh").isNull().alias("undefined"), score.alias("score"), F.col("channel"), F.col("qoh")))
+
+    sums = channels.select("*", qoh).agg(
+        *(F.sum(n).alias(n) for n in totals), first(-F.col("qoh")).alias("best"), first(F.col("qoh")).alias("worst")
+    )
+    figures = gold.absence_figures()
+    return sums.select(
+        gold.turnover_pct().alias("annualised_turnover_pct"),
+        "separations",
+        F.col("headcount_current").alias("active_headcount"),
+        *(figures[n].alias(n) for n in ("absenteeism_rate_pct", "avg_absence_days")),
+        gold.hire_average("quality_of_hire").alias("quality_of_hire"),
+        gold.hire_average("avg_time_to_fill").alias("avg_time_to_fill_days"),
+        *(F.when(F.col(end).isNotNull(), F.struct(f"{end}.channel", f"{end}.qoh")).alias(f"{end}_source") for end in ("best", "worst")),
+    )
+
+
 def turnover_by_department(turnover: DataFrame, descending: bool = True) -> DataFrame:
     rate = F.col("turnover_pct")
     return (

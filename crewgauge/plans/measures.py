@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from crewgauge.functions.bands import turnover_status
-from crewgauge.functions.numeric import HOUR_PLACES, exact_avg, exact_sum, ratio, real
+from crewgauge.functions.numeric import HOUR_PLACES, exact_avg, exact_sum, ratio, real, whole_units
 
 
 def _active() -> Column:
@@ -75,11 +75,51 @@ def evaluate(
     return rows.groupBy(*by).agg(*(MEASURES[n]().alias(n) for n in names))
 
 
-def absence_hours_trend(spells: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Absence hours under each month of the calendar that has any."""
-    months = spells.groupBy(F.col("absence_month_key").alias("date_key")).agg(
-        _absence_hours().alias("absence_hours")
-    )
+def with_subtotals(
+    analysis: DataFrame,
+    names: Sequence[str] = tuple(MEASURES),
+    by: Sequence[str] = (),
+    where: Column | str | None = None,
+    sets: Sequence[Sequence[str]] | None = None,
+) -> DataFrame:
+    """The named measures for each of several groupings of ``by``: every combination of its columns unless ``sets`` lists some.
+
+    Averages and ratios do not add up, so each grouping is computed from the rows, all of them in one pass. ``grouping`` tells a subtotal
+    from a level that is NULL: bit by bit, the first column highest, 1 where a column is totalled.
+    """
+    unknown = [n for n in names if n not in MEASURES]
+    if unknown:
+        raise KeyError(f"unknown measures: {unknown}")
+    rows = analysis if where is None else analysis.where(where)
+    measures = [F.grouping_id().cast("int").alias("grouping"), *(MEASURES[n]().alias(n) for n in names)]
+    if sets is None:
+        return rows.cube(*by).agg(*measures)
+    return rows.groupingSets([[F.col(c) for c in s] for s in sets], *by).agg(*measures)
+
+
+def absence_hours_trend(
+    spells: DataFrame,
+    calendar: DataFrame,
+    people: DataFrame | None = None,
+    by: Sequence[str] = (),
+    where: Column | str | None = None,
+    spells_where: Column | str | None = None,
+) -> DataFrame:
+    """Absence hours under each month of the calendar that has any, in the filter context of both facts.
+
+    ``by`` and ``where`` name columns of ``people`` (one row per employee_key, as the analysis frame), ``spells_where`` those of the absences. Without ``by`` the
+    filter reaches the absences as a left-semi join on the key; with it the levels have to come along, in one join on the same key.
+    Either way hours are first added up by employee and month, so an employee with very many absences is a few rows in the join.
+    """
+    rows = spells if spells_where is None else spells.where(spells_where)
+    month = F.col("absence_month_key").alias("date_key")
+    if people is not None and (by or where is not None):
+        some = (people if where is None else people.where(where)).select("employee_key", *by)
+        units = whole_units(F.col("absence_hours"), HOUR_PLACES).alias("units")
+        rows = rows.groupBy("employee_key", month).agg(units).join(some, "employee_key", "inner" if by else "left_semi")
+        months = rows.groupBy("date_key", *by).agg((F.sum("units") / real(10**HOUR_PLACES)).alias("absence_hours"))
+    else:
+        months = rows.groupBy(month).agg(_absence_hours().alias("absence_hours"))
     return months.join(F.broadcast(calendar.select("date_key", "month_start")), "date_key")
 
 

@@ -536,6 +536,7 @@ _SELECTS = {
     "attrition_by_department": _BY_DEPARTMENT,
     "best_worst_source": _BEST_WORST,
     "headline": _HEADLINE,
+    "warehouse_headline": _HEADLINE,
     "turnover_by_department": f"SELECT segment, turnover_pct FROM ({_turnover()}) WHERE segment_type = 'Department'",
     "quality_by_channel": f"SELECT segment, quality_of_hire, avg_time_to_fill FROM ({_SOURCES})",
     "measures_overall": f"SELECT {_MEASURES} FROM analysis",
@@ -543,6 +544,15 @@ _SELECTS = {
     "measures_filtered": f"SELECT age_band, gender, {_MEASURES} FROM analysis WHERE ot = 1 GROUP BY age_band, gender",
     "turnover_status": f"SELECT tenure_band, round({_TURNOVER_RATE}, 6) AS turnover_rate, {_STATUS} FROM analysis GROUP BY tenure_band",
     "absence_trend": f"SELECT date_key, month_start, h AS absence_hours FROM (SELECT c.ym AS date_key, c.month_start, sum(s.hours) AS h FROM spells s JOIN calendar c ON c.ym = year(s.day) * 100 + month(s.day) GROUP BY ALL)",
+    "measures_with_subtotals": f"""SELECT dept AS department_name, job AS job_role_name, CAST(GROUPING(dept, job) AS INTEGER) AS grouping, {_MEASURES}
+        FROM analysis GROUP BY CUBE (dept, job)""",
+    "measures_grouping_sets": f"""SELECT age_band, gender, ot AS overtime, CAST(GROUPING(age_band, gender, ot) AS INTEGER) AS grouping, count(*) AS headcount,
+        round({_TURNOVER_RATE}, 6) AS turnover_rate, round(sum(bradford) / count(*), 6) AS avg_bradford_factor
+        FROM analysis WHERE stayer = 1 GROUP BY GROUPING SETS ((age_band, gender), (ot), ())""",
+    "absence_trend_filtered": """SELECT c.ym AS date_key, c.month_start, e.dept AS department_name, sum(s.hours) AS absence_hours
+        FROM spells s JOIN analysis e ON e.k = s.k JOIN calendar c ON c.ym = year(s.day) * 100 + month(s.day) WHERE e.ot = 1 GROUP BY ALL""",
+    "absence_trend_of_some": """SELECT c.ym AS date_key, c.month_start, sum(s.hours) AS absence_hours FROM spells s JOIN calendar c
+        ON c.ym = year(s.day) * 100 + month(s.day) WHERE s.days >= 3 AND s.k IN (SELECT k FROM analysis WHERE gender = 'Female' AND stayer = 1) GROUP BY ALL""",
     "contingency": _TABLES,
     "chi_square": f"SELECT driver, CAST(n AS BIGINT) AS n, CAST(dof AS BIGINT) AS dof, round(chi2, 6) AS chi2, round(sqrt(chi2 / n), 6) AS cramers_v FROM ({_CHI})",
     "categorical_tests": _CATEGORICAL,

@@ -147,6 +147,62 @@ def test_measures_under_filters(built):
         measures.evaluate(analysis, ["no such measure"])
 
 
+def test_subtotals_are_the_groupings(built):
+    analysis = built[0].table("gold", "employee_analysis")
+    rows = measures.with_subtotals(analysis, by=["department_name", "age_band"]).collect()
+    for grouping, by in ((0, ["department_name", "age_band"]), (1, ["department_name"]), (2, ["age_band"]), (3, [])):
+        mine = [tuple(r[c] for c in (*by, *measures.MEASURES)) for r in rows if r["grouping"] == grouping]
+        assert sorted(map(repr, mine)) == sorted(repr(tuple(r)) for r in measures.evaluate(analysis, by=by).collect())
+    some = measures.with_subtotals(analysis, ["headcount"], ["gender", "overtime"], sets=[["gender"], []])
+    assert "Expand" in (text := some._jdf.queryExecution().executedPlan().toString()) and text.count("FileScan") == 1
+    with pytest.raises(KeyError):
+        measures.with_subtotals(analysis, ["no such measure"])
+
+
+def test_trend_in_a_filter_context(built):
+    warehouse, _, star = built
+    analysis = warehouse.table("gold", "employee_analysis")
+    rows = star.fact_absence.join(analysis.select("employee_key", "gender", "department_name", "overtime"), "employee_key").collect()
+
+    def expected(keep, *by):
+        sums = {}
+        for r in filter(keep, rows):
+            key = (r["absence_month_key"], *(r[c] for c in by))
+            sums[key] = sums.get(key, 0) + r["absence_hours"]
+        return sums
+
+    trend = measures.absence_hours_trend(star.fact_absence, star.dim_date, analysis, ["department_name"], "overtime = 1")
+    assert {(r["date_key"], r["department_name"]): r["absence_hours"] for r in trend.collect()} == expected(lambda r: r["overtime"] == 1, "department_name")
+    trend = measures.absence_hours_trend(star.fact_absence, star.dim_date, analysis, where="overtime = 1", spells_where="absence_days > 2")
+    assert {(r["date_key"],): r["absence_hours"] for r in trend.collect()} == expected(lambda r: r["overtime"] == 1 and r["absence_days"] > 2)
+    plan_text = trend._jdf.queryExecution().optimizedPlan().toString()
+    assert plan_text.count("LeftSemi") == 1 and plan_text.count("Join") == 2
+    nobody = measures.absence_hours_trend(star.fact_absence, star.dim_date, analysis, where="gender = 'None such'")
+    assert nobody.count() == 0
+
+
+def test_shares_need_no_job_beforehand(built, spark):
+    """The reason mart is one plan: nothing runs while it is built."""
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("reasons", "")
+    gold.absence_by_reason(built[2].fact_absence)
+    assert not tracker.getJobIdsForGroup("reasons")
+    rows = gold.absence_by_reason(built[2].fact_absence).collect()
+    assert sum(r["spells"] for r in rows) == 100 and sum(r["pct_of_hours"] for r in rows) == pytest.approx(100)
+    assert gold.absence_by_reason(built[2].fact_absence.limit(0)).collect() == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_headline_in_one_pass_is_the_one_of_the_marts(built, spark):
+    analysis = built[0].table("gold", "employee_analysis")
+    for some in (analysis, analysis.where("source_channel = 'Agency'"), analysis.limit(0), analysis.withColumn("quality_of_hire", F.lit(None).cast("double")),
+                 analysis.withColumn("quality_of_hire", F.lit(50.0)), analysis.withColumn("source_channel", F.lit(None).cast("string"))):
+        marts = headlines.headline(gold.kpi_turnover(some, PARAMS), gold.kpi_absenteeism(some), gold.kpi_quality_of_hire(some))
+        assert headlines.headline_of(some, PARAMS).collect() == marts.collect()
+    text = headlines.headline_of(analysis, PARAMS)._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan") == 1 and "Subquery" not in text
+
+
 def test_point_in_time_agrees_with_the_series(built):
     warehouse, _, _ = built
     employment = warehouse.table("silver", "fact_employment")
