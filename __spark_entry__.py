@@ -155,6 +155,27 @@ class Frames:
         odds = [o.withColumn("model", F.lit(name)) for name, (o, _) in self.single.items()]
         return reduce(DataFrame.unionByName, odds)
 
+    @cached_property
+    def stepped(self) -> dict[str, DataFrame]:
+        """Odds by steps of tenure, against the longest tenures and against the shortest."""
+        models = {"risk": ((3.5, 4.0, 4.3, 4.6, 4.9, 5.2, 5.5), "5.5"), "protective": ((5.0, 5.4, 5.5, 5.6, 5.7, 5.8, 5.9, 6.0), "under")}
+        rows = self.analysis.select("attrition_flag", *(study.tenure_steps(*edges).alias(name) for name, (edges, _) in models.items()))
+        kept = stored(rows, "analysis")
+        return {name: study.logistic_model(kept, {"step": study.Category(name, reference)})[0] for name, (_, reference) in models.items()}
+
+    @cached_property
+    def separated_terms(self) -> DataFrame:
+        """A model with a level that only leavers have and a measure that parts leavers from stayers at one end, beside one proper term."""
+        leaver, number = F.col("attrition_flag"), F.col("employee_key")
+        rows = self.analysis.select(
+            "attrition_flag", "overtime",
+            F.when((leaver == 1) & (number % 3 == 0), "left").when(number % 3 == 1, "other").otherwise("base").alias("level"),
+            F.when(leaver == 1, number % 2).otherwise(F.lit(0)).alias("end"),
+        )
+        terms = {"overtime": F.col("overtime"), "level": study.Category("level", "base"), "end": F.col("end")}
+        odds, fit = study.logistic_model(rows, terms)
+        return odds.where("separated").select("term", "odds_ratio", "separated").join(fit.select("observations", F.col("separated").alias("model_separated")))
+
     @cached_property
     def regression(self) -> tuple[DataFrame, DataFrame]:
         return study.logistic_model(self.analysis)
@@ -354,12 +375,19 @@ _QUERIES: dict[str, Callable[[Frames], DataFrame]] = {
     "single_term_odds": lambda f: f.single_odds.drop("p_value"),
     "single_term_fit": lambda f: reduce(
         DataFrame.unionByName,
-        (fit.select(F.lit(m).alias("model"), "observations", "pseudo_r2_mcfadden", "converged") for m, (_, fit) in f.single.items()),
+        (
+            fit.select(F.lit(m).alias("model"), "observations", "pseudo_r2_mcfadden", "llr_p_value", "converged", "separated")
+            for m, (_, fit) in f.single.items()
+        ),
     ),
     "single_term_p_values": lambda f: f.single_odds.select("model", "term", F.round("p_value", 4).alias("p_value")),
     "single_term_top_risk": lambda f: study.top_risks(f.single_odds).drop("p_value", "model"),
     "single_term_top_protective": lambda f: study.top_protections(f.single_odds).drop("p_value", "model"),
     "single_term_feed": lambda f: headlines.odds_ratio_feed(f.single_odds),
+    "stepped_odds": lambda f: reduce(DataFrame.unionByName, (o.withColumn("model", F.lit(m)) for m, o in f.stepped.items())).drop("p_value"),
+    "stepped_top_risk": lambda f: study.top_risks(f.stepped["risk"]).drop("p_value"),
+    "stepped_top_protective": lambda f: study.top_protections(f.stepped["protective"]).drop("p_value"),
+    "separated_terms": lambda f: f.separated_terms,
     "top_risk": lambda f: study.top_risks(f.regression[0]),
     "top_protective": lambda f: study.top_protections(f.regression[0]),
     "study_document": lambda f: f.document,
@@ -372,7 +400,7 @@ _QUERIES: dict[str, Callable[[Frames], DataFrame]] = {
     ).select(F.inline("categorical_tests")),
     "document_regression": lambda f: f.written(
         study.study_document(f.spark, regression=f.single["long_tenure"])
-    ).select("logistic_regression.fit.*", F.inline("logistic_regression.odds_ratios")).drop("p_value", "llr_p_value", "iterations"),
+    ).select("logistic_regression.fit.*", F.inline("logistic_regression.odds_ratios")).drop("p_value", "llr_p_value", "iterations", "separated"),
     # Chart feeds
     "feed_odds_ratios": lambda f: headlines.odds_ratio_feed(f.regression[0]),
     "feed_driver_levels": lambda f: headlines.charted_drivers(f.drivers),

@@ -129,6 +129,14 @@ def single_terms() -> dict[str, dict[str, Column | Category]]:
     }
 
 
+def tenure_steps(*edges: float) -> Column:
+    """The last of rising ``edges`` that the tenure has reached, as a level; ``under`` before the first."""
+    level = F.lit("under")
+    for edge in edges:
+        level = F.when(F.col("tenure_years") >= edge, F.lit(str(edge))).otherwise(level)
+    return level
+
+
 def logistic_model(
     analysis: DataFrame, terms: Mapping[str, Column | Category] | None = None
 ) -> tuple[DataFrame, DataFrame]:
@@ -143,13 +151,15 @@ def logistic_model(
         F.round("or_high", 3).alias("or_high"),
         p.alias("p_value"),
         _below_level(p).alias("significant"),
-    ).orderBy(F.col("odds_ratio").desc(), "term")
+        "separated",
+    ).orderBy(F.col("odds_ratio").desc_nulls_last(), "term")
     summary = fit.select(
         "observations",
         F.round("pseudo_r2_mcfadden", 3).alias("pseudo_r2_mcfadden"),
         F.round("llr_p_value", 6).alias("llr_p_value"),
         "iterations",
         "converged",
+        "separated",
     )
     return table, summary
 
@@ -198,7 +208,7 @@ def study_document(
         sections["categorical_tests"] = _listing(categorical, *keys)
     if regression is not None:
         odds, fit = regression
-        rows = _listing(odds, (-F.col("odds_ratio")).alias("_k"), F.col("term").alias("_n"))
+        rows = _listing(odds, F.coalesce(-F.col("odds_ratio"), F.lit(0.5)).alias("_k"), F.col("term").alias("_n"))
         sections["logistic_regression"] = F.struct(
             fit.select(F.struct(*fit.columns)).scalar().alias("fit"), rows.alias("odds_ratios")
         )

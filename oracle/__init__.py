@@ -409,27 +409,58 @@ _LEVELS = (
     ("long_tenure", "long_tenure", "CAST(round(served / 365.25::DOUBLE, 2) >= 5.5 AS VARCHAR)", "true", "false"),
 )
 
-_SINGLE = " UNION ALL ".join(
-    f"""SELECT '{model}' AS model, '{term}' AS term, ln(a::DOUBLE * d / (b * c)) AS beta, sqrt(1.0::DOUBLE / a + 1.0::DOUBLE / b + 1.0::DOUBLE / c + 1.0::DOUBLE / d) AS error
-    FROM (SELECT count(*) FILTER ({x} = '{level}' AND leaver = 1) AS a, count(*) FILTER ({x} = '{level}' AND leaver = 0) AS b,
-          count(*) FILTER ({x} = '{reference}' AND leaver = 1) AS c, count(*) FILTER ({x} = '{reference}' AND leaver = 0) AS d FROM analysis)"""
-    for model, term, x, level, reference in _LEVELS
-)
+
+
+def _contingency_odds(model: str, term: str, x: str, level: str, reference: str) -> str:
+    """Log odds and their error of one level; NULL where a cell is empty."""
+    cells = f"""SELECT count(*) FILTER ({x} = '{level}' AND leaver = 1) AS a, count(*) FILTER ({x} = '{level}' AND leaver = 0) AS b,
+          count(*) FILTER ({x} = '{reference}' AND leaver = 1) AS c, count(*) FILTER ({x} = '{reference}' AND leaver = 0) AS d FROM analysis"""
+    return f"""SELECT '{model}' AS model, '{term}' AS term, a * b * c * d = 0 AS separated,
+        CASE WHEN a * b * c * d > 0 THEN ln(a::DOUBLE * d / greatest(b * c, 1)) END AS beta,
+        CASE WHEN a * b * c * d > 0 THEN sqrt(1.0::DOUBLE / greatest(a, 1) + 1.0::DOUBLE / greatest(b, 1) + 1.0::DOUBLE / greatest(c, 1) + 1.0::DOUBLE / greatest(d, 1)) END AS error
+        FROM ({cells}) WHERE a + b > 0"""
+
+
+_SINGLE = " UNION ALL ".join(_contingency_odds(*level) for level in _LEVELS)
 
 # Two-sided tail of the normal distribution by Simpson's rule from z on.
-_NORMAL_TAIL = f"""SELECT model, term, any_value(beta) AS beta, any_value(error) AS error,
-    sum(CASE WHEN i IN (0, 4000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END
-        * exp(-power(abs(beta) / error + 0.005 * i, 2) / 2) * 0.005 / 3) * sqrt(2 / pi()) AS p
-    FROM ({_SINGLE}), (SELECT unnest(generate_series(0, 4000)) AS i) GROUP BY model, term"""
 
-_SINGLE_ODDS = f"""SELECT model, term, round(exp(beta), 3) AS odds_ratio, round(exp(beta - 1.959964 * error), 3) AS or_low,
-    round(exp(beta + 1.959964 * error), 3) AS or_high, round(p, 5) < 0.05 AS significant FROM ({_NORMAL_TAIL})"""
+
+def _normal_tail(odds: str) -> str:
+    return f"""SELECT model, term, any_value(separated) AS separated, any_value(beta) AS beta, any_value(error) AS error,
+        sum(CASE WHEN i IN (0, 4000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END
+            * exp(-power(abs(beta) / error + 0.005 * i, 2) / 2) * 0.005 / 3) * sqrt(2 / pi()) AS p
+        FROM ({odds}), (SELECT unnest(generate_series(0, 4000)) AS i) GROUP BY model, term"""
+
+
+_NORMAL_TAIL = _normal_tail(_SINGLE)
+
+
+def _odds(tail: str) -> str:
+    return f"""SELECT model, term, round(exp(beta), 3) AS odds_ratio, round(exp(beta - 1.959964 * error), 3) AS or_low,
+        round(exp(beta + 1.959964 * error), 3) AS or_high, coalesce(round(p, 5) < 0.05, false) AS significant, separated FROM ({tail})"""
+
+
+_SINGLE_ODDS = _odds(_NORMAL_TAIL)
+
+# Steps of tenure: the edges and the reference level.
+_STEPS = {"risk": ((3.5, 4.0, 4.3, 4.6, 4.9, 5.2, 5.5), "5.5"), "protective": ((5.0, 5.4, 5.5, 5.6, 5.7, 5.8, 5.9, 6.0), "under")}
+
+
+def _stepped(model: str) -> str:
+    edges, reference = _STEPS[model]
+    cases = " ".join(f"WHEN round(served / 365.25::DOUBLE, 2) >= {e}::DOUBLE THEN '{e}'" for e in reversed(edges))
+    levels = [level for level in ("under", *map(str, edges)) if level != reference]
+    parts = (_contingency_odds(model, f"step={level}", f"(CASE {cases} ELSE 'under' END)", level, reference) for level in levels)
+    return _odds(_normal_tail(" UNION ALL ".join(parts)))
 
 _SINGLE_P = f"SELECT model, term, round(p, 4) AS p_value FROM ({_NORMAL_TAIL})"
 
-_SINGLE_FIT = " UNION ALL ".join(
-    f"""SELECT '{model}' AS model, CAST(any_value(total) AS BIGINT) AS observations, round(1 - sum(part) / any_value(whole), 3) AS pseudo_r2_mcfadden, true AS converged
-    FROM (SELECT sum(leaver) * ln(sum(leaver)::DOUBLE / count(*)) + sum(stayer) * ln(sum(stayer)::DOUBLE / count(*)) AS part,
+_SINGLE_LIKELIHOODS = " UNION ALL ".join(
+    f"""SELECT '{model}' AS model, count(*) - 1 AS dof, sum(part) AS fitted, bool_or(cells = 0) AS separated,
+    any_value(whole) AS whole, CAST(any_value(total) AS BIGINT) AS observations
+    FROM (SELECT sum(leaver) * sum(stayer) AS cells,
+          coalesce(sum(leaver) * ln(nullif(sum(leaver), 0)::DOUBLE / count(*)), 0) + coalesce(sum(stayer) * ln(nullif(sum(stayer), 0)::DOUBLE / count(*)), 0) AS part,
           (SELECT sum(leaver) * ln(sum(leaver)::DOUBLE / count(*)) + sum(stayer) * ln(sum(stayer)::DOUBLE / count(*)) FROM analysis) AS whole,
           (SELECT count(*) FROM analysis) AS total FROM analysis GROUP BY {x})"""
     for model, x in (
@@ -438,6 +469,14 @@ _SINGLE_FIT = " UNION ALL ".join(
     )
 )
 
+# The tail of chi-square at twice the gain in log-likelihood, as above.
+_SINGLE_FIT = f"""SELECT model, any_value(observations) AS observations, round(1 - any_value(fitted) / any_value(whole), 3) AS pseudo_r2_mcfadden,
+    round(sum(CASE WHEN i IN (0, 8000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END
+        * power(lo + 0.005 * i, dof - 1) * exp(-power(lo + 0.005 * i, 2) / 2) * 0.005 / 3)
+      * 2 / power(2, any_value(dof) / 2.0::DOUBLE) / gamma(any_value(dof) / 2.0::DOUBLE), 6) AS llr_p_value,
+    NOT any_value(separated) AS converged, any_value(separated) AS separated
+    FROM (SELECT *, sqrt(greatest(2 * (fitted - whole), 0)) AS lo FROM ({_SINGLE_LIKELIHOODS})), (SELECT unnest(generate_series(0, 8000)) AS i) GROUP BY model"""
+
 # --- checks ----------------------------------------------------------------------------------
 
 _SILVER = {
@@ -566,6 +605,11 @@ _SELECTS = {
     "single_term_fit": _SINGLE_FIT,
     "single_term_top_risk": f"SELECT * EXCLUDE (model) FROM ({_SINGLE_ODDS}) WHERE odds_ratio > 1 AND significant ORDER BY odds_ratio DESC, term LIMIT 6",
     "single_term_top_protective": f"SELECT * EXCLUDE (model) FROM ({_SINGLE_ODDS}) WHERE odds_ratio < 1 AND significant ORDER BY odds_ratio, term LIMIT 6",
+    "stepped_odds": f"{_stepped('risk')} UNION ALL {_stepped('protective')}",
+    "stepped_top_risk": f"SELECT * EXCLUDE (model) FROM ({_stepped('risk')}) WHERE odds_ratio > 1 AND significant ORDER BY odds_ratio DESC, term LIMIT 6",
+    "stepped_top_protective": f"SELECT * EXCLUDE (model) FROM ({_stepped('protective')}) WHERE odds_ratio < 1 AND significant ORDER BY odds_ratio, term LIMIT 6",
+    "separated_terms": """SELECT term, CAST(NULL AS DOUBLE) AS odds_ratio, true AS separated, (SELECT count(*) FROM analysis) AS observations, true AS model_separated
+        FROM (VALUES ('level=left'), ('end')) AS t(term)""",
     "single_term_feed": f"""SELECT term, odds_ratio, or_low, or_high, CASE WHEN NOT significant THEN 'not significant'
         WHEN odds_ratio > 1 THEN 'risk' ELSE 'protective' END AS kind FROM ({_SINGLE_ODDS})""",
     "warehouse_bucketed_analysis": _ANALYSIS,
@@ -580,7 +624,7 @@ _SELECTS = {
     "quality_counts": _COUNTS,
     "publish_refused": _REFUSED,
     "document_kpis": _HEADLINE,
-    "document_regression": f"""SELECT f.observations, f.pseudo_r2_mcfadden, f.converged, o.* EXCLUDE (model)
+    "document_regression": f"""SELECT f.observations, f.pseudo_r2_mcfadden, f.converged, o.* EXCLUDE (model, separated)
         FROM ({_SINGLE_ODDS}) o JOIN ({_SINGLE_FIT}) f ON f.model = o.model WHERE o.model = 'long_tenure'""",
     "document_continuous_tests": _CONTINUOUS,
     "document_categorical_tests": _CATEGORICAL,

@@ -157,3 +157,73 @@ def test_undefined_tests_come_last_in_the_document(population):
     listed = study.study_document(kpis.sparkSession, kpis, continuous, categorical, (odds, fit)).first()["continuous_tests"]
     assert [r["feature"] for r in listed] == [r["feature"] for r in continuous.collect()]
     assert listed[-1]["feature"] == "Tenure (years)" and listed[-1]["cohens_d"] is None
+
+
+def some_outcomes(spark):
+    r = random.Random(1)
+    rows = []
+    for _ in range(500):
+        x, level, y, z = r.gauss(0, 1), r.choice("abcd"), int(r.random() < 0.5), r.gauss(0, 1)
+        rows.append((1 if level == "c" else y, x, level, z, int(x + z > 0)))
+    return spark.createDataFrame(rows, "y int, x double, g string, z double, both int")
+
+
+def found(odds):
+    return {r["term"]: r for r in odds.collect()}
+
+
+def test_a_separating_level_is_reported(spark):
+    """The other terms are those of a fit without the rows that the level predicts."""
+    df = some_outcomes(spark)
+    odds, fit = fit_logistic(df, "y", {"x": F.col("x"), "g": Category("g", "a")})
+    rest, _ = fit_logistic(df.where("g <> 'c'"), "y", {"x": F.col("x"), "g": Category("g", "a")})
+    mine, theirs = found(odds), found(rest)
+    assert mine["g=c"]["separated"] and mine["g=c"]["odds_ratio"] is None and mine["g=c"]["p"] is None
+    for term in ("x", "g=b", "g=d"):
+        assert mine[term]["odds_ratio"] == pytest.approx(theirs[term]["odds_ratio"], rel=1e-9) and not mine[term]["separated"]
+    row = fit.first()
+    assert row["separated"] and row["observations"] == 500 and 0 < row["pseudo_r2_mcfadden"] < 1
+
+
+def test_a_separating_reference_is_reported(spark):
+    df = some_outcomes(spark)
+    odds, fit = fit_logistic(df, "y", {"x": F.col("x"), "g": Category("g", "c")})
+    rest, _ = fit_logistic(df.where("g <> 'c'"), "y", {"x": F.col("x"), "g": Category("g", "a")})
+    mine = found(odds)
+    assert all(mine[f"g={v}"]["separated"] and mine[f"g={v}"]["odds_ratio"] is None for v in "abd")
+    assert mine["x"]["odds_ratio"] == pytest.approx(found(rest)["x"]["odds_ratio"], rel=1e-9)
+    assert fit.first()["separated"]
+
+
+def test_separating_measures_are_reported(spark):
+    df = some_outcomes(spark)
+    odds, fit = fit_logistic(df, "y", {"x": F.col("x"), "twin": F.col("y") * 2.0})
+    assert found(odds)["twin"]["separated"] and found(odds)["x"]["odds_ratio"] is None
+    assert tuple(fit.first())[1:] == (1.0, pytest.approx(0, abs=1e-12), 0, False, True)
+    odds, fit = fit_logistic(df, "both", {"x": F.col("x"), "z": F.col("z")})  # neither alone, but both together
+    assert all(r["separated"] and r["odds_ratio"] is None for r in found(odds).values())
+    assert fit.first()["separated"] and not fit.first()["converged"]
+
+
+def test_levels_do_not_all_come_to_the_driver(spark):
+    many = spark.range(300_000).selectExpr("cast(id % 2 AS int) AS y", "cast(id AS string) AS g")
+    with pytest.raises(ValueError, match="more than 4097 levels"):
+        fit_logistic(many, "y", {"g": Category("g", "1")})
+    some = spark.range(6000).selectExpr("cast(id % 7 < 3 AS int) AS y", "cast(id % 150 AS string) AS g")
+    odds, fit = fit_logistic(some, "y", {"g": Category("g", "0")})
+    assert odds.count() == 149 and not fit.first()["separated"]
+    counts = {r["g"]: (r["a"], r["b"]) for r in some.groupBy("g").agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b")).collect()}
+    c, d = counts["0"]
+    for row in odds.collect():
+        a, b = counts[row["term"].removeprefix("g=")]
+        assert row["odds_ratio"] == pytest.approx(a * d / (b * c), rel=1e-6)
+
+
+def test_more_than_six_terms_are_cut(spark):
+    import __spark_entry__ as registry
+
+    frames = registry.Frames(spark, "/root/testdata/sf0.01")
+    for end, top, better in (("risk", study.top_risks, lambda r: r > 1), ("protective", study.top_protections, lambda r: r < 1)):
+        odds = frames.stepped[end].collect()
+        assert sum(better(r["odds_ratio"]) and r["significant"] for r in odds) > 6
+        assert top(frames.stepped[end]).count() == 6
