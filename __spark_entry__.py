@@ -22,7 +22,7 @@ from crewgauge.sinks import document, extracts  # noqa: E402
 from crewgauge.plans.publish import ConstraintError  # noqa: E402
 from crewgauge.sinks.tables import AUDIT, LAYERS, Warehouse, stored  # noqa: E402
 from crewgauge.sources.bronze import Bronze  # noqa: E402
-from crewgauge.sources.csv_files import bronze_from_csv  # noqa: E402
+from crewgauge.sources.csv_files import bronze_from_csv, bronze_with_rejects  # noqa: E402
 from crewgauge.sources.order_tables import PARAMS, read_bronze  # noqa: E402
 
 try:  # the subpackage may be absent; an error inside it is not hidden
@@ -192,9 +192,8 @@ class Frames:
         document.write_document(made, path)
         return document.read_document(self.spark, path, made.schema)
 
-    @cached_property
-    def from_csv(self) -> Frames:
-        """The same frames over raw CSV files; the preferred employee file does not exist."""
+    def exported_raw(self) -> str:
+        """The folder of the raw tables as CSV files."""
         folder = scratch_path(self.spark, "raw")
         raw = {
             "employees": self.built.employees.to(schemas.EMPLOYEES),
@@ -202,6 +201,36 @@ class Frames:
             "recruitment": self.built.recruitment,
         }
         extracts.export_tables({n: df.select(*RAW_SCHEMAS[n].names) for n, df in raw.items()}, folder)
+        return folder
+
+    @cached_property
+    def from_broken_csv(self) -> tuple[Frames, DataFrame]:
+        """The frames over raw CSV files with broken lines among the rest, and those lines.
+
+        Broken are a line for every twentieth employee whose age is no number, one for every fiftieth whose date is none, and one that ends early.
+        """
+        folder = self.exported_raw()
+        k = F.col("EmployeeNumber")
+        cells = {
+            "employees": [F.when(F.lit(c == "Age"), F.lit("unknown")).when(F.lit(c == "EmployeeNumber"), k.cast("string")).otherwise(F.lit("")) for c in RAW_SCHEMAS["employees"].names],
+            "absence": [F.lit("0"), k.cast("string"), F.lit("no date"), F.lit("7.5"), F.lit("1"), F.lit("Broken")],
+            "recruitment": [k.cast("string"), F.lit("Broken")],
+        }
+        for name, step in (("employees", 20), ("absence", 50), ("recruitment", 70)):
+            lines = self.built.employees.where(k % step == 0).select(F.concat_ws(",", *cells[name]).alias("line"))
+            header = self.spark.createDataFrame([(",".join(RAW_SCHEMAS[name].names),)], "line string")
+            header.unionByName(lines).coalesce(1).write.mode("append").text(f"{folder}/{name}")
+        read, rejects = bronze_with_rejects(
+            self.spark, [f"{folder}/preferred", f"{folder}/employees"], f"{folder}/absence", f"{folder}/recruitment"
+        )
+        again = Frames(self.spark, self.folder)
+        again.__dict__["bronze"] = replace(read, terminations=self.built.terminations)
+        return again, rejects
+
+    @cached_property
+    def from_csv(self) -> Frames:
+        """The same frames over raw CSV files; the preferred employee file does not exist."""
+        folder = self.exported_raw()
         read = bronze_from_csv(
             self.spark, [f"{folder}/preferred", f"{folder}/employees"], f"{folder}/absence", f"{folder}/recruitment"
         )
@@ -417,6 +446,8 @@ _QUERIES: dict[str, Callable[[Frames], DataFrame]] = {
     # Files, stored tables and extracts, written to the shared folder and read back
     "csv_turnover": lambda f: f.from_csv.turnover,
     "csv_absence_by_reason": lambda f: f.from_csv.reasons,
+    "csv_tolerant_turnover": lambda f: f.from_broken_csv[0].turnover,
+    "csv_rejects": lambda f: f.from_broken_csv[1].select("table_name", "line"),
     "warehouse_turnover": lambda f: f.warehouse.table("gold", "kpi_turnover"),
     "warehouse_counts": _warehouse_counts,
     "warehouse_bucketed_analysis": lambda f: f.bucketed.table("gold", "employee_analysis"),

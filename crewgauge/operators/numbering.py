@@ -17,13 +17,14 @@ def number_rows(
     """Add ``name`` = ROW_NUMBER() OVER (ORDER BY ``order``), NULLs first.
 
     Rows are range-partitioned and sorted, so every task numbers one slice of the order; adding
-    the sizes of the slices before it makes the number global. Columns outside ``order`` and a
-    random last key break ties, so that no set of equal keys, or even of copies of one row, has
+    the sizes of the slices before it makes the number global. Columns outside ``order`` and the number of a copy among copies of its row
+    break ties, so that no set of equal keys, or even of copies of one row, has
     to fit into one slice. ``distinct`` says that no two rows agree in ``order``; then only these
-    columns are keys and nothing is stored beforehand.
+    columns are keys.
 
-    Two things must not change when a lost executor's work is repeated: the random keys are
-    stored before rows are moved by them, and the slices before their sizes are taken.
+    Two things must not change when a lost executor's work is repeated: the keys that rows are moved by, and the slices whose
+    sizes are taken. The keys are made of the row alone: copies are counted, with partial counts in every task, and counted out
+    again. The slices are stored, which is the only copy made.
 
     Without ``partitions`` adaptive execution merges neighbouring slices of a small input. The
     only broadcast is one row per slice, a number set by configuration, not by the data.
@@ -31,8 +32,9 @@ def number_rows(
     if distinct:
         keyed, keys = df, list(order)
     else:
-        keyed = stored(df.withColumn("_tie", F.rand()), "unordered")
-        keys = [*order, *(c for c in df.columns if c not in order), "_tie"]
+        keyed = df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
+        keyed = keyed.select(*df.columns, F.explode(F.sequence(F.lit(1).cast("bigint"), "_copies")).alias("_copy"))
+        keys = [*order, *(c for c in df.columns if c not in order), "_copy"]
     sliced = stored(
         keyed.repartitionByRange(*([partitions] if partitions else []), *keys)
         .sortWithinPartitions(*keys)

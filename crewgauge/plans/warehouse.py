@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
+
 from crewgauge.params import Params
 from crewgauge.plans import gold, silver
 from crewgauge.plans.publish import publish_checked
@@ -10,10 +12,13 @@ from crewgauge.sinks.tables import Warehouse
 from crewgauge.sources.bronze import Bronze
 
 
-def load_bronze(warehouse: Warehouse, bronze: Bronze) -> Bronze:
+def load_bronze(warehouse: Warehouse, bronze: Bronze, rejects: DataFrame | None = None) -> Bronze:
+    """Bronze tables, and the lines that their sources put aside, if any were looked for."""
     tables = {"employees": bronze.employees, "recruitment": bronze.recruitment, "absence": bronze.absence}
     if bronze.terminations is not None:
         tables["terminations"] = bronze.terminations
+    if rejects is not None:
+        tables["rejects"] = rejects
     keyed = {"unique_key": "EmployeeNumber"}
     stored = warehouse.replace_all("bronze", tables, employees=keyed, recruitment=keyed, terminations=keyed)
     return Bronze(
@@ -73,9 +78,9 @@ def build_gold(warehouse: Warehouse, star: Star, params: Params) -> list[str]:
     return ["employee_analysis", *marts]
 
 
-def build(warehouse: Warehouse, bronze: Bronze, params: Params) -> Star:
+def build(warehouse: Warehouse, bronze: Bronze, params: Params, rejects: DataFrame | None = None) -> Star:
     """The whole pipeline. Running it again replaces every table."""
     warehouse.create_layers()
-    star = build_silver(warehouse, load_bronze(warehouse, bronze), params)
+    star = build_silver(warehouse, load_bronze(warehouse, bronze, rejects), params)
     build_gold(warehouse, star, params)
     return star

@@ -630,6 +630,10 @@ _SELECTS = {
     "document_categorical_tests": _CATEGORICAL,
     "csv_turnover": _turnover(),
     "csv_absence_by_reason": _REASONS,
+    "csv_tolerant_turnover": _turnover(),
+    "csv_rejects": """SELECT 'employees' AS table_name, 'unknown' || repeat(',', 9) || c_custkey || repeat(',', 25) AS line FROM customer WHERE c_custkey % 20 = 0
+        UNION ALL SELECT 'absence', '0,' || c_custkey || ',no date,7.5,1,Broken' FROM customer WHERE c_custkey % 50 = 0
+        UNION ALL SELECT 'recruitment', c_custkey || ',Broken' FROM customer WHERE c_custkey % 70 = 0""",
     "warehouse_turnover": _turnover(),
     "warehouse_counts": " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS row_count FROM ({sql})" for t, sql in _GOLD_COUNTS.items()

@@ -14,7 +14,7 @@ from crewgauge.plans.publish import ConstraintError, publish_checked
 from crewgauge.session import shared_dir
 from crewgauge.sinks import extracts
 from crewgauge.sinks.tables import Warehouse
-from crewgauge.sources.csv_files import bronze_from_csv, read_csv, read_first_present
+from crewgauge.sources.csv_files import bronze_from_csv, bronze_with_rejects, load_csv, read_csv, read_first_present
 from tests.people import PARAMS, bronze
 
 
@@ -129,6 +129,35 @@ def test_bad_value_is_not_swallowed(spark, tmp_path):
         read_csv(spark, str(tmp_path / "a.csv"), schemas.ABSENCE).collect()
 
 
+def test_bad_lines_are_put_aside(built, spark, tmp_path):
+    _, raw, _ = built
+    extracts.export_tables({"employees": raw.employees, "absence": raw.spells, "recruitment": raw.recruitment}, str(tmp_path))
+    header = ",".join(schemas.ABSENCE.names)
+    bad = ["1,2,2025-01-01,7.5,many,Illness", "1,2,yesterday,7.5,1,Illness", "1,2", "1,2,2025-01-01,7.5,1,Illness,more"]
+    (tmp_path / "absence" / "part-bad.csv").write_text("\n".join([header, bad[0], "999,7,2025-01-02,,,", *bad[1:]]) + "\n")
+    (tmp_path / "recruitment" / "part-bad.csv").write_text(",".join(schemas.RECRUITMENT.names) + "\n")
+    again, rejects = bronze_with_rejects(
+        spark, [str(tmp_path / "nowhere"), str(tmp_path / "employees")], str(tmp_path / "absence"), str(tmp_path / "recruitment")
+    )
+    lines = rejects.collect()
+    assert sorted((r["table_name"], r["line"]) for r in lines) == sorted(("absence", line) for line in bad)
+    assert all(r["file"].endswith("part-bad.csv") for r in lines)
+    # Empty cells are no errors.
+    assert [tuple(r) for r in again.spells.where("AbsenceID = 999").collect()] == [(999, 7, date(2025, 1, 2), None, None, None)]
+    good = again.spells.where("AbsenceID <> 999")
+    assert good.exceptAll(raw.spells).count() == raw.spells.exceptAll(good).count() == 0
+    # A line is bad whichever columns a query reads.
+    assert again.spells.select("EmployeeNumber").count() == raw.spells.count() + 1
+    assert again.employees.exceptAll(raw.employees).count() == 0 and again.recruitment.count() == raw.recruitment.count()
+    house = Warehouse(spark, prefix="tolerant_", root=str(tmp_path / "house"))
+    house.create_layers()
+    plan.load_bronze(house, again, rejects)
+    assert house.table("bronze", "rejects").count() == 4
+    (tmp_path / "few.csv").write_text("AbsenceID,EmployeeNumber\n1,2\n")
+    with pytest.raises(ValueError, match="AbsenceDate"):
+        load_csv(spark, str(tmp_path / "few.csv"), schemas.ABSENCE)
+
+
 def test_bound_parameter(built):
     warehouse, _, _ = built
     drivers = warehouse.table("gold", "attrition_drivers")
