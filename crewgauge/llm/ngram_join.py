@@ -18,7 +18,12 @@ pivots would put every document into every window. The join therefore goes down
    Leaves count common n-grams through an index and compare whole numbers, so the join is exact.
 
 No pairs are shuffled: a leaf returns edges that span its links and, per point, the number of its links. One task holds
-at most ``LEAF`` points with ``LEAF_NGRAMS`` n-grams, or a tile of that size. The broadcast is a bit array of fixed size.
+at most ``LEAF`` points with ``LEAF_NGRAMS`` n-grams, or a tile of that size. The broadcast is a bit array that grows with the shared cells up to a
+fixed size; a full one only leaves more candidates.
+
+``classes`` does without the number of links. There, a region beyond ``BLOCK`` points is first compared block by block; then only the points
+outside its largest class meet the others. A dense group of near copies is one class after the first step, so it costs rows in
+proportion to its size.
 
 Defined results: null texts and texts without words have the empty set and no links, their component is their own id.
 Shorter texts than an n-gram are one n-gram. Repeated rows have equal results; the component of rows with null ids
@@ -30,6 +35,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -41,10 +47,16 @@ from crewgauge.llm.scratch import written
 
 LEAF = 512
 LEAF_NGRAMS = 2_000_000
+#: Points of a leaf of which only the classes are wanted.
+BLOCK = 4096
 #: Pivots that a too large region takes, and how often it is split before it is cut into blocks.
 PIVOTS, ROUNDS = 8, 4
-#: Bits of the array that tells possibly shared cells: 8 MiB.
-BITS = 1 << 26
+#: Most bits of the arrays that tell possibly shared cells: 32 MiB.
+BITS = 1 << 28
+#: Bytes of text whose cells one part owns, and keys that a task sorts at once.
+PART_BYTES = 1 << 24
+HELD_KEYS = 1 << 19
+_POINT_BITS = np.uint64((1 << 24) - 1)
 _HASHES = 4
 _SEEN = 100_000
 
@@ -140,77 +152,114 @@ def _texts(docs: DataFrame, id_col: str, text_col: str, id_type: str) -> DataFra
     return docs.select(F.col(id_col).cast(id_type).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
 
 
-def _cell_points(texts: DataFrame, bound: Bound) -> DataFrame:
-    """(cell, point): the first 8 bytes of the digest of each set, in every cell that it enters."""
+def _packed(keys: np.ndarray, digest: bytes) -> np.ndarray:
+    """Cell and point in 8 bytes: 40 bits of the cell, 24 of the point. What falls together by chance is one more candidate."""
+    return (keys & ~_POINT_BITS) | (np.frombuffer(digest[:8], "<u8")[0] & _POINT_BITS)
+
+
+def _cell_keys(texts: DataFrame, bound: Bound, parts: int) -> DataFrame:
+    """(part, keys): every set in every cell that it enters, some megabytes of sorted keys at a time, by the part that owns the cell."""
+
+    def rows(held: list[np.ndarray]) -> pa.RecordBatch:
+        keys = np.unique(np.concatenate([np.empty(0, np.uint64), *held]))
+        owner = _owner(keys, parts)
+        order = np.argsort(owner, kind="stable")
+        own, first = np.unique(owner[order], return_index=True)
+        blobs = [k.astype("<u8").tobytes() for k in np.split(keys[order], first[1:])] if len(own) else []
+        return pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array(blobs, pa.binary())], ["part", "keys"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        total, seen = 0, set()
         for batch in batches:
-            held, points = [], []
             for text in batch.column(1):
                 grams = ngrams(text.as_py(), bound.words)
-                keys = np.concatenate([grams[:0], *(k for k, _ in cells(grams, bound))] if len(grams) else [grams])
-                held.append(keys)
-                points.append(np.full(len(keys), np.frombuffer(_digest(grams)[:8], "<i8")[0]))
-                if sum(map(len, held[-64:])) > 200_000 or len(held) >= 1024:
-                    yield _cell_batch(held, points)
-                    held, points = [], []
-            if held:
-                yield _cell_batch(held, points)
+                if not len(grams) or (digest := _digest(grams)) in seen:
+                    continue
+                seen = seen if len(seen) < _SEEN else set()
+                seen.add(digest)
+                for keys, _ in cells(grams, bound):
+                    held.append(_packed(keys, digest))
+                    total += len(keys)
+                if total > HELD_KEYS:
+                    yield rows(held)
+                    held, total = [], 0
+        yield rows(held)
 
-    return texts.mapInArrow(run, "cell long, point long")
+    return texts.mapInArrow(run, "part long, keys binary")
 
 
-def _cell_batch(held: list[np.ndarray], points: list[np.ndarray]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(held).view(np.int64)), pa.array(np.concatenate(points))], ["cell", "point"])
+def _owner(keys: np.ndarray, parts: int) -> np.ndarray:
+    return ((keys >> np.uint64(40)) % np.uint64(parts)).astype(np.int64)
 
 
-def _bit_positions(keys: np.ndarray, bits: int) -> np.ndarray:
-    """``_HASHES`` positions of every key, one row each."""
+def _bit_positions(cells: np.ndarray, bits: np.ndarray | int) -> np.ndarray:
+    """``_HASHES`` positions of every cell, one row each."""
     salts = np.arange(1, _HASHES + 1, dtype=np.uint64)[:, None] * np.uint64(0x9E3779B97F4A7C15)
-    return _mixed(keys[None, :] + salts) % np.uint64(bits)
+    return _mixed(cells[None, :] + salts) % np.asarray(bits, np.uint64)
 
 
-def _shared_cells(pairs: DataFrame, bits: int):
-    """A broadcast bit array with the cells that have two points or more; others have a bit by chance."""
-    shared = pairs.groupBy("cell").agg(F.min("point").alias("low"), F.max("point").alias("high")).where("low != high")
+def _shared_of(most: int):
+    """Of a part's keys: a bit array with the cells (40 bits) that two points or more are in, ``most`` bits at the most."""
 
-    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = np.unique(_bit_positions(batch.column(0).to_numpy().view(np.uint64), bits))
-            mask = np.uint64(1) << (at & np.uint64(63))
-            word, first = np.unique(at >> np.uint64(6), return_index=True)
-            if len(word):
-                mask = np.bitwise_or.reduceat(mask, first)
-                yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(mask.view(np.int64))], ["word", "mask"])
+    def run(table: pa.Table) -> pa.Table:
+        keys = np.unique(np.concatenate([np.frombuffer(k, "<u8") for k in table["keys"].to_pylist()]))
+        cell = keys >> np.uint64(24)
+        shared = np.unique(cell[1:][cell[1:] == cell[:-1]])
+        bits = min(most, 64 << (len(shared) // 4).bit_length())
+        array = np.zeros(bits // 64, np.uint64)
+        at = np.unique(_bit_positions(shared, bits))
+        np.bitwise_or.at(array, at >> np.uint64(6), np.uint64(1) << (at & np.uint64(63)))
+        return pa.Table.from_arrays([table["part"].slice(0, 1), pa.array([array.astype("<u8").tobytes()], pa.binary())], ["part", "bits"])
+
+    return run
 
-    made = shared.select("cell").mapInArrow(words, "word long, mask long").groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()
-    array = np.zeros(bits // 64, np.uint64)
-    array[made.column("word").to_numpy()] = made.column("mask").to_numpy().view(np.uint64)
-    return pairs.sparkSession.sparkContext.broadcast(array)
 
+class _Cells:
+    """Bit arrays of all parts one after the other: which cells may have two points or more."""
 
-def _shared(keys: np.ndarray, need: int, bitmap: np.ndarray, bits: int) -> np.ndarray:
-    """Those keys that may be shared, if there are enough of them for a link."""
-    at = _bit_positions(keys, bits)
-    kept = keys[((bitmap[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1)).all(axis=0)]
-    return kept if len(kept) >= need else keys[:0]
+    def __init__(self, parts: int, arrays: pa.Table) -> None:
+        self.parts = parts
+        own = [b""] * parts
+        for part, bits in zip(arrays["part"].to_pylist(), arrays["bits"].to_pylist(), strict=True):
+            own[part] = bits
+        self.size = np.array([max(8 * len(b), 64) for b in own], np.uint64)
+        self.first = np.cumsum(self.size) - self.size
+        self.words = np.frombuffer(b"".join(b or bytes(8) for b in own), "<u8")
+
+    def shared(self, keys: np.ndarray, need: int) -> np.ndarray:
+        """Those keys that may be shared, if there are enough of them for a link."""
+        part = _owner(keys, self.parts)
+        at = _bit_positions(keys >> np.uint64(24), self.size[part]) + self.first[part]
+        kept = keys[((self.words[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1)).all(axis=0)]
+        return kept if len(kept) >= need else keys[:0]
+
+
+def _shared_cells(texts: DataFrame, bound: Bound, bits: int):
+    """A broadcast of ``_Cells``. Every part has 16 to 32 bits a shared cell, which lets one in 1,000 others or fewer pass, as long as all
+    together stay within ``bits``."""
+    size = texts.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
+    parts = max(1, -(-size // PART_BYTES))
+    keys = _cell_keys(texts, bound, parts)
+    arrays = keys.groupBy("part").applyInArrow(_shared_of(max(64, bits // parts // 64 * 64)), "part long, bits binary").toArrow()
+    return texts.sparkSession.sparkContext.broadcast(_Cells(parts, arrays))
 
 
 _POINT_SCHEMA = "point binary, n_shingles long, cells array<long>, grams array<long>"
 
 
-def _points(texts: DataFrame, bound: Bound, shared, bits: int) -> DataFrame:
+def _points(texts: DataFrame, bound: Bound, shared) -> DataFrame:
     """One row per document. A set that enters a shared cell also has its cells and n-grams, once a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap, seen = shared.value, set()
+        entered, seen = shared.value, set()
         for batch in batches:
             ids, out = batch.column(0).to_pylist(), []
             for doc_id, text in zip(ids, batch.column(1), strict=True):
                 grams = ngrams(text.as_py(), bound.words)
                 point, own = _digest(grams) if len(grams) else None, grams[:0]
                 if point is not None and point not in seen:
-                    own = np.concatenate([own, *(_shared(keys, need, bitmap, bits) for keys, need in cells(grams, bound))])
+                    own = np.concatenate([own, *(entered.shared(keys, need) for keys, need in cells(grams, bound))])
                 if len(own):
                     seen = seen if len(seen) < _SEEN else set()
                     seen.add(point)
@@ -279,27 +328,29 @@ def _leaves(regions: DataFrame, sets: DataFrame, bound: Bound) -> DataFrame:
     whole = F.lit(-1).alias("side")
     done: list[DataFrame] = []
     too_large = F.expr(f"members > {LEAF} or total > {LEAF_NGRAMS}")
+
+    def finish(leaves: DataFrame) -> None:
+        """Written at once, so that no later plan holds those of all turns."""
+        done.append(written(leaves.select("region", "leaf", "point", "core", "side"), "leaves"))
+
     for turn in range(ROUNDS + 1):
         sizes = written(_sized(members), "sizes")
-        done.append(members.join(sizes.where(~too_large).select("leaf"), "leaf").select("region", "leaf", "point", "n", "core", whole))
+        finish(members.join(sizes.where(~too_large).select("leaf"), "leaf").withColumn("side", whole))
         large = sizes.where(too_large)
         if large.isEmpty():
             break
         rest = members.join(large.select("leaf"), "leaf")
         if turn == ROUNDS:
-            done.append(_tiles(rest, large))
+            finish(_tiles(rest, large))
             break
         parts = written(_split(rest, sets, bound, turn), "parts")
         # a leaf whose largest part has kept nearly all of it doesn't get smaller this way
         kept = parts.groupBy("old", "new").agg(F.count("*").alias("size")).groupBy("old").agg(F.max("size").alias("size"))
         stuck = large.join(kept, F.col("leaf") == F.col("old")).where("size > 0.7 * members").select("leaf", "members", "total")
         stuck = written(stuck, "stuck")
-        done.append(_tiles(rest.join(stuck.select("leaf"), "leaf"), stuck))
+        finish(_tiles(rest.join(stuck.select("leaf"), "leaf"), stuck))
         members = parts.join(stuck.select(F.col("leaf").alias("old")), "old", "left_anti").select("region", F.col("new").alias("leaf"), "point", "n", "core")
-    leaves = done[0]
-    for more in done[1:]:
-        leaves = leaves.unionByName(more)
-    return leaves.drop("n")
+    return reduce(DataFrame.unionByName, done)
 
 
 class _Leaf:
@@ -398,13 +449,125 @@ def _edge_batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(links, pa.int64())], ["a", "b", "links"])
 
 
-def join(docs: DataFrame, bound: Bound = Bound(), id_col: str = "doc_id", text_col: str = "text", bits: int = BITS, id_type: str = "long") -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id and n_links (other rows that it is linked with)."""
+class _Block(_Leaf):
+    """Points of which only the classes are wanted: those of one class need not be compared with each other."""
+
+    def __init__(self, rows: list[tuple], bound: Bound) -> None:
+        super().__init__([(point, 1, grams, np.zeros(1, np.int64), core, side) for point, grams, core, side in rows], bound)
+
+    def edges(self) -> Iterator[tuple[bytes, bytes]]:
+        """Edges that join the points of each class.
+
+        A point is compared with all others at once. When every point outside the largest class has had its turn, what is
+        left are links within that class. So a block of near copies takes a few turns, not one for each point.
+        """
+        label = np.arange(len(self.points))
+        waiting = self.core.copy()
+        largest = 0
+        while len(turn := np.flatnonzero(waiting & (label != largest)) if self.core.all() else np.flatnonzero(waiting)):
+            n = turn[0]
+            waiting[n] = False
+            common = self.common(n)
+            fits = self.bound.den * common >= self.bound.num * (self.size[n] + self.size - common)
+            if self.side[n] >= 0:
+                fits &= self.side != self.side[n]
+            classes, first = np.unique(label[fits], return_index=True)
+            others = np.flatnonzero(fits)[first[classes != label[n]]]
+            if len(others):
+                for m in others.tolist():
+                    yield self.points[n], self.points[m]
+                label[np.isin(label, classes)] = label[n]
+                largest = np.bincount(label).argmax()
+
+
+def _edges(leaves: DataFrame, sets: DataFrame, bound: Bound) -> DataFrame:
+    """(a, b): edges that join the classes of every leaf."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, rows = None, []
+
+        def found() -> pa.RecordBatch:
+            pairs = list(_Block(rows, bound).edges()) if len(rows) > 1 else []
+            a, b = zip(*pairs, strict=True) if pairs else ((), ())
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+
+        for batch in batches:
+            leaf, point, core, side = (batch.column(c).to_pylist() for c in ("leaf", "point", "core", "side"))
+            for n, grams in enumerate(batch.column("grams")):
+                if leaf[n] != at:
+                    if len(rows) > 1:
+                        yield found()
+                    at, rows = leaf[n], []
+                rows.append((point[n], grams.values.to_numpy(), core[n], side[n]))
+        yield found()
+
+    rows = leaves.join(sets.select("point", "grams"), "point").repartition("leaf").sortWithinPartitions("leaf")
+    return written(rows.select("leaf", "point", "grams", "core", "side").mapInArrow(run, "a binary, b binary"), "edges")
+
+
+def _blocks(members: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Regions as leaves; those beyond a block cut into blocks by a hash of the point."""
+    blocks = F.greatest(F.ceil(F.col("members") / BLOCK), F.ceil(F.col("total") / LEAF_NGRAMS))
+    rows = members.join(sizes.select("region", blocks.alias("blocks")), "region")
+    leaf = F.xxhash64("region", F.pmod(F.xxhash64("point", "region"), "blocks"))
+    return rows.select(leaf.alias("leaf"), "point", F.lit(True).alias("core"), F.lit(-1).alias("side"))
+
+
+def _rest(members: DataFrame, large: DataFrame, edges: DataFrame) -> DataFrame:
+    """Of regions beyond a block: each point, and whether it is outside the region's largest class so far."""
+    classes = components(edges)
+    named = members.join(large.select("region"), "region").join(classes.withColumnRenamed("node", "point"), "point", "left")
+    named = written(named.withColumn("component", F.coalesce("component", "point")), "classes")
+    counts = named.groupBy("region", "component").agg(F.count("*").alias("size"))
+    largest = counts.groupBy("region").agg(F.max(F.struct("size", "component")).alias("top")).select("region", "top.component")
+    return named.join(largest.withColumnRenamed("component", "largest"), "region").withColumn("core", F.col("component") != F.col("largest"))
+
+
+def _outside(rest: DataFrame) -> DataFrame:
+    """Leaves in which every point outside the largest class meets every point of its region.
+
+    Links within the largest class are known as far as they matter, so a region that is one class is done, and one with few points
+    outside costs each point as many rows as these fill blocks.
+    """
+    half, grams = BLOCK // 2, LEAF_NGRAMS // 2
+    sizes = rest.groupBy("region").agg(
+        F.count("*").alias("members"), F.sum("n").alias("total"), F.count_if("core").alias("outside"), F.sum(F.when(F.col("core"), F.col("n"))).alias("load")
+    ).where("outside > 0")
+    cut = lambda count, load: F.greatest(F.ceil(F.col(count) / half), F.ceil(F.col(load) / grams)).cast("int")
+    rows = rest.join(sizes.select("region", cut("members", "total").alias("all_blocks"), cut("outside", "load").alias("own_blocks")), "region")
+    number = F.xxhash64("point", "region")
+    every = rows.withColumn("own", F.explode(F.sequence(F.lit(0), F.col("own_blocks") - 1))).withColumn("all", F.pmod(number, "all_blocks"))
+    outer = rows.where("core").withColumn("all", F.explode(F.sequence(F.lit(0), F.col("all_blocks") - 1))).withColumn("own", F.pmod(number, "own_blocks"))
+    leaf = F.xxhash64("region", F.col("own").cast("long"), F.col("all").cast("long"), F.lit("outside")).alias("leaf")
+    sides = (every.select(leaf, "point", F.lit(False).alias("core"), F.lit(1).alias("side")), outer.select(leaf, "point", F.lit(True).alias("core"), F.lit(0).alias("side")))
+    return sides[0].unionByName(sides[1])
+
+
+def _linked(regions: DataFrame, sets: DataFrame, bound: Bound) -> DataFrame:
+    """(node, component) of the points of all regions."""
+    members = regions.join(sets.select("point", F.size("grams").cast("long").alias("n")), "point")
+    members = written(members.select("region", "point", "n"), "members")
+    sizes = written(members.groupBy("region").agg(F.count("*").alias("members"), F.sum("n").alias("total")), "sizes")
+    edges = _edges(_blocks(members, sizes), sets, bound)
+    large = sizes.where(f"members > {BLOCK} or total > {LEAF_NGRAMS}")
+    if not large.isEmpty():
+        edges = edges.unionByName(_edges(_outside(written(_rest(members, large, edges), "rest")), sets, bound))
+    return components(edges)
+
+
+def _found(docs: DataFrame, bound: Bound, id_col: str, text_col: str, bits: int, id_type: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Points by row, points with their copies, and the regions of points."""
     texts = _texts(docs, id_col, text_col, id_type)
-    shared = _shared_cells(_cell_points(texts, bound), bits)
-    points = written(_points(texts, bound, shared, bits), "points")
+    shared = _shared_cells(texts, bound, bits)
+    points = written(_points(texts, bound, shared), "points")
+    shared.destroy()
     copies = written(points.where("point is not null").groupBy("point").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies")), "copies")
-    regions = written(_regions(points), "regions")
+    return points, copies, written(_regions(points), "regions")
+
+
+def join(docs: DataFrame, bound: Bound = Bound(), id_col: str = "doc_id", text_col: str = "text", bits: int = BITS, id_type: str = "long") -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_shingles, component_id and n_links (other rows that it is linked with)."""
+    points, copies, regions = _found(docs, bound, id_col, text_col, bits, id_type)
     listed = regions.groupBy("point").agg(F.sort_array(F.collect_set("region")).alias("regions"))
     sets = points.where("cells is not null").select("point", "grams").dropDuplicates(["point"])
     sets = written(sets.join(listed, "point").join(copies.select("point", "copies"), "point"), "sets")
@@ -414,6 +577,16 @@ def join(docs: DataFrame, bound: Bound = Bound(), id_col: str = "doc_id", text_c
     return _report(points, copies, connected, links)
 
 
+def classes(docs: DataFrame, bound: Bound = Bound(), id_col: str = "doc_id", text_col: str = "text", bits: int = BITS, id_type: str = "long") -> DataFrame:
+    """``join`` without the number of links, which spares the comparison of points that are known to be in one class."""
+    points, copies, regions = _found(docs, bound, id_col, text_col, bits, id_type)
+    entered = regions.select("point").distinct()
+    sets = written(points.where("cells is not null").select("point", "grams").dropDuplicates(["point"]).join(entered, "point"), "sets")
+    connected = _linked(regions, sets, bound)
+    none = connected.select(F.col("node").alias("point"), F.lit(0).cast("long").alias("links")).limit(0)
+    return _report(points, copies, connected, none).drop("n_links")
+
+
 def _report(points: DataFrame, copies: DataFrame, connected: DataFrame, links: DataFrame) -> DataFrame:
     own: Column = F.coalesce("component", "point")
     named = copies.join(connected.withColumnRenamed("node", "point"), "point", "left").withColumn("component", own)

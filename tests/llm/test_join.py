@@ -61,6 +61,35 @@ def test_dense_groups_and_recursion(spark, monkeypatch, leaf):
     assert got == want and sum(r[3] for r in want) > 100
 
 
+@pytest.mark.parametrize(("block", "ngrams"), [(4, 2_000_000), (4096, 400), (4096, 2_000_000)])
+def test_classes_are_the_components(spark, monkeypatch, block, ngrams):
+    """Blocks, and points outside the largest class, lose no link."""
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    monkeypatch.setattr(ngram_join, "LEAF_NGRAMS", ngrams)
+    rng = random.Random(7)
+    rows = list(ROWS)
+    for group in range(3):
+        base = [f"g{group}w{n}" for n in range(90)]
+        for _ in range(30):
+            words = [f"n{rng.random()}" if rng.random() < 0.015 * (group + 1) else w for w in base]
+            rows.append((len(rows) + 100, " ".join(words), *[None] * 6))
+    for bound in (Bound(), Bound(5, 80, 100)):
+        got = sorted((tuple(r) for r in ngram_join.classes(docs(spark, rows), bound).collect()), key=repr)
+        assert got == sorted((r[:3] for r in by_pairs(rows, bound)), key=repr)
+
+
+def test_a_block_of_near_copies_takes_few_turns():
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    base = np.unique(rng.integers(0, 2**63, 300).astype(np.uint64))
+    sets = [np.sort(np.concatenate([base[rng.random(len(base)) > 0.01], rng.integers(0, 2**63, 3).astype(np.uint64)])) for _ in range(800)]
+    block = ngram_join._Block([(n.to_bytes(4, "big"), s, True, -1) for n, s in enumerate(sets)], Bound(5, 80, 100))
+    turns, common = [], block.common
+    block.common = lambda n: turns.append(n) or common(n)
+    assert len(list(block.edges())) == 799 and len(turns) < 10
+
+
 def test_no_rows(spark):
     assert ngram_join.join(docs(spark, [])).collect() == []
     assert found(ngram_join.join(docs(spark, ROWS[:3]))) == [(0, 0, 0, 0), (1, 0, 1, 0), (2, 0, 2, 0)]
