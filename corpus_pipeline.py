@@ -33,7 +33,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     digest of its text. Rows are told apart by id and text, so null and repeated ids are decided row by row."""
     key = "_row_key"
     keyed = docs.withColumn(key, F.hex(ngram_join.row_key()))
-    classes = ngram_join.join(docs.select(ngram_join.row_key().alias(key), "text"), NEAR, key, id_type="binary")
+    classes = ngram_join.classes(docs.select(ngram_join.row_key().alias(key), "text"), NEAR, key, id_type="binary")
     rows = classes.where("n_shingles > 0").groupBy("doc_id").agg(F.max(F.expr("doc_id != component_id")).alias("other"), F.count("*").alias("n"))
     rows = written(rows.where("other or n > 1").select(F.hex("doc_id").alias(key), "other"), "others")
     return exact_dedup.without(keyed, key, rows.where("other"), once=rows.where("not other")).drop(key)
