@@ -72,12 +72,12 @@ def top_k(
         return df.select("id", *(s.alias(n) for s, n in zip(_segments(F.col("v"), bits, width), names, strict=True)))
 
     nth = F.row_number().over(Window.partitionBy(*names).orderBy(F.col("id").asc_nulls_last()))
-    codes = coded(rows).withColumn("nth", nth).where(F.col("nth") <= k).groupBy(*names).agg(F.sort_array(F.collect_list("id")).alias("ids"))
+    codes = coded(rows).withColumn("nth", nth).where(F.col("nth") <= k).groupBy(*names).agg(F.collect_list(F.struct("id")).alias("ids"))
     # one long names a segment and its value, so that a join to few probes needs little memory
     cells = F.array(*(F.col(c) * len(names) + n for n, c in enumerate(names)))
     postings = written(codes.select(*names, "ids", F.posexplode(cells).alias("segment", "cell")), "postings")
-    numbered = coded(asked).groupBy(*names).agg(F.collect_list("id").alias("askers"))
-    numbered = written(numbered.withColumn("query", F.monotonically_increasing_id()), "queries")
+    queries = written(coded(asked), "queries")
+    numbered = written(queries.select(*names).distinct().withColumn("query", F.monotonically_increasing_id()), "codes")
 
     active = numbered.select("query", *names, F.lit(bits).alias("within"))
     best: DataFrame | None = None
@@ -95,10 +95,11 @@ def top_k(
         active = written(rest.select("query", *names, within.cast("int").alias("within")), "active")
         if active.isEmpty():
             break
-    rank = F.row_number().over(Window.partitionBy("query_id", "asker").orderBy("distance", F.col("id").asc_nulls_last()))
-    asker = F.posexplode("askers").alias("asker", "query_id")
-    out = best.join(numbered.select("query", asker), "query").withColumn("rank", rank)
-    return out.select("query_id", F.col("rank").cast("long"), F.col("id").alias(id_col), F.col("distance").cast("long"))
+    rank = F.row_number().over(Window.partitionBy("query").orderBy("distance", F.col("id").asc_nulls_last()))
+    ranked = best.withColumn("rank", rank).join(numbered, "query").drop("query").withColumnRenamed("id", "near")
+    # Queries with one code have one answer: each row of theirs takes it.
+    out = queries.join(ranked, names)
+    return out.select(F.col("id").alias("query_id"), F.col("rank").cast("long"), F.col("near").alias(id_col), F.col("distance").cast("long"))
 
 
 def _round(active: DataFrame, postings: DataFrame, names: list[str], widths: list[int], radius: int) -> DataFrame:
@@ -111,4 +112,4 @@ def _round(active: DataFrame, postings: DataFrame, names: list[str], widths: lis
     for n, d in enumerate(apart):
         first &= F.when(F.col("segment") > n, d > radius).when(F.col("segment") < n, d >= radius).otherwise(True)
     met = probes.join(asked, "query").join(postings, "cell").where((distance <= F.col("within")) & first)
-    return met.select("query", distance.alias("distance"), F.explode("ids").alias("id"))
+    return met.select("query", distance.alias("distance"), F.inline("ids"))
