@@ -17,7 +17,8 @@ of links in other containers.
 Pages are read row by row in Spark tasks, nothing is shuffled and nothing of a page is cut off.
 
 Defined results: null, empty and text-free pages have the empty text. Truncated pages are read to their end: an
-unclosed script or comment reaches to the end of the page, an unclosed container to the end of its parent.
+unclosed script or comment reaches to the end of the page, an unclosed container to the end of its parent, an unclosed list of
+choices to the last choice, and any other hidden element hides nothing.
 Repeated rows give repeated results.
 """
 
@@ -26,6 +27,7 @@ from __future__ import annotations
 import html
 import re
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -38,7 +40,12 @@ SURGE = 80
 LINK_SHARE = 0.5
 
 # Elements by their part in a page.
-_HIDDEN = frozenset("script style noscript template textarea select option title iframe object svg math canvas audio video head".split())
+_HIDDEN = frozenset(
+    "script style noscript template textarea select datalist option title iframe object svg annotation annotation-xml canvas audio video head".split()
+)
+#: Of these, those that reach to the end of the page if they are not closed; the others then hide their own tag alone.
+_TO_THE_END = frozenset("script style noscript template textarea title".split())
+_CHOICES = frozenset("select datalist option".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _NO_ARTICLE = frozenset("nav footer aside form menu dialog button fieldset search".split())
 _BLOCK = frozenset(
@@ -72,6 +79,8 @@ _TOKEN = re.compile(
     re.S,
 )
 _ATTRIBUTE = re.compile(r"\b(class|id|role|aria-hidden|hidden)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_MORE_CHOICES = re.compile(r"[^<]*+(?:</?(?:option|optgroup)\b[^>]*>[^<]*+)*", re.I)
+_NO_CHOICE = re.compile(r"<(?!/?(?:option|optgroup)\b)", re.I)
 _NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
@@ -118,6 +127,8 @@ class _Lines:
     def __init__(self, page: str) -> None:
         self.lines: list[_Line] = []
         self.open: list[_Open] = []
+        self.names: Counter[str] = Counter()  # of the open elements
+        self.unclosed: set[str] = set()
         self.opened = 0
         self.parts: list[str] = []
         self.linked = self.link_depth = 0
@@ -140,10 +151,17 @@ class _Lines:
                     self.start(name, found["rest"], name == "form" and self.around_page(page, at))
         self.flush()
 
-    @staticmethod
-    def after(page: str, name: str, at: int) -> int:
-        found = re.compile(rf"</{re.escape(name)}\b[^>]*>?", re.I).search(page, at)
-        return found.end() if found else len(page)
+    def after(self, page: str, name: str, at: int) -> int:
+        """Where a hidden element ends. Lists of choices may leave out end tags: they go on as long as choices follow."""
+        if name not in self.unclosed:
+            if found := re.compile(rf"</{re.escape(name)}\b[^>]*>?", re.I).search(page, at):
+                if name != "option" or not _NO_CHOICE.search(page, at, found.start()):
+                    return found.end()
+            else:
+                self.unclosed.add(name)
+        if name in _CHOICES:
+            return _MORE_CHOICES.match(page, at).end()
+        return len(page) if name in _TO_THE_END else at
 
     @staticmethod
     def around_page(page: str, at: int) -> bool:
@@ -186,7 +204,7 @@ class _Lines:
         if name in _BLOCK or shut:
             self.flush()
             if name in ("p", "li", "dd", "dt", "td", "th", "tr") and self.open and self.open[-1].name == name:
-                self.open.pop()  # its end tag is optional
+                self.names[self.open.pop().name] -= 1  # its end tag is optional
             _, mark, article, place, around, of_list = self.state
             self.opened += 1
             if name in _GROUPING:
@@ -196,15 +214,18 @@ class _Lines:
             if name != "hr" and not rest.endswith("/"):
                 of_list = self.opened if name in _LISTS else None if name in _GROUPING else of_list
                 self.open.append(_Open(name, max(mark, shut), article or is_article, place, around, of_list))
+                self.names[name] += 1
 
     def close(self, name: str) -> None:
         if name == "a":
             self.link_depth = 0
-        at = next((n for n in range(len(self.open) - 1, -1, -1) if self.open[n].name == name), None)
-        if name in _BLOCK or at is not None:
+        if name in _BLOCK or self.names[name]:
             self.flush()
-        if at is not None:
-            del self.open[at:]
+        if self.names[name]:
+            gone = None
+            while gone != name:
+                gone = self.open.pop().name
+                self.names[gone] -= 1
 
 
 def line_blocks(weights: list[int], window: int = WINDOW) -> list[int]:
@@ -228,7 +249,7 @@ def segments(weights: list[int], surge: int, window: int = WINDOW) -> list[tuple
     return found if begun is None else [*found, (begun, len(blocks))]
 
 
-def _kept(lines: list[_Line], weights: list[int]) -> list[int]:
+def _kept(lines: list[_Line], weights: list[int], surge: int = SURGE) -> list[int]:
     """The lines of the segments, extended to what stands in the same container."""
     listed: dict[int, int] = {}  # weight of each list
     for line, weight in zip(lines, weights, strict=True):
@@ -236,7 +257,7 @@ def _kept(lines: list[_Line], weights: list[int]) -> list[int]:
             listed[line.inside.list] = listed.get(line.inside.list, 0) + weight
     of_text = lambda n: weights[n] or lines[n].inside.list is None or listed[lines[n].inside.list]
     heavy = [n for n, weight in enumerate(weights) if weight]
-    own = [[n for n in range(a, b) if weights[n]] for a, b in segments(weights, SURGE)]
+    own = [[n for n in range(a, b) if weights[n]] for a, b in segments(weights, surge)]
     surged = {n for some in own for n in some}
     kept = {n for some in own for n in range(some[0], some[-1] + 1) if of_text(n)}
     for some in own:
@@ -258,8 +279,9 @@ def main_text(page: str | None) -> str:
     weight = lambda some: sum(line.weight for line in some)
     read, regained = of(_READ), [line for line in of(_REGAINED) if line.inside.article]
     article = [line for line in read if line.inside.article]
-    if weight(article) or weight(regained) > weight(read):  # any text in an article is a surge
-        return "\n".join(line.text for line in (article if weight(article) else regained))
+    if weight(article) or weight(regained) > weight(read):
+        inside = article if weight(article) else regained
+        return "\n".join(inside[n].text for n in _kept(inside, [line.weight for line in inside], surge=1))
     if not weight(read):
         read = of(_FORM)
         return "\n".join(read[n].text for n in _kept(read, [line.weight for line in read]))
