@@ -18,6 +18,7 @@ lists them. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -82,30 +83,42 @@ MAPPINGS = (
 
 
 def paths(record: Column) -> Column:
-    """The nested field paths of a record: its variant schema without the types of values."""
-    return F.regexp_replace(F.schema_of_variant(record), r": (?!OBJECT<|ARRAY<)[A-Z]+(\([0-9, ]*\))?", "")
+    """The nested field paths of a record: its variant schema without the types of values, list elements included."""
+    fields = F.regexp_replace(F.schema_of_variant(record), r": (?!OBJECT<|ARRAY<)[A-Z]+(\([0-9, ]*\))?", "")
+    return F.regexp_replace(fields, r"ARRAY<(?!OBJECT<|ARRAY<)[A-Z]+(\([0-9, ]*\))?>", "ARRAY")
+
+
+def _shapes(m: Mapping) -> list[str]:
+    """The shapes of a mapping: its own, and that of a record whose lists are empty."""
+    return [m.shape, re.sub(r"ARRAY<OBJECT<[^<>]*>>", "ARRAY", m.shape)]
 
 
 def fingerprint(shape: Column) -> Column:
     return F.xxhash64(shape)
 
 
-def canonical_turns(records: DataFrame, mappings: Sequence[Mapping] = MAPPINGS, record_col: str = "record") -> DataFrame:
-    """(conv_id, turn, role, text) of every record whose fingerprint has a mapping."""
+def canonical_turns(
+    records: DataFrame, mappings: Sequence[Mapping] = MAPPINGS, record_col: str = "record", id_type: str = "bigint"
+) -> DataFrame:
+    """(conv_id, turn, role, text) of every record whose fingerprint has a mapping.
+
+    Ids are read as ``id_type``; one that does not fit fails the query, so that conversations never run together under a null
+    id. As ``string`` an id of any kind fits.
+    """
     record = F.col(record_col)
     rows = records.select(record.alias("record"), fingerprint(paths(record)).alias("print"))
-    turns, conv = F.lit(None).cast(_TURNS), F.lit(None).cast("bigint")
+    turns, conv = F.lit(None).cast(_TURNS), F.lit(None).cast(id_type)
     for m in mappings:
-        fits = F.col("print") == fingerprint(F.lit(m.shape))
+        fits = F.col("print").isin([fingerprint(F.lit(shape)) for shape in _shapes(m)])
         turns = F.when(fits, m.turns(F.col("record")).cast(_TURNS)).otherwise(turns)
-        conv = F.when(fits, _get(F.col("record"), m.conv_id, "bigint")).otherwise(conv)
+        conv = F.when(fits, F.variant_get(F.col("record"), f"$.{m.conv_id}", id_type)).otherwise(conv)
     return rows.select(conv.alias("conv_id"), F.explode(turns).alias("said")).select("conv_id", "said.*")
 
 
 def unmapped(records: DataFrame, mappings: Sequence[Mapping] = MAPPINGS, record_col: str = "record") -> DataFrame:
     """The records without a mapping, with their field paths."""
     shape = paths(F.col(record_col))
-    known = [fingerprint(F.lit(m.shape)) for m in mappings]
+    known = [fingerprint(F.lit(s)) for m in mappings for s in _shapes(m)]
     return records.withColumn("shape", shape).where(~F.coalesce(fingerprint(shape).isin(known), F.lit(False)))
 
 

@@ -1,7 +1,10 @@
 """Hamming search, URL rules, main text, chat formatting and the pipeline on awkward rows."""
 
+import html
 import json
 import random
+import re
+import time
 
 import duckdb
 import pytest
@@ -49,6 +52,15 @@ def test_nearest_of_awkward_vectors(spark, width):
     assert rows_of(made.select("query_id", "rank", "vec_id", "distance")) == nearest(rows, asked, 10)
 
 
+def test_null_ids_and_hot_queries(spark):
+    rows = [(None, [1.0, 1.0]), (1, [1.0, 1.0]), (None, [-1.0, 1.0])] + [(7, [1.0, -1.0])] * 3
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    assert rows_of(hamming.top_k(table, table, 10)) == nearest(rows, rows, 10)
+    assert rows_of(hamming.top_k(table, table, 2)) == nearest(rows, rows, 2)
+    pair = table.where("embedding[1] = 1 AND embedding[0] = 1")
+    assert rows_of(hamming.top_k(pair, pair)) == sorted([(None, 1, 1, 0), (None, 2, None, 0), (1, 1, 1, 0), (1, 2, None, 0)], key=repr)
+
+
 def test_nearest_of_few_rows(spark):
     schema = "vec_id long, embedding array<float>"
     table = spark.createDataFrame([(0, [1.0, -1.0]), (1, [1.0, 1.0])], schema)
@@ -114,6 +126,40 @@ def test_main_text_of_awkward_pages(page, text):
     assert main_text.main_text(page) == text
 
 
+@pytest.mark.parametrize(("page", "text"), [
+    ("<article><p>a<datalist><option>x<option>y</datalist><p>b</article>", "a\nb"), ("<article><p>a<datalist><option>x<p>b</article>", "a\nb"),
+    ("<article><p>a<select><option>x<option>y<p>b</article>", "a\nb"), ("<article><p>a<option>x</option><p>b</article>", "a\nb"),
+    ("<article><p>a<object data=x><p>b</article>", "a\nb"), ("<article><p>a<object data=x>no</object><p>b</article>", "a\nb"),
+    ("<article><p>Let <math><mi>x</mi><annotation>\\x</annotation></math> be positive.</article>", "Let x be positive."),
+    ("<article><p>a<select><option>x<optgroup label=y><option>z</select>b</article>", "ab"), ("<article><p>a<svg><text>no</svg> b<svg>c</article>", "a bc"),
+])
+def test_hidden_elements_end_with_their_parent(page, text):
+    assert main_text.main_text(page) == text
+
+
+def test_stray_end_tags_take_linear_time():
+    began = time.monotonic()
+    assert main_text.main_text("<div>" * 20_000 + "</b>" * 20_000 + "<p>end" + "<object>" * 20_000) == "end"
+    assert time.monotonic() - began < 2
+
+
+def test_given_pages_go_through_line_blocks(spark, monkeypatch):
+    """Every given page's text comes out of segments, and is that of a plain reading of its article."""
+    surges = []
+    segments = main_text.segments
+    monkeypatch.setattr(main_text, "segments", lambda weights, surge: surges.append(surge) or segments(weights, surge))
+    pages = [r["html"] for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("html").collect()]
+    plain = 0
+    for page in pages:
+        text = main_text.main_text(page)
+        found = re.search(r"<(article|main)\b[^>]*>(.*?)</\1>", page or "", re.S)
+        if found and not re.search(r"<(?!/?(?:p|h[1-6]|b|i|em|strong|a|br|article|main)\b)", found[2]):
+            own = (" ".join(html.unescape(re.sub(r"<[^>]*>", "", part.replace("<br>", " "))).split()) for part in re.split(r"</?(?:p|h[1-6])\b[^>]*>", found[2]))
+            assert text == "\n".join(part for part in own if part)
+            plain += 1
+    assert len(surges) == len(pages) == plain
+
+
 TEXT = "Para which is long enough to be a surge of text, since it has so many characters in it, over eighty."
 
 
@@ -196,6 +242,23 @@ def test_layouts_become_turns(spark):
     assert [r["shape"] for r in chat.unmapped(table).collect()] == ["OBJECT<id, unknown>"]
 
 
+def test_text_ids_stay_apart(spark):
+    rows = [
+        {"id": f"identity_{n}", "conversations": [{"from": "human", "value": f"q{n}"}, {"from": "gpt", "value": f"a{n}"}]} for n in range(2)
+    ] + [{"id": "empty", "conversations": []}, {"id": 3, "prompt": "p", "completion": "c"}]
+    table = spark.createDataFrame([(json.dumps(x),) for x in rows], "j string").select(F.parse_json("j").alias("record"))
+    turns = chat.canonical_turns(table, id_type="string")
+    assert rows_of(turns) == sorted(
+        [("identity_0", 0, "user", "q0"), ("identity_0", 1, "assistant", "a0"), ("identity_1", 0, "user", "q1"), ("identity_1", 1, "assistant", "a1"),
+         ("3", 0, "user", "p"), ("3", 1, "assistant", "c")], key=repr)
+    assert chat.formatted(turns).count() == 3 and chat.unmapped(table).count() == 0
+    with pytest.raises(Exception, match="(?i)cast"):
+        chat.canonical_turns(table).collect()
+    shapes = [json.dumps(x) for x in ({"a": []}, {"a": [1, 2]}, {"a": ["x"]}, {"a": [None]}, {"a": [{"b": 1}]})]
+    found = spark.createDataFrame([(x,) for x in shapes], "j string").select(chat.paths(F.parse_json("j")).alias("p")).collect()
+    assert [r["p"] for r in found] == ["OBJECT<a: ARRAY>"] * 4 + ["OBJECT<a: ARRAY<OBJECT<b>>>"]
+
+
 def test_pipeline_stages(spark):
     """Each stage on awkward rows: columns stay, decisions take effect, empty tables pass."""
     names = [n for n, _ in corpus_pipeline.STAGES]
