@@ -277,6 +277,21 @@ def test_pipeline_stages(spark):
     assert {9, 17, None} <= near and not {10, 12, 18, 19} & near
 
 
+def test_quality_stage_of_awkward_rows(spark, tmp_path):
+    """Nulls, repeated rows, names that operators use, and no documents."""
+    folder = "/root/testdata/sf0.001"
+    given = spark.read.parquet(f"{folder}/documents.parquet")
+    table = given.unionByName(docs(spark), allowMissingColumns=True).withColumns({"doc": F.lit(1), "f": F.lit("x"), "_row_key": F.lit("k"), "score": F.lit(2)})
+    kept = corpus_pipeline.reject_low_quality(spark, table, folder)
+    assert kept.schema == table.schema
+    scores = {tuple(r[c] for c in ("doc_id", "text")) for r in kept.select("doc_id", "text").collect()}
+    twice = [r for r in table.select("doc_id", "text").collect() if (r["doc_id"], r["text"]) == (ROWS[9][0], ROWS[9][1])]
+    assert len(twice) == 3 and kept.where(F.col("doc_id") == ROWS[9][0]).where(F.col("text") == ROWS[9][1]).count() in (0, 3) and scores
+    assert corpus_pipeline.reject_low_quality(spark, table.limit(0), folder).count() == 0
+    near = corpus_pipeline.drop_near_duplicates(spark, table, folder)
+    assert near.columns == table.columns and {r["_row_key"] for r in near.select("_row_key").distinct().collect()} == {"k"}
+
+
 def test_near_duplicates_by_row(spark):
     """Repeated and null ids: one row of each group stays, whatever the ids of the others."""
     text = lambda name, *odd: " ".join([f"{name}{n}" for n in range(60)] + list(odd))
