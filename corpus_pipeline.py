@@ -20,11 +20,15 @@ NEAR = ngram_join.Bound(words=5, num=80, den=100)
 
 
 def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that score as good, by a classifier learned from ``labels`` on these documents. A null text counts as
+    empty and is scored like any other; repeated rows stay or go together; without a positive label, or without documents, all stay."""
     table = written(quality.feature_table(docs), "features")
     return quality.keep_good(docs, quality.learn(table, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
 def drop_exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each group of texts that are equal but for the case of A-Z, as ``exact_dedup.drop_duplicates`` says; null texts count
+    as empty ones."""
     return exact_dedup.drop_duplicates(docs)
 
 
@@ -32,6 +36,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """One row of each group of linked documents stays, that with the smallest id that is not null and then the smallest
     digest of its text. Rows are told apart by id and text, so null and repeated ids are decided row by row."""
     key = "_row_key"
+    while key in docs.columns:
+        key += "_"
     keyed = docs.withColumn(key, F.hex(ngram_join.row_key()))
     classes = ngram_join.classes(docs.select(ngram_join.row_key().alias(key), "text"), NEAR, key, id_type="binary")
     rows = classes.where("n_shingles > 0").groupBy("doc_id").agg(F.max(F.expr("doc_id != component_id")).alias("other"), F.count("*").alias("n"))
@@ -40,6 +46,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, secrets in their texts replaced by their kind in brackets and ``n_chars`` set anew where that happened. Null and
+    empty texts have no secrets and stay as they are."""
     scanned = secret_scan.scan(docs)
     changed = F.size("spans") > 0
     new = {"text": F.col("redacted"), "n_chars": F.when(changed, F.length("redacted")).otherwise(F.col("row.n_chars")).cast("bigint")}
@@ -47,6 +55,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents as ``packing.pack`` cuts them; a null or empty text is its end token alone."""
     return packing.pack(docs, packing.default_tokenizer("word_bpe_49k.json"), with_ids=False)
 
 
