@@ -152,3 +152,13 @@ def test_numbers_without_a_given_partition_count(spark):
     frame = spark.range(1000).select((F.col("id") * 37 % 1000).alias("k"))
     numbered = number_rows(frame, ["k"], "n", distinct=True)
     assert numbered.where("n != k + 1").count() == 0 and numbered.count() == 1000
+
+
+def test_numbering_stores_one_copy(spark, monkeypatch):
+    from crewgauge.operators import numbering
+
+    made = []
+    monkeypatch.setattr(numbering, "stored", lambda df, name, keep=numbering.stored: made.append(name) or keep(df, name))
+    frame = spark.range(900).selectExpr("id % 3 AS k", "if(id < 300, 0, id) AS v")
+    numbered = numbering.number_rows(frame, ["k"], "n", partitions=5)
+    assert made == ["slices"] and sorted(r["n"] for r in numbered.collect()) == list(range(1, 901))
