@@ -1,14 +1,16 @@
 """Hand-computed edge rows (as-of 2025-12-31, 5.3392 hours per day)."""
 
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as registry
 from crewgauge.functions import bands, dates, scores
 from crewgauge.functions.numeric import percent
 from crewgauge.params import Params
 from crewgauge.plans import gold, silver
+from crewgauge.sources.order_tables import read_bronze
 from tests.people import AS_OF, PARAMS, bronze, by_key
 
 
@@ -188,3 +190,20 @@ def test_derived_departures_stay_in_bounds(spark):
 
 def test_scheduled_hours_constant():
     assert Params().hours_per_calendar_day == 5.3392
+
+
+def test_first_orders(spark, tmp_path):
+    """The earliest dated order counts, ties go to the smallest key, and marts without its other columns do not sort."""
+    at = datetime(2001, 3, 1)
+    rows = [(5, 1, at, "late key"), (4, 1, at, "first"), (1, 1, None, "undated"), (9, 1, datetime(2001, 7, 1), "last"), (7, 2, None, "undated")]
+    orders = [(key, person, "O", 100.0 * key, day, priority) for key, person, day, priority in rows]
+    schema = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"
+    for name in ("customer", "nation", "region", "lineitem", "part"):
+        spark.read.parquet(f"{registry.SMOKE_DIR}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    spark.createDataFrame(orders, schema).write.parquet(f"{tmp_path}/orders.parquet")
+    raw = read_bronze(spark, str(tmp_path))
+    hires = raw.recruitment.select("EmployeeNumber", "HireDate", "SourceChannel", "RecruitingCost").orderBy("EmployeeNumber").collect()
+    assert [tuple(r) for r in hires] == [(1, date(2001, 3, 1), "first", 4.0), (2, None, None, None)]
+    for columns, sorts in ((["HireDate"], False), (["HireDate", "SourceChannel"], True)):
+        plan = raw.recruitment.select("EmployeeNumber", *columns)._jdf.queryExecution().executedPlan().toString()
+        assert ("SortAggregate" in plan) == sorts
