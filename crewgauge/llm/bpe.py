@@ -1,14 +1,8 @@
 """BPE encoding through a table of distinct words, and decoding through an id-to-piece table.
 
-1. ``word_counts``: every task splits its texts and counts its distinct words; the partial counts are added up by
-   word. 2. ``word_table``: the most frequent words, ``TABLE_WORDS`` at most and none longer than ``TABLE_LETTERS``
-   letters, are encoded once each, in Spark. That bound makes the table safe to send to every task. 3. ``encode``:
-   each task splits its texts again and joins the ids back by position. The many rare words beyond the bound (over
-   half of all distinct words occur once) are encoded where they stand: sending them and their positions through a
-   shuffle would move more bytes than the texts have. 4. ``decode``: ids meet the vocabulary's pieces, a table of
-   fixed size.
-
-No row is grouped by word except in partial counts, so a word that makes up a third of all text is one row a task.
+``encode`` is ``word_join``: texts are split in Spark, every distinct word is encoded once, and its ids are joined back
+by position. ``decode`` joins ids with the vocabulary's pieces: the pieces are one table of fixed size with the id as
+row number, sent to every task, and a batch of ids takes its rows from it.
 
 Defined results: a null text counts as empty and has no ids. A text with the string of an added token gets that
 token's id. Repeated rows are encoded each on their own.
@@ -16,22 +10,17 @@ token's id. Repeated rows are encoded each on their own.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from crewgauge.llm.scratch import written
-from crewgauge.llm.words import SpacedEncoder, spaced_words
+from crewgauge.llm import word_join
+from crewgauge.llm.words import SpacedEncoder
 
-TABLE_WORDS = 1 << 17
-TABLE_LETTERS = 32
-#: A task hands on its counts when it holds this many distinct words.
-_HELD_WORDS = 400_000
-#: Entries of a worker's own tables of words and pre-tokens, and rows that it hands on at once.
-_OWN_WORDS, _ROWS = 250_000, 256
+#: Rows that a task decodes at once.
+_ROWS = 256
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -40,73 +29,12 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(start, _ROWS)
 
 
-def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """(word, n): the pre-tokens of all texts and how often they occur; longer ones than the table takes are left out."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def batch_of(words: Counter) -> pa.RecordBatch:
-            tokens: Counter = Counter()
-            for word, n in words.items():
-                for token in find(word):
-                    if len(token) <= TABLE_LETTERS:
-                        tokens[token] += n
-            return pa.RecordBatch.from_arrays([pa.array(tokens.keys(), pa.string()), pa.array(tokens.values(), pa.int64())], ["word", "n"])
-
-        find, held = SpacedEncoder._pattern.findall, Counter()
-        for batch in _slices(batches):
-            for text in batch.column(0).to_pylist():
-                held.update(spaced_words(text or ""))
-                if len(held) > _HELD_WORDS:
-                    yield batch_of(held)
-                    held = Counter()
-        yield batch_of(held)
-
-    partial = docs.select(F.col(text_col).alias("text")).mapInArrow(count, "word string, n long")
-    return partial.groupBy("word").agg(F.sum("n").alias("n"))
-
-
-def word_table(counts: DataFrame, tokenizer_path: str, words: int = TABLE_WORDS) -> DataFrame:
-    """(word, ids): the most frequent words, each encoded once; ``words`` rows at most.
-
-    The frequency from which words are taken comes from a histogram of frequencies in steps of a
-    twelfth of their size (a few hundred rows), so no task has to rank them.
-    """
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = SpacedEncoder(tokenizer_path)
-        for batch in batches:
-            tokens = batch.column(0).to_pylist()
-            ids = encoder.encode_pre_tokens(tokens) if tokens else {}
-            yield pa.RecordBatch.from_arrays([pa.array(tokens, pa.string()), pa.array([ids[t] for t in tokens], pa.binary())], ["word", "ids"])
-
-    counts = written(counts.withColumn("step", F.floor(F.log2("n") * 8).cast("int")), "counts")
-    taken, least = 0, None
-    for step, many in sorted(map(tuple, counts.groupBy("step").count().collect()), reverse=True):
-        if (taken := taken + many) > words:
-            break
-        least = step
-    frequent = counts.where(F.col("step") >= F.lit(least)).select("word")
-    return frequent.mapInArrow(encode, "word string, ids binary")
-
-
-def _sent(table: DataFrame):
-    """The bounded word table as a broadcast of two Arrow columns' bytes."""
-    arrow = table.toArrow()
-    known = dict(zip(arrow.column("word").to_pylist(), arrow.column("ids").to_pylist(), strict=True))
-    return table.sparkSession.sparkContext.broadcast(known)
-
-
-def encode(docs: DataFrame, table: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(
+    docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
+    words: int = word_join.SLICE_WORDS, letters: int = word_join.SLICE_LETTERS,
+) -> DataFrame:
     """(doc_id, ids): the ids of every row's whole text, as little-endian unsigned 32-bit bytes."""
-    known = _sent(table)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = SpacedEncoder(tokenizer_path, known.value, _OWN_WORDS)
-        for batch in _slices(batches):
-            ids = [encoder.encode(text or "") for text in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.large_binary()).cast(pa.binary())], ["doc_id", "ids"])
-
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, ids binary")
+    return word_join.encoded(docs, SpacedEncoder, tokenizer_path, id_col, text_col, words, letters)
 
 
 def id_pieces(tokenizer_path: str) -> list[bytes]:
@@ -134,9 +62,13 @@ def decode(encoded: DataFrame, tokenizer_path: str) -> DataFrame:
     pieces = encoded.sparkSession.sparkContext.broadcast(id_pieces(tokenizer_path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        piece = pieces.value.__getitem__
+        table = pa.array(pieces.value, pa.large_binary())
         for batch in _slices(batches):
-            texts = [b"".join(map(piece, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace") for ids in batch.column(1).to_pylist()]
+            rows = batch.column(1).to_pylist()
+            taken = table.take(pa.array(np.frombuffer(b"".join(rows), "<u4")))
+            data, many = taken.buffers()[2], np.cumsum([0, *(len(ids) // 4 for ids in rows)])
+            cuts = np.frombuffer(taken.buffers()[1], "<i8", len(taken) + 1)[many].tolist() if len(taken) else [0] * len(many)
+            texts = [data[a:b].to_pybytes().decode("utf-8", "replace") if a < b else "" for a, b in zip(cuts, cuts[1:], strict=False)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids binary, text string")

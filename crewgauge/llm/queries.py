@@ -51,8 +51,7 @@ def op3_url_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs, path = _table(spark, folder, "documents"), default_tokenizer("byte_bpe_50k.json")
-    table = written(bpe.word_table(bpe.word_counts(docs), path), "words")
-    return bpe.digests(bpe.decode(bpe.encode(docs, table, path), path))
+    return bpe.digests(bpe.decode(bpe.encode(docs, path), path))
 
 
 def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:

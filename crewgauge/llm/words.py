@@ -39,6 +39,11 @@ def bare_words(text: str) -> list[str]:
     return _BARE_WORD.findall(text) if _SEPARATORS(text) else text.split()
 
 
+def added_tokens(tokenizer) -> list[str]:
+    """The strings that a tokenizer takes out of a text before it splits the rest."""
+    return [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+
+
 def _four_bytes(ids) -> bytes:
     return np.asarray(ids, "<u4").tobytes()
 
@@ -61,7 +66,7 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = added_tokens(self.tokenizer)
         self.known, self.limit = known or {}, limit
         self.words: dict[str, bytes] = {}
         self.old_words: dict[str, bytes] = {}
@@ -71,7 +76,8 @@ class WordEncoder:
         self.edge = np.zeros(pieces[-1][1] + 1, bool)
         self.edge[[i for piece, i in pieces if self.is_edge(piece)]] = True
 
-    def split(self, text: str) -> list[str]:
+    @staticmethod
+    def split(text: str) -> list[str]:
         raise NotImplementedError
 
     def pre_tokens(self, word: str) -> list[str]:
@@ -134,6 +140,11 @@ class WordEncoder:
         found.update((w, b"".join([pieces[p] for p in own])) for w, own in parts.items())
         return found
 
+    def encode_words(self, words: set[str]) -> dict[str, bytes]:
+        """Each of the distinct ``words``, encoded once; one with an added token's string stands for a whole text."""
+        whole = {w: self.encode_whole(w) for w in words if any(t in w for t in self.added)}
+        return whole | self._ids(words - whole.keys())
+
     def encode(self, text: str) -> bytes:
         if any(t in text for t in self.added):
             return self.encode_whole(text)
@@ -154,7 +165,8 @@ class SpacedEncoder(WordEncoder):
 
     _pattern = regex.compile(BYTE_PATTERN)
 
-    def split(self, text: str) -> list[str]:
+    @staticmethod
+    def split(text: str) -> list[str]:
         return spaced_words(text)
 
     def pre_tokens(self, word: str) -> list[str]:
@@ -176,7 +188,8 @@ class BareEncoder(WordEncoder):
 
     _pattern = re.compile(BARE_PATTERN)
 
-    def split(self, text: str) -> list[str]:
+    @staticmethod
+    def split(text: str) -> list[str]:
         return bare_words(text)
 
     def pre_tokens(self, word: str) -> list[str]:

@@ -4,14 +4,16 @@ import hashlib
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
+from hypothesis import given, strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__ as registry
-from crewgauge.llm import bpe, exact_dedup, packing, quality, secret_scan
+from crewgauge.llm import bpe, exact_dedup, packing, quality, secret_scan, word_join
 from crewgauge.llm.packing import default_tokenizer
 from crewgauge.llm.words import BareEncoder, SpacedEncoder
 from tests.llm.cases import ROWS, TEXTS, docs, lowered, rows_of
@@ -38,12 +40,39 @@ def test_words_are_encoded_like_whole_texts(kind, path):
 
 @pytest.mark.parametrize("words", [1, 50, 100_000])
 def test_bpe_of_awkward_rows(spark, words):
-    rows = [(n, t) for n, t in enumerate([*TEXTS, *ODD])]
+    rows = [(n, t) for n, t in enumerate([*TEXTS, *ODD, *TEXTS])]
     table = spark.createDataFrame(rows, "doc_id long, text string").withColumn("ids", F.lit(1)).withColumn("word", F.lit("x"))
-    known = bpe.word_table(bpe.word_counts(table), BYTES, words)
-    assert known.count() <= words
-    decoded = {r["doc_id"]: (bytes(r["ids"]), r["text"]) for r in bpe.decode(bpe.encode(table, known, BYTES), BYTES).collect()}
-    assert decoded == {n: (whole(BYTES, t or ""), t or "") for n, t in rows}
+    decoded = [(r["doc_id"], bytes(r["ids"]), r["text"]) for r in bpe.decode(bpe.encode(table, BYTES, words=words), BYTES).collect()]
+    assert sorted(decoded) == [(n, whole(BYTES, t or ""), t or "") for n, t in rows]
+    assert sorted(decoded) == sorted(tuple(r) for r in bpe.decode(bpe.encode(table, BYTES, letters=1), BYTES).collect())
+
+
+def test_bpe_of_repeated_null_and_no_rows(spark):
+    rows = [(None, "a b"), (None, None), (3, "b a"), (3, "b a"), (4, "")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter((r["doc_id"], bytes(r["ids"])) for r in bpe.encode(table, BYTES).collect())
+    assert got == Counter((n, whole(BYTES, t or "")) for n, t in rows)
+    assert bpe.decode(bpe.encode(table.where("doc_id = 0"), BYTES), BYTES).collect() == []
+
+
+def test_every_distinct_word_is_encoded_once(spark):
+    table = spark.createDataFrame([(n, f"the same words and the word number {n % 7}") for n in range(300)], "doc_id long, text string").repartition(5)
+    slices = word_join.sliced(table, SpacedEncoder, BYTES, "doc_id", "text", 10, 10**6).where("words is not null")
+    lists = [w for r in slices.collect() for w in r["words"]]
+    places = word_join.word_ids(slices, SpacedEncoder, BYTES).collect()
+    assert slices.select("slice").distinct().count() > 5 and len(lists) == sum(len(word_join._unpacked(r["places"])) for r in places)
+    per_slice = slices.groupBy("slice").agg(F.flatten(F.collect_list("words")).alias("w")).collect()
+    assert all(len(set(r["w"])) == len(r["w"]) for r in per_slice)
+
+
+@given(st.lists(st.integers(0, 6), max_size=40))
+def test_numbers_of_words_round_trip(letters):
+    places = word_join._Places()
+    at = np.array([places[x] for x in letters], np.int64)
+    for cut in range(len(at) + 1):
+        base = len(set(letters[:cut]))
+        codes = word_join._codes(at[cut:], base)
+        assert word_join._numbers(word_join._unpacked(word_join._packed(codes)), base).tolist() == at[cut:].tolist()
 
 
 def test_bpe_decodes_broken_bytes_as_the_library(spark):
