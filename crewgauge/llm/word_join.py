@@ -1,7 +1,8 @@
 """Token ids of texts through a table of distinct words: every distinct word is encoded once, its ids are joined back by position.
 
-1. ``sliced``: every task cuts its texts into words (units that the tokenizer encodes independently) and numbers the distinct
-   words of a slice, a bounded stretch of its rows. A text becomes the numbers of its words. This is written once.
+1. ``sliced``: every task cuts its texts into words (the tokenizer's own pre-tokens, which it encodes independently) and numbers
+   the distinct words of a slice, a bounded stretch of its rows. A text becomes the numbers of its words. This is written once,
+   in buckets by slice, so that the texts are not shuffled afterwards.
 2. ``word_ids``: the slices' distinct words meet by word in one sorted order, so that a word that occurs in many slices is
    encoded once; its ids go back to each slice under the number it has there.
 3. ``encoded``: a slice's texts meet the ids of its words and are put together by position.
@@ -17,6 +18,7 @@ a whole. Repeated rows and null ids are rows of their own.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,13 +26,14 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
+from crewgauge.llm.scratch import bucketed
 from crewgauge.llm.words import WordEncoder, added_tokens
-from crewgauge.session import scratch_path
 
 #: A slice ends after so many distinct words or characters.
-SLICE_WORDS, SLICE_LETTERS = 400_000, 48_000_000
+SLICE_WORDS, SLICE_LETTERS = 500_000, 48_000_000
 #: Rows of a block, words of a row of the word list, words that a task encodes before it hands them on.
 _BLOCK_ROWS, _BLOCK_WORDS, _LIST_WORDS, _HELD_WORDS = 512, 500_000, 20_000, 400_000
+_KEPT_STRETCHES = 200_000
 _SLICES = "slice long, base int, ids array<long>, many binary, codes binary, words array<string>"
 _ENTRIES = "slice long, places binary, sizes binary, tokens binary"
 
@@ -43,6 +46,19 @@ class _Places(dict):
         return place
 
 
+class _Numbered(dict):
+    """The numbers of the words in a stretch of text without white space inside; a table of bounded size that can be emptied."""
+
+    def __init__(self, places: _Places, pre_tokens) -> None:
+        self.place, self.pre_tokens = places.__getitem__, pre_tokens
+
+    def __missing__(self, stretch: str) -> tuple[int, ...]:
+        if len(self) >= _KEPT_STRETCHES:
+            self.clear()
+        self[stretch] = numbers = tuple(map(self.place, self.pre_tokens(stretch)))
+        return numbers
+
+
 def _packed(numbers: np.ndarray) -> bytes:
     """Unsigned 32-bit numbers, compressed byte plane by byte plane."""
     planes = np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T)
@@ -72,6 +88,7 @@ def sliced(
     from tokenizers import Tokenizer
 
     added, split = added_tokens(Tokenizer.from_file(tokenizer_path)), kind.split
+    pre_tokens = kind.pre_tokens
     schema = pa.schema([
         ("slice", pa.int64()), ("base", pa.int32()), ("ids", pa.list_(pa.int64())), ("many", pa.binary()),
         ("codes", pa.binary()), ("words", pa.list_(pa.string())),
@@ -80,6 +97,7 @@ def sliced(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
         places, length = _Places(), 0
+        numbered = _Numbered(places, pre_tokens)
         ids, many, at, base = [], [], [], 0
 
         def row(**values) -> pa.RecordBatch:
@@ -97,10 +115,13 @@ def sliced(
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 text = text.as_py() or ""
-                own = [text] if any(t in text for t in added) else split(text)
-                at.extend(map(places.__getitem__, own))
+                before = len(at)
+                if any(t in text for t in added):
+                    at.append(places[text])
+                else:
+                    at.extend(chain.from_iterable(map(numbered.__getitem__, split(text))))
                 ids.append(doc_id)
-                many.append(len(own))
+                many.append(len(at) - before)
                 length += len(text)
                 full = len(places) >= words or length >= letters
                 if full or len(ids) >= _BLOCK_ROWS or len(at) >= _BLOCK_WORDS:
@@ -109,14 +130,13 @@ def sliced(
                 if full:
                     yield from lists()
                     places, length, base, number = _Places(), 0, 0, number + 1
+                    numbered = _Numbered(places, pre_tokens)
         if ids:
             yield block()
         yield from lists()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, _SLICES)
-    path = scratch_path(docs.sparkSession, "slices")
-    rows.write.option("compression", "zstd").parquet(path)
-    return docs.sparkSession.read.schema(_SLICES).parquet(path)
+    return bucketed(rows, "slices", "slice")
 
 
 def word_ids(slices: DataFrame, kind: type[WordEncoder], tokenizer_path: str) -> DataFrame:
@@ -147,7 +167,7 @@ def word_ids(slices: DataFrame, kind: type[WordEncoder], tokenizer_path: str) ->
             if not batch.num_rows:
                 continue
             words = batch.column(0).to_pylist()
-            found = encoder.encode_words({w for w in words if w not in last})
+            found = encoder.encode_units([w for w in dict.fromkeys(words) if w not in last])
             found.update(last)
             held.append((batch.column(1).to_numpy(), batch.column(2).to_numpy(), [found[w] for w in words]))
             last = {words[-1]: found[words[-1]]}

@@ -20,6 +20,7 @@ WHITE_SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u2
 BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 BARE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+"
 
+_BYTE_TOKEN, _BARE_TOKEN = regex.compile(BYTE_PATTERN), re.compile(BARE_PATTERN)
 _SPACED_WORD = re.compile(f"[{WHITE_SPACE}]*[^{WHITE_SPACE}]+|[{WHITE_SPACE}]+")
 _BARE_WORD = re.compile(f"[^{WHITE_SPACE}]+")
 #: Words that lower-casing and normal form NFC change letter by letter only, so they can be split beforehand.
@@ -80,7 +81,8 @@ class WordEncoder:
     def split(text: str) -> list[str]:
         raise NotImplementedError
 
-    def pre_tokens(self, word: str) -> list[str]:
+    @staticmethod
+    def pre_tokens(word: str) -> list[str]:
         raise NotImplementedError
 
     def is_edge(self, piece: str) -> bool:
@@ -140,10 +142,10 @@ class WordEncoder:
         found.update((w, b"".join([pieces[p] for p in own])) for w, own in parts.items())
         return found
 
-    def encode_words(self, words: set[str]) -> dict[str, bytes]:
-        """Each of the distinct ``words``, encoded once; one with an added token's string stands for a whole text."""
-        whole = {w: self.encode_whole(w) for w in words if any(t in w for t in self.added)}
-        return whole | self._ids(words - whole.keys())
+    def encode_units(self, units: list[str]) -> dict[str, bytes]:
+        """Each of the distinct ``units``, encoded once: pre-tokens, and whole texts with an added token's string."""
+        whole = {u: self.encode_whole(u) for u in units if any(t in u for t in self.added)}
+        return whole | self.encode_pre_tokens([u for u in units if u not in whole])
 
     def encode(self, text: str) -> bytes:
         if any(t in text for t in self.added):
@@ -163,14 +165,13 @@ class WordEncoder:
 class SpacedEncoder(WordEncoder):
     """For byte-level tokenizers whose pre-tokens keep the space before them."""
 
-    _pattern = regex.compile(BYTE_PATTERN)
-
     @staticmethod
     def split(text: str) -> list[str]:
         return spaced_words(text)
 
-    def pre_tokens(self, word: str) -> list[str]:
-        return self._pattern.findall(word)
+    @staticmethod
+    def pre_tokens(word: str) -> list[str]:
+        return _BYTE_TOKEN.findall(word)
 
     def is_edge(self, piece: str) -> bool:
         return piece.startswith("Ġ")  # the byte-level name of a space
@@ -186,14 +187,13 @@ class SpacedEncoder(WordEncoder):
 class BareEncoder(WordEncoder):
     """For tokenizers that lower-case, drop white space and mark the end of a pre-token."""
 
-    _pattern = re.compile(BARE_PATTERN)
-
     @staticmethod
     def split(text: str) -> list[str]:
         return bare_words(text)
 
-    def pre_tokens(self, word: str) -> list[str]:
-        return self._pattern.findall(word.lower()) if _PLAIN(word) else [word]
+    @staticmethod
+    def pre_tokens(word: str) -> list[str]:
+        return _BARE_TOKEN.findall(word.lower()) if _PLAIN(word) else [word]
 
     def is_edge(self, piece: str) -> bool:
         return piece.endswith("</w>")
