@@ -33,7 +33,7 @@ from crewgauge.llm.words import WordEncoder, added_tokens
 SLICE_WORDS, SLICE_LETTERS = 500_000, 48_000_000
 #: Rows of a block, words of a row of the word list, words that a task encodes before it hands them on.
 _BLOCK_ROWS, _BLOCK_WORDS, _LIST_WORDS, _HELD_WORDS = 512, 500_000, 20_000, 400_000
-_KEPT_STRETCHES = 200_000
+_KEPT_STRETCHES = 100_000
 _SLICES = "slice long, base int, ids array<long>, many binary, codes binary, words array<string>"
 _ENTRIES = "slice long, places binary, sizes binary, tokens binary"
 

@@ -21,6 +21,7 @@ BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s
 BARE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+"
 
 _BYTE_TOKEN, _BARE_TOKEN = regex.compile(BYTE_PATTERN), re.compile(BARE_PATTERN)
+_STOPS = ".,;:!?)"
 _SPACED_WORD = re.compile(f"[{WHITE_SPACE}]*[^{WHITE_SPACE}]+|[{WHITE_SPACE}]+")
 _BARE_WORD = re.compile(f"[^{WHITE_SPACE}]+")
 #: Words that lower-casing and normal form NFC change letter by letter only, so they can be split beforehand.
@@ -171,6 +172,12 @@ class SpacedEncoder(WordEncoder):
 
     @staticmethod
     def pre_tokens(word: str) -> list[str]:
+        if word.isascii():  # letters, or letters and one stop: what the pattern gives, without it
+            letters = word[1:] if word[0] == " " else word
+            if letters.isalpha():
+                return [word]
+            if letters[:-1].isalpha() and letters[-1] in _STOPS:
+                return [word[:-1], word[-1]]
         return _BYTE_TOKEN.findall(word)
 
     def is_edge(self, piece: str) -> bool:
@@ -193,6 +200,11 @@ class BareEncoder(WordEncoder):
 
     @staticmethod
     def pre_tokens(word: str) -> list[str]:
+        if word.isascii():
+            if word.isalpha():
+                return [word.lower()]
+            if word[:-1].isalpha() and word[-1] in _STOPS:
+                return [word[:-1].lower(), word[-1]]
         return _BARE_TOKEN.findall(word.lower()) if _PLAIN(word) else [word]
 
     def is_edge(self, piece: str) -> bool:

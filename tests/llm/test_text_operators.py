@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__ as registry
-from crewgauge.llm import bpe, exact_dedup, packing, quality, secret_scan, word_join
+from crewgauge.llm import bpe, exact_dedup, packing, quality, secret_scan, word_join, words
 from crewgauge.llm.packing import default_tokenizer
 from crewgauge.llm.words import BareEncoder, SpacedEncoder
 from tests.llm.cases import ROWS, TEXTS, docs, lowered, rows_of
@@ -38,11 +38,11 @@ def test_words_are_encoded_like_whole_texts(kind, path):
             assert encoder.encode(text) == np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text[:40]
 
 
-@pytest.mark.parametrize("words", [1, 50, 100_000])
-def test_bpe_of_awkward_rows(spark, words):
+@pytest.mark.parametrize("limit", [1, 50, 100_000])
+def test_bpe_of_awkward_rows(spark, limit):
     rows = [(n, t) for n, t in enumerate([*TEXTS, *ODD, *TEXTS])]
     table = spark.createDataFrame(rows, "doc_id long, text string").withColumn("ids", F.lit(1)).withColumn("word", F.lit("x"))
-    decoded = [(r["doc_id"], bytes(r["ids"]), r["text"]) for r in bpe.decode(bpe.encode(table, BYTES, words=words), BYTES).collect()]
+    decoded = [(r["doc_id"], bytes(r["ids"]), r["text"]) for r in bpe.decode(bpe.encode(table, BYTES, words=limit), BYTES).collect()]
     assert sorted(decoded) == [(n, whole(BYTES, t or ""), t or "") for n, t in rows]
     assert sorted(decoded) == sorted(tuple(r) for r in bpe.decode(bpe.encode(table, BYTES, letters=1), BYTES).collect())
 
@@ -65,6 +65,14 @@ def test_every_distinct_word_is_encoded_once(spark):
     assert all(len(set(r["w"])) == len(r["w"]) for r in per_slice)
 
 
+@given(st.text("aZ ß.,'9\\t)é", min_size=1, max_size=9))
+def test_short_cuts_split_as_the_patterns(text):
+    for word in SpacedEncoder.split(text):
+        assert SpacedEncoder.pre_tokens(word) == words._BYTE_TOKEN.findall(word)
+    for word in BareEncoder.split(text):
+        assert BareEncoder.pre_tokens(word) == words._BARE_TOKEN.findall(word.lower())
+
+
 @given(st.lists(st.integers(0, 6), max_size=40))
 def test_numbers_of_words_round_trip(letters):
     places = word_join._Places()
