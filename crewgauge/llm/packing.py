@@ -4,8 +4,8 @@ A document's token ids are cut into pieces whose lengths are powers of two: as m
 binary digits of the rest, longest first. Every piece is a sequence of its own, so no sequence crosses documents,
 none needs padding, and ``bucket`` (the length) groups sequences that can be batched as a rectangle.
 
-The work has no shuffle: a task reads texts, encodes them and writes pieces. Words repeat, so each worker encodes a
-word once and looks it up afterwards, in a table of bounded size.
+Texts are encoded by ``word_join``, every distinct word once; what is shuffled are the distinct words of bounded slices of the
+rows. The pieces are cut where the ids of a text are put together, without a further shuffle.
 
 Defined results: a null or empty text has only the end token, one piece. Repeated rows are packed each on their own.
 """
@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from crewgauge.llm import word_join
 from crewgauge.llm.words import BareEncoder
 
 LONGEST = 4096
@@ -35,14 +36,13 @@ def piece_lengths(total: int, longest: int = LONGEST) -> list[int]:
     return [longest] * (total // longest) + [1 << b for b in range(longest.bit_length() - 2, -1, -1) if rest >> b & 1]
 
 
-def _packer(tokenizer_path: str, longest: int, end_id: int, with_ids: bool):
+def _packer(longest: int, end_id: int, with_ids: bool):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = BareEncoder(tokenizer_path)
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             out: list[list] = [[] for _ in range(9)]
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = words.encode(text or "") + end
+            for doc_id, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                ids += end
                 total, start = len(ids) // 4, 0
                 for length in piece_lengths(total, longest):
                     piece = ids[4 * start : 4 * (start + length)]
@@ -64,8 +64,8 @@ def pack(
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, bucket and (if wanted) ids."""
     if longest < 1 or longest & (longest - 1):
         raise ValueError("longest must be a power of two")
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    pieces = texts.mapInArrow(_packer(tokenizer_path, longest, end_id, with_ids), _SCHEMA)
+    encoded = word_join.encoded(docs, BareEncoder, tokenizer_path, id_col, text_col)
+    pieces = encoded.mapInArrow(_packer(longest, end_id, with_ids), _SCHEMA)
     pieces = pieces.withColumn("sequence_id", F.monotonically_increasing_id()).drop("ordinal")
     return pieces if with_ids else pieces.drop("ids")
 
