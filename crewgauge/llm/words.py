@@ -200,11 +200,6 @@ class BareEncoder(WordEncoder):
 
     @staticmethod
     def pre_tokens(word: str) -> list[str]:
-        if word.isascii():
-            if word.isalpha():
-                return [word.lower()]
-            if word[:-1].isalpha() and word[-1] in _STOPS:
-                return [word[:-1].lower(), word[-1]]
         return _BARE_TOKEN.findall(word.lower()) if _PLAIN(word) else [word]
 
     def is_edge(self, piece: str) -> bool:

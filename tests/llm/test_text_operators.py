@@ -69,8 +69,6 @@ def test_every_distinct_word_is_encoded_once(spark):
 def test_short_cuts_split_as_the_patterns(text):
     for word in SpacedEncoder.split(text):
         assert SpacedEncoder.pre_tokens(word) == words._BYTE_TOKEN.findall(word)
-    for word in BareEncoder.split(text):
-        assert BareEncoder.pre_tokens(word) == words._BARE_TOKEN.findall(word.lower())
 
 
 @given(st.lists(st.integers(0, 6), max_size=40))
