@@ -30,9 +30,9 @@ from crewgauge.llm.scratch import bucketed
 from crewgauge.llm.words import WordEncoder, added_tokens
 
 #: A slice ends after so many distinct words or characters.
-SLICE_WORDS, SLICE_LETTERS = 500_000, 48_000_000
+SLICE_WORDS, SLICE_LETTERS = 300_000, 24_000_000
 #: Rows of a block, words of a row of the word list, words that a task encodes before it hands them on.
-_BLOCK_ROWS, _BLOCK_WORDS, _LIST_WORDS, _HELD_WORDS = 512, 500_000, 20_000, 400_000
+_BLOCK_ROWS, _BLOCK_WORDS, _LIST_WORDS, _HELD_WORDS = 256, 250_000, 20_000, 150_000
 _KEPT_STRETCHES = 100_000
 _SLICES = "slice long, base int, ids array<long>, many binary, codes binary, words array<string>"
 _ENTRIES = "slice long, places binary, sizes binary, tokens binary"
