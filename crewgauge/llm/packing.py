@@ -5,7 +5,7 @@ binary digits of the rest, longest first. Every piece is a sequence of its own,
 none needs padding, and ``bucket`` (the length) groups sequences that can be batched as a rectangle.
 
 The work has no shuffle: a task reads texts, encodes them and writes pieces. Words repeat, so each worker encodes a
-word once and looks it up afterwards, in a table of bounded size.
+word once and looks it up afterwards, in a table of bounded size. New words of letters are encoded by ranks.
 
 Defined results: a null or empty text has only the end token, one piece. Repeated rows are packed each on their own.
 """
@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from crewgauge.llm.letter_words import letter_encoder, letter_ranks
 from crewgauge.llm.words import BareEncoder
 
 LONGEST = 4096
@@ -36,8 +37,10 @@ def piece_lengths(total: int, longest: int = LONGEST) -> list[int]:
 
 
 def _packer(tokenizer_path: str, longest: int, end_id: int, with_ids: bool):
+    ranks = letter_ranks(tokenizer_path)  # travels with the function; the vocabulary's size bounds it
+
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = BareEncoder(tokenizer_path)
+        words = BareEncoder(tokenizer_path, of_letters=letter_encoder(ranks) if ranks else None)
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             out: list[list] = [[] for _ in range(9)]

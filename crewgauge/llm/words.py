@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 import numpy as np
 import regex
@@ -26,6 +26,7 @@ _SPACED_WORD = re.compile(f"[{WHITE_SPACE}]*[^{WHITE_SPACE}]+|[{WHITE_SPACE}]+")
 _BARE_WORD = re.compile(f"[^{WHITE_SPACE}]+")
 #: Words that lower-casing and normal form NFC change letter by letter only, so they can be split beforehand.
 _PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+").fullmatch
+_LETTERS = re.compile("[a-zß-öø-ÿ]+").fullmatch
 _AFTER_SPACE = re.compile(f" [^{WHITE_SPACE}]+").fullmatch
 #: str.split also cuts at these four control characters, which are not white space.
 _SEPARATORS = re.compile("[\\x1c-\\x1f]").search
@@ -192,7 +193,20 @@ class SpacedEncoder(WordEncoder):
 
 
 class BareEncoder(WordEncoder):
-    """For tokenizers that lower-case, drop white space and mark the end of a pre-token."""
+    """For tokenizers that lower-case, drop white space and mark the end of a pre-token.
+
+    ``of_letters`` encodes a pre-token of lower-case letters as the tokenizer does, faster.
+    """
+
+    def __init__(self, tokenizer_path: str, *args, of_letters: Callable[[str], bytes] | None = None, **options) -> None:
+        super().__init__(tokenizer_path, *args, **options)
+        self.of_letters = of_letters
+
+    def encode_pre_tokens(self, tokens: list[str]) -> dict[str, bytes]:
+        if self.of_letters is None:
+            return super().encode_pre_tokens(tokens)
+        found = {t: self.of_letters(t) for t in tokens if _LETTERS(t)}
+        return found | super().encode_pre_tokens([t for t in tokens if t not in found]) if len(found) < len(tokens) else found
 
     @staticmethod
     def split(text: str) -> list[str]:
@@ -200,6 +214,11 @@ class BareEncoder(WordEncoder):
 
     @staticmethod
     def pre_tokens(word: str) -> list[str]:
+        if word.isascii():  # letters, or letters and one stop: what the pattern gives, without it
+            if word.isalpha():
+                return [word.lower()]
+            if word[-1:] in _STOPS and word[:-1].isalpha():
+                return [word[:-1].lower(), word[-1]]
         return _BARE_TOKEN.findall(word.lower()) if _PLAIN(word) else [word]
 
     def is_edge(self, piece: str) -> bool:

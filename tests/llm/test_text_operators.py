@@ -1,19 +1,22 @@
 """BPE, packing, exact duplicates, quality and secrets on awkward rows, against plain Python."""
 
 import hashlib
+import itertools
+import json
 import random
 import re
 import zlib
 from collections import Counter
+from functools import cache
 
 import numpy as np
 import pytest
-from hypothesis import given, strategies as st
+from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__ as registry
-from crewgauge.llm import bpe, exact_dedup, packing, quality, secret_scan, word_join, words
+from crewgauge.llm import bpe, exact_dedup, letter_words, packing, quality, secret_scan, word_join, words
 from crewgauge.llm.packing import default_tokenizer
 from crewgauge.llm.words import BareEncoder, SpacedEncoder
 from tests.llm.cases import ROWS, TEXTS, docs, lowered, rows_of
@@ -29,15 +32,76 @@ def whole(path, text):
     return np.array(Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
+@cache
+def bare_by_ranks():
+    return BareEncoder(WORDS, of_letters=letter_words.letter_encoder(letter_words.letter_ranks(WORDS)))
+
+
 @pytest.mark.parametrize(("kind", "path"), [(SpacedEncoder, BYTES), (BareEncoder, WORDS)])
 def test_words_are_encoded_like_whole_texts(kind, path):
     tokenizer = Tokenizer.from_file(path)
-    for limit in (3, 250_000):
-        encoder = kind(path, limit=limit)
+    for limit in (3, 250_000, None):
+        encoder = kind(path, limit=limit) if limit else bare_by_ranks() if kind is BareEncoder else kind(path)
         for text in [*ODD, *(t or "" for t in TEXTS)] * 2:
             assert encoder.encode(text) == np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text[:40]
 
 
+LETTERS = "".join(map(chr, [*range(0x61, 0x7B), *range(0xDF, 0xF7), *range(0xF8, 0x100)]))
+
+
+@settings(deadline=None)
+@given(st.lists(st.text(LETTERS, min_size=1, max_size=80), max_size=30))
+def test_ranks_give_the_librarys_ids_of_letters(found):
+    encode = bare_by_ranks().of_letters
+    for word, e in zip(found, cached_library().encode_batch(found, add_special_tokens=False), strict=True):
+        assert encode(word) == np.array(e.ids, "<u4").tobytes(), word
+
+
+@cache
+def cached_library():
+    return Tokenizer.from_file(WORDS)
+
+
+def test_ranks_of_every_piece_as_a_word():
+    ends = [p.removesuffix("</w>") for p in cached_library().get_vocab() if p.endswith("</w>")]
+    own = [w for w in ends if w.isascii() and w.isalpha()]
+    assert len(own) > 10_000
+    for word, e in zip(own, cached_library().encode_batch(own, add_special_tokens=False), strict=True):
+        assert bare_by_ranks().of_letters(word) == np.array(e.ids, "<u4").tobytes(), word
+
+
+def small_vocabulary(merges, **options):
+    """A vocabulary of all bytes, at the end of a word too, and the given merges."""
+    symbols = list(bpe._piece_bytes())
+    pieces = symbols + [s + "</w>" for s in symbols] + [a + b for a, b in merges]
+    model = {"type": "BPE", "end_of_word_suffix": "</w>", "vocab": {p: i for i, p in enumerate(pieces)}, "merges": [list(m) for m in merges]}
+    return {"version": "1.0", "added_tokens": [], "model": model | options}
+
+
+def test_a_piece_that_never_comes_up_has_no_rank(tmp_path):
+    merges = [("a", "b"), ("b", "c"), ("a", "bc"), ("b", "c</w>"), ("ab", "d</w>")]  # a, b merge first, so abc is never made
+    path = tmp_path / "small.json"
+    path.write_text(json.dumps(small_vocabulary(merges)))
+    ranks = letter_words.letter_ranks(str(path))
+    assert {b"ab", b"bc", b"bC", b"abD"} <= ranks.keys() and b"abc" not in ranks
+    encode, tokenizer = letter_words.letter_encoder(ranks), Tokenizer.from_file(str(path))
+    for letters in itertools.product("abcd", repeat=6):
+        word = "".join(letters)
+        assert encode(word) == np.array(tokenizer.encode(word).ids, "<u4").tobytes(), word
+
+
+def test_other_kinds_of_vocabulary_have_no_ranks(tmp_path):
+    path = tmp_path / "other.json"
+    good = small_vocabulary([("a", "b")])
+    for changed in ({"end_of_word_suffix": None}, {"type": "WordPiece"}, {"ignore_merges": True}, {"dropout": 0.1}):
+        path.write_text(json.dumps(good | {"model": good["model"] | changed}))
+        assert letter_words.letter_ranks(str(path)) == {}
+    without = {p: i for p, i in good["model"]["vocab"].items() if p != "z</w>"}
+    path.write_text(json.dumps(good | {"model": good["model"] | {"vocab": without}}))
+    assert letter_words.letter_ranks(str(path)) == {}
+    assert letter_words.letter_ranks(BYTES) == {}
+
+
 @pytest.mark.parametrize("limit", [1, 50, 100_000])
 def test_bpe_of_awkward_rows(spark, limit):
     rows = [(n, t) for n, t in enumerate([*TEXTS, *ODD, *TEXTS])]
@@ -69,6 +133,8 @@ def test_every_distinct_word_is_encoded_once(spark):
 def test_short_cuts_split_as_the_patterns(text):
     for word in SpacedEncoder.split(text):
         assert SpacedEncoder.pre_tokens(word) == words._BYTE_TOKEN.findall(word)
+    for word in BareEncoder.split(text):
+        assert BareEncoder.pre_tokens(word) == (words._BARE_TOKEN.findall(word.lower()) if words._PLAIN(word) else [word])
 
 
 @given(st.lists(st.integers(0, 6), max_size=40))
