@@ -1,9 +1,9 @@
 """A quality score by positive-unlabelled learning with the non-negative risk estimator.
 
 Trusted positives are documents labelled good; unlabelled web text is every document of the learning folds, whatever its
-label, since a positive-unlabelled learner does not look at bad ones. The class prior, the share of good
-documents in that text, is estimated from the labelled rows of the learning folds (from the positives' share of
-unlabelled rows that look like them where there are no bad labels). The classifier minimises
+label, since a positive-unlabelled learner does not look at bad ones. The class prior, the share of good documents in
+that text, is estimated from the share of all its rows that lie where nearly all positives lie, against the positives'
+own share there. The classifier minimises
 
     prior * R_p(+) + max(0, R_u(-) - prior * R_p(-))
 
@@ -11,9 +11,10 @@ with the logistic loss over shape features of the whole text: repetition, symbol
 compressibility. Labels, language, source and id are no features.
 
 Features of all documents are computed once, in Spark tasks, and written; scoring reads them again and is an
-expression over an array. Moments over all documents scale the features. Only the fit uses a sample: the ``FIT_ROWS``
-positives and as many unlabelled rows with the smallest hashes of their ids and features, which bounds what the driver
-holds at every size of the corpus. Only rows alike in both are taken together.
+expression over an array. Moments over all documents scale the features. Only the fit, and the range in which the
+class prior is counted, use a sample: the ``FIT_ROWS`` positives and as many unlabelled rows with the smallest hashes
+of their ids and features, which bounds what the driver holds at every size of the corpus. Only rows alike in both are
+taken together.
 
 Defined results: null and empty texts have the features of the empty text and a score like any other. Null ids belong
 to no held-out fold and have no label. Repeated rows have equal scores. Without any positive label every score is 1,
@@ -22,6 +23,8 @@ since nothing is known against a document. Labels of ids with differing labels c
 
 from __future__ import annotations
 
+import functools
+import operator
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -152,11 +155,16 @@ def _sample(rows: DataFrame, limit: int) -> np.ndarray:
     return np.asarray(arrow.values.to_numpy(), float).reshape(len(arrow), len(FEATURES))
 
 
-def _prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
-    """The share of unlabelled rows inside the positives' range, against the positives' own share there."""
+def class_prior(learning: DataFrame, positive: np.ndarray) -> float:
+    """The share of good rows among all of ``learning`` (f, quality); ``positive`` gives the range that is counted.
+
+    A row in which each feature is between the positives' hundredths counts as alike. If bad rows are never alike, the
+    share of alike rows is the prior times the positives' own share; those that are alike raise the estimate.
+    """
     low, high = np.quantile(positive, [0.01, 0.99], axis=0)
-    inside = lambda f: ((f >= low) & (f <= high)).all(axis=1).mean()
-    return float(np.clip(inside(unlabelled) / max(inside(positive), 1e-9), 0.01, 0.99))
+    alike = functools.reduce(operator.and_, (F.col("f")[k].between(float(a), float(b)) for k, (a, b) in enumerate(zip(low, high, strict=True))))
+    of_all, of_good = learning.agg(F.avg(alike.cast("double")), F.avg(F.when(F.col("quality") == 1, alike.cast("double")))).first()
+    return float(np.clip((of_all or 0.0) / max(of_good or 0.0, 1e-9), 0.01, 0.99))
 
 
 def learn(table: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model | None:
@@ -168,11 +176,9 @@ def learn(table: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model |
     unlabelled = _sample(learning, rows)
     if not len(positive):
         return None
-    good, bad = known.agg(F.count_if(F.col("quality") == 1), F.count_if(F.col("quality") != 1)).first()
-    prior = min(max(good / (good + bad), 0.01), 0.99) if bad else _prior(positive, unlabelled)
     moments = table.agg(*(F.avg(F.col("f")[k]) for k in range(len(FEATURES))), *(F.stddev_pop(F.col("f")[k]) for k in range(len(FEATURES)))).first()
     mean, scale = np.array(moments, float).reshape(2, -1)
-    return fit(positive, unlabelled, prior, mean, scale + 1e-9)
+    return fit(positive, unlabelled, class_prior(learning, positive), mean, scale + 1e-9)
 
 
 def scored(table: DataFrame, model: Model | None, threshold: float = THRESHOLD) -> DataFrame:

@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import json
+import math
 import random
 import re
 import zlib
@@ -258,6 +259,65 @@ def test_quality_without_positives_or_rows(spark):
     assert quality.keep_good(docs(spark), None).count() == len(ROWS)
 
 
+def clouds(good, bad, seed=3):
+    """Features of good rows around 0 and of bad ones around 4, in every feature."""
+    made = np.random.default_rng(seed)
+    n = len(quality.FEATURES)
+    return np.vstack([made.normal(0, 1, (good, n)), made.normal(4, 1, (bad, n))])
+
+
+@pytest.mark.parametrize("share", [0.2, 0.5, 0.9])
+def test_class_prior_is_found_without_bad_labels(spark, share):
+    good = int(4000 * share)
+    f = clouds(good, 4000 - good)
+    labelled = good // 2
+    rows = [(x.tolist(), 1 if k < labelled else None) for k, x in enumerate(f)]
+    learning = spark.createDataFrame(rows, "f array<double>, quality int")
+    assert abs(quality.class_prior(learning, f[:labelled]) - share) < 0.03
+
+
+def test_class_prior_without_positive_or_any_rows(spark):
+    positive = clouds(10, 0)
+    none = spark.createDataFrame([], "f array<double>, quality int")
+    assert quality.class_prior(none, positive) == 0.01
+    unlabelled = spark.createDataFrame([(positive[0].tolist(), None)], none.schema)
+    assert 0.01 <= quality.class_prior(unlabelled, positive) <= 0.99
+
+
+def risk_by_rows(model, weights, positive, unlabelled, prior):
+    """The regularised non-negative risk, row by row."""
+    loss = lambda z: math.log1p(math.exp(-z)) if z > 0 else -z + math.log1p(math.exp(z))
+    value = lambda f: [float(sum(a * b for a, b in zip(x, weights[:-1], strict=True)) + weights[-1]) for x in model.inputs(f).tolist()]
+    zp, zu = value(positive), value(unlabelled)
+    of_good = sum(map(loss, zp)) / len(zp)
+    of_bad = sum(loss(-z) for z in zu) / len(zu) - prior * sum(loss(-z) for z in zp) / len(zp)
+    return prior * of_good + max(0.0, of_bad) + 5e-4 * float(np.sum(weights[:-1] ** 2))
+
+
+def test_fit_is_a_minimum_of_the_risk():
+    f = clouds(600, 400)
+    f[:, 3:] = 0  # three features that tell
+    f[600:, :3] -= 3  # bad rows among the good ones, so the risk of the bad class stays positive
+    positive, prior = f[:400], 0.6
+    model = quality.fit(positive, f, prior, f.mean(axis=0), f.std(axis=0) + 1e-9, steps=4000)
+    best = np.append(model.weights, model.bias)
+    down = lambda rows: -np.log(np.clip(1 - model.scores(rows), 1e-300, 1)).mean()
+    assert down(f) - prior * down(positive) > 0.05
+    least = risk_by_rows(model, best, positive, f, prior)
+    made = np.random.default_rng(5)
+    for size in (0.01, 0.1, 1.0):
+        for _ in range(25):
+            assert risk_by_rows(model, best + made.normal(0, size, len(best)), positive, f, prior) > least - 1e-4
+
+
+def test_bad_labels_do_not_matter(spark):
+    table = quality.feature_table(docs(spark))
+    schema = "doc_id long, quality int, toxic int"
+    both = spark.createDataFrame([(n, int(n < 20), 0) for n in range(26)], schema)
+    good = spark.createDataFrame([(n, 1, 0) for n in range(20)], schema)
+    assert rows_of(quality.scored(table, quality.learn(table, both))) == rows_of(quality.scored(table, quality.learn(table, good)))
+
+
 def test_expression_and_array_scores_agree(spark):
     table = quality.feature_table(docs(spark))
     model = quality.learn(table, spark.createDataFrame([(n, int(n < 20), 0) for n in range(26)], "doc_id long, quality int, toxic int"))
