@@ -17,7 +17,7 @@ a whole. Repeated rows and null ids are rows of their own.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -32,7 +32,7 @@ from crewgauge.llm.words import WordEncoder, added_tokens
 #: A slice ends after so many distinct words or characters.
 SLICE_WORDS, SLICE_LETTERS = 500_000, 48_000_000
 #: Rows of a block, words of a row of the word list, words that a task encodes before it hands them on.
-_BLOCK_ROWS, _BLOCK_WORDS, _LIST_WORDS, _HELD_WORDS = 512, 500_000, 20_000, 400_000
+_BLOCK_ROWS, _BLOCK_WORDS, _LIST_WORDS, _HELD_WORDS = 256, 100_000, 20_000, 400_000
 _KEPT_STRETCHES = 100_000
 _SLICES = "slice long, base int, ids array<long>, many binary, codes binary, words array<string>"
 _ENTRIES = "slice long, places binary, sizes binary, tokens binary"
@@ -182,8 +182,13 @@ def word_ids(slices: DataFrame, kind: type[WordEncoder], tokenizer_path: str) ->
     return by_word.mapInArrow(run, _ENTRIES)
 
 
-def _joined(blocks: pa.Table, entries: pa.Table) -> pa.Table:
-    """The ids of every row of one slice."""
+#: What ``encoded`` makes of a block of rows with ids, and the columns of the result.
+Then = tuple[Callable[[pa.RecordBatch], pa.RecordBatch], pa.Schema]
+_IDS: Then = (lambda rows: rows, pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())]))
+
+
+def _joined(blocks: pa.Table, entries: pa.Table, then: Then = _IDS) -> pa.Table:
+    """The ids of every row of one slice, a chunk for each of its blocks: the table is handed on chunk by chunk."""
     size, first, flat, so_far = np.zeros(0, np.int64), np.zeros(0, np.int64), [], 0
     if entries.num_rows:
         columns = [list(map(_unpacked, entries.column(c).to_pylist())) for c in ("places", "sizes", "tokens")]
@@ -196,25 +201,33 @@ def _joined(blocks: pa.Table, entries: pa.Table) -> pa.Table:
             so_far += len(tokens)
             flat.append(tokens)
     flat = np.concatenate(flat) if flat else np.zeros(0, "<u4")
-    ids, out = [], []
-    for base, own, many, codes in zip(*(blocks.column(c).to_pylist() for c in ("base", "ids", "many", "codes")), strict=True):
+    out = []
+    for block in zip(*(blocks.column(c) for c in ("base", "ids", "many", "codes")), strict=True):
+        base, own, many, codes = (v.as_py() for v in block)
         place = _numbers(_unpacked(codes), base)
         sizes = size[place]
         ends = np.cumsum(sizes)
         total = int(ends[-1]) if len(ends) else 0
         tokens = flat[np.repeat(first[place] - (ends - sizes), sizes) + np.arange(total)].tobytes()
         cuts = 4 * np.append(0, ends)[np.append(0, np.cumsum(_unpacked(many), dtype=np.int64))]
-        ids += own
-        out += [tokens[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
-    return pa.table([pa.array(ids, pa.int64()), pa.array(out, pa.binary())], ["doc_id", "ids"])
+        rows = [tokens[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+        out.append(then[0](pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array(rows, pa.binary())], ["doc_id", "ids"])))
+    return pa.Table.from_batches(out, then[1])
 
 
 def encoded(
     docs: DataFrame, kind: type[WordEncoder], tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
-    words: int = SLICE_WORDS, letters: int = SLICE_LETTERS,
+    words: int = SLICE_WORDS, letters: int = SLICE_LETTERS, then: Callable[[], Then] = lambda: _IDS, columns: str = "doc_id long, ids binary",
 ) -> DataFrame:
-    """(doc_id, ids): the ids of every row's whole text, as little-endian unsigned 32-bit bytes."""
+    """(doc_id, ids): the ids of every row's whole text, as little-endian unsigned 32-bit bytes.
+
+    ``then`` is called in the tasks; what it returns makes ``columns`` of each block of rows, where the ids are put together.
+    """
     slices = sliced(docs, kind, tokenizer_path, id_col, text_col, words, letters)
     blocks = slices.where("words is null").select("slice", "base", "ids", "many", "codes")
     entries = word_ids(slices, kind, tokenizer_path)
-    return blocks.groupBy("slice").cogroup(entries.groupBy("slice")).applyInArrow(_joined, "doc_id long, ids binary")
+
+    def joined(blocks: pa.Table, entries: pa.Table) -> pa.Table:
+        return _joined(blocks, entries, then())
+
+    return blocks.groupBy("slice").cogroup(entries.groupBy("slice")).applyInArrow(joined, columns)

@@ -11,6 +11,7 @@ from collections import Counter
 from functools import cache
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -120,6 +121,25 @@ def test_bpe_of_repeated_null_and_no_rows(spark):
     assert bpe.decode(bpe.encode(table.where("doc_id = 0"), BYTES), BYTES).collect() == []
 
 
+@pytest.mark.parametrize("limit", [1, 100_000])
+def test_encoding_and_decoding_at_once(spark, limit):
+    rows = [(n, t) for n, t in enumerate([*TEXTS, *ODD])] + [(None, "a b"), (None, None), (3, "b a"), (3, "b a")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter((r["doc_id"], bytes(r["ids"]), r["text"]) for r in bpe.encode_and_decode(table, BYTES, words=limit).collect())
+    assert got == Counter((n, whole(BYTES, t or ""), t or "") for n, t in rows)
+    assert bpe.encode_and_decode(table.where("doc_id = -1"), BYTES).collect() == []
+
+
+def test_ids_are_handed_on_block_by_block():
+    packed = lambda *numbers: word_join._packed(np.array(numbers, np.int64))
+    blocks = pa.table({"base": [0, 1], "ids": [[7], [8, None]], "many": [packed(1), packed(2, 0)], "codes": [packed(0), packed(0, 1)]})
+    entries = pa.table({"places": [packed(0, 1)], "sizes": [packed(1, 2)], "tokens": [packed(5, 6, 9)]})
+    joined = word_join._joined(blocks, entries)
+    assert [len(chunk) for chunk in joined["doc_id"].chunks] == [1, 2]
+    ids = [np.frombuffer(x, "<u4").tolist() for x in joined["ids"].to_pylist()]
+    assert (joined["doc_id"].to_pylist(), ids) == ([7, 8, None], [[5], [6, 9, 5], []])
+
+
 def test_every_distinct_word_is_encoded_once(spark):
     table = spark.createDataFrame([(n, f"the same words and the word number {n % 7}") for n in range(300)], "doc_id long, text string").repartition(5)
     slices = word_join.sliced(table, SpacedEncoder, BYTES, "doc_id", "text", 10, 10**6).where("words is not null")
