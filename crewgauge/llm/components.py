@@ -13,6 +13,10 @@ from pyspark.sql import DataFrame, functions as F
 from crewgauge.llm.scratch import written
 
 
+#: Edges in a file of a round's result; rounds of few edges leave few files.
+FILE_EDGES = 100_000
+
+
 def _both_ways(edges: DataFrame) -> DataFrame:
     return edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
 
@@ -38,12 +42,12 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node reachable from every node that has an edge. ``edges`` has columns a and b."""
     edges = written(edges.where("a != b").select("a", "b").distinct(), "edges")
-    state = None
+    state, many = None, edges.count()
     while True:
-        edges = written(_small_star(_large_star(edges)), "edges")
+        edges = written(_small_star(_large_star(edges)).coalesce(1 + many // FILE_EDGES), "edges")
         now = edges.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x"), F.sum(F.xxhash64("b", "a") % 1_000_003).alias("s")).first()
         if now == state:
             break
-        state = now
+        state, many = now, now["n"]
     pairs = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return pairs.unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("component"))).distinct()

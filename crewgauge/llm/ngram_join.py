@@ -55,6 +55,8 @@ PIVOTS, ROUNDS = 8, 4
 BITS = 1 << 28
 #: Bytes of text whose cells one part owns, and keys that a task sorts at once.
 PART_BYTES = 1 << 24
+#: Least files of an intermediate table; else one for each part, as far as there are tasks.
+FILES = 8
 HELD_KEYS = 1 << 19
 _POINT_BITS = np.uint64((1 << 24) - 1)
 _HASHES = 4
@@ -236,13 +238,13 @@ class _Cells:
 
 
 def _shared_cells(texts: DataFrame, bound: Bound, bits: int):
-    """A broadcast of ``_Cells``. Every part has 16 to 32 bits a shared cell, which lets one in 1,000 others or fewer pass, as long as all
+    """A broadcast of ``_Cells``, and the number of parts. Every part has 16 to 32 bits a shared cell, which lets one in 1,000 others or fewer pass, as long as all
     together stay within ``bits``."""
     size = texts.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
     parts = max(1, -(-size // PART_BYTES))
     keys = _cell_keys(texts, bound, parts)
     arrays = keys.groupBy("part").applyInArrow(_shared_of(max(64, bits // parts // 64 * 64)), "part long, bits binary").toArrow()
-    return texts.sparkSession.sparkContext.broadcast(_Cells(parts, arrays))
+    return texts.sparkSession.sparkContext.broadcast(_Cells(parts, arrays)), parts
 
 
 _POINT_SCHEMA = "point binary, n_shingles long, cells array<long>, grams array<long>"
@@ -513,11 +515,11 @@ def _blocks(members: DataFrame, sizes: DataFrame) -> DataFrame:
     return rows.select(leaf.alias("leaf"), "point", F.lit(True).alias("core"), F.lit(-1).alias("side"))
 
 
-def _rest(members: DataFrame, large: DataFrame, edges: DataFrame) -> DataFrame:
+def _rest(members: DataFrame, large: DataFrame, edges: DataFrame, files: int) -> DataFrame:
     """Of regions beyond a block: each point, and whether it is outside the region's largest class so far."""
     classes = components(edges)
     named = members.join(large.select("region"), "region").join(classes.withColumnRenamed("node", "point"), "point", "left")
-    named = written(named.withColumn("component", F.coalesce("component", "point")), "classes")
+    named = written(named.withColumn("component", F.coalesce("component", "point")).coalesce(files), "classes")
     counts = named.groupBy("region", "component").agg(F.count("*").alias("size"))
     largest = counts.groupBy("region").agg(F.max(F.struct("size", "component")).alias("top")).select("region", "top.component")
     return named.join(largest.withColumnRenamed("component", "largest"), "region").withColumn("core", F.col("component") != F.col("largest"))
@@ -543,31 +545,32 @@ def _outside(rest: DataFrame) -> DataFrame:
     return sides[0].unionByName(sides[1])
 
 
-def _linked(regions: DataFrame, sets: DataFrame, bound: Bound) -> DataFrame:
+def _linked(regions: DataFrame, sets: DataFrame, bound: Bound, files: int) -> DataFrame:
     """(node, component) of the points of all regions."""
     members = regions.join(sets.select("point", F.size("grams").cast("long").alias("n")), "point")
-    members = written(members.select("region", "point", "n"), "members")
-    sizes = written(members.groupBy("region").agg(F.count("*").alias("members"), F.sum("n").alias("total")), "sizes")
+    members = written(members.select("region", "point", "n").coalesce(files), "members")
+    sizes = written(members.groupBy("region").agg(F.count("*").alias("members"), F.sum("n").alias("total")).coalesce(files), "sizes")
     edges = _edges(_blocks(members, sizes), sets, bound)
     large = sizes.where(f"members > {BLOCK} or total > {LEAF_NGRAMS}")
     if not large.isEmpty():
-        edges = edges.unionByName(_edges(_outside(written(_rest(members, large, edges), "rest")), sets, bound))
+        edges = edges.unionByName(_edges(_outside(written(_rest(members, large, edges, files).coalesce(files), "rest")), sets, bound))
     return components(edges)
 
 
-def _found(docs: DataFrame, bound: Bound, id_col: str, text_col: str, bits: int, id_type: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Points by row, points with their copies, and the regions of points."""
+def _found(docs: DataFrame, bound: Bound, id_col: str, text_col: str, bits: int, id_type: str) -> tuple[DataFrame, DataFrame, DataFrame, int]:
+    """Points by row, points with their copies, the regions of points, and how many files tables of points are written as."""
     texts = _texts(docs, id_col, text_col, id_type)
-    shared = _shared_cells(texts, bound, bits)
+    shared, parts = _shared_cells(texts, bound, bits)
+    files = max(FILES, parts)
     points = written(_points(texts, bound, shared), "points")
     shared.destroy()
-    copies = written(points.where("point is not null").groupBy("point").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies")), "copies")
-    return points, copies, written(_regions(points), "regions")
+    copies = written(points.where("point is not null").groupBy("point").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies")).coalesce(files), "copies")
+    return points, copies, written(_regions(points).coalesce(files), "regions"), files
 
 
 def join(docs: DataFrame, bound: Bound = Bound(), id_col: str = "doc_id", text_col: str = "text", bits: int = BITS, id_type: str = "long") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id and n_links (other rows that it is linked with)."""
-    points, copies, regions = _found(docs, bound, id_col, text_col, bits, id_type)
+    points, copies, regions, _ = _found(docs, bound, id_col, text_col, bits, id_type)
     listed = regions.groupBy("point").agg(F.sort_array(F.collect_set("region")).alias("regions"))
     sets = points.where("cells is not null").select("point", "grams").dropDuplicates(["point"])
     sets = written(sets.join(listed, "point").join(copies.select("point", "copies"), "point"), "sets")
@@ -579,10 +582,10 @@ def join(docs: DataFrame, bound: Bound = Bound(), id_col: str = "doc_id", text_c
 
 def classes(docs: DataFrame, bound: Bound = Bound(), id_col: str = "doc_id", text_col: str = "text", bits: int = BITS, id_type: str = "long") -> DataFrame:
     """``join`` without the number of links, which spares the comparison of points that are known to be in one class."""
-    points, copies, regions = _found(docs, bound, id_col, text_col, bits, id_type)
+    points, copies, regions, files = _found(docs, bound, id_col, text_col, bits, id_type)
     entered = regions.select("point").distinct()
-    sets = written(points.where("cells is not null").select("point", "grams").dropDuplicates(["point"]).join(entered, "point"), "sets")
-    connected = _linked(regions, sets, bound)
+    sets = written(points.where("cells is not null").select("point", "grams").dropDuplicates(["point"]).join(entered, "point").coalesce(files), "sets")
+    connected = _linked(regions, sets, bound, files)
     none = connected.select(F.col("node").alias("point"), F.lit(0).cast("long").alias("links")).limit(0)
     return _report(points, copies, connected, none).drop("n_links")
 

@@ -216,7 +216,7 @@ class BareEncoder(WordEncoder):
     def pre_tokens(word: str) -> list[str]:
         if word.isascii():  # letters, or letters and one stop: what the pattern gives, without it
             if word.isalpha():
-                return [word.lower()]
+                return [word if word.islower() else word.lower()]  # the same string, not a copy
             if word[-1:] in _STOPS and word[:-1].isalpha():
                 return [word[:-1].lower(), word[-1]]
         return _BARE_TOKEN.findall(word.lower()) if _PLAIN(word) else [word]

@@ -90,6 +90,28 @@ def test_a_block_of_near_copies_takes_few_turns():
     assert len(list(block.edges())) == 799 and len(turns) < 10
 
 
+def test_rounds_of_few_edges_leave_few_files(spark, monkeypatch):
+    from crewgauge.llm import components as module
+
+    files, written = [], module.written
+    monkeypatch.setattr(module, "written", lambda df, name: files.append(made := written(df, name)) or made)
+    settings = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        edges = spark.createDataFrame([(n, n + 1) for n in range(60) if n != 30], "a long, b long")
+        got = {tuple(r) for r in module.components(edges).collect()}
+        many = [len(df.inputFiles()) for df in files[1:]]
+        monkeypatch.setattr(module, "FILE_EDGES", 10)
+        again = {tuple(r) for r in module.components(edges).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == again == {(n, 0 if n <= 30 else 31) for n in range(61)}
+    assert many and set(many) == {1}
+
+
 def test_no_rows(spark):
     assert ngram_join.join(docs(spark, [])).collect() == []
     assert found(ngram_join.join(docs(spark, ROWS[:3]))) == [(0, 0, 0, 0), (1, 0, 1, 0), (2, 0, 2, 0)]

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__ as registry
-from crewgauge.llm import bpe, exact_dedup, letter_words, packing, quality, secret_scan, word_join, words
+from crewgauge.llm import batches, bpe, exact_dedup, letter_words, packing, quality, secret_scan, word_join, words
 from crewgauge.llm.packing import default_tokenizer
 from crewgauge.llm.words import BareEncoder, SpacedEncoder
 from tests.llm.cases import ROWS, TEXTS, docs, lowered, rows_of
@@ -204,6 +204,15 @@ def test_packing_of_awkward_rows(spark):
     assert packing.pack(docs(spark, []), WORDS).collect() == []
 
 
+def test_texts_are_taken_some_at_a_time():
+    batch = pa.record_batch({"doc_id": range(600), "text": [f"text {n}" for n in range(600)]})
+    assert [b.num_rows for b in batches.smaller(iter([batch, batch.slice(0, 0)]))] == [256, 256, 88]
+    made = list(packing._packer(WORDS, 4096, 2, False)(iter([batch])))
+    assert len(made) == 3 and list(dict.fromkeys(x for b in made for x in b["doc_id"].to_pylist())) == list(range(600))
+    word = "".join(["wo", "rd"])
+    assert BareEncoder.pre_tokens(word)[0] is word
+
+
 def test_piece_lengths():
     assert packing.piece_lengths(1) == [1] and packing.piece_lengths(4096) == [4096] and packing.piece_lengths(0) == []
     assert packing.piece_lengths(9001) == [4096, 4096, 512, 256, 32, 8, 1]
