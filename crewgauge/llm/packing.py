@@ -5,7 +5,8 @@ binary digits of the rest, longest first. Every piece is a sequence of its own,
 none needs padding, and ``bucket`` (the length) groups sequences that can be batched as a rectangle.
 
 The work has no shuffle: a task reads texts, encodes them and writes pieces. Words repeat, so each worker encodes a
-word once and looks it up afterwards, in a table of bounded size. New words of letters are encoded by ranks.
+word once and looks it up afterwards, in a table of bounded size. New words of letters are encoded by ranks, which one
+task makes when ``pack`` is called; the driver loads no tokenizer.
 
 Defined results: a null or empty text has only the end token, one piece. Repeated rows are packed each on their own.
 """
@@ -18,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from crewgauge.llm.batches import smaller
 from crewgauge.llm.letter_words import letter_encoder, letter_ranks
@@ -37,8 +38,21 @@ def piece_lengths(total: int, longest: int = LONGEST) -> list[int]:
     return [longest] * (total // longest) + [1 << b for b in range(longest.bit_length() - 2, -1, -1) if rest >> b & 1]
 
 
-def _packer(tokenizer_path: str, longest: int, end_id: int, with_ids: bool):
-    ranks = letter_ranks(tokenizer_path)  # travels with the function; the vocabulary's size bounds it
+def _ranks(spark: SparkSession, tokenizer_path: str) -> dict[bytes, int]:
+    """``letter_ranks`` of a task: a loaded vocabulary takes far more memory than its ranks, and a driver keeps much of it from call to call."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _ in batches:  # one row
+            ranks = letter_ranks(tokenizer_path)
+            yield pa.RecordBatch.from_arrays([pa.array(list(ranks), pa.binary()), pa.array(list(ranks.values()), pa.int64())], ["piece", "id"])
+
+    made = spark.range(0, 1, 1, 1).mapInArrow(run, "piece binary, id long").toArrow()
+    return dict(zip(made["piece"].to_pylist(), made["id"].to_pylist(), strict=True))
+
+
+def _packer(tokenizer_path: str, longest: int, end_id: int, with_ids: bool, ranks: dict[bytes, int] | None = None):
+    if ranks is None:
+        ranks = letter_ranks(tokenizer_path)  # travels with the function; the vocabulary's size bounds it
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = BareEncoder(tokenizer_path, of_letters=letter_encoder(ranks) if ranks else None)
@@ -69,7 +83,8 @@ def pack(
     if longest < 1 or longest & (longest - 1):
         raise ValueError("longest must be a power of two")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    pieces = texts.mapInArrow(_packer(tokenizer_path, longest, end_id, with_ids), _SCHEMA)
+    ranks = _ranks(docs.sparkSession, tokenizer_path)
+    pieces = texts.mapInArrow(_packer(tokenizer_path, longest, end_id, with_ids, ranks), _SCHEMA)
     pieces = pieces.withColumn("sequence_id", F.monotonically_increasing_id()).drop("ordinal")
     return pieces if with_ids else pieces.drop("ids")
 

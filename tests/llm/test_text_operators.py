@@ -6,6 +6,7 @@ import json
 import math
 import random
 import re
+import sys
 import zlib
 from collections import Counter
 from functools import cache
@@ -204,6 +205,14 @@ def test_packing_of_awkward_rows(spark):
     assert packing.pack(docs(spark, []), WORDS).collect() == []
 
 
+def test_the_driver_loads_no_tokenizer_to_pack(spark, monkeypatch):
+    assert packing._ranks(spark, WORDS) == letter_words.letter_ranks(WORDS) and packing._ranks(spark, BYTES) == {}
+    monkeypatch.setitem(sys.modules, "tokenizers", None)  # of the driver alone: a task's Python is a process of its own
+    pieces = packing.pack(docs(spark, ROWS[9:10]), WORDS, with_ids=False).collect()
+    monkeypatch.undo()
+    assert {p["doc_tokens"] for p in pieces} == {len(whole(WORDS, ROWS[9][1])) // 4 + 1}
+
+
 def test_texts_are_taken_some_at_a_time():
     batch = pa.record_batch({"doc_id": range(600), "text": [f"text {n}" for n in range(600)]})
     assert [b.num_rows for b in batches.smaller(iter([batch, batch.slice(0, 0)]))] == [256, 256, 88]
