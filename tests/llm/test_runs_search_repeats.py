@@ -65,6 +65,16 @@ def test_runs_are_those_of_brute_force(spark, least):
         assert r["collapsed"] == collapsed(words, runs)
 
 
+@pytest.mark.parametrize("least", [24, 12])
+def test_runs_of_a_text_that_comes_first(least):
+    """What a batch begins with has nothing before it, and no run has the period 0."""
+    for n, text in periodic_texts():
+        runs, kept = periodic_runs._searched([text, "x"], least)
+        found = [tuple(x.values()) for x in runs.to_pylist()[0]]
+        assert found == plain_runs(words_of(text), least), n
+        assert kept == [collapsed(words_of(text), found), "x"]
+
+
 def test_runs_of_awkward_rows(spark):
     table = docs(spark).withColumn("runs", F.lit(1)).withColumn("collapsed", F.lit("x"))
     got = periodic_runs.detect(table).collect()
