@@ -53,10 +53,10 @@ BLOCK = 4096
 PIVOTS, ROUNDS = 8, 4
 #: Most bits of the arrays that tell possibly shared cells: 32 MiB.
 BITS = 1 << 28
-#: Bytes of text whose cells one part owns, and keys that a task sorts at once.
-PART_BYTES = 1 << 24
-#: Least files of an intermediate table; else one for each part, as far as there are tasks.
-FILES = 8
+#: Bytes of text whose cells one part owns: a part's keys, of up to twice that, meet in one task. And keys that a task sorts at once.
+PART_BYTES = 1 << 22
+#: Least files of an intermediate table, and bytes of text for each further one.
+FILES, FILE_BYTES = 8, 1 << 24
 HELD_KEYS = 1 << 19
 _POINT_BITS = np.uint64((1 << 24) - 1)
 _HASHES = 4
@@ -238,13 +238,13 @@ class _Cells:
 
 
 def _shared_cells(texts: DataFrame, bound: Bound, bits: int):
-    """A broadcast of ``_Cells``, and the number of parts. Every part has 16 to 32 bits a shared cell, which lets one in 1,000 others or fewer pass, as long as all
+    """A broadcast of ``_Cells``, and how many files tables of points are written as. Every part has 16 to 32 bits a shared cell, which lets one in 1,000 others or fewer pass, as long as all
     together stay within ``bits``."""
     size = texts.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
     parts = max(1, -(-size // PART_BYTES))
     keys = _cell_keys(texts, bound, parts)
     arrays = keys.groupBy("part").applyInArrow(_shared_of(max(64, bits // parts // 64 * 64)), "part long, bits binary").toArrow()
-    return texts.sparkSession.sparkContext.broadcast(_Cells(parts, arrays)), parts
+    return texts.sparkSession.sparkContext.broadcast(_Cells(parts, arrays)), max(FILES, -(-size // FILE_BYTES))
 
 
 _POINT_SCHEMA = "point binary, n_shingles long, cells array<long>, grams array<long>"
@@ -296,20 +296,64 @@ def _sized(members: DataFrame) -> DataFrame:
     return sizes.where("members > 1 and any_core").drop("any_core")
 
 
-def _split(members: DataFrame, sets: DataFrame, bound: Bound, turn: int) -> DataFrame:
-    """Voronoi split of every leaf around some of its points, windows of ``2 * eps`` included."""
+class _Pivots:
+    """The pivots of one leaf, and their distances from other points."""
+
+    def __init__(self, grams: list[np.ndarray]) -> None:
+        self.size = np.array([len(g) for g in grams])
+        self.known, column = np.unique(np.concatenate(grams), return_inverse=True)
+        self.has = np.zeros((len(self.known), len(grams)), bool)
+        self.has[column, np.repeat(np.arange(len(grams)), self.size)] = True
+
+    def far(self, grams: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(self.known, grams), len(self.known) - 1)
+        shared = self.has[at[self.known[at] == grams]].sum(axis=0)
+        return 1 - shared / (len(grams) + self.size - shared)
+
+
+def _moved(bound: Bound):
+    """Of rows by leaf and slice, the pivots first: every other point once for each pivot that it goes to."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, own, pivots = None, [], None
+        for batch in batches:
+            leaf, part, nth, core = (batch.column(c).to_pylist() for c in ("leaf", "slice", "nth", "core"))
+            row, to, home = [], [], []
+            for n, grams in enumerate(batch.column("grams")):
+                if (leaf[n], part[n]) != at:
+                    at, own, pivots = (leaf[n], part[n]), [], None
+                if nth[n] is not None:
+                    own.append(grams.values.to_numpy())
+                    continue
+                pivots = pivots or _Pivots(own)
+                far = pivots.far(grams.values.to_numpy())
+                near = np.flatnonzero(far <= far.min() + 2 * bound.eps + 1e-9).tolist()
+                row.extend([n] * len(near))
+                to.extend(near)
+                home.extend(core[n] and m == far.argmin() for m in near)
+            kept = batch.select(["region", "leaf", "point", "n"]).take(pa.array(row, pa.int64()))
+            columns = [*kept.columns, pa.array(to, pa.int32()), pa.array(home, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(columns, ["region", "old", "point", "n", "pivot", "core"])
+
+    return run
+
+
+def _split(members: DataFrame, large: DataFrame, sets: DataFrame, bound: Bound, turn: int) -> DataFrame:
+    """Voronoi split of every leaf around some of its points, windows of ``2 * eps`` included.
+
+    The points of a leaf are dealt into slices of about ``LEAF``, and each slice gets the pivots once, not every row.
+    """
     nth = F.row_number().over(Window.partitionBy("leaf").orderBy(F.xxhash64("point", F.lit(turn)), "point"))
-    chosen = members.select("leaf", "point").withColumn("nth", nth).where(F.col("nth") <= PIVOTS)
-    pivots = chosen.join(sets, "point").groupBy("leaf").agg(F.sort_array(F.collect_list(F.struct("nth", "grams"))).alias("pivots"))
-    shared = lambda p: F.size(F.array_intersect("grams", p.grams))
-    distance = lambda p: 1 - shared(p) / (F.size("grams") + F.size(p.grams) - shared(p))
-    near = members.join(sets.select("point", "grams"), "point").join(pivots, "leaf")
-    near = near.withColumn("far", F.transform("pivots", distance)).drop("pivots", "grams")
-    home = F.array_position("far", F.array_min("far")) - 1
-    reach = F.array_min("far") + 2 * bound.eps + 1e-9
-    moved = near.select("*", home.alias("home"), F.posexplode("far").alias("pivot", "d")).where(F.col("d") <= reach)
-    leaf = F.xxhash64("leaf", "pivot", F.lit(turn))
-    return moved.select("region", leaf.alias("new"), F.col("leaf").alias("old"), "point", "n", (F.col("core") & (F.col("home") == F.col("pivot"))).alias("core"))
+    slices = large.select("leaf", F.ceil(F.col("members") / LEAF).cast("int").alias("slices"))
+    chosen = members.withColumn("nth", nth).where(F.col("nth") <= PIVOTS).join(slices, "leaf")
+    chosen = chosen.withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
+    every = members.join(slices, "leaf").withColumn("nth", F.lit(None).cast("int"))
+    every = every.withColumn("slice", F.pmod(F.xxhash64("point", "leaf"), "slices").cast("int"))
+    names = ("leaf", "slice", "nth", "region", "point", "n", "core")
+    rows = chosen.select(*names).unionByName(every.select(*names)).join(sets.select("point", "grams"), "point")
+    rows = rows.repartition("leaf", "slice").sortWithinPartitions("leaf", "slice", F.asc_nulls_last("nth"))
+    moved = rows.select(*names, "grams").mapInArrow(_moved(bound), "region long, old long, point binary, n long, pivot int, core boolean")
+    return moved.select("region", F.xxhash64("old", "pivot", F.lit(turn)).alias("new"), "old", "point", "n", "core")
 
 
 def _tiles(members: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -323,20 +367,20 @@ def _tiles(members: DataFrame, sizes: DataFrame) -> DataFrame:
     return rows.select("region", tile.alias("leaf"), "point", "n", "core", side.alias("side"))
 
 
-def _leaves(regions: DataFrame, sets: DataFrame, bound: Bound) -> DataFrame:
+def _leaves(regions: DataFrame, sets: DataFrame, bound: Bound, files: int) -> DataFrame:
     """(region, leaf, point, core, side): where every possible link is looked at once."""
     members = regions.join(sets.select("point", F.size("grams").cast("long").alias("n")), "point")
-    members = written(members.select("region", F.col("region").alias("leaf"), "point", "n", F.lit(True).alias("core")), "members")
+    members = written(members.select("region", F.col("region").alias("leaf"), "point", "n", F.lit(True).alias("core")).coalesce(files), "members")
     whole = F.lit(-1).alias("side")
     done: list[DataFrame] = []
     too_large = F.expr(f"members > {LEAF} or total > {LEAF_NGRAMS}")
 
     def finish(leaves: DataFrame) -> None:
         """Written at once, so that no later plan holds those of all turns."""
-        done.append(written(leaves.select("region", "leaf", "point", "core", "side"), "leaves"))
+        done.append(written(leaves.select("region", "leaf", "point", "core", "side").coalesce(files), "leaves"))
 
     for turn in range(ROUNDS + 1):
-        sizes = written(_sized(members), "sizes")
+        sizes = written(_sized(members).coalesce(files), "sizes")
         finish(members.join(sizes.where(~too_large).select("leaf"), "leaf").withColumn("side", whole))
         large = sizes.where(too_large)
         if large.isEmpty():
@@ -345,11 +389,11 @@ def _leaves(regions: DataFrame, sets: DataFrame, bound: Bound) -> DataFrame:
         if turn == ROUNDS:
             finish(_tiles(rest, large))
             break
-        parts = written(_split(rest, sets, bound, turn), "parts")
+        parts = written(_split(rest, large, sets, bound, turn).coalesce(files), "parts")
         # a leaf whose largest part has kept nearly all of it doesn't get smaller this way
         kept = parts.groupBy("old", "new").agg(F.count("*").alias("size")).groupBy("old").agg(F.max("size").alias("size"))
         stuck = large.join(kept, F.col("leaf") == F.col("old")).where("size > 0.7 * members").select("leaf", "members", "total")
-        stuck = written(stuck, "stuck")
+        stuck = written(stuck.coalesce(files), "stuck")
         finish(_tiles(rest.join(stuck.select("leaf"), "leaf"), stuck))
         members = parts.join(stuck.select(F.col("leaf").alias("old")), "old", "left_anti").select("region", F.col("new").alias("leaf"), "point", "n", "core")
     return reduce(DataFrame.unionByName, done)
@@ -560,8 +604,7 @@ def _linked(regions: DataFrame, sets: DataFrame, bound: Bound, files: int) -> Da
 def _found(docs: DataFrame, bound: Bound, id_col: str, text_col: str, bits: int, id_type: str) -> tuple[DataFrame, DataFrame, DataFrame, int]:
     """Points by row, points with their copies, the regions of points, and how many files tables of points are written as."""
     texts = _texts(docs, id_col, text_col, id_type)
-    shared, parts = _shared_cells(texts, bound, bits)
-    files = max(FILES, parts)
+    shared, files = _shared_cells(texts, bound, bits)
     points = written(_points(texts, bound, shared), "points")
     shared.destroy()
     copies = written(points.where("point is not null").groupBy("point").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies")).coalesce(files), "copies")
@@ -570,11 +613,11 @@ def _found(docs: DataFrame, bound: Bound, id_col: str, text_col: str, bits: int,
 
 def join(docs: DataFrame, bound: Bound = Bound(), id_col: str = "doc_id", text_col: str = "text", bits: int = BITS, id_type: str = "long") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id and n_links (other rows that it is linked with)."""
-    points, copies, regions, _ = _found(docs, bound, id_col, text_col, bits, id_type)
+    points, copies, regions, files = _found(docs, bound, id_col, text_col, bits, id_type)
     listed = regions.groupBy("point").agg(F.sort_array(F.collect_set("region")).alias("regions"))
     sets = points.where("cells is not null").select("point", "grams").dropDuplicates(["point"])
-    sets = written(sets.join(listed, "point").join(copies.select("point", "copies"), "point"), "sets")
-    found = written(_compared(_leaves(regions, sets, bound), sets, bound), "links")
+    sets = written(sets.join(listed, "point").join(copies.select("point", "copies"), "point").coalesce(files), "sets")
+    found = written(_compared(_leaves(regions, sets, bound, files), sets, bound).repartition("a").coalesce(files), "links")
     connected = components(found.where("b is not null").select("a", "b"))
     links = found.where("b is null").groupBy(F.col("a").alias("point")).agg(F.sum("links").alias("links"))
     return _report(points, copies, connected, links)

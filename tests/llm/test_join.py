@@ -140,3 +140,53 @@ def test_linked_sets_share_as_many_cells_as_stated():
                 of_b = [set(k.tolist()) for k, _ in ngram_join.cells(b, bound)]
                 counts = [(len(set(k.tolist()) & own), need) for k, need in ngram_join.cells(a, bound) for own in of_b]
                 assert any(n >= need for n, need in counts), (size, change)
+
+
+def test_tables_of_few_points_are_few_files(spark, monkeypatch):
+    """A file costs the local file system a process that looks as large as the executor; there are no more than the input calls for."""
+    files, written = [], ngram_join.written
+    monkeypatch.setattr(ngram_join, "written", lambda df, name: files.append((name, made := written(df, name))) or made)
+    monkeypatch.setattr(ngram_join, "LEAF", 5)
+    monkeypatch.setattr(ngram_join, "FILES", 2)
+    settings = {"spark.sql.shuffle.partitions": "12", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    rng = random.Random(11)
+    rows = [(n, " ".join(f"n{rng.random()}" if rng.random() < 0.01 else f"g{n % 3}w{k}" for k in range(90))) for n in range(45)]
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        got = found(ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string")))
+        many = {name: len(df.inputFiles()) for name, df in files if name != "points"}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == by_pairs(rows, Bound())
+    assert {"members", "sizes", "leaves", "parts", "sets", "links"} <= many.keys() and max(many.values()) <= 2, many
+
+
+@pytest.mark.parametrize(("leaf", "batch"), [(7, 10_000), (1000, 6)])
+def test_split_goes_to_the_nearest_pivots(spark, monkeypatch, leaf, batch):
+    """Whatever the slices and batches, each point goes to its nearest pivot and to all within the window."""
+    monkeypatch.setattr(ngram_join, "LEAF", leaf)
+    monkeypatch.setattr(ngram_join, "PIVOTS", 3)
+    rng = random.Random(13)
+    sets = {bytes([n]): sorted({k if rng.random() < 0.8 else 1000 + rng.randrange(50) for k in range(40)}) for n in range(40)}
+    members = [(9, n % 2, bytes([n]), len(sets[bytes([n])]), n % 5 > 0) for n in range(40)]
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        table = spark.createDataFrame(members, "region long, leaf long, point binary, n long, core boolean")
+        grams = spark.createDataFrame(list(sets.items()), "point binary, grams array<long>")
+        large = spark.createDataFrame([(0, 20), (1, 20)], "leaf long, members long")
+        got = [(r.old, bytes(r.point), r.n, r.new, r.core) for r in ngram_join._split(table, large, grams, Bound(), 1).collect()]
+        ordered = table.selectExpr("leaf", "point", "xxhash64(point, 1) AS h").orderBy("leaf", "h", "point").collect()
+        names = {(r.leaf, r.p): r.new for r in spark.sql("SELECT *, xxhash64(leaf, p, 1) AS new FROM VALUES (0L), (1L) a(leaf), VALUES (0), (1), (2) b(p)").collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    want = []
+    for _, side, point, n, core in members:
+        pivots = [set(sets[bytes(r.point)]) for r in ordered if r.leaf == side][:3]
+        own = set(sets[point])
+        far = [1 - len(own & p) / (len(own) + len(p) - len(own & p)) for p in pivots]
+        want += [(side, point, n, names[side, m], core and m == far.index(min(far))) for m in range(3) if far[m] <= min(far) + 2 * Bound().eps + 1e-9]
+    assert sorted(got) == sorted(want) and len(want) > len(members)
