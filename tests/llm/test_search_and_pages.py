@@ -7,6 +7,7 @@ import re
 import time
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -69,6 +70,46 @@ def test_nearest_of_few_rows(spark):
     assert hamming.top_k(empty, empty).collect() == [] and hamming.top_k(table, empty).collect() == []
 
 
+def test_probes_are_not_broadcast(spark):
+    rng = random.Random(5)
+    rows = [(n, [rng.choice([-1.0, 1.0]) for _ in range(64)]) for n in range(1500)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    spark.conf.set("spark.sql.maxBroadcastTableSize", "16m")
+    try:
+        made = rows_of(hamming.top_k(table, table.where("vec_id % 10 = 0"), 10))
+    finally:
+        spark.conf.unset("spark.sql.maxBroadcastTableSize")
+    assert made == nearest(rows, [r for r in rows if r[0] % 10 == 0], 10)
+
+
+@pytest.mark.parametrize(("bits", "width", "k"), [(100, None, 3), (130, 20, 10), (64, 64, 2)])
+def test_nearest_by_many_leaves(spark, monkeypatch, bits, width, k):
+    """Several words, leaves in parts and in copies, ties by id within and across codes."""
+    monkeypatch.setattr(hamming, "POSTINGS", 3)
+    monkeypatch.setattr(hamming, "ASKED", 10)
+    rng = random.Random(bits)
+    base = [[rng.choice([-1.0, 1.0]) for _ in range(bits)] for _ in range(8)]
+    ids = [*range(150), None, None, 3, 3]
+    rows = [(i, [-x if rng.random() < 0.04 and m > 30 else x for m, x in enumerate(base[rng.randrange(8)])]) for i in rng.sample(ids, len(ids))]
+    rows += [(rng.randrange(300), rows[n % 9][1]) for n in range(40)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    asked = [r for r in rows if r[0] is None or r[0] % 7 == 0]
+    assert rows_of(hamming.top_k(table, spark.createDataFrame(asked, table.schema), k, width=width)) == nearest(rows, asked, k)
+
+
+def test_probes_and_comparisons_agree(monkeypatch):
+    monkeypatch.setattr(hamming, "SLICE", 50)
+    rng = np.random.default_rng(3)
+    cells, own = np.sort(rng.integers(0, 1 << 8, 300, np.uint64)), rng.integers(0, 1 << 8, 20, np.uint64)
+    starts = np.append(0, np.cumsum(np.bincount(cells.astype(np.int64), minlength=1 << 8)))
+    for radius in range(9):
+        probed = list(hamming._probed(own, hamming._flips(8, radius), starts))
+        compared = list(hamming._compared(own, cells, radius))
+        pairs = [sorted((int(a), int(b)) for asker, row in x for a, b in zip(asker, row, strict=True)) for x in (probed, compared)]
+        assert pairs[0] == pairs[1] == sorted((a, b) for a in range(20) for b in range(300) if int(own[a] ^ cells[b]).bit_count() == radius)
+    assert list(hamming._probed(own[:0], hamming._flips(8, 1), starts)) == []
+
+
 URLS = [
     None, "", "no host", "http://", "http://org", "http://ORG/", "https://a.example.org/es/1", "x://example.org/en/1234", "https://example.org/en/2",
     "ftp://xorg/", "https://a..com/de/x?y#z", "https://com/fr/", "https://b.com?/de/", "https://b.com/de", "https://c.com/de/#/fr/", "a://b://com/de/",
